@@ -17,7 +17,9 @@ from . import experiments as exp
 from . import features as feat
 from . import rerank, scoring
 
+# rank first: the collected structs are sorted by their first field
 ITEM_FIELDS = (
+    "rank",
     "content_id",
     "title",
     "topic",
@@ -25,7 +27,6 @@ ITEM_FIELDS = (
     "published_at",
     "candidate_sources",
     "user_topic_affinity",
-    "rank",
     "score",
 )
 
