@@ -115,43 +115,46 @@ def candidate_pool(content: DataFrame, features: DataFrame) -> DataFrame:
     R4 recent: first 40 published by (published_at desc nulls last,
     created_at desc); R5 trending: the 100 most recent, re-ordered by
     (trending desc, coalesce(published_at, created_at) desc, id desc), first
-    20; R6 per topic: first 20 published per topic. Global top-k is a
-    TakeOrderedAndProject; per-topic top-k is two-stage (hot topic safe).
+    20; R6 per topic: first 20 published per topic.
+
+    The global top-100 is a TakeOrderedAndProject and the per-topic top-k is
+    two-stage (hot-topic safe). Their union has at most 100 + 5 * 20 rows,
+    so features are joined once to that bounded set (J1, before the items
+    meet the users) and the recent / trending flags are windows over it.
     """
-    published = content.filter(F.col("status") == "published").select(
-        "content_id", "title", "topic", "category", "published_at", "created_at"
-    )
     cols = ["content_id", "title", "topic", "category", "published_at", "created_at"]
-    # one global top-100 (TakeOrderedAndProject); recent and trending are
-    # both read off these <= 100 rows, so windows over them are bounded
-    seed = published.orderBy(*_recency_order()).limit(C.TRENDING_SEED_LIMIT)
-    seed_f = attach_features(seed, F.broadcast(seed.select("content_id")).join(features, "content_id"))
-    by_recency = Window.orderBy(*_recency_order())
+    published = content.filter(F.col("status") == "published").select(*cols)
+    seed = published.orderBy(*_recency_order()).limit(C.TRENDING_SEED_LIMIT).select(
+        *cols, F.lit(1).alias("in_seed"), F.lit(0).alias("in_topic")
+    )
+    per_topic = top_k_per_group(
+        published.filter(F.col("topic").isin(*C.TOPICS)), ["topic"], _recency_order(), C.TOPIC_CANDIDATE_LIMIT,
+        salt_col="content_id",
+    ).select(*cols, F.lit(0).alias("in_seed"), F.lit(1).alias("in_topic"))
+    items = seed.unionByName(per_topic).groupBy("content_id").agg(
+        *[F.first(c).alias(c) for c in cols[1:]],
+        F.max("in_seed").alias("in_seed"),
+        F.max("in_topic").alias("in_topic"),
+    )
+    items = attach_features(items, features)
+    seed_first = (F.col("in_seed") == 1).desc()
+    by_recency = Window.orderBy(seed_first, *_recency_order())
     by_trending = Window.orderBy(
+        seed_first,
         F.col("trending_score").desc(),
         F.coalesce("published_at", "created_at").desc(),
         id_text("content_id").desc(),
     )
-    seed_flags = seed_f.select(
-        *cols,
-        (F.row_number().over(by_recency) <= C.RECENT_LIMIT).cast("int").alias("in_recent"),
-        (F.row_number().over(by_trending) <= C.TRENDING_SOURCE_LIMIT).cast("int").alias("in_trending"),
-        F.lit(0).alias("in_topic"),
+    flagged = items.select(
+        "*",
+        ((F.col("in_seed") == 1) & (F.row_number().over(by_recency) <= C.RECENT_LIMIT)).cast("int").alias("in_recent"),
+        ((F.col("in_seed") == 1) & (F.row_number().over(by_trending) <= C.TRENDING_SOURCE_LIMIT))
+        .cast("int")
+        .alias("in_trending"),
     )
-    per_topic = top_k_per_group(
-        published.filter(F.col("topic").isin(*C.TOPICS)), ["topic"], _recency_order(), C.TOPIC_CANDIDATE_LIMIT,
-        salt_col="content_id",
-    ).select(*cols, F.lit(0).alias("in_recent"), F.lit(0).alias("in_trending"), F.lit(1).alias("in_topic"))
-    pool = (
-        seed_flags.filter((F.col("in_recent") == 1) | (F.col("in_trending") == 1))
-        .unionByName(per_topic)
-        .groupBy(*cols)
-        .agg(F.max("in_recent").alias("in_recent"), F.max("in_trending").alias("in_trending"), F.max("in_topic").alias("in_topic"))
+    return flagged.filter((F.col("in_recent") == 1) | (F.col("in_trending") == 1) | (F.col("in_topic") == 1)).drop(
+        "in_seed"
     )
-    # J1 once per pool item (before meeting the users): features joined to a
-    # bounded key set, missing vectors become zero vectors
-    keys = F.broadcast(pool.select("content_id"))
-    return attach_features(pool, keys.join(features, "content_id"))
 
 
 # ------------------------------------------------------------------ R7, R8

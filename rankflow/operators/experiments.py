@@ -14,14 +14,25 @@ def variants_table(
     experiment_key: str = C.EXPERIMENT_KEY,
     variants: tuple = C.EXPERIMENT_VARIANTS,
 ) -> DataFrame:
-    """E5: experiment configuration as a table with cumulative ``[lo, hi)``
-    bucket ranges; the last variant's ``hi`` is the whole space so it also
-    takes any remainder (fallback to the last variant)."""
-    rows = [(experiment_key, i, v, s, int(bp)) for i, (v, s, bp) in enumerate(variants)]
-    df = spark.createDataFrame(
-        rows, "experiment_key string, variant_order int, variant_key string, strategy_name string, allocation_basis_points int"
-    )
-    return with_ranges(df)
+    """E5: experiment configuration as a literal table with cumulative
+    ``[lo, hi)`` bucket ranges; the last variant's ``hi`` is the whole space
+    so it also takes any remainder (fallback to the last variant)."""
+    rows, lo = [], 0
+    for i, (v, s, bp) in enumerate(variants):
+        hi = C.BUCKET_SPACE if i == len(variants) - 1 else lo + int(bp)
+        rows.append(
+            F.struct(
+                F.lit(experiment_key).alias("experiment_key"),
+                F.lit(i).alias("variant_order"),
+                F.lit(v).alias("variant_key"),
+                F.lit(s).alias("strategy_name"),
+                F.lit(int(bp)).alias("allocation_basis_points"),
+                F.lit(lo).alias("bucket_lo"),
+                F.lit(hi).alias("bucket_hi"),
+            )
+        )
+        lo = hi
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def with_ranges(variants: DataFrame) -> DataFrame:
@@ -52,15 +63,14 @@ def resolve_variant(bucketed: DataFrame, variants: DataFrame) -> DataFrame:
 
 
 def assign(users: DataFrame, variants: DataFrame, experiment_key: str = C.EXPERIMENT_KEY) -> DataFrame:
-    """E1 + E2: deterministic assignment of every user (no stored state)."""
+    """E1 + E2: deterministic assignment of every user (no stored state).
+    Other columns of ``users`` are kept."""
     b = users.select(
+        "*",
         F.lit(experiment_key).alias("experiment_key"),
-        "user_id",
         assignment_bucket(F.lit(experiment_key), F.col("user_id")).alias("assignment_bucket"),
     )
-    return resolve_variant(b, variants).select(
-        "experiment_key", "variant_key", "strategy_name", "user_id", "assignment_bucket"
-    )
+    return resolve_variant(b, variants)
 
 
 def get_or_create(

@@ -50,9 +50,10 @@ def build(
     """
     features = feat.content_features(interactions, now, window_hours)
     runtime = feat.affinity_map(feat.user_topic_affinity(interactions, now, window_hours))
-    rows = cand.user_affinity_rows(users, runtime, profiles)
-    assigned = exp.assign(users, exp.variants_table(spark, experiment_key), experiment_key)
-    rows = rows.join(assigned.select("user_id", "experiment_key", "variant_key", "strategy_name"), "user_id", "left")
+    # assignment is a pure function of the user id: computed on the user rows
+    # themselves (E1) plus a broadcast lookup of the variant ranges
+    rows = exp.assign(cand.user_affinity_rows(users, runtime, profiles), exp.variants_table(spark, experiment_key), experiment_key)
+    rows = rows.drop("assignment_bucket")
     pool = cand.candidate_pool(content, features)
     candidates = cand.generate(rows, pool)
     scored = scoring.score(candidates, scoring.strategies_table(spark), now)

@@ -41,9 +41,25 @@ BREAKDOWN_FIELDS = (
 )
 
 
+STRATEGY_FIELDS = (
+    "strategy_name",
+    "affinity_weight",
+    "recency_weight",
+    "engagement_weight",
+    "trending_weight",
+    "boost_threshold",
+    "boost_multiplier",
+    "max_adjustment",
+)
+
+
 def strategies_table(spark: SparkSession, strategies: tuple = C.STRATEGIES) -> DataFrame:
-    """K6: the strategy registry as data."""
-    return spark.createDataFrame([tuple(s) for s in strategies], STRATEGY_SCHEMA)
+    """K6: the strategy registry as a literal table (JVM side, no Python rows)."""
+    rows = [
+        F.struct(F.lit(s[0]).alias(STRATEGY_FIELDS[0]), *[F.lit(float(v)).alias(n) for n, v in zip(STRATEGY_FIELDS[1:], s[1:])])
+        for s in strategies
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def score(candidates: DataFrame, strategies: DataFrame, now: str) -> DataFrame:
@@ -53,38 +69,30 @@ def score(candidates: DataFrame, strategies: DataFrame, now: str) -> DataFrame:
     n = ts_lit(now)
     c = candidates.withColumn("strategy_name", canonical_strategy("strategy_name"))
     s = c.join(F.broadcast(strategies), "strategy_name", "left")
-    aff = F.round(clamp("user_topic_affinity"), 6)
-    rec = recency_score("published_at", n)
-    eng = engagement_score()
-    trd = trending_norm("trending_score")
-    scored = (
-        s.withColumn("c_affinity", aff)
-        .withColumn("c_recency", rec)
-        .withColumn("c_engagement", eng)
-        .withColumn("c_trending", trd)
-        .withColumn(
-            "c_adjustment",
-            strategy_adjustment("c_trending", F.col("boost_threshold"), F.col("boost_multiplier"), F.col("max_adjustment")),
-        )
-        .withColumn("w_affinity", F.round(F.col("c_affinity") * F.col("affinity_weight"), 6))
-        .withColumn("w_recency", F.round(F.col("c_recency") * F.col("recency_weight"), 6))
-        .withColumn("w_engagement", F.round(F.col("c_engagement") * F.col("engagement_weight"), 6))
-        .withColumn("w_trending", F.round(F.col("c_trending") * F.col("trending_weight"), 6))
+    comps = s.select(
+        "*",
+        F.round(clamp("user_topic_affinity"), 6).alias("c_affinity"),
+        recency_score("published_at", n).alias("c_recency"),
+        engagement_score().alias("c_engagement"),
+        trending_norm("trending_score").alias("c_trending"),
+    )
+    weighted = comps.select(
+        "*",
+        strategy_adjustment("c_trending", F.col("boost_threshold"), F.col("boost_multiplier"), F.col("max_adjustment")).alias(
+            "c_adjustment"
+        ),
+        F.round(F.col("c_affinity") * F.col("affinity_weight"), 6).alias("w_affinity"),
+        F.round(F.col("c_recency") * F.col("recency_weight"), 6).alias("w_recency"),
+        F.round(F.col("c_engagement") * F.col("engagement_weight"), 6).alias("w_engagement"),
+        F.round(F.col("c_trending") * F.col("trending_weight"), 6).alias("w_trending"),
     )
     base = F.round(
         F.round(F.col("w_affinity") + F.col("w_recency") + F.col("w_engagement") + F.col("w_trending"), 6)
         + F.col("c_adjustment"),
         6,
     )
-    return scored.withColumn("base_score", base).drop(
-        "affinity_weight",
-        "recency_weight",
-        "engagement_weight",
-        "trending_weight",
-        "boost_threshold",
-        "boost_multiplier",
-        "max_adjustment",
-    )
+    keep = [c for c in weighted.columns if c not in STRATEGY_FIELDS[1:]]
+    return weighted.select(*keep, base.alias("base_score"))
 
 
 def breakdown(penalty_col: str = "diversity_penalty", final_col: str = "score") -> F.Column:

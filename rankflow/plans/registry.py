@@ -82,13 +82,9 @@ def _exposures(spark, sf):
     """Header and items of the hour pages (F5) with the user's variant."""
     it = _it(spark, sf)
     items = S.exposure_items(it)
-    a = experiments.assign(items.select("user_id").distinct(), experiments.variants_table(spark))
-    header = (
-        items.groupBy("exposure_id", "user_id")
-        .agg(F.min("generated_at").alias("generated_at"))
-        .join(a, "user_id")
-        .withColumn("created_at", F.col("generated_at"))
-    )
+    pages = items.groupBy("exposure_id", "user_id").agg(F.min("generated_at").alias("generated_at"))
+    # assignment is row-local on the page header (hash of the user id)
+    header = experiments.assign(pages, experiments.variants_table(spark)).withColumn("created_at", F.col("generated_at"))
     items = items.withColumn("created_at", F.col("generated_at"))
     return header, items, it
 
@@ -125,7 +121,7 @@ def q_best_strategy(spark, sf):
 def _feed_inputs(spark, sf, general_category=False):
     it = _it(spark, sf)
     users = S.users(spark, sf)
-    return it, users, S.content(spark, sf, general_category), S.profile_preferences(users)
+    return it, users, S.content(spark, sf, general_category), S.profiles(spark, sf)
 
 
 def _user_rows(spark, sf):

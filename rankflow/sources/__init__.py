@@ -11,6 +11,7 @@ from .tables import (  # noqa: F401
     operations_log,
     outcome_events,
     profile_preferences,
+    profiles,
     table,
     users,
 )

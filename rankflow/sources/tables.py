@@ -20,8 +20,19 @@ from ..functions import micros, minus_hours, topic_at, ts_lit
 AS_OF = "2024-01-31 00:00:00"
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan of one table. The relation (file listing, footer schema) is
+    resolved once per session and path; every use is still a fresh lazy scan
+    with its own pushed filters and pruned columns."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
     return df.select(*columns) if columns else df
 
 
@@ -89,6 +100,11 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.join(ev, cust.c_custkey == ev.user_id, "left_semi").select(F.col("c_custkey").alias("user_id"))
 
 
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile table: one per customer (the user table's 1:1 child)."""
+    return profile_preferences(table(spark, sf_dir, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id")))
+
+
 def profile_preferences(users_df: DataFrame) -> DataFrame:
     """Long-form profile preferences (user_id, topic, preference); users with
     id % 10 == 9 have no profile. Topics come from a generator, not a join."""
