@@ -41,8 +41,9 @@ def increase(log: DataFrame, by: Sequence[str], window: str = "15 minutes") -> D
 
 
 def p95(log: DataFrame, by: Sequence[str], value: str = "duration_seconds", q: float = 0.95) -> DataFrame:
-    """O3: exact quantile (linear interpolation) per group."""
-    return log.groupBy(*by).agg(F.percentile(value, q).alias("p95_seconds"), F.count("*").alias("samples"))
+    """O3: exact quantile (linear interpolation) per group, in seconds at
+    microsecond resolution."""
+    return log.groupBy(*by).agg(F.round(F.percentile(value, q), 6).alias("p95_seconds"), F.count("*").alias("samples"))
 
 
 def p95_approx(log: DataFrame, by: Sequence[str], value: str = "duration_seconds", q: float = 0.95) -> DataFrame:
@@ -87,7 +88,7 @@ def histogram_quantile(buckets: DataFrame, by: Sequence[str], q: float = 0.95) -
         + (F.col("le") - F.col("_prev_le"))
         * F.when(F.col("count") > F.col("_prev_n"), (rank - F.col("_prev_n")) / (F.col("count") - F.col("_prev_n"))).otherwise(F.lit(0.0))
     )
-    return first.select(*by, value.alias("quantile_seconds"))
+    return first.select(*by, F.round(value, 6).alias("quantile_seconds"))
 
 
 def lag(offsets: DataFrame) -> DataFrame:

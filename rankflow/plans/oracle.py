@@ -455,8 +455,8 @@ b AS (
          max(CASE WHEN le <> CAST('inf' AS DOUBLE) THEN le END) OVER (PARTITION BY service) AS max_finite
   FROM cum)
 SELECT service,
-       CASE WHEN le = CAST('inf' AS DOUBLE) THEN max_finite
-            ELSE prev_le + (le - prev_le) * CASE WHEN cnt > prev_n THEN ({dbl(0.95)} * total - prev_n) / (cnt - prev_n) ELSE {dbl(0)} END END
+       round(CASE WHEN le = CAST('inf' AS DOUBLE) THEN max_finite
+            ELSE prev_le + (le - prev_le) * CASE WHEN cnt > prev_n THEN ({dbl(0.95)} * total - prev_n) / (cnt - prev_n) ELSE {dbl(0)} END END, 6)
          AS quantile_seconds
 FROM b WHERE cnt >= {dbl(0.95)} * total AND total > 0
 QUALIFY row_number() OVER (PARTITION BY service ORDER BY le) = 1"""
@@ -646,7 +646,7 @@ FROM oplog GROUP BY ALL"""
     b15 = _bucket(900)
     q["event_increase_15m"] = with_(_ops_log()) + f"SELECT {b15} AS window_start, outcome, count(*) AS increase FROM oplog GROUP BY ALL"
     q["latency_p95"] = with_(_ops_log()) + """
-SELECT service, outcome, quantile_cont(duration_seconds, 0.95) AS p95_seconds, count(*) AS samples FROM oplog GROUP BY ALL"""
+SELECT service, outcome, round(quantile_cont(duration_seconds, 0.95), 6) AS p95_seconds, count(*) AS samples FROM oplog GROUP BY ALL"""
     q["latency_histogram_p95"] = hist_sql()
     q["processor_freshness"] = with_(INTERACTIONS, DIRTY) + """
 SELECT count(*) FILTER (WHERE errors = '') AS processed, count(*) FILTER (WHERE errors <> '') AS failed,
