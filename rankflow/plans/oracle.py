@@ -544,6 +544,27 @@ SELECT sha256(CAST(user_id AS VARCHAR) || '|' || '2024-01-31 00:00:00') AS decis
        arg_min(content_id, rank) AS top_content_id, arg_min(score, rank) AS top_score,
        {AS_OF} AS generated_at
 FROM ranked GROUP BY user_id""")
+    exp_id = "sha256(CAST(user_id AS VARCHAR) || '|' || '2024-01-31 00:00:00' || '|' || '0')"
+    q["feed_exposure_items"] = _feed(f"""
+SELECT {exp_id} || ':' || CAST(content_id AS VARCHAR) AS item_id, {exp_id} AS exposure_id, content_id, topic, category,
+       rank, score, {AS_OF} AS created_at, user_id, variant_key, strategy_name
+FROM ranked WHERE rank <= {C.PAGE_DEFAULT_LIMIT}""")
+    q["exposure_validation"] = _feed(f"""
+, stored AS (
+  SELECT experiment_key, user_id,
+         CASE WHEN user_id % 7 = 0 THEN CASE WHEN variant_key = 'control' THEN 'trending_boost' ELSE 'control' END ELSE variant_key END AS a_variant,
+         CASE WHEN user_id % 7 = 0 THEN CASE WHEN strategy_name = '{C.RULES_V1}' THEN '{C.RULES_V2}' ELSE '{C.RULES_V1}' END ELSE strategy_name END AS a_strategy
+  FROM assignments WHERE user_id % 11 <> 0),
+hdr AS (
+  SELECT {exp_id} AS exposure_id, user_id, any_value(experiment_key) AS experiment_key, any_value(variant_key) AS variant_key,
+         any_value(strategy_name) AS strategy_name
+  FROM ranked GROUP BY user_id)
+SELECT h.exposure_id, h.user_id, h.variant_key, h.strategy_name, 20 AS feed_limit, 0 AS feed_offset, {AS_OF} AS generated_at,
+       concat_ws(';',
+         CASE WHEN s.a_variant IS NULL THEN 'assignment_missing' END,
+         CASE WHEN s.a_variant IS NOT NULL AND s.a_variant <> h.variant_key THEN 'variant_mismatch' END,
+         CASE WHEN s.a_strategy IS NOT NULL AND s.a_strategy <> h.strategy_name THEN 'strategy_mismatch' END) AS errors
+FROM hdr h LEFT JOIN stored s ON s.experiment_key = h.experiment_key AND s.user_id = h.user_id""")
     q["interaction_validation"] = with_(INTERACTIONS, DIRTY) + (
         "SELECT event_id, ingest_seq, event_type, topic, session_id, errors FROM validated"
     )

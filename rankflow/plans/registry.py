@@ -223,6 +223,45 @@ def q_ranking_decisions(spark, sf):
     ))
 
 
+def _feed_exposures(spark, sf):
+    _, users, _, _ = _feed_inputs(spark, sf)
+    pages = feed.pages_for_exposure(feed.page(_ranked(spark, sf), users, C.PAGE_DEFAULT_LIMIT, 0), AS_OF)
+    return experiments.exposures_from_pages(pages)
+
+
+def q_feed_exposure_items(spark, sf):
+    """Exposure header + items recorded for every delivered first page."""
+    header, items = _feed_exposures(spark, sf)
+    h = header.select("exposure_id", "user_id", "variant_key", "strategy_name")
+    return finalize(items.join(h, "exposure_id"))
+
+
+def q_exposure_validation(spark, sf):
+    """J13 + V15: recorded exposures checked against a stored assignment
+    table in which users with id % 7 == 0 were moved to the other variant
+    and users with id % 11 == 0 have no stored row."""
+    header, items = _feed_exposures(spark, sf)
+    stored = experiments.assign(S.users(spark, sf), experiments.variants_table(spark))
+    flip = F.col("user_id") % 7 == 0
+    stored = stored.filter(F.col("user_id") % 11 != 0).select(
+        "experiment_key",
+        "user_id",
+        F.when(flip & (F.col("variant_key") == "control"), F.lit("trending_boost"))
+        .when(flip, F.lit("control"))
+        .otherwise(F.col("variant_key"))
+        .alias("variant_key"),
+        F.when(flip & (F.col("strategy_name") == C.RULES_V1), F.lit(C.RULES_V2))
+        .when(flip, F.lit(C.RULES_V1))
+        .otherwise(F.col("strategy_name"))
+        .alias("strategy_name"),
+    )
+    v = experiments.validate_exposures(header, items, stored)
+    return finalize(v.select(
+        "exposure_id", "user_id", "variant_key", "strategy_name", "feed_limit", "feed_offset", "generated_at",
+        F.array_join("errors", ";").alias("errors"),
+    ))
+
+
 # -------------------------------------------------------- validation, ingest
 def _dirty(spark, sf):
     return S.dirty_interactions(_it(spark, sf))
@@ -376,6 +415,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_pages": q_feed_pages,
     "feed_pages_second": q_feed_pages_second,
     "ranking_decisions": q_ranking_decisions,
+    "feed_exposure_items": q_feed_exposure_items,
+    "exposure_validation": q_exposure_validation,
     "interaction_validation": q_interaction_validation,
     "dead_letters": q_dead_letters,
     "deduplicated_interactions": q_deduplicated_interactions,
