@@ -33,7 +33,7 @@ def asof_join(
     right_ts: str,
     right_cols: Sequence[str],
     right_order: Sequence[Column] = (),
-    bucket_seconds: int = 86400,
+    bucket_seconds: int = 3600,
     how: str = "inner",
 ) -> DataFrame:
     """Backward as-of join: for each left row, the right row of the same
@@ -105,7 +105,7 @@ def exposed_items(header: DataFrame, items: DataFrame) -> DataFrame:
     return items.select("item_id", "exposure_id", "content_id", "created_at").join(h, "exposure_id")
 
 
-def attribute(outcomes: DataFrame, items: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+def attribute(outcomes: DataFrame, items: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """J7 + J8 + T2: each outcome event credited to the latest earlier
     exposure item of the same (user, content); unmatched outcomes dropped.
     Ties in ``generated_at`` go to the earliest ``created_at``, then the

@@ -109,19 +109,13 @@ def _recency_order() -> list[Column]:
     return [F.col("published_at").desc_nulls_last(), F.col("created_at").desc(), id_text("content_id").desc()]
 
 
-def candidate_pool(content: DataFrame, features: DataFrame) -> DataFrame:
-    """The global pool: one row per distinct item with source flags.
-
-    R4 recent: first 40 published by (published_at desc nulls last,
-    created_at desc); R5 trending: the 100 most recent, re-ordered by
-    (trending desc, coalesce(published_at, created_at) desc, id desc), first
-    20; R6 per topic: first 20 published per topic.
-
-    The global top-100 is a TakeOrderedAndProject and the per-topic top-k is
-    two-stage (hot-topic safe). Their union has at most 100 + 5 * 20 rows,
-    so features are joined once to that bounded set (J1, before the items
-    meet the users) and the recent / trending flags are windows over it.
-    """
+POOL_ITEMS_MAX_ROWS = C.TRENDING_SEED_LIMIT + len(C.TOPICS) * C.TOPIC_CANDIDATE_LIMIT
+
+
+def pool_items(content: DataFrame) -> DataFrame:
+    """The items any pool can draw from: the 100 most recent published
+    (global top-k, a TakeOrderedAndProject) and the 20 most recent per topic
+    (two-stage top-k, hot-topic safe). At most 100 + 5 * 20 rows."""
     cols = ["content_id", "title", "topic", "category", "published_at", "created_at"]
     published = content.filter(F.col("status") == "published").select(*cols)
     seed = published.orderBy(*_recency_order()).limit(C.TRENDING_SEED_LIMIT).select(
@@ -131,12 +125,17 @@ def candidate_pool(content: DataFrame, features: DataFrame) -> DataFrame:
         published.filter(F.col("topic").isin(*C.TOPICS)), ["topic"], _recency_order(), C.TOPIC_CANDIDATE_LIMIT,
         salt_col="content_id",
     ).select(*cols, F.lit(0).alias("in_seed"), F.lit(1).alias("in_topic"))
-    items = seed.unionByName(per_topic).groupBy("content_id").agg(
+    return seed.unionByName(per_topic).groupBy("content_id").agg(
         *[F.first(c).alias(c) for c in cols[1:]],
         F.max("in_seed").alias("in_seed"),
         F.max("in_topic").alias("in_topic"),
     )
-    items = attach_features(items, features)
+
+
+def flag_pool(items: DataFrame) -> DataFrame:
+    """R4 recent: first 40 of the seed by recency; R5 trending: first 20 of
+    the seed by (trending desc, coalesce(published_at, created_at) desc, id
+    desc); R6: the per-topic items. Windows over the bounded item set."""
     seed_first = (F.col("in_seed") == 1).desc()
     by_recency = Window.orderBy(seed_first, *_recency_order())
     by_trending = Window.orderBy(
@@ -157,6 +156,19 @@ def candidate_pool(content: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def candidate_pool(content: DataFrame, features: DataFrame) -> DataFrame:
+    """The global pool: one row per distinct item with source flags and its
+    feature vector (J1: missing vectors become zero vectors)."""
+    return flag_pool(attach_features(pool_items(content), features))
+
+
+def pool_key_filter(events: DataFrame, items: DataFrame) -> DataFrame:
+    """Events of pool items only: a semi-join to at most
+    ``POOL_ITEMS_MAX_ROWS`` keys, broadcast, applied before any shuffle, so
+    the feature aggregate for the feed touches only the pool's events."""
+    return events.join(bounded_broadcast(items.select("content_id"), POOL_ITEMS_MAX_ROWS), "content_id", "left_semi")
+
+
 # ------------------------------------------------------------------ R7, R8
 def generate(user_rows: DataFrame, pool: DataFrame) -> DataFrame:
     """Candidates for every user: one row per (user, item) with the ordered

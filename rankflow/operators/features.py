@@ -130,10 +130,12 @@ def user_topic_affinity(interactions: DataFrame, as_of: str, window_hours: int =
     )
 
 
-def affinity_map(user_topic: DataFrame) -> DataFrame:
-    """One map per user (topic -> score). A user's map holds at most one
-    entry per distinct topic, so the collected group is bounded."""
-    return user_topic.groupBy("user_id").agg(
+def affinity_map(user_topic: DataFrame, topics: tuple = C.TOPICS) -> DataFrame:
+    """One map per user (topic -> score). Only supported topics are
+    stored (V7 rejects others before the write), so a user's collected map
+    holds at most ``len(topics)`` entries."""
+    kept = user_topic.filter(F.col("topic").isin(*topics))
+    return kept.groupBy("user_id").agg(
         F.map_from_entries(F.collect_list(F.struct("topic", "affinity_score"))).alias("topic_affinity"),
         F.max("last_event_at").alias("last_event_at"),
     )
@@ -144,30 +146,51 @@ def point_in_time_counts(
     interactions: DataFrame,
     key: str = "content_id",
     window_hours: int = C.FEATURE_WINDOW_HOURS,
+    slice_seconds: int = 3600,
 ) -> DataFrame:
     """A4: the rolling counts of ``key`` as they stood after each event,
     i.e. over ``(t - window, t]`` (ties in ``t`` included).
 
-    Skew-safe form: events are bucketed by window-sized time slices and each
-    event is also copied into the next slice, so every window partition is
-    ``(key, slice)`` and holds at most two slices of one key. A hot key is
-    thereby split across its time range instead of landing in one task.
+    Written as differences of prefix counts, ``C(t) - C(t - window)`` with
+    ``C(x)`` = events of the key at or before ``x``, so no window partition
+    has to hold a key's whole window:
+
+    * each event emits two zero-weight probes, at ``t`` and ``t - window``;
+    * prefix sums run per ``(key, time slice)`` (``slice_seconds``), plus an
+      offset = the key's totals of all earlier slices, computed on one row
+      per active slice;
+    * the two probes of an event are folded back by event id.
+
+    A key holding a third of all rows is thereby split into its time slices.
     """
     _check_window(window_hours)
     w_us = int(window_hours) * 3_600_000_000
-    ev = interactions.select("event_id", key, "event_type", "event_timestamp").withColumn(
-        "_us", micros("event_timestamp")
-    )
-    ev = ev.withColumn("_slice", F.floor(F.col("_us") / F.lit(w_us)))
-    copies = ev.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_carry")).withColumn(
-        "_part", F.col("_slice") + F.col("_carry")
-    )
-    frame = Window.partitionBy(key, "_part").orderBy("_us").rangeBetween(-(w_us - 1), 0)
-    counted = copies.select(
-        "*",
-        *[F.sum((F.col("event_type") == et).cast("long")).over(frame).alias(m) for et, m in C.METRIC_FOR_EVENT.items()],
+    s_us = int(slice_seconds) * 1_000_000
+    ind = [(F.col("event_type") == et).cast("long").alias(m) for et, m in C.METRIC_FOR_EVENT.items()]
+    zero = [F.lit(0).cast("long").alias(m) for m in C.METRICS]
+    ev = interactions.select("event_id", key, "event_type", "event_timestamp", micros("event_timestamp").alias("_us"))
+    weights = ev.select(key, "_us", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_probe_of"), F.lit(0).alias("_side"), *ind)
+    probes = ev.select(
+        key,
+        F.explode(F.array(F.struct(F.col("_us").alias("us"), F.lit(1).alias("side")),
+                          F.struct((F.col("_us") - F.lit(w_us)).alias("us"), F.lit(-1).alias("side")))).alias("p"),
+        "event_id",
+    ).select(key, F.col("p.us").alias("_us"), F.lit(1).alias("_kind"), F.col("event_id").alias("_probe_of"),
+             F.col("p.side").alias("_side"), *zero)
+    rows = weights.unionByName(probes).withColumn("_slice", F.floor(F.col("_us") / F.lit(s_us)))
+    # events sort before probes at equal time: C(x) counts events at exactly x
+    local = Window.partitionBy(key, "_slice").orderBy("_us", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    pref = rows.select(key, "_slice", "_kind", "_probe_of", "_side", *[F.sum(m).over(local).alias(m) for m in C.METRICS])
+    totals = rows.groupBy(key, "_slice").agg(*[F.sum(m).alias(m) for m in C.METRICS])
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "_slice", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_o_{m}") for m in C.METRICS])
+    probed = pref.filter(F.col("_kind") == 1).join(offsets, [key, "_slice"], "left")
+    signed = probed.select(
+        F.col("_probe_of").alias("event_id"),
+        *[(F.col("_side") * (F.col(m) + F.coalesce(F.col(f"_o_{m}"), F.lit(0)))).alias(m) for m in C.METRICS],
     )
-    return counted.filter(F.col("_carry") == 0).select("event_id", key, "event_type", "event_timestamp", *C.METRICS)
+    counts = signed.groupBy("event_id").agg(*[F.sum(m).alias(m) for m in C.METRICS])
+    return ev.select("event_id", key, "event_type", "event_timestamp").join(counts, "event_id")
 
 
 # ------------------------------------------------------------- snapshots

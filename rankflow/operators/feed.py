@@ -48,13 +48,15 @@ def build(
     ``mode``: ``window`` (topic and category one to one), ``greedy``
     (general, grouped pandas) or ``auto`` (checks the bounded pool).
     """
-    features = feat.content_features(interactions, now, window_hours)
     runtime = feat.affinity_map(feat.user_topic_affinity(interactions, now, window_hours))
     # assignment is a pure function of the user id: computed on the user rows
     # themselves (E1) plus a broadcast lookup of the variant ranges
     rows = exp.assign(cand.user_affinity_rows(users, runtime, profiles), exp.variants_table(spark, experiment_key), experiment_key)
     rows = rows.drop("assignment_bucket")
-    pool = cand.candidate_pool(content, features)
+    items = cand.pool_items(content)
+    # features only for the bounded pool (the feed never reads other vectors)
+    features = feat.content_features(cand.pool_key_filter(interactions, items), now, window_hours)
+    pool = cand.flag_pool(feat.attach_features(items, features))
     candidates = cand.generate(rows, pool)
     scored = scoring.score(candidates, scoring.strategies_table(spark), now)
     if mode == "auto":

@@ -96,7 +96,9 @@ def content(spark: SparkSession, sf_dir: str, general_category: bool = False, as
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers that produced at least one event (semi-join, no duplicates)."""
     cust = table(spark, sf_dir, "customer", ["c_custkey"])
-    ev = table(spark, sf_dir, "events", ["user_id"])
+    # distinct first: partial aggregation reduces the event column map-side,
+    # so the semi-join shuffles distinct ids, not one row per event
+    ev = table(spark, sf_dir, "events", ["user_id"]).distinct()
     return cust.join(ev, cust.c_custkey == ev.user_id, "left_semi").select(F.col("c_custkey").alias("user_id"))
 
 
