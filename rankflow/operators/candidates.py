@@ -126,7 +126,7 @@ def pool_items(content: DataFrame) -> DataFrame:
         salt_col="content_id",
     ).select(*cols, F.lit(0).alias("in_seed"), F.lit(1).alias("in_topic"))
     return seed.unionByName(per_topic).groupBy("content_id").agg(
-        *[F.first(c).alias(c) for c in cols[1:]],
+        *[F.max(c).alias(c) for c in cols[1:]],  # one value per item: deterministic pick
         F.max("in_seed").alias("in_seed"),
         F.max("in_topic").alias("in_topic"),
     )

@@ -52,7 +52,10 @@ def build(
     # assignment is a pure function of the user id: computed on the user rows
     # themselves (E1) plus a broadcast lookup of the variant ranges
     rows = exp.assign(cand.user_affinity_rows(users, runtime, profiles), exp.variants_table(spark, experiment_key), experiment_key)
-    rows = rows.drop("assignment_bucket")
+    # one row per user, hash-partitioned by user: the candidate fan-out
+    # (broadcast pool join) and every ranking window keep this partitioning,
+    # so the users x ~120 candidate rows are never shuffled
+    rows = rows.drop("assignment_bucket").repartition("user_id")
     items = cand.pool_items(content)
     # features only for the bounded pool (the feed never reads other vectors)
     features = feat.content_features(cand.pool_key_filter(interactions, items), now, window_hours)

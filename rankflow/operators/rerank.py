@@ -43,8 +43,13 @@ def penalty_expr(n_picked: F.Column) -> F.Column:
 def rank_window(scored: DataFrame, apply_diversity_penalty: bool = True, key: str = "user_id") -> DataFrame:
     """K9 (topic == category case) and K10 (no penalty)."""
     if apply_diversity_penalty:
-        within = Window.partitionBy(key, "topic").orderBy(*_tie_order("base_score"))
-        s = scored.withColumn("diversity_penalty", penalty_expr(F.row_number().over(within) - 1))
+        # position inside the topic without a (user, topic) partitioning:
+        # row number over (topic, score order) minus the topic's first row,
+        # so every window here clusters by the user alone (one partitioning)
+        by_topic = Window.partitionBy(key).orderBy(F.col("topic").asc_nulls_first(), *_tie_order("base_score"))
+        topic_start = Window.partitionBy(key).orderBy(F.col("topic").asc_nulls_first())
+        j = F.row_number().over(by_topic) - F.rank().over(topic_start)
+        s = scored.withColumn("diversity_penalty", penalty_expr(j))
     else:
         s = scored.withColumn("diversity_penalty", F.lit(0.0))
     s = s.withColumn("score", F.round(F.col("base_score") - F.col("diversity_penalty"), 6))
