@@ -54,8 +54,11 @@ def build(
     rows = exp.assign(cand.user_affinity_rows(users, runtime, profiles), exp.variants_table(spark, experiment_key), experiment_key)
     # one row per user, hash-partitioned by user: the candidate fan-out
     # (broadcast pool join) and every ranking window keep this partitioning,
-    # so the users x ~120 candidate rows are never shuffled
-    rows = rows.drop("assignment_bucket").repartition("user_id")
+    # so the users x ~120 candidate rows are never shuffled. The partition
+    # count is explicit: adaptive coalescing sizes partitions by the *user*
+    # rows and would pack ~120x their volume into each task after the fan-out.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.drop("assignment_bucket").repartition(n, "user_id")
     items = cand.pool_items(content)
     # features only for the bounded pool (the feed never reads other vectors)
     features = feat.content_features(cand.pool_key_filter(interactions, items), now, window_hours)
