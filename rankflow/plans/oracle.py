@@ -598,6 +598,56 @@ SELECT *, (SELECT count(DISTINCT content_id) FROM f) AS total FROM f ORDER BY {o
     q["tag_listing"] = with_(content_cte(), CONTENT_TAGS) + """
 , names AS (SELECT DISTINCT unnest(tags) AS name FROM content_tags)
 SELECT substr(sha256(name), 1, 32) AS tag_id, name FROM names ORDER BY name LIMIT 100"""
+    q["user_validation"] = with_(USERS) + f"""
+, acc AS (
+  SELECT c.c_custkey AS user_id, c.c_name AS username,
+         lower(replace(c.c_name, '#', '_')) || '@' || lower(c.c_mktsegment) || '.example' AS email
+  FROM customer c WHERE c.c_custkey IN (SELECT user_id FROM users))
+SELECT user_id, trim(username) AS username, lower(trim(email)) AS email,
+       concat_ws(';',
+         CASE WHEN NOT regexp_matches(trim(username), '{C.USERNAME_PATTERN}') THEN 'username_invalid' END,
+         CASE WHEN NOT regexp_matches(lower(trim(email)), '{C.EMAIL_PATTERN}') THEN 'email_invalid' END) AS errors
+FROM acc"""
+    q["user_listing"] = """
+WITH acc AS (
+  SELECT c.c_custkey AS user_id, lower(replace(c.c_name, '#', '_')) AS username, min(e.ts) AS created_at
+  FROM customer c JOIN events e ON c.c_custkey = e.user_id GROUP BY ALL)
+SELECT user_id, username, created_at, user_id % 10 <> 9 AS has_profile,
+       CAST(CASE WHEN user_id % 10 <> 9 THEN 5 ELSE 0 END AS INTEGER) AS n_preferences
+FROM acc ORDER BY created_at DESC, CAST(user_id AS VARCHAR) DESC LIMIT 100"""
+    q["content_lookup"] = with_(INTERACTIONS, content_cte()) + f"""
+SELECT * FROM content WHERE content_id IN (
+  SELECT content_id FROM interactions WHERE event_type = 'click' AND {window_filter(24)})"""
+    q["catalog_after_patches"] = with_(content_cte()) + f"""
+, patched AS (
+  SELECT content_id, CASE WHEN content_id % 25 = 3 THEN upper(title) ELSE title END AS title,
+         CASE WHEN content_id % 16 = 0 THEN 'published' WHEN content_id % 10 = 1 THEN 'draft' ELSE status END AS status,
+         published_at
+  FROM content)
+SELECT content_id, title, status,
+       CASE WHEN status = 'draft' THEN NULL WHEN status = 'published' AND published_at IS NULL THEN {AS_OF} ELSE published_at END AS published_at
+FROM patched"""
+    q["catalog_after_purge"] = with_(content_cte(), CONTENT_TAGS) + """
+SELECT c.content_id, c.title, CAST(len(t.tags) AS BIGINT) AS n_tags
+FROM content c JOIN content_tags t USING (content_id)
+WHERE NOT (c.content_id % 97 = 0 OR c.content_id % 89 = 0)"""
+    q["content_with_tags"] = with_(content_cte(), CONTENT_TAGS) + """
+SELECT content_id, CAST(len(tags) AS INTEGER) AS n_tags, array_to_string(list_sort(tags), ',') AS tag_names FROM content_tags"""
+    q["assignment_get_or_create"] = with_(USERS, assignment_cte("users")) + f"""
+SELECT user_id, experiment_key,
+       CASE WHEN user_id % 3 = 0 THEN -1 ELSE assignment_bucket END AS assignment_bucket,
+       CASE WHEN user_id % 3 = 0 THEN 'trending_boost' ELSE variant_key END AS variant_key,
+       CASE WHEN user_id % 3 = 0 THEN '{C.RULES_V2}' ELSE strategy_name END AS strategy_name,
+       CASE WHEN user_id % 3 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE {AS_OF} END AS assigned_at
+FROM assignments"""
+    q["consumer_lag"] = """
+SELECT 'interactions.events.v1' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       greatest(count(*) - count_if(ts <= TIMESTAMP '2024-01-30 00:00:00'), 0) AS lag
+FROM events GROUP BY ALL"""
+    q["service_availability"] = f"""
+SELECT 'feature-processor' AS service, max(ts) AS last_seen,
+       CAST(epoch_us({AS_OF}) - epoch_us(max(ts)) AS DOUBLE) / {dbl(1_000_000)} <= 300 AS up
+FROM events"""
     page = page_items()
     q["observed_affinity"] = _feed(
         """
@@ -639,6 +689,12 @@ SELECT s.*, l.leading_topic FROM (
         "SELECT user_id, rank, content_id, score, completion_rate * CAST(100.0 AS DOUBLE) AS completion_percent, impressions "
         "FROM ranked WHERE rank <= 6"
     )
+    q["engagement_percent"] = _feed(
+        "SELECT user_id, content_id, " + ", ".join(
+            f"{c} * CAST(100.0 AS DOUBLE) AS {c}_percent" for c in ("ctr", "like_rate", "save_rate", "completion_rate", "skip_rate")
+        ) + " FROM page",
+        [page],
+    )
     comps = " UNION ALL ".join(
         f"SELECT user_id, content_id, '{n}' AS component, c_{c} AS raw, w_{c} AS weighted FROM page"
         for n, c in (("user_topic_affinity", "affinity"), ("recency", "recency"), ("engagement", "engagement"), ("trending", "trending"))

@@ -321,6 +321,114 @@ def q_tag_listing(spark, sf):
     return catalog.list_tags(tags, limit=100, offset=0)
 
 
+def q_user_validation(spark, sf):
+    """V10 on an intake batch built from the raw customer names."""
+    acc = S.user_accounts(spark, sf).select("user_id", F.col("display_name").alias("username"), "email")
+    v = validate.users(acc)
+    return v.select("user_id", "username", "email", F.array_join("errors", ";").alias("errors"))
+
+
+def q_user_listing(spark, sf):
+    """Newest users first with the nested profile (J2: may be missing)."""
+    pm = cand.profile_map(S.profiles(spark, sf))
+    page = catalog.list_users(S.user_accounts(spark, sf), pm, limit=100, offset=0)
+    return finalize(page.select(
+        "user_id", "username", "created_at",
+        F.col("profile").isNotNull().alias("has_profile"),
+        F.when(F.col("profile").isNull(), F.lit(0)).otherwise(F.size(F.col("profile.topic_preferences"))).alias("n_preferences"),
+    ))
+
+
+def q_content_lookup(spark, sf):
+    """C4: catalog rows for the key set of items clicked in the last day."""
+    it = _it(spark, sf)
+    keys = it.filter((F.col("event_type") == "click") & feat.in_window("event_timestamp", AS_OF, 24)).select("content_id")
+    return finalize(catalog.lookup(S.content(spark, sf), keys, ["content_id"]))
+
+
+def _catalog_changes(content: DataFrame) -> DataFrame:
+    pk = F.col("content_id")
+    fields = F.array_compact(F.array(
+        F.when((pk % 16 == 0) | (pk % 10 == 1), F.lit("status")),
+        F.when(pk % 25 == 3, F.lit("title")),
+    ))
+    return content.select(
+        "content_id",
+        fields.alias("fields"),
+        F.when(pk % 16 == 0, F.lit("published")).when(pk % 10 == 1, F.lit("draft")).alias("status"),
+        F.upper("title").alias("title"),
+    ).filter(F.size("fields") > 0)
+
+
+def q_catalog_after_patches(spark, sf):
+    """C6 + C7: partial updates (publish some drafts, unpublish some items,
+    retitle others); publication sets / clears ``published_at``."""
+    c = S.content(spark, sf)
+    out = catalog.apply_patches(c, _catalog_changes(c), "content_id", ["status", "title"], AS_OF)
+    return finalize(out.select("content_id", "title", "status", "published_at"))
+
+
+def q_catalog_after_purge(spark, sf):
+    """C8 + C9: purge a subject set given by key (id % 97 == 0) and by
+    alternative key only (titles of id % 89 == 0), then cascade to the tag
+    bridge."""
+    c = S.content(spark, sf)
+    by_key = c.filter(F.col("content_id") % 97 == 0).select("content_id", F.lit(None).cast("string").alias("title"))
+    by_title = c.filter(F.col("content_id") % 89 == 0).select(F.lit(None).cast("long").alias("content_id"), "title")
+    left = catalog.purge_subjects(c, by_key.unionByName(by_title), {"title": "title"}, "content_id")
+    _, bridge = catalog.derive_tags(c)
+    kept_bridge = bridge.join(left.select("content_id"), "content_id", "left_semi")
+    tags = kept_bridge.groupBy("content_id").agg(F.count("*").alias("n_tags"))
+    return left.join(tags, "content_id", "left").select("content_id", "title", F.coalesce("n_tags", F.lit(0)).alias("n_tags"))
+
+
+def q_content_with_tags(spark, sf):
+    """Every item with its tags nested (sorted by name)."""
+    c = S.content(spark, sf)
+    tags, bridge = catalog.derive_tags(c)
+    nested = catalog.content_with_tags(c.select("content_id"), tags, bridge)
+    return nested.select(
+        "content_id", F.size("tags").alias("n_tags"),
+        F.array_join(F.transform("tags", lambda t: t["name"]), ",").alias("tag_names"),
+    )
+
+
+def q_assignment_get_or_create(spark, sf):
+    """J14 + E3: users with id % 3 == 0 already hold a stored assignment
+    (made under an earlier configuration: trending_boost); the stored row
+    wins, all other users get the hash assignment now."""
+    variants = experiments.variants_table(spark)
+    users = S.users(spark, sf)
+    stored = users.filter(F.col("user_id") % 3 == 0).select(
+        "user_id",
+        F.lit(C.EXPERIMENT_KEY).alias("experiment_key"),
+        F.lit(-1).alias("assignment_bucket"),
+        F.lit("trending_boost").alias("variant_key"),
+        F.lit(C.RULES_V2).alias("strategy_name"),
+        F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("assigned_at"),
+    )
+    everyone, _ = experiments.get_or_create(stored, users, variants, AS_OF)
+    return finalize(everyone)
+
+
+def q_consumer_lag(spark, sf):
+    """Per partition of the interaction topic (key = user id, 4
+    partitions), the lag of a consumer committed up to 2024-01-30 00:00."""
+    ev = S.table(spark, sf, "events", ["user_id", "ts"])
+    offs = ev.groupBy((F.col("user_id") % 4).cast("int").alias("partition")).agg(
+        F.count("*").alias("end_offset"),
+        F.count_if(F.col("ts") <= F.to_timestamp(F.lit("2024-01-30 00:00:00")).cast("timestamp_ntz")).alias("current_offset"),
+    ).select(F.lit("interactions.events.v1").alias("topic"), "partition", "end_offset", "current_offset", F.lit(0).cast("long").alias("low_offset"))
+    return ops.lag(offs)
+
+
+def q_service_availability(spark, sf):
+    """Services whose latest heartbeat (last logged operation) is at
+    most 5 minutes old at ``as_of``."""
+    hb = S.operations_log(spark, sf).select("ts", "service")
+    return finalize(ops.availability(hb, AS_OF, 300))
+
+
 # ------------------------------------------------------------------ insights
 def q_observed_affinity(spark, sf):
     return insights.observed_affinity(_ranked(spark, sf))
@@ -354,6 +462,10 @@ def q_score_bands(spark, sf):
     return insights.score_bands(_ranked(spark, sf))
 
 
+def q_engagement_percent(spark, sf):
+    return insights.engagement_percent(insights.page_items(_ranked(spark, sf)))
+
+
 def q_score_breakdown_long(spark, sf):
     return insights.breakdown_long(_ranked(spark, sf))
 
@@ -426,6 +538,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_listing_by_tag": q_content_listing_by_tag,
     "content_tags": q_content_tags,
     "tag_listing": q_tag_listing,
+    "user_validation": q_user_validation,
+    "user_listing": q_user_listing,
+    "content_lookup": q_content_lookup,
+    "catalog_after_patches": q_catalog_after_patches,
+    "catalog_after_purge": q_catalog_after_purge,
+    "content_with_tags": q_content_with_tags,
+    "assignment_get_or_create": q_assignment_get_or_create,
     "observed_affinity": q_observed_affinity,
     "trending_rows": q_trending_rows,
     "category_distribution": q_category_distribution,
@@ -435,6 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_source_mix": q_page_source_mix,
     "score_bands": q_score_bands,
     "score_breakdown_long": q_score_breakdown_long,
+    "engagement_percent": q_engagement_percent,
     "action_state": q_action_state,
     "page_without_dismissed": q_page_without_dismissed,
     "recent_session_events": q_recent_session_events,
@@ -443,6 +563,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latency_p95": q_latency_p95,
     "latency_histogram_p95": q_latency_histogram_p95,
     "processor_freshness": q_processor_freshness,
+    "consumer_lag": q_consumer_lag,
+    "service_availability": q_service_availability,
 }
 
 

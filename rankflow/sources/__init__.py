@@ -13,5 +13,6 @@ from .tables import (  # noqa: F401
     profile_preferences,
     profiles,
     table,
+    user_accounts,
     users,
 )

@@ -102,6 +102,22 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.join(ev, cust.c_custkey == ev.user_id, "left_semi").select(F.col("c_custkey").alias("user_id"))
 
 
+def user_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User rows for customers with events: username / email from the
+    customer name, ``created_at`` = the user's first event."""
+    cust = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    first = table(spark, sf_dir, "events", ["user_id", "ts"]).groupBy("user_id").agg(F.min("ts").alias("created_at"))
+    j = cust.join(first, cust.c_custkey == first.user_id)
+    uname = F.lower(F.regexp_replace("c_name", "#", "_"))
+    return j.select(
+        F.col("c_custkey").alias("user_id"),
+        uname.alias("username"),
+        F.concat(uname, F.lit("@"), F.lower("c_mktsegment"), F.lit(".example")).alias("email"),
+        F.col("c_name").alias("display_name"),
+        F.col("created_at").cast("timestamp").alias("created_at"),
+    )
+
+
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile table: one per customer (the user table's 1:1 child)."""
     return profile_preferences(table(spark, sf_dir, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id")))
