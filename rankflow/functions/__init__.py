@@ -1,7 +1,7 @@
 """Column expressions shared by the operators.
 
 Everything here returns a ``Column`` built from ``pyspark.sql.functions``,
-so it stays inside whole-stage codegen. Rounding follows the reference's
+so it stays inside whole-stage codegen. Rounding follows the specified
 order of operations: each documented intermediate is rounded to 6 digits
 before it is used further.
 """

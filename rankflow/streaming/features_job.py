@@ -103,7 +103,7 @@ def start(
     checkpoint: str | None = None,
     query_name: str = "interaction_features",
 ) -> StreamingQuery:
-    """Start the job. ``trigger`` defaults to the reference's flush interval
+    """Start the job. ``trigger`` defaults to the snapshot flush interval
     (15 s); pass ``{"availableNow": True}`` to drain and stop. The checkpoint
     goes under the cluster's shared ``spark.checkpoint.dir`` unless given."""
     spark: SparkSession = stream.sparkSession
