@@ -95,13 +95,14 @@ def user_affinity_rows(users: DataFrame, runtime_map: DataFrame, profiles: DataF
 
 
 def effective_affinity(user_rows: DataFrame) -> DataFrame:
-    """Long form of R2/R3: (user_id, topic, affinity, topic_rank or null)."""
+    """Long form of R2/R3: (user_id, topic, affinity, topic_rank), rank 1..3
+    among the user's top topics, 0 when the topic is not one of them."""
     return user_rows.select("user_id", "top_topics", F.explode("affinity").alias("a")).select(
         "user_id",
         F.col("a.topic").alias("topic"),
         F.col("a.affinity").alias("affinity"),
-        (F.array_position("top_topics", F.col("a.topic"))).cast("int").alias("topic_rank"),
-    ).withColumn("topic_rank", F.when(F.col("topic_rank") > 0, F.col("topic_rank")))
+        F.array_position("top_topics", F.col("a.topic")).cast("int").alias("topic_rank"),
+    )
 
 
 # ------------------------------------------------------------------ R4..R6

@@ -55,7 +55,7 @@ def affinity(p: str = "") -> str:
 
 
 def counts_sql() -> str:
-    return ", ".join(f"count_if(event_type = '{et}') AS {m}" for et, m in C.METRIC_FOR_EVENT.items())
+    return ", ".join(f"CAST(count_if(event_type = '{et}') AS BIGINT) AS {m}" for et, m in C.METRIC_FOR_EVENT.items())
 
 
 METRICS = ", ".join(C.METRICS)
@@ -267,7 +267,7 @@ eff_ranked AS (
   SELECT e.*, CASE WHEN affinity > 0 THEN row_number() OVER (PARTITION BY user_id, affinity > 0 ORDER BY affinity DESC, topic DESC) END AS _r
   FROM eff e),
 eff_top AS (
-  SELECT user_id, topic, affinity, CAST(CASE WHEN _r <= {C.MAX_TOPIC_SOURCES} THEN _r END AS INTEGER) AS topic_rank FROM eff_ranked),
+  SELECT user_id, topic, affinity, CAST(CASE WHEN _r <= {C.MAX_TOPIC_SOURCES} THEN _r ELSE 0 END AS INTEGER) AS topic_rank FROM eff_ranked),
 published AS (SELECT * FROM content WHERE status = 'published'),
 seed AS (
   SELECT *, row_number() OVER (ORDER BY {_recency_order()}) AS seq FROM published
@@ -296,11 +296,11 @@ strategies AS (
   SELECT * FROM (VALUES {strat_rows}) s(strategy_name, affinity_weight, recency_weight, engagement_weight,
                                          trending_weight, boost_threshold, boost_multiplier, max_adjustment)),
 cands0 AS (
-  SELECT u.user_id, p.*, coalesce(e.affinity, {dbl(0)}) AS user_topic_affinity, e.topic_rank IS NOT NULL AS is_top,
+  SELECT u.user_id, p.*, coalesce(e.affinity, {dbl(0)}) AS user_topic_affinity, e.topic_rank > 0 AS is_top,
          a.experiment_key, a.variant_key, a.strategy_name,
          list_filter([CASE WHEN p.in_recent = 1 THEN 'recent' END,
                       CASE WHEN p.in_trending = 1 THEN 'trending' END,
-                      CASE WHEN p.in_topic = 1 AND e.topic_rank IS NOT NULL THEN 'topic_affinity' END], lambda x: x IS NOT NULL) AS sources
+                      CASE WHEN p.in_topic = 1 AND e.topic_rank > 0 THEN 'topic_affinity' END], lambda x: x IS NOT NULL) AS sources
   FROM users u CROSS JOIN pool_f p
   LEFT JOIN eff_top e ON e.user_id = u.user_id AND e.topic = p.topic
   LEFT JOIN assignments a ON a.user_id = u.user_id),
@@ -642,7 +642,7 @@ SELECT user_id, experiment_key,
 FROM assignments"""
     q["consumer_lag"] = """
 SELECT 'interactions.events.v1' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
-       greatest(count(*) - count_if(ts <= TIMESTAMP '2024-01-30 00:00:00'), 0) AS lag
+       CAST(greatest(count(*) - count_if(ts <= TIMESTAMP '2024-01-30 00:00:00'), 0) AS BIGINT) AS lag
 FROM events GROUP BY ALL"""
     q["service_availability"] = f"""
 SELECT 'feature-processor' AS service, max(ts) AS last_seen,

@@ -78,6 +78,9 @@ def main() -> None:
         if sorted(s.columns) != sorted(d.columns):
             print(f"COLS       {name}: spark={sorted(s.columns)} sql={sorted(d.columns)}")
             continue
+        tdiff = [(c, str(s[c].dtype), str(d[c].dtype)) for c in sorted(s.columns) if str(s[c].dtype) != str(d[c].dtype)]
+        if tdiff:
+            print(f"TYPES      {name}: {tdiff}")
         rs, rd = rows_of(s), rows_of(d)
         if len(rs) != len(rd):
             print(f"ROWS       {name}: spark={len(rs)} sql={len(rd)}")
