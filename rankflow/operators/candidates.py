@@ -36,17 +36,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def top_k_per_group(
-    df: DataFrame, group_cols: list[str], order: list[Column], k: int, salt_buckets: int = 32, salt_col: str | None = None
+    df: DataFrame, group_cols: list[str], order: list[Column], k: int, salt_buckets: int = 0, salt_col: str | None = None
 ) -> DataFrame:
-    """Top ``k`` rows per group in two stages so a hot group never sorts in
-    one task: first per (group, salt) keep ``k``, then per group over at most
-    ``k * salt_buckets`` survivors. Returns the rows with ``_rank``."""
-    salt = F.abs(F.xxhash64(F.col(salt_col) if salt_col else F.struct(*df.columns))) % F.lit(salt_buckets)
-    staged = df.withColumn("_salt", salt)
-    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
-    pre = staged.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_salt")
+    """Top ``k`` rows per group (``_rank`` 1..k).
+
+    ``row_number() <= k`` is planned with a partial ``WindowGroupLimit``
+    before the exchange, so every map task sends at most ``k`` rows per group:
+    a hot group shuffles ``k x tasks`` rows, not its size. ``salt_buckets``
+    adds an explicit first stage per (group, salt) for engines without that
+    rule."""
+    src = df
+    if salt_buckets:
+        salt = F.abs(F.xxhash64(F.col(salt_col) if salt_col else F.struct(*df.columns))) % F.lit(salt_buckets)
+        w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
+        src = (
+            df.withColumn("_salt", salt)
+            .withColumn("_r1", F.row_number().over(w1))
+            .filter(F.col("_r1") <= k)
+            .drop("_r1", "_salt")
+        )
     w2 = Window.partitionBy(*group_cols).orderBy(*order)
-    return pre.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= k)
+    return src.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= k)
 
 
 # ------------------------------------------------------------------ R1..R3

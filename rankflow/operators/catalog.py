@@ -196,3 +196,37 @@ def append_content(existing: DataFrame, new: DataFrame, now: str) -> tuple[DataF
     )
     cols = [c for c in existing.columns if c in ok.columns]
     return existing.unionByName(ok.select(*cols), allowMissingColumns=True), rejected
+
+
+def append_users(
+    users: DataFrame, profiles: DataFrame, new: DataFrame, now: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C5 for users: V10 validation, V16 uniqueness of username and email
+    (within the batch and against stored users), defaults (created_at, an
+    empty preference map), then append user and profile rows.
+
+    Returns (users, profiles, rejected rows with their errors)."""
+    v = validate.users(new)
+    batch_dup = [
+        v.groupBy(k).agg(F.count("*").alias("_n")).filter("_n > 1").select(k, F.lit(f"{k}_duplicate").alias("_e"))
+        for k in ("username", "email")
+    ]
+    stored_dup = [
+        v.select(k).join(users.select(k), k, "left_semi").select(k, F.lit(f"{k}_exists").alias("_e")) for k in ("username", "email")
+    ]
+    checked = v
+    for k, d in zip(("username", "email", "username", "email"), batch_dup + stored_dup):
+        tag = d.groupBy(k).agg(F.collect_set("_e").alias(f"_e_{len(checked.columns)}"))
+        checked = checked.join(tag, k, "left")
+    extra = [c for c in checked.columns if c.startswith("_e_")]
+    checked = checked.withColumn(
+        "errors", F.array_distinct(F.concat("errors", *[F.coalesce(F.col(c), F.array().cast("array<string>")) for c in extra]))
+    ).drop(*extra)
+    ok = checked.filter(F.size("errors") == 0).drop("errors").withColumn("created_at", ts_lit(now))
+    rejected = checked.filter(F.size("errors") > 0)
+    new_profiles = ok.select("user_id", F.create_map().cast("map<string,double>").alias("topic_preferences"))
+    return (
+        users.unionByName(ok.select(*[c for c in users.columns if c in ok.columns]), allowMissingColumns=True),
+        profiles.unionByName(new_profiles, allowMissingColumns=True),
+        rejected,
+    )

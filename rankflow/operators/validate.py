@@ -53,6 +53,8 @@ def interactions(df: DataFrame, now: str | None = None, raw_json_col: str | None
     out = out.withColumn("watch_duration_seconds", F.coalesce(dur, F.lit(0)).cast("int"))
     if now is not None:
         out = out.withColumn("event_timestamp", F.coalesce("event_timestamp", ts_lit(now)))
+    if "metadata" in cols and isinstance(df.schema["metadata"].dataType, T.MapType):
+        out = out.withColumn("metadata", F.coalesce("metadata", F.create_map().cast(df.schema["metadata"].dataType)))
     raw_topic = F.col("topic")
     out = out.withColumn("_raw_topic_len", F.length(raw_topic)).withColumn("_raw_session_len", F.length("session_id"))
     out = out.withColumn("session_id", blank_to_null("session_id")).withColumn("topic", slug("topic"))

@@ -106,3 +106,23 @@ def test_catalog_listing_tags_patches(spark):
     subjects = spark.createDataFrame([(None, "Intro to LLM agents")], "content_id long, title string")
     left = catalog.purge_subjects(content, subjects, {"title": "title"}, "content_id")
     assert sorted(r.content_id for r in left.collect()) == [2, 3]
+
+
+def test_append_users_uniqueness_and_defaults(spark):
+    users = spark.createDataFrame([("u1", "alice_dev", "alice@example.com")], "user_id string, username string, email string")
+    profiles = spark.createDataFrame([("u1", {"ai": 0.9})], "user_id string, topic_preferences map<string,double>")
+    new = spark.createDataFrame(
+        [("u2", "bob_engineer", "bob@example.com"), ("u3", "alice_dev", "a2@example.com"),
+         ("u4", "dana_ml", "dup@example.com"), ("u5", "emma_dev", "DUP@example.com "), ("u6", "x", "bad")],
+        "user_id string, username string, email string",
+    )
+    u, p, rejected = catalog.append_users(users, profiles, new, "2026-04-08 12:00:00")
+    assert sorted(r.user_id for r in u.collect()) == ["u1", "u2"]
+    assert {r.user_id: r.topic_preferences for r in p.collect()} == {"u1": {"ai": 0.9}, "u2": {}}
+    errs = {r.user_id: sorted(r.errors) for r in rejected.collect()}
+    assert errs == {
+        "u3": ["username_exists"],
+        "u4": ["email_duplicate"],
+        "u5": ["email_duplicate"],
+        "u6": ["email_invalid", "username_invalid"],
+    }
