@@ -49,17 +49,19 @@ def with_ranges(variants: DataFrame) -> DataFrame:
 def resolve_variant(bucketed: DataFrame, variants: DataFrame) -> DataFrame:
     """Bucket -> variant by cumulative allocation.
 
-    Equi-join on ``experiment_key`` plus the range predicate. The variants
-    table is configuration whose size is bounded by the bucket space (each
-    variant owns at least one basis point), so it is broadcast.
+    The range lookup is turned into an equi-join: each variant's ``[lo, hi)``
+    range is expanded into its buckets (a generator), giving one row per
+    bucket of the experiment, at most ``BUCKET_SPACE`` rows (10,000) whatever
+    the number of users, so it is broadcast and joined on
+    ``(experiment_key, assignment_bucket)`` - a hash join, not a range scan.
     """
-    v = variants.select("experiment_key", "variant_key", "strategy_name", "bucket_lo", "bucket_hi")
-    cond = (
-        (bucketed["experiment_key"] == v["experiment_key"])
-        & (bucketed["assignment_bucket"] >= v["bucket_lo"])
-        & (bucketed["assignment_bucket"] < v["bucket_hi"])
+    per_bucket = variants.select(
+        "experiment_key",
+        "variant_key",
+        "strategy_name",
+        F.explode(F.sequence(F.col("bucket_lo"), F.col("bucket_hi") - 1)).alias("assignment_bucket"),
     )
-    return bucketed.join(F.broadcast(v), cond, "left").drop(v["experiment_key"]).drop("bucket_lo", "bucket_hi")
+    return bucketed.join(F.broadcast(per_bucket), ["experiment_key", "assignment_bucket"], "left")
 
 
 def assign(users: DataFrame, variants: DataFrame, experiment_key: str = C.EXPERIMENT_KEY) -> DataFrame:
@@ -93,9 +95,10 @@ def get_or_create(
     return kept.unionByName(fresh), fresh
 
 
-def exposures_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def exposures_from_pages(pages: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """One header per delivered page (empty pages included) and one item
-    row per ranked item; ``generated_at`` comes from the page."""
+    row per ranked item; ``generated_at`` comes from the page. ``carry``
+    copies header columns onto the item rows (one pass, no join back)."""
     header = pages.select(
         "exposure_id",
         "experiment_key",
@@ -107,7 +110,8 @@ def exposures_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "generated_at",
         F.col("generated_at").alias("created_at"),
     )
-    items = pages.select("exposure_id", "user_id", "generated_at", F.explode("items").alias("it")).select(
+    extra = [c for c in carry if c not in ("exposure_id", "generated_at")]
+    items = pages.select("exposure_id", "generated_at", *extra, F.explode("items").alias("it")).select(
         F.concat_ws(":", "exposure_id", F.col("it.content_id").cast("string")).alias("item_id"),
         "exposure_id",
         F.col("it.content_id").alias("content_id"),
@@ -116,6 +120,7 @@ def exposures_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("it.rank").alias("rank"),
         F.col("it.score").alias("score"),
         F.col("generated_at").alias("created_at"),
+        *extra,
     )
     return header, items
 
@@ -155,3 +160,30 @@ def validate_exposures(header: DataFrame, items: DataFrame, assignments: DataFra
         (F.col("_a_strategy").isNotNull() & (F.col("_a_strategy") != F.col("strategy_name")), "strategy_mismatch"),
     )
     return h.select(*header.columns, errors.alias("errors"))
+
+
+def validate_pages(pages: DataFrame, assignments: DataFrame) -> DataFrame:
+    """V15 + J13 on pages with nested ``items``: item checks are
+    higher-order functions over the page's own (bounded) item array, so the
+    only wide step is the equi-join to the stored assignment."""
+    a = assignments.select(
+        "experiment_key",
+        "user_id",
+        F.col("variant_key").alias("_a_variant"),
+        F.col("strategy_name").alias("_a_strategy"),
+    )
+    h = pages.join(a, ["experiment_key", "user_id"], "left")
+    ids = F.transform("items", lambda x: x["content_id"])
+    errors = _errors(
+        (F.coalesce(F.trim("experiment_key"), F.lit("")) == "", "experiment_key_empty"),
+        (F.coalesce(F.trim("variant_key"), F.lit("")) == "", "variant_key_empty"),
+        ((F.col("feed_limit") < 1) | (F.col("feed_limit") > C.PAGE_MAX_LIMIT), "feed_limit_out_of_range"),
+        (F.col("feed_offset") < 0, "feed_offset_negative"),
+        (F.exists("items", lambda x: x["rank"] < 1), "item_rank_below_1"),
+        (F.exists("items", lambda x: ~x["category"].isin(*C.CATEGORIES)), "item_category_unknown"),
+        (F.size(ids) != F.size(F.array_distinct(ids)), "duplicate_item"),
+        (F.col("_a_variant").isNull(), "assignment_missing"),
+        (F.col("_a_variant").isNotNull() & (F.col("_a_variant") != F.col("variant_key")), "variant_mismatch"),
+        (F.col("_a_strategy").isNotNull() & (F.col("_a_strategy") != F.col("strategy_name")), "strategy_mismatch"),
+    )
+    return h.withColumn("errors", errors).drop("_a_variant", "_a_strategy")

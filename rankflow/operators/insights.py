@@ -17,22 +17,19 @@ def page_items(ranked: DataFrame, limit: int = C.PAGE_DEFAULT_LIMIT) -> DataFram
     return ranked.filter(F.col("rank") <= limit)
 
 
-def _topic_rows(df: DataFrame) -> DataFrame:
-    """(user_id, topic, topic_order) for the five topics: a generator, not a join."""
-    topics = F.array(*[F.struct(F.lit(i).alias("topic_order"), F.lit(t).alias("topic")) for i, t in enumerate(C.TOPICS)])
-    return df.select("user_id").distinct().select("user_id", F.explode(topics).alias("t")).select(
-        "user_id", "t.topic", "t.topic_order"
-    )
-
-
 def observed_affinity(ranked: DataFrame, limit: int = C.PAGE_DEFAULT_LIMIT) -> DataFrame:
-    """Mean candidate affinity per topic on the page; 0 for absent topics."""
+    """Mean candidate affinity per topic on the page; 0 for absent topics.
+    One pass: per (user, topic) means, folded into one bounded map per user,
+    then read back for the fixed topic list."""
     p = page_items(ranked, limit)
-    avg = p.groupBy("user_id", "topic").agg(F.avg("user_topic_affinity").alias("observed_affinity"))
-    return (
-        _topic_rows(p)
-        .join(avg, ["user_id", "topic"], "left")
-        .select("user_id", "topic", "topic_order", F.coalesce("observed_affinity", F.lit(0.0)).alias("observed_affinity"))
+    avg = p.groupBy("user_id", "topic").agg(F.avg("user_topic_affinity").alias("v"))
+    per_user = avg.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("topic", "v"))).alias("m"))
+    topics = F.array(*[F.struct(F.lit(i).alias("topic_order"), F.lit(t).alias("topic")) for i, t in enumerate(C.TOPICS)])
+    return per_user.select("user_id", "m", F.explode(topics).alias("t")).select(
+        "user_id",
+        F.col("t.topic").alias("topic"),
+        F.col("t.topic_order").alias("topic_order"),
+        F.coalesce(F.try_element_at("m", F.col("t.topic")), F.lit(0.0)).alias("observed_affinity"),
     )
 
 
@@ -54,20 +51,21 @@ def category_distribution(content: DataFrame) -> DataFrame:
 
 def feed_summary(ranked: DataFrame, limit: int = C.PAGE_DEFAULT_LIMIT) -> DataFrame:
     """Per page: item count, mean score / trending / completion, leading
-    topic (most items; ties go to the earlier topic in display order)."""
+    topic (most items; ties go to the earlier topic in display order, null
+    when no known topic). One aggregate per user: the leading topic is the
+    deterministic mode of the topic's display index (lowest index on ties;
+    its counter holds at most one entry per topic)."""
     p = page_items(ranked, limit)
-    order = F.array_position(F.array(*[F.lit(t) for t in C.TOPICS]), F.col("topic"))
-    per_topic = p.groupBy("user_id", "topic").agg(F.count("*").alias("n")).withColumn("_ord", order)
-    lead = per_topic.filter(F.col("_ord") > 0).groupBy("user_id").agg(
-        F.max_by("topic", F.struct(F.col("n"), -F.col("_ord"))).alias("leading_topic")
-    )
-    stats = p.groupBy("user_id").agg(
+    topics = F.array(*[F.lit(t) for t in C.TOPICS])
+    idx = F.when(F.col("topic").isin(*C.TOPICS), F.array_position(topics, F.col("topic")))
+    agg = p.groupBy("user_id").agg(
         F.count("*").alias("total_items"),
         F.avg("score").alias("average_score"),
         F.avg("trending_score").alias("average_trending"),
         F.avg("completion_rate").alias("average_completion"),
+        F.mode(idx, deterministic=True).alias("_lead"),
     )
-    return stats.join(lead, "user_id", "left")
+    return agg.withColumn("leading_topic", F.try_element_at(topics, F.col("_lead").cast("int"))).drop("_lead")
 
 
 def event_type_distribution(interactions: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from ..operators import candidates as cand
 from ..operators import catalog, experiments, feed, ingest, insights, ops, validate
 from ..operators import features as feat
 from ..operators import rerank, scoring
-from ..session import configure
+from ..session import configure, materialize
 
 AS_OF = S.AS_OF
 FULL_SPAN_HOURS = C.FEATURE_WINDOW_MAX_HOURS  # 720 h covers the whole event table
@@ -82,11 +82,14 @@ def _exposures(spark, sf):
     """Header and items of the hour pages (F5) with the user's variant."""
     it = _it(spark, sf)
     items = S.exposure_items(it)
+    # exposures are stored tables in production; the projection from events
+    # is cut here (reliable checkpoint) so the as-of join and the
+    # comparison's branches read it instead of re-deriving it
+    items = materialize(items.withColumn("created_at", F.col("generated_at")))
     pages = items.groupBy("exposure_id", "user_id").agg(F.min("generated_at").alias("generated_at"))
     # assignment is row-local on the page header (hash of the user id)
     header = experiments.assign(pages, experiments.variants_table(spark)).withColumn("created_at", F.col("generated_at"))
-    items = items.withColumn("created_at", F.col("generated_at"))
-    return header, items, it
+    return materialize(header), items, it
 
 
 def q_exposure_items(spark, sf):
@@ -223,24 +226,25 @@ def q_ranking_decisions(spark, sf):
     ))
 
 
-def _feed_exposures(spark, sf):
+def _feed_pages_recorded(spark, sf):
     _, users, _, _ = _feed_inputs(spark, sf)
-    pages = feed.pages_for_exposure(feed.page(_ranked(spark, sf), users, C.PAGE_DEFAULT_LIMIT, 0), AS_OF)
-    return experiments.exposures_from_pages(pages)
+    return feed.pages_for_exposure(feed.page(_ranked(spark, sf), users, C.PAGE_DEFAULT_LIMIT, 0), AS_OF)
 
 
 def q_feed_exposure_items(spark, sf):
-    """Exposure header + items recorded for every delivered first page."""
-    header, items = _feed_exposures(spark, sf)
-    h = header.select("exposure_id", "user_id", "variant_key", "strategy_name")
-    return finalize(items.join(h, "exposure_id"))
+    """Exposure item rows recorded for every delivered first page (one
+    pass over the pages: the header fields travel with the exploded items)."""
+    _, items = experiments.exposures_from_pages(
+        _feed_pages_recorded(spark, sf), carry=("user_id", "variant_key", "strategy_name")
+    )
+    return finalize(items)
 
 
 def q_exposure_validation(spark, sf):
     """J13 + V15: recorded exposures checked against a stored assignment
     table in which users with id % 7 == 0 were moved to the other variant
     and users with id % 11 == 0 have no stored row."""
-    header, items = _feed_exposures(spark, sf)
+    pages = _feed_pages_recorded(spark, sf)
     stored = experiments.assign(S.users(spark, sf), experiments.variants_table(spark))
     flip = F.col("user_id") % 7 == 0
     stored = stored.filter(F.col("user_id") % 11 != 0).select(
@@ -255,7 +259,7 @@ def q_exposure_validation(spark, sf):
         .otherwise(F.col("strategy_name"))
         .alias("strategy_name"),
     )
-    v = experiments.validate_exposures(header, items, stored)
+    v = experiments.validate_pages(pages, stored)
     return finalize(v.select(
         "exposure_id", "user_id", "variant_key", "strategy_name", "feed_limit", "feed_offset", "generated_at",
         F.array_join("errors", ";").alias("errors"),

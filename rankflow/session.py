@@ -69,3 +69,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def materialize(df, eager: bool = True):
+    """Cut the lineage of a shared intermediate with a reliable checkpoint in
+    the cluster's checkpoint folder (never a local checkpoint): later
+    branches read the written data instead of recomputing its plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)

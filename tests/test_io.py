@@ -111,6 +111,8 @@ def test_assignment_get_or_create_and_exposures(spark):
     want_u2 = [] if got["u2"].variant_key == "control" else ["variant_mismatch", "strategy_mismatch"]
     assert errs["x1"] == ["item_category_unknown", "duplicate_item"] + want_u2
     assert errs["x2"] == ["assignment_missing"]
+    nested = {r.exposure_id: r.errors for r in experiments.validate_pages(pages, allr).collect()}
+    assert nested == errs
 
 
 def test_direct_attribution(spark):
