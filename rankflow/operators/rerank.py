@@ -114,14 +114,25 @@ def _greedy_order(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(diversity_penalty=penalty, score=final, rank=rank)
 
 
+GREEDY_INPUT = ("content_id", "topic", "category", "base_score", "published_at")
+
+
 def rank_greedy(scored: DataFrame, key: str = "user_id") -> DataFrame:
-    """K9 general form: grouped pandas per user (bounded group)."""
+    """K9 general form: grouped pandas per user (bounded group).
+
+    Only the columns the greedy loop reads cross into Python; the result
+    (penalty, score, rank per item) is joined back on (user, item). Both
+    sides keep the user partitioning, so the join needs no shuffle."""
+    narrow = scored.select(key, *GREEDY_INPUT)
     schema = T.StructType(
-        list(scored.schema.fields)
+        list(narrow.schema.fields)
         + [
             T.StructField("diversity_penalty", T.DoubleType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("rank", T.IntegerType()),
         ]
     )
-    return scored.groupBy(key).applyInPandas(_greedy_order, schema)
+    ranks = narrow.groupBy(key).applyInPandas(_greedy_order, schema).select(
+        key, "content_id", "diversity_penalty", "score", "rank"
+    )
+    return scored.join(ranks, [key, "content_id"])
