@@ -51,6 +51,9 @@ def test_stream_matches_batch_and_routes_poison(spark):
                            checkpoint=os.path.join(root, "ckpt"))
     q.awaitTermination(180)
     assert q.exception() is None
+    metrics = [p["observedMetrics"]["interaction_stream"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["records"] for m in metrics) == len(first) + len(second)
+    assert sum(m["unparsed"] for m in metrics) == 1
 
     dead = spark.read.parquet(os.path.join(out, "dead_letters")).collect()
     assert sorted(r.error_message for r in dead) == ["malformed_record", "watch_complete_without_duration"]
