@@ -72,7 +72,8 @@ def user_affinity_rows(users: DataFrame, runtime_map: DataFrame, profiles: DataF
     five topics, R2) and ``top_topics`` (R3). J2: users without a profile get
     empty preferences; users without runtime vectors use the profile only."""
     rt = runtime_map.select("user_id", "topic_affinity")
-    u = users.select("user_id").join(rt, "user_id", "left").join(profile_map(profiles), "user_id", "left")
+    pm = profiles.select("user_id", "topic_preferences") if "topic_preferences" in profiles.columns else profile_map(profiles)
+    u = users.select("user_id").join(rt, "user_id", "left").join(pm, "user_id", "left")
     rmap = F.coalesce(F.col("topic_affinity"), F.create_map().cast("map<string,double>"))
     pmap = F.coalesce(F.col("topic_preferences"), F.create_map().cast("map<string,double>"))
     # Scale by the max clipped score over *all* stored topics; keep the five

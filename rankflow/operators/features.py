@@ -141,6 +141,40 @@ def affinity_map(user_topic: DataFrame, topics: tuple = C.TOPICS) -> DataFrame:
     )
 
 
+def affinity_map_pivot(
+    interactions: DataFrame, as_of: str, window_hours: int = C.FEATURE_WINDOW_HOURS, topics: tuple = C.TOPICS
+) -> DataFrame:
+    """A2 + A10 + A12 in one aggregate per user: a static pivot of
+    (topic, event type) counts (topics are the fixed supported list), then
+    the map of affinity scores of the topics the user touched. Same result
+    as ``affinity_map(user_topic_affinity(...))`` with a single shuffle,
+    partial-aggregated map-side (a hot user is reduced before the shuffle)."""
+    _check_window(window_hours)
+    ev = interactions.filter(in_window("event_timestamp", as_of, window_hours) & F.col("topic").isin(*topics))
+    aggs = [
+        F.count_if((F.col("topic") == t) & (F.col("event_type") == et)).alias(f"t{i}_{m}")
+        for i, t in enumerate(topics)
+        for et, m in C.METRIC_FOR_EVENT.items()
+    ]
+    agg = ev.groupBy("user_id").agg(*aggs, F.max("event_timestamp").alias("last_event_at"))
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(t).alias("topic"),
+                affinity_score(prefix=f"t{i}_").alias("affinity_score"),
+                sum((F.col(f"t{i}_{m}") for m in C.METRICS), F.lit(0)).alias("n"),
+            )
+            for i, t in enumerate(topics)
+        ]
+    )
+    touched = F.filter(entries, lambda e: e["n"] > 0)
+    return agg.select(
+        "user_id",
+        F.map_from_entries(F.transform(touched, lambda e: F.struct(e["topic"], e["affinity_score"]))).alias("topic_affinity"),
+        "last_event_at",
+    )
+
+
 # ----------------------------------------------------------- point in time
 def point_in_time_counts(
     interactions: DataFrame,

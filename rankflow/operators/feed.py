@@ -48,7 +48,7 @@ def build(
     ``mode``: ``window`` (topic and category one to one), ``greedy``
     (general, grouped pandas) or ``auto`` (checks the bounded pool).
     """
-    runtime = feat.affinity_map(feat.user_topic_affinity(interactions, now, window_hours))
+    runtime = feat.affinity_map_pivot(interactions, now, window_hours)
     # assignment is a pure function of the user id: computed on the user rows
     # themselves (E1) plus a broadcast lookup of the variant ranges
     rows = exp.assign(cand.user_affinity_rows(users, runtime, profiles), exp.variants_table(spark, experiment_key), experiment_key)

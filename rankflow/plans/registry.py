@@ -20,7 +20,6 @@ from ..operators import attribution as attr
 from ..operators import candidates as cand
 from ..operators import catalog, experiments, feed, ingest, insights, ops, validate
 from ..operators import features as feat
-from ..operators import rerank, scoring
 from ..session import configure, materialize
 
 AS_OF = S.AS_OF
@@ -124,12 +123,12 @@ def q_best_strategy(spark, sf):
 def _feed_inputs(spark, sf, general_category=False):
     it = _it(spark, sf)
     users = S.users(spark, sf)
-    return it, users, S.content(spark, sf, general_category), S.profiles(spark, sf)
+    return it, users, S.content(spark, sf, general_category), S.profile_maps(spark, sf)
 
 
 def _user_rows(spark, sf):
     it, users, _, profiles = _feed_inputs(spark, sf)
-    runtime = feat.affinity_map(feat.user_topic_affinity(it, AS_OF, C.FEATURE_WINDOW_HOURS))
+    runtime = feat.affinity_map_pivot(it, AS_OF, C.FEATURE_WINDOW_HOURS)
     return cand.user_affinity_rows(users, runtime, profiles)
 
 
@@ -334,7 +333,7 @@ def q_user_validation(spark, sf):
 
 def q_user_listing(spark, sf):
     """Newest users first with the nested profile (J2: may be missing)."""
-    pm = cand.profile_map(S.profiles(spark, sf))
+    pm = S.profile_maps(spark, sf)
     page = catalog.list_users(S.user_accounts(spark, sf), pm, limit=100, offset=0)
     return finalize(page.select(
         "user_id", "username", "created_at",

@@ -10,6 +10,7 @@ from .tables import (  # noqa: F401
     interactions_from_events,
     operations_log,
     outcome_events,
+    profile_maps,
     profile_preferences,
     profiles,
     table,

@@ -123,6 +123,21 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_preferences(table(spark, sf_dir, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id")))
 
 
+def profile_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile rows as stored upstream: one ``topic_preferences`` map per
+    profile, built row-locally (no aggregation)."""
+    u = F.col("c_custkey")
+    prefs = [((u * 7 + F.lit(i + 1) * 13) % 101) / F.lit(100.0) for i in range(len(C.TOPICS))]
+    return (
+        table(spark, sf_dir, "customer", ["c_custkey"])
+        .filter(u % 10 != 9)
+        .select(
+            u.alias("user_id"),
+            F.map_from_arrays(F.array(*[F.lit(t) for t in C.TOPICS]), F.array(*prefs)).alias("topic_preferences"),
+        )
+    )
+
+
 def profile_preferences(users_df: DataFrame) -> DataFrame:
     """Long-form profile preferences (user_id, topic, preference); users with
     id % 10 == 9 have no profile. Topics come from a generator, not a join."""

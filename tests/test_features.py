@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from rankflow import constants as C
 from rankflow.operators import features as feat
@@ -127,3 +126,19 @@ def test_affinity_map_and_snapshot_as_of(spark):
     )
     got = feat.snapshot_as_of(snaps, ["content_id"], "2026-04-02 12:00:00").first()
     assert got.clicks == 2
+
+
+def test_pivoted_affinity_map_equals_two_step(spark):
+    import random
+
+    rnd = random.Random(5)
+    now = dt.datetime(2026, 4, 8, 14)
+    rows = []
+    for i in range(600):
+        ts = now - dt.timedelta(minutes=rnd.randrange(0, 60 * 30))
+        topic = rnd.choice(list(C.TOPICS) + [None, "cooking"])
+        rows.append((i, rnd.choice(C.EVENT_TYPES), f"u{rnd.randrange(20)}", "c", topic, ts))
+    ev = _events(spark, rows)
+    two_step = {r.user_id: r.topic_affinity for r in feat.affinity_map(feat.user_topic_affinity(ev, NOW, 24)).collect()}
+    pivot = {r.user_id: r.topic_affinity for r in feat.affinity_map_pivot(ev, NOW, 24).collect()}
+    assert pivot == two_step

@@ -2,10 +2,8 @@
 
 import datetime as dt
 import json
-import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from rankflow import constants as C
 from rankflow import sinks
