@@ -44,10 +44,52 @@ def minus_hours(ts: ColumnOrName, hours: ColumnOrName) -> Column:
     return F.timestamp_micros(micros(ts) - col(hours).cast("long") * F.lit(3_600_000_000))
 
 
+_SPLIT = 134217729.0  # 2**27 + 1: Dekker's splitting constant for doubles
+
+
+def round6(x: ColumnOrName, digits: int = 6) -> Column:
+    """Round a double to ``digits`` decimals exactly like Python's ``round``:
+    the exact binary value, ties to even. (Spark's ``round`` rounds the
+    shortest decimal form half up, which differs on values that print with
+    a trailing 5.)
+
+    ``p = fl(x * 10**digits)`` is within half an ulp of the exact product, so
+    ``rint(p)`` is right unless ``p`` is exactly a half-integer; then the sign
+    of the exact error (Dekker's two-product; the scale splits exactly)
+    decides between floor and ceiling, and a zero error is a true tie that
+    ``rint`` already breaks to even.
+
+    ``x`` occurs ~20 times in the formula: pass a column reference or a small
+    expression of column references (stage larger ones in a prior select)."""
+    v = col(x)
+    scale = F.lit(float(10**digits))
+    p = v * scale
+    c = v * F.lit(_SPLIT)
+    hi = c - (c - v)
+    err = (hi * scale - p) + (v - hi) * scale
+    tie = (p - F.floor(p)) == F.lit(0.5)
+    m = F.when(tie & (err != 0), F.floor(p) + (F.signum(err) + F.lit(1.0)) / F.lit(2.0)).otherwise(F.rint(p))
+    return m / scale
+
+
+def ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
+    """Unrounded safe ratio (null when the denominator is not positive); stage
+    it in a select and finish with ``rate_of``."""
+    n, d = col(numerator), col(denominator)
+    return F.when(d > 0, n / d)
+
+
+def rate_of(ratio_col: str) -> Column:
+    """The staged ratio rounded to 6 digits, 0 when undefined."""
+    return F.coalesce(round6(ratio_col), F.lit(0.0))
+
+
 def rate(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
-    """Safe ratio: 0 when the denominator is not positive, else rounded to 6 digits."""
+    """Safe ratio rounded to 6 digits in one expression. Only for final
+    projections over few rows (the ratio is repeated inside the rounding);
+    hot paths stage ``ratio`` and use ``rate_of``."""
     n, d = col(numerator), col(denominator)
-    return F.when(d > 0, F.round(n / d, 6)).otherwise(F.lit(0.0))
+    return F.when(d > 0, round6(n / d)).otherwise(F.lit(0.0))
 
 
 def clamp(x: ColumnOrName, lo: float = 0.0, hi: float = 1.0) -> Column:
@@ -73,67 +115,91 @@ def weighted_sum(weights: Mapping[str, float], prefix: str = "") -> Column:
     return total
 
 
-def trending_score(
-    now: Column,
-    window_hours: int,
-    last_event_col: str = "last_event_at",
-    prefix: str = "",
-) -> Column:
-    """Decayed trending score of a content vector."""
-    p = prefix
+BONUS_RATIOS = {
+    "_q_ctr": ("clicks", "impressions"),
+    "_q_blike": ("likes", "clicks_1"),
+    "_q_bsave": ("saves", "clicks_1"),
+    "_q_bcomp": ("watch_completes", "watch_starts_1"),
+}
+
+
+def _den(name: str, p: str) -> Column:
+    return F.greatest(F.col(p + name[:-2]), F.lit(1)) if name.endswith("_1") else F.col(p + name)
+
+
+def trending_ratios(p: str = "") -> list[Column]:
+    """A9 stage 1: the four quality-bonus ratios (unrounded)."""
+    return [ratio(F.col(p + n), _den(d, p)).alias(p + k) for k, (n, d) in BONUS_RATIOS.items()]
+
+
+def trending_raw(p: str = "") -> Column:
+    """A9 stage 2 (reads stage-1 ratio columns): the undecayed score."""
+    b = C.TRENDING_BONUS
     bonus = (
-        rate(F.col(p + "clicks"), F.col(p + "impressions")) * F.lit(C.TRENDING_BONUS["ctr"])
-        + rate(F.col(p + "likes"), F.greatest(F.col(p + "clicks"), F.lit(1))) * F.lit(C.TRENDING_BONUS["like"])
-        + rate(F.col(p + "saves"), F.greatest(F.col(p + "clicks"), F.lit(1))) * F.lit(C.TRENDING_BONUS["save"])
-        + rate(F.col(p + "watch_completes"), F.greatest(F.col(p + "watch_starts"), F.lit(1)))
-        * F.lit(C.TRENDING_BONUS["completion"])
+        rate_of(p + "_q_ctr") * F.lit(b["ctr"])
+        + rate_of(p + "_q_blike") * F.lit(b["like"])
+        + rate_of(p + "_q_bsave") * F.lit(b["save"])
+        + rate_of(p + "_q_bcomp") * F.lit(b["completion"])
     )
-    raw = F.greatest(weighted_sum(C.TRENDING_WEIGHTS, p) + bonus, F.lit(0.0))
+    return F.greatest(weighted_sum(C.TRENDING_WEIGHTS, p) + bonus, F.lit(0.0))
+
+
+def trending_decay(now: Column, window_hours: int, last_event_col: str = "last_event_at") -> Column:
     age = F.greatest(seconds_between(now, F.col(last_event_col)), F.lit(0.0))
-    decay = F.exp(-age / F.lit(float(max(window_hours * 3600, 1))))
-    return F.when(F.col(last_event_col).isNull(), F.round(raw, 6)).otherwise(F.round(raw * decay, 6))
+    return F.exp(-age / F.lit(float(max(window_hours * 3600, 1))))
 
 
-def affinity_score(prefix: str = "") -> Column:
-    """Topic affinity of a user-topic vector (A10); may be negative."""
-    p = prefix
-    bonus = rate(F.col(p + "watch_completes"), F.greatest(F.col(p + "watch_starts"), F.lit(1))) * F.lit(
-        C.AFFINITY_COMPLETION_BONUS
-    )
-    return F.round(weighted_sum(C.AFFINITY_WEIGHTS, p) + bonus, 6)
+def trending_from(raw_col: str, decay_col: str, last_event_col: str = "last_event_at") -> Column:
+    """A9 stage 3: decayed trending score from staged parts; no decay when
+    there is no last event."""
+    return F.when(F.col(last_event_col).isNull(), round6(raw_col)).otherwise(round6(F.col(raw_col) * F.col(decay_col)))
+
 
+def affinity_ratio(p: str = "") -> Column:
+    """A10 stage 1: completion ratio for the bonus (unrounded)."""
+    return ratio(F.col(p + "watch_completes"), F.greatest(F.col(p + "watch_starts"), F.lit(1)))
 
-def recency_score(published_at: ColumnOrName, now: Column, half_life_hours: float = C.RECENCY_HALF_LIFE_HOURS) -> Column:
-    """``1/(1+age_h/half_life)``, clamped, rounded; null publication -> 0 (K2)."""
+
+def affinity_raw(ratio_col: str, p: str = "") -> Column:
+    """A10 stage 2: weighted sum + completion bonus (round it in stage 3)."""
+    return weighted_sum(C.AFFINITY_WEIGHTS, p) + rate_of(ratio_col) * F.lit(C.AFFINITY_COMPLETION_BONUS)
+
+
+def recency_raw(published_at: ColumnOrName, now: Column, half_life_hours: float = C.RECENCY_HALF_LIFE_HOURS) -> Column:
+    """K2 before rounding: ``clamp(1/(1+age_h/half_life))``; stage, then
+    ``recency_from``."""
     age_h = F.greatest(seconds_between(now, published_at) / F.lit(3600.0), F.lit(0.0))
-    score = F.round(clamp(F.lit(1.0) / (F.lit(1.0) + age_h / F.lit(max(half_life_hours, 1.0)))), 6)
-    return F.when(col(published_at).isNull(), F.lit(0.0)).otherwise(score)
+    return clamp(F.lit(1.0) / (F.lit(1.0) + age_h / F.lit(max(half_life_hours, 1.0))))
+
+
+def recency_from(raw_col: str, published_at: ColumnOrName) -> Column:
+    """K2: rounded recency; null publication -> 0."""
+    return F.when(col(published_at).isNull(), F.lit(0.0)).otherwise(round6(raw_col))
 
 
-def engagement_score(prefix: str = "") -> Column:
-    """Weighted rate blend, clamped, rounded (K3)."""
+def engagement_raw(prefix: str = "") -> Column:
+    """K3 before rounding: clamped weighted rate blend."""
     p = prefix
     w = C.ENGAGEMENT_WEIGHTS
-    raw = (
+    return clamp(
         F.lit(w["ctr"]) * F.col(p + "ctr")
         + F.lit(w["like_rate"]) * F.col(p + "like_rate")
         + F.lit(w["save_rate"]) * F.col(p + "save_rate")
         + F.lit(w["completion_rate"]) * F.col(p + "completion_rate")
         - F.lit(-w["skip_rate"]) * F.col(p + "skip_rate")
     )
-    return F.round(clamp(raw), 6)
 
 
 def trending_norm(raw: ColumnOrName, saturation: float = C.TRENDING_SATURATION) -> Column:
-    """``x/(x+saturation)``; non-positive -> 0 (K4)."""
+    """K4: ``x/(x+saturation)``, clamped, rounded; non-positive -> 0."""
     x = col(raw)
-    return F.when(x <= 0, F.lit(0.0)).otherwise(F.round(clamp(x / (x + F.lit(max(saturation, 1.0)))), 6))
+    return F.when(x <= 0, F.lit(0.0)).otherwise(round6(clamp(x / (x + F.lit(max(saturation, 1.0))))))
 
 
 def strategy_adjustment(trending: ColumnOrName, threshold: Column, multiplier: Column, cap: Column) -> Column:
     """Trending boost of a strategy (K5)."""
     t = col(trending)
-    return F.when(t <= threshold, F.lit(0.0)).otherwise(F.round(F.least((t - threshold) * multiplier, cap), 6))
+    return F.when(t <= threshold, F.lit(0.0)).otherwise(round6(F.least((t - threshold) * multiplier, cap)))
 
 
 def assignment_bucket(experiment_key: ColumnOrName, user_id: ColumnOrName, space: int = C.BUCKET_SPACE) -> Column:

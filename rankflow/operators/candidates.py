@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import id_text
+from ..functions import id_text, round6
 from .features import attach_features
 
 # rows of the global pool, a structural bound independent of the data
@@ -82,17 +82,27 @@ def user_affinity_rows(users: DataFrame, runtime_map: DataFrame, profiles: DataF
     has_runtime = (scale > 0) & (F.size(in_topics) > 0)
     scale = F.nullif(scale, F.lit(0.0))
 
-    def eff(t: str) -> Column:
-        runtime = F.coalesce(
-            F.round(F.greatest(F.try_element_at(rmap, F.lit(t)), F.lit(0.0)) / scale, 6), F.lit(0.0)
-        )
-        profile = F.coalesce(F.try_element_at(pmap, F.lit(t)), F.lit(0.0))
-        blended = F.round(
-            F.lit(C.RUNTIME_AFFINITY_WEIGHT) * runtime + F.lit(C.PROFILE_AFFINITY_WEIGHT) * profile, 6
+    # staged so that each rounding applies to a column reference
+    idx = range(len(C.TOPICS))
+    s1 = u.select(
+        "user_id",
+        has_runtime.alias("_has"),
+        *[(F.greatest(F.try_element_at(rmap, F.lit(t)), F.lit(0.0)) / scale).alias(f"_rt{i}") for i, t in enumerate(C.TOPICS)],
+        *[F.coalesce(F.try_element_at(pmap, F.lit(t)), F.lit(0.0)).alias(f"_pf{i}") for i, t in enumerate(C.TOPICS)],
+    )
+    s2 = s1.select("user_id", "_has", *[F.coalesce(round6(f"_rt{i}"), F.lit(0.0)).alias(f"_rn{i}") for i in idx],
+                   *[f"_pf{i}" for i in idx])
+
+    def eff(i: int) -> Column:
+        blended = round6(
+            F.lit(C.RUNTIME_AFFINITY_WEIGHT) * F.col(f"_rn{i}") + F.lit(C.PROFILE_AFFINITY_WEIGHT) * F.col(f"_pf{i}")
         )
-        return F.when(has_runtime, blended).otherwise(F.round(profile, 6))
+        return F.when(F.col("_has"), blended).otherwise(round6(f"_pf{i}"))
 
-    affinity = F.array(*[F.struct(F.lit(t).alias("topic"), eff(t).alias("affinity")) for t in C.TOPICS])
+    s3 = s2.select(
+        "user_id", F.array(*[F.struct(F.lit(t).alias("topic"), eff(i).alias("affinity")) for i, t in enumerate(C.TOPICS)]).alias("affinity")
+    )
+    affinity = F.col("affinity")
     # (affinity desc, topic desc) is the descending order of (affinity, topic) structs
     ranked = F.sort_array(
         F.transform(
@@ -102,7 +112,7 @@ def user_affinity_rows(users: DataFrame, runtime_map: DataFrame, profiles: DataF
         asc=False,
     )
     top = F.transform(F.slice(ranked, 1, C.MAX_TOPIC_SOURCES), lambda x: x["topic"])
-    return u.select("user_id", affinity.alias("affinity"), top.alias("top_topics"))
+    return s3.select("user_id", "affinity", top.alias("top_topics"))
 
 
 def effective_affinity(user_rows: DataFrame) -> DataFrame:

@@ -14,7 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import affinity_score, micros, rate, trending_score, ts_lit
+from ..functions import (
+    affinity_raw,
+    affinity_ratio,
+    micros,
+    ratio,
+    rate_of,
+    round6,
+    trending_decay,
+    trending_from,
+    trending_ratios,
+    trending_raw,
+    ts_lit,
+)
 
 
 def _check_window(window_hours: int) -> int:
@@ -60,24 +72,44 @@ def content_counts(interactions: DataFrame, as_of: str, window_hours: int = C.FE
     )
 
 
-def with_content_rates(counts: DataFrame, as_of: str, window_hours: int) -> DataFrame:
-    """A7 + A8 + A9 + V13 on a counts frame."""
-    return counts.select(
-        "content_id",
-        "topic",
-        F.lit(int(window_hours)).alias("window_hours"),
-        *C.METRICS,
-        rate("clicks", "impressions").alias("ctr"),
-        rate("likes", "clicks").alias("like_rate"),
-        rate("saves", "clicks").alias("save_rate"),
-        rate("skip_count", "impressions").alias("skip_rate"),
-        rate("watch_completes", "watch_starts").alias("completion_rate"),
-        trending_score(ts_lit(as_of), window_hours).alias("trending_score"),
+def with_content_rates(counts: DataFrame, as_of: str, window_hours: int, now_col: str | None = None) -> DataFrame:
+    """A7 + A8 + A9 + V13 on a counts frame (``now_col``: per-row time of
+    the vector, e.g. a snapshot time; default ``as_of``).
+
+    Staged selects: ratios, then 6-digit rates (``round6`` always reads a
+    column), then the raw trending score, then its decayed rounding."""
+    now = F.col(now_col) if now_col else ts_lit(as_of)
+    keys = ["content_id"] + ([now_col] if now_col else [])
+    base = [*keys, "topic", F.lit(int(window_hours)).alias("window_hours"), *C.METRICS]
+    s1 = counts.select(
+        *base,
+        ratio("likes", "clicks").alias("_q_like"),
+        ratio("saves", "clicks").alias("_q_save"),
+        ratio("skip_count", "impressions").alias("_q_skip"),
+        ratio("watch_completes", "watch_starts").alias("_q_comp"),
+        *trending_ratios(),
+        trending_decay(now, window_hours).alias("_decay"),
         "last_event_at",
+    )
+    out = [*keys, "topic", "window_hours", *C.METRICS]
+    s2 = s1.select(
+        *out,
+        rate_of("_q_ctr").alias("ctr"),
+        rate_of("_q_like").alias("like_rate"),
+        rate_of("_q_save").alias("save_rate"),
+        rate_of("_q_skip").alias("skip_rate"),
+        rate_of("_q_comp").alias("completion_rate"),
+        trending_raw().alias("_raw"),
+        "_decay",
+        "last_event_at",
+    )
+    rates = ["ctr", "like_rate", "save_rate", "skip_rate", "completion_rate"]
+    return s2.select(
+        *out, *rates, trending_from("_raw", "_decay").alias("trending_score"), "last_event_at"
     ).withColumn(
         # Rates above 1 are kept and flagged (likes/saves are over clicks)
         "rate_out_of_bounds",
-        F.greatest("ctr", "like_rate", "save_rate", "skip_rate", "completion_rate") > 1.0,
+        F.greatest(*rates) > 1.0,
     )
 
 
@@ -120,12 +152,14 @@ def user_topic_counts(interactions: DataFrame, as_of: str, window_hours: int = C
 def user_topic_affinity(interactions: DataFrame, as_of: str, window_hours: int = C.FEATURE_WINDOW_HOURS) -> DataFrame:
     """A10 + A11: user-topic vectors with their affinity score."""
     counts = user_topic_counts(interactions, as_of, window_hours)
-    return counts.select(
+    s1 = counts.select("user_id", "topic", *C.METRICS, affinity_ratio().alias("_q"), "last_event_at")
+    staged = s1.select("user_id", "topic", *C.METRICS, affinity_raw("_q").alias("_raw"), "last_event_at")
+    return staged.select(
         "user_id",
         "topic",
         F.lit(int(window_hours)).alias("window_hours"),
         *C.METRICS,
-        affinity_score().alias("affinity_score"),
+        round6("_raw").alias("affinity_score"),
         "last_event_at",
     )
 
@@ -157,16 +191,25 @@ def affinity_map_pivot(
         for et, m in C.METRIC_FOR_EVENT.items()
     ]
     agg = ev.groupBy("user_id").agg(*aggs, F.max("event_timestamp").alias("last_event_at"))
+    idx = range(len(topics))
+    s1 = agg.select(
+        "*",
+        *[affinity_ratio(f"t{i}_").alias(f"_q{i}") for i in idx],
+        *[sum((F.col(f"t{i}_{m}") for m in C.METRICS), F.lit(0)).alias(f"_n{i}") for i in idx],
+    )
+    staged = s1.select(
+        "user_id",
+        "last_event_at",
+        *[affinity_raw(f"_q{i}", p=f"t{i}_").alias(f"_a{i}") for i in idx],
+        *[f"_n{i}" for i in idx],
+    )
     entries = F.array(
         *[
-            F.struct(
-                F.lit(t).alias("topic"),
-                affinity_score(prefix=f"t{i}_").alias("affinity_score"),
-                sum((F.col(f"t{i}_{m}") for m in C.METRICS), F.lit(0)).alias("n"),
-            )
+            F.struct(F.lit(t).alias("topic"), round6(f"_a{i}").alias("affinity_score"), F.col(f"_n{i}").alias("n"))
             for i, t in enumerate(topics)
         ]
     )
+    agg = staged
     touched = F.filter(entries, lambda e: e["n"] > 0)
     return agg.select(
         "user_id",
@@ -250,20 +293,7 @@ def daily_content_snapshots(interactions: DataFrame, window_hours: int = C.FEATU
         F.expr("max_by(topic, struct(event_timestamp, event_id)) FILTER (WHERE topic IS NOT NULL)").alias("topic"),
     )
     counts = counts.withColumn("snapshot_at", F.timestamp_micros("_s_us")).drop("_s_us")
-    return counts.select(
-        "content_id",
-        "snapshot_at",
-        "topic",
-        F.lit(int(window_hours)).alias("window_hours"),
-        *C.METRICS,
-        rate("clicks", "impressions").alias("ctr"),
-        rate("likes", "clicks").alias("like_rate"),
-        rate("saves", "clicks").alias("save_rate"),
-        rate("skip_count", "impressions").alias("skip_rate"),
-        rate("watch_completes", "watch_starts").alias("completion_rate"),
-        trending_score(F.col("snapshot_at"), window_hours).alias("trending_score"),
-        "last_event_at",
-    )
+    return with_content_rates(counts, "", window_hours, now_col="snapshot_at").drop("rate_out_of_bounds")
 
 
 

@@ -13,6 +13,12 @@ from .. import constants as C
 from .candidates import top_k_per_group
 
 
+# Means of 6-decimal values over a page (<= 100 items) are reported to 10
+# decimals: this removes the last-bit noise of floating summation order
+# (which differs between partitionings) without touching the exact mean.
+MEAN_DIGITS = 10
+
+
 def page_items(ranked: DataFrame, limit: int = C.PAGE_DEFAULT_LIMIT) -> DataFrame:
     return ranked.filter(F.col("rank") <= limit)
 
@@ -22,7 +28,7 @@ def observed_affinity(ranked: DataFrame, limit: int = C.PAGE_DEFAULT_LIMIT) -> D
     One pass: per (user, topic) means, folded into one bounded map per user,
     then read back for the fixed topic list."""
     p = page_items(ranked, limit)
-    avg = p.groupBy("user_id", "topic").agg(F.avg("user_topic_affinity").alias("v"))
+    avg = p.groupBy("user_id", "topic").agg(F.round(F.avg("user_topic_affinity"), MEAN_DIGITS).alias("v"))
     per_user = avg.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("topic", "v"))).alias("m"))
     topics = F.array(*[F.struct(F.lit(i).alias("topic_order"), F.lit(t).alias("topic")) for i, t in enumerate(C.TOPICS)])
     return per_user.select("user_id", "m", F.explode(topics).alias("t")).select(
@@ -60,9 +66,9 @@ def feed_summary(ranked: DataFrame, limit: int = C.PAGE_DEFAULT_LIMIT) -> DataFr
     idx = F.when(F.col("topic").isin(*C.TOPICS), F.array_position(topics, F.col("topic")))
     agg = p.groupBy("user_id").agg(
         F.count("*").alias("total_items"),
-        F.avg("score").alias("average_score"),
-        F.avg("trending_score").alias("average_trending"),
-        F.avg("completion_rate").alias("average_completion"),
+        F.round(F.avg("score"), MEAN_DIGITS).alias("average_score"),
+        F.round(F.avg("trending_score"), MEAN_DIGITS).alias("average_trending"),
+        F.round(F.avg("completion_rate"), MEAN_DIGITS).alias("average_completion"),
         F.mode(idx, deterministic=True).alias("_lead"),
     )
     return agg.withColumn("leading_topic", F.try_element_at(topics, F.col("_lead").cast("int"))).drop("_lead")

@@ -14,8 +14,10 @@ from .. import constants as C
 from ..functions import (
     canonical_strategy,
     clamp,
-    engagement_score,
-    recency_score,
+    engagement_raw,
+    recency_from,
+    recency_raw,
+    round6,
     strategy_adjustment,
     trending_norm,
     ts_lit,
@@ -69,30 +71,33 @@ def score(candidates: DataFrame, strategies: DataFrame, now: str) -> DataFrame:
     n = ts_lit(now)
     c = candidates.withColumn("strategy_name", canonical_strategy("strategy_name"))
     s = c.join(F.broadcast(strategies), "strategy_name", "left")
-    comps = s.select(
+    staged = s.select(
         "*",
-        F.round(clamp("user_topic_affinity"), 6).alias("c_affinity"),
-        recency_score("published_at", n).alias("c_recency"),
-        engagement_score().alias("c_engagement"),
+        round6(clamp("user_topic_affinity")).alias("c_affinity"),
+        recency_raw("published_at", n).alias("_rec"),
+        engagement_raw().alias("_eng"),
         trending_norm("trending_score").alias("c_trending"),
     )
-    weighted = comps.select(
-        "*",
+    comps = staged.select(
+        *[c for c in staged.columns if c not in ("_rec", "_eng")],
+        recency_from("_rec", "published_at").alias("c_recency"),
+        round6("_eng").alias("c_engagement"),
         strategy_adjustment("c_trending", F.col("boost_threshold"), F.col("boost_multiplier"), F.col("max_adjustment")).alias(
             "c_adjustment"
         ),
-        F.round(F.col("c_affinity") * F.col("affinity_weight"), 6).alias("w_affinity"),
-        F.round(F.col("c_recency") * F.col("recency_weight"), 6).alias("w_recency"),
-        F.round(F.col("c_engagement") * F.col("engagement_weight"), 6).alias("w_engagement"),
-        F.round(F.col("c_trending") * F.col("trending_weight"), 6).alias("w_trending"),
     )
-    base = F.round(
-        F.round(F.col("w_affinity") + F.col("w_recency") + F.col("w_engagement") + F.col("w_trending"), 6)
-        + F.col("c_adjustment"),
-        6,
+    weighted = comps.select(
+        "*",
+        round6(F.col("c_affinity") * F.col("affinity_weight")).alias("w_affinity"),
+        round6(F.col("c_recency") * F.col("recency_weight")).alias("w_recency"),
+        round6(F.col("c_engagement") * F.col("engagement_weight")).alias("w_engagement"),
+        round6(F.col("c_trending") * F.col("trending_weight")).alias("w_trending"),
+    )
+    summed = weighted.select(
+        "*", round6(F.col("w_affinity") + F.col("w_recency") + F.col("w_engagement") + F.col("w_trending")).alias("_sum")
     )
-    keep = [c for c in weighted.columns if c not in STRATEGY_FIELDS[1:]]
-    return weighted.select(*keep, base.alias("base_score"))
+    keep = [c for c in summed.columns if c not in STRATEGY_FIELDS[1:] and c != "_sum"]
+    return summed.select(*keep, round6(F.col("_sum") + F.col("c_adjustment")).alias("base_score"))
 
 
 def breakdown(penalty_col: str = "diversity_penalty", final_col: str = "score") -> F.Column:

@@ -8,6 +8,8 @@ doubles are cast, because DuckDB reads ``0.1`` as a DECIMAL.
 
 from __future__ import annotations
 
+import itertools
+
 from .. import constants as C
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -19,8 +21,27 @@ def dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
+_R6 = itertools.count()
+
+
+def r6(expr: str, digits: int = 6) -> str:
+    """Python's round(x, 6) (exact binary value, ties to even) in DuckDB SQL:
+    ``round_even`` of the rounded product unless that product is exactly a
+    half-integer, where the sign of its exact error (Dekker two-product)
+    decides. ``x`` is bound once by a lambda."""
+    v = f"_r{next(_R6)}"
+    sc = dbl(10**digits)
+    p = f"({v} * {sc})"
+    c = f"({v} * {dbl(134217729.0)})"
+    hi = f"({c} - ({c} - {v}))"
+    err = f"((({hi} * {sc}) - {p}) + (({v} - {hi}) * {sc}))"
+    tie = f"(({p} - floor({p})) = {dbl(0.5)})"
+    m = f"CASE WHEN {tie} AND {err} <> 0 THEN floor({p}) + (sign({err}) + {dbl(1)}) / {dbl(2)} ELSE round_even({p}, 0) END"
+    return f"(list_transform([CAST({expr} AS DOUBLE)], lambda {v}: ({m}) / {sc})[1])"
+
+
 def rate(n: str, d: str) -> str:
-    return f"(CASE WHEN ({d}) > 0 THEN round(CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE), 6) ELSE {dbl(0)} END)"
+    return f"(CASE WHEN ({d}) > 0 THEN {r6(f'CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE)')} ELSE {dbl(0)} END)"
 
 
 def clamp(x: str) -> str:
@@ -46,12 +67,12 @@ def trending(now: str, window_hours: int, p: str = "") -> str:
     raw = f"greatest({weighted(C.TRENDING_WEIGHTS, p)} + {bonus}, {dbl(0)})"
     age = f"greatest({seconds_between(now, p + 'last_event_at')}, {dbl(0)})"
     decay = f"exp(-{age} / {dbl(max(window_hours * 3600, 1))})"
-    return f"(CASE WHEN {p}last_event_at IS NULL THEN round({raw}, 6) ELSE round({raw} * {decay}, 6) END)"
+    return f"(CASE WHEN {p}last_event_at IS NULL THEN {r6(raw)} ELSE {r6(f'{raw} * {decay}')} END)"
 
 
 def affinity(p: str = "") -> str:
     bonus = f"{rate(p + 'watch_completes', f'greatest({p}watch_starts, 1)')} * {dbl(C.AFFINITY_COMPLETION_BONUS)}"
-    return f"round({weighted(C.AFFINITY_WEIGHTS, p)} + {bonus}, 6)"
+    return r6(f"{weighted(C.AFFINITY_WEIGHTS, p)} + {bonus}")
 
 
 def counts_sql() -> str:
@@ -256,9 +277,8 @@ stats AS (
 eff AS (
   SELECT u.user_id, t.topic, t.i,
          CASE WHEN coalesce(s.scale, 0) > 0 AND coalesce(s.n_in, 0) > 0
-              THEN round({dbl(C.RUNTIME_AFFINITY_WEIGHT)} * coalesce(round(greatest(r.affinity_score, {dbl(0)}) / s.scale, 6), {dbl(0)})
-                         + {dbl(C.PROFILE_AFFINITY_WEIGHT)} * coalesce(p.preference, {dbl(0)}), 6)
-              ELSE round(coalesce(p.preference, {dbl(0)}), 6) END AS affinity
+              THEN {r6(f"{dbl(C.RUNTIME_AFFINITY_WEIGHT)} * coalesce({r6(f'greatest(r.affinity_score, {dbl(0)}) / s.scale')}, {dbl(0)}) + {dbl(C.PROFILE_AFFINITY_WEIGHT)} * coalesce(p.preference, {dbl(0)})")}
+              ELSE {r6(f"coalesce(p.preference, {dbl(0)})")} END AS affinity
   FROM users u CROSS JOIN topics t
   LEFT JOIN stats s ON s.user_id = u.user_id
   LEFT JOIN ut r ON r.user_id = u.user_id AND r.topic = t.topic
@@ -308,36 +328,36 @@ cands AS (SELECT * FROM cands0 WHERE len(sources) > 0),
 scored0 AS (
   SELECT c.*, s.boost_threshold, s.boost_multiplier, s.max_adjustment,
          s.affinity_weight, s.recency_weight, s.engagement_weight, s.trending_weight,
-         round({clamp('c.user_topic_affinity')}, 6) AS c_affinity,
-         CASE WHEN c.published_at IS NULL THEN {dbl(0)} ELSE round({clamp(
-             f"{dbl(1)} / ({dbl(1)} + greatest({seconds_between(AS_OF, 'c.published_at')} / {dbl(3600)}, {dbl(0)}) / {dbl(C.RECENCY_HALF_LIFE_HOURS)})")}, 6) END AS c_recency,
-         round({clamp(f"{dbl(w['ctr'])} * c.ctr + {dbl(w['like_rate'])} * c.like_rate + {dbl(w['save_rate'])} * c.save_rate + {dbl(w['completion_rate'])} * c.completion_rate - {dbl(-w['skip_rate'])} * c.skip_rate")}, 6) AS c_engagement,
-         CASE WHEN c.trending_score <= 0 THEN {dbl(0)} ELSE round({clamp(f"c.trending_score / (c.trending_score + {dbl(C.TRENDING_SATURATION)})")}, 6) END AS c_trending
+         {r6(clamp('c.user_topic_affinity'))} AS c_affinity,
+         CASE WHEN c.published_at IS NULL THEN {dbl(0)} ELSE {r6(clamp(
+             f"{dbl(1)} / ({dbl(1)} + greatest({seconds_between(AS_OF, 'c.published_at')} / {dbl(3600)}, {dbl(0)}) / {dbl(C.RECENCY_HALF_LIFE_HOURS)})"))} END AS c_recency,
+         {r6(clamp(f"{dbl(w['ctr'])} * c.ctr + {dbl(w['like_rate'])} * c.like_rate + {dbl(w['save_rate'])} * c.save_rate + {dbl(w['completion_rate'])} * c.completion_rate - {dbl(-w['skip_rate'])} * c.skip_rate"))} AS c_engagement,
+         CASE WHEN c.trending_score <= 0 THEN {dbl(0)} ELSE {r6(clamp(f"c.trending_score / (c.trending_score + {dbl(C.TRENDING_SATURATION)})"))} END AS c_trending
   FROM cands c LEFT JOIN strategies s USING (strategy_name)),
 scored1 AS (
   SELECT *,
-         CASE WHEN c_trending <= boost_threshold THEN {dbl(0)} ELSE round(least((c_trending - boost_threshold) * boost_multiplier, max_adjustment), 6) END AS c_adjustment,
-         round(c_affinity * affinity_weight, 6) AS w_affinity,
-         round(c_recency * recency_weight, 6) AS w_recency,
-         round(c_engagement * engagement_weight, 6) AS w_engagement,
-         round(c_trending * trending_weight, 6) AS w_trending
+         CASE WHEN c_trending <= boost_threshold THEN {dbl(0)} ELSE {r6('least((c_trending - boost_threshold) * boost_multiplier, max_adjustment)')} END AS c_adjustment,
+         {r6('c_affinity * affinity_weight')} AS w_affinity,
+         {r6('c_recency * recency_weight')} AS w_recency,
+         {r6('c_engagement * engagement_weight')} AS w_engagement,
+         {r6('c_trending * trending_weight')} AS w_trending
   FROM scored0),
 scored AS (
-  SELECT *, round(round(w_affinity + w_recency + w_engagement + w_trending, 6) + c_adjustment, 6) AS base_score FROM scored1),
+  SELECT *, {r6(r6('w_affinity + w_recency + w_engagement + w_trending') + ' + c_adjustment')} AS base_score FROM scored1),
 pen AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, topic ORDER BY base_score DESC, published_at DESC NULLS LAST,
                                                                CAST(content_id AS VARCHAR) DESC) AS j
   FROM scored),
 ranked_d AS (
-  SELECT *, round(least({n_pen} * {dbl(C.DIVERSITY_TOPIC_PENALTY)} + {n_pen} * {dbl(C.DIVERSITY_CATEGORY_PENALTY)}, {dbl(C.MAX_DIVERSITY_PENALTY)}), 6) AS diversity_penalty
+  SELECT *, {r6(f"least({n_pen} * {dbl(C.DIVERSITY_TOPIC_PENALTY)} + {n_pen} * {dbl(C.DIVERSITY_CATEGORY_PENALTY)}, {dbl(C.MAX_DIVERSITY_PENALTY)})")} AS diversity_penalty
   FROM pen),
-ranked_s AS (SELECT *, round(base_score - diversity_penalty, 6) AS score FROM ranked_d),
+ranked_s AS (SELECT *, {r6('base_score - diversity_penalty')} AS score FROM ranked_d),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, base_score DESC, published_at DESC NULLS LAST,
                                                       CAST(content_id AS VARCHAR) DESC) AS INTEGER) AS rank
   FROM ranked_s),
 ranked_nd AS (
-  SELECT * REPLACE ({dbl(0)} AS diversity_penalty, round(base_score - {dbl(0)}, 6) AS score),
+  SELECT * REPLACE ({dbl(0)} AS diversity_penalty, {r6(f'base_score - {dbl(0)}')} AS score),
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY base_score DESC, base_score DESC, published_at DESC NULLS LAST,
                                  CAST(content_id AS VARCHAR) DESC) AS INTEGER) AS rank
   FROM ranked_s)""",
@@ -653,7 +673,7 @@ FROM events"""
         """
 SELECT u.user_id, t.topic, CAST(t.i - 1 AS INTEGER) AS topic_order, coalesce(a.v, CAST(0.0 AS DOUBLE)) AS observed_affinity
 FROM (SELECT DISTINCT user_id FROM page) u CROSS JOIN topics t
-LEFT JOIN (SELECT user_id, topic, avg(user_topic_affinity) AS v FROM page GROUP BY ALL) a
+LEFT JOIN (SELECT user_id, topic, round(avg(user_topic_affinity), 10) AS v FROM page GROUP BY ALL) a
   ON a.user_id = u.user_id AND a.topic = t.topic""",
         [page],
     )
@@ -672,8 +692,8 @@ FROM page QUALIFY position <= 8""",
     SELECT user_id, topic, count(*) AS n, list_position({T}, topic) AS o FROM page GROUP BY ALL) x
   WHERE o > 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, o ASC) = 1)
 SELECT s.*, l.leading_topic FROM (
-  SELECT user_id, count(*) AS total_items, avg(score) AS average_score, avg(trending_score) AS average_trending,
-         avg(completion_rate) AS average_completion
+  SELECT user_id, count(*) AS total_items, round(avg(score), 10) AS average_score,
+         round(avg(trending_score), 10) AS average_trending, round(avg(completion_rate), 10) AS average_completion
   FROM page GROUP BY user_id) s LEFT JOIN lead l USING (user_id)""",
         [page],
     )

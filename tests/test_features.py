@@ -142,3 +142,17 @@ def test_pivoted_affinity_map_equals_two_step(spark):
     two_step = {r.user_id: r.topic_affinity for r in feat.affinity_map(feat.user_topic_affinity(ev, NOW, 24)).collect()}
     pivot = {r.user_id: r.topic_affinity for r in feat.affinity_map_pivot(ev, NOW, 24).collect()}
     assert pivot == two_step
+
+
+def test_round6_is_python_round(spark):
+    import random
+
+    from rankflow.functions import round6
+
+    rnd = random.Random(11)
+    vals = [0.0078125, -0.0078125, 2.5e-6, 0.1254735, 0.430769500000001]
+    for _ in range(20000):
+        k = rnd.randrange(-10**7, 10**7)
+        vals += [(k + 0.5) / 1e6, rnd.randrange(1, 3000) / rnd.randrange(1, 3000), rnd.uniform(-500, 500)]
+    got = spark.createDataFrame([(v,) for v in vals], "x double").select("x", round6("x").alias("r")).collect()
+    assert [r.r for r in got] == [round(r.x, 6) for r in got]
