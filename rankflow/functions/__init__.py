@@ -47,7 +47,18 @@ def minus_hours(ts: ColumnOrName, hours: ColumnOrName) -> Column:
 _SPLIT = 134217729.0  # 2**27 + 1: Dekker's splitting constant for doubles
 
 
-def round6(x: ColumnOrName, digits: int = 6) -> Column:
+def _round6_sql(x: str, digits: int = 6) -> str:
+    sc = f"{float(10**digits)!r}D"
+    v = f"({x})"
+    p = f"({v} * {sc})"
+    c = f"({v} * {_SPLIT!r}D)"
+    hi = f"({c} - ({c} - {v}))"
+    err = f"((({hi} * {sc}) - {p}) + (({v} - {hi}) * {sc}))"
+    tie = f"(({p} - floor({p})) = 0.5D)"
+    return f"((CASE WHEN {tie} AND {err} != 0.0D THEN floor({p}) + (signum({err}) + 1.0D) / 2.0D ELSE rint({p}) END) / {sc})"
+
+
+def round6(x: str | Column, digits: int = 6) -> Column:
     """Round a double to ``digits`` decimals exactly like Python's ``round``:
     the exact binary value, ties to even. (Spark's ``round`` rounds the
     shortest decimal form half up, which differs on values that print with
@@ -59,37 +70,44 @@ def round6(x: ColumnOrName, digits: int = 6) -> Column:
     decides between floor and ceiling, and a zero error is a true tie that
     ``rint`` already breaks to even.
 
-    ``x`` occurs ~20 times in the formula: pass a column reference or a small
-    expression of column references (stage larger ones in a prior select)."""
-    v = col(x)
-    scale = F.lit(float(10**digits))
-    p = v * scale
-    c = v * F.lit(_SPLIT)
-    hi = c - (c - v)
-    err = (hi * scale - p) + (v - hi) * scale
-    tie = (p - F.floor(p)) == F.lit(0.5)
-    m = F.when(tie & (err != 0), F.floor(p) + (F.signum(err) + F.lit(1.0)) / F.lit(2.0)).otherwise(F.rint(p))
-    return m / scale
+    ``x`` is a column name or a small SQL expression over columns (it occurs
+    ~20 times in the formula; stage larger ones in a prior select). It is
+    built as one SQL expression: a single call into the JVM."""
+    if isinstance(x, Column):
+        raise TypeError("round6 takes a column name or SQL expression text")
+    return F.expr(_round6_sql(x, digits))
 
 
-def ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
-    """Unrounded safe ratio (null when the denominator is not positive); stage
-    it in a select and finish with ``rate_of``."""
-    n, d = col(numerator), col(denominator)
-    return F.when(d > 0, n / d)
+def sql_double(v: float) -> str:
+    """A double literal in Spark SQL text (plain ``0.7`` would be a DECIMAL)."""
+    return f"{float(v)!r}D"
+
+
+def ratio_sql(numerator: str, denominator: str) -> str:
+    return f"(CASE WHEN ({denominator}) > 0 THEN CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE) END)"
+
+
+def ratio(numerator: str, denominator: str) -> Column:
+    """Unrounded safe ratio of two SQL expressions (null when the
+    denominator is not positive); stage it in a select and finish with
+    ``rate_of``."""
+    return F.expr(ratio_sql(numerator, denominator))
+
+
+def rate_of_sql(ratio_col: str) -> str:
+    return f"coalesce({_round6_sql(f'`{ratio_col}`')}, 0.0D)"
 
 
 def rate_of(ratio_col: str) -> Column:
     """The staged ratio rounded to 6 digits, 0 when undefined."""
-    return F.coalesce(round6(ratio_col), F.lit(0.0))
+    return F.expr(rate_of_sql(ratio_col))
 
 
-def rate(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
-    """Safe ratio rounded to 6 digits in one expression. Only for final
-    projections over few rows (the ratio is repeated inside the rounding);
-    hot paths stage ``ratio`` and use ``rate_of``."""
-    n, d = col(numerator), col(denominator)
-    return F.when(d > 0, round6(n / d)).otherwise(F.lit(0.0))
+def rate(numerator: str, denominator: str) -> Column:
+    """Safe ratio of two columns rounded to 6 digits in one expression. Only
+    for final projections over few rows (the ratio is repeated inside the
+    rounding); hot paths stage ``ratio`` and use ``rate_of``."""
+    return F.when(F.col(denominator) > 0, round6(f"`{numerator}` / `{denominator}`")).otherwise(F.lit(0.0))
 
 
 def clamp(x: ColumnOrName, lo: float = 0.0, hi: float = 1.0) -> Column:
@@ -106,42 +124,45 @@ def blank_to_null(c: ColumnOrName) -> Column:
     return F.nullif(F.trim(col(c)), F.lit(""))
 
 
+def weighted_sum_sql(weights: Mapping[str, float], prefix: str = "") -> str:
+    """``sum(count * weight)`` as SQL text, in the weights' declared order
+    (left-associative, so the float order is fixed)."""
+    return "(" + " + ".join(f"CAST(`{prefix}{m}` AS DOUBLE) * {sql_double(w)}" for m, w in weights.items()) + ")"
+
+
 def weighted_sum(weights: Mapping[str, float], prefix: str = "") -> Column:
-    """``sum(count * weight)`` in the weights' declared order (float order matters)."""
-    total: Column | None = None
-    for metric, weight in weights.items():
-        term = F.col(prefix + metric) * F.lit(float(weight))
-        total = term if total is None else total + term
-    return total
+    return F.expr(weighted_sum_sql(weights, prefix))
 
 
+# quality-bonus ratios of the trending score: numerator, denominator, and
+# whether the denominator is floored at 1
 BONUS_RATIOS = {
-    "_q_ctr": ("clicks", "impressions"),
-    "_q_blike": ("likes", "clicks_1"),
-    "_q_bsave": ("saves", "clicks_1"),
-    "_q_bcomp": ("watch_completes", "watch_starts_1"),
+    "_q_ctr": ("clicks", "impressions", False),
+    "_q_blike": ("likes", "clicks", True),
+    "_q_bsave": ("saves", "clicks", True),
+    "_q_bcomp": ("watch_completes", "watch_starts", True),
 }
 
 
-def _den(name: str, p: str) -> Column:
-    return F.greatest(F.col(p + name[:-2]), F.lit(1)) if name.endswith("_1") else F.col(p + name)
-
-
 def trending_ratios(p: str = "") -> list[Column]:
     """A9 stage 1: the four quality-bonus ratios (unrounded)."""
-    return [ratio(F.col(p + n), _den(d, p)).alias(p + k) for k, (n, d) in BONUS_RATIOS.items()]
+    out = []
+    for k, (n, d, floor_one) in BONUS_RATIOS.items():
+        den = f"greatest(`{p}{d}`, 1)" if floor_one else f"`{p}{d}`"
+        out.append(ratio(f"`{p}{n}`", den).alias(p + k))
+    return out
 
 
 def trending_raw(p: str = "") -> Column:
     """A9 stage 2 (reads stage-1 ratio columns): the undecayed score."""
     b = C.TRENDING_BONUS
     bonus = (
-        rate_of(p + "_q_ctr") * F.lit(b["ctr"])
-        + rate_of(p + "_q_blike") * F.lit(b["like"])
-        + rate_of(p + "_q_bsave") * F.lit(b["save"])
-        + rate_of(p + "_q_bcomp") * F.lit(b["completion"])
+        f"({rate_of_sql(p + '_q_ctr')} * {sql_double(b['ctr'])}"
+        f" + {rate_of_sql(p + '_q_blike')} * {sql_double(b['like'])}"
+        f" + {rate_of_sql(p + '_q_bsave')} * {sql_double(b['save'])}"
+        f" + {rate_of_sql(p + '_q_bcomp')} * {sql_double(b['completion'])})"
     )
-    return F.greatest(weighted_sum(C.TRENDING_WEIGHTS, p) + bonus, F.lit(0.0))
+    return F.expr(f"greatest({weighted_sum_sql(C.TRENDING_WEIGHTS, p)} + {bonus}, 0.0D)")
 
 
 def trending_decay(now: Column, window_hours: int, last_event_col: str = "last_event_at") -> Column:
@@ -152,17 +173,19 @@ def trending_decay(now: Column, window_hours: int, last_event_col: str = "last_e
 def trending_from(raw_col: str, decay_col: str, last_event_col: str = "last_event_at") -> Column:
     """A9 stage 3: decayed trending score from staged parts; no decay when
     there is no last event."""
-    return F.when(F.col(last_event_col).isNull(), round6(raw_col)).otherwise(round6(F.col(raw_col) * F.col(decay_col)))
+    return F.when(F.col(last_event_col).isNull(), round6(raw_col)).otherwise(round6(f"`{raw_col}` * `{decay_col}`"))
 
 
 def affinity_ratio(p: str = "") -> Column:
     """A10 stage 1: completion ratio for the bonus (unrounded)."""
-    return ratio(F.col(p + "watch_completes"), F.greatest(F.col(p + "watch_starts"), F.lit(1)))
+    return ratio(f"`{p}watch_completes`", f"greatest(`{p}watch_starts`, 1)")
 
 
 def affinity_raw(ratio_col: str, p: str = "") -> Column:
     """A10 stage 2: weighted sum + completion bonus (round it in stage 3)."""
-    return weighted_sum(C.AFFINITY_WEIGHTS, p) + rate_of(ratio_col) * F.lit(C.AFFINITY_COMPLETION_BONUS)
+    return F.expr(
+        f"{weighted_sum_sql(C.AFFINITY_WEIGHTS, p)} + {rate_of_sql(ratio_col)} * {sql_double(C.AFFINITY_COMPLETION_BONUS)}"
+    )
 
 
 def recency_raw(published_at: ColumnOrName, now: Column, half_life_hours: float = C.RECENCY_HALF_LIFE_HOURS) -> Column:
@@ -190,16 +213,17 @@ def engagement_raw(prefix: str = "") -> Column:
     )
 
 
-def trending_norm(raw: ColumnOrName, saturation: float = C.TRENDING_SATURATION) -> Column:
+def trending_norm(raw: str, saturation: float = C.TRENDING_SATURATION) -> Column:
     """K4: ``x/(x+saturation)``, clamped, rounded; non-positive -> 0."""
-    x = col(raw)
-    return F.when(x <= 0, F.lit(0.0)).otherwise(round6(clamp(x / (x + F.lit(max(saturation, 1.0))))))
+    x = f"`{raw}`"
+    s = sql_double(max(saturation, 1.0))
+    return F.when(F.col(raw) <= 0, F.lit(0.0)).otherwise(round6(f"greatest(0.0D, least(1.0D, {x} / ({x} + {s})))"))
 
 
-def strategy_adjustment(trending: ColumnOrName, threshold: Column, multiplier: Column, cap: Column) -> Column:
-    """Trending boost of a strategy (K5)."""
-    t = col(trending)
-    return F.when(t <= threshold, F.lit(0.0)).otherwise(round6(F.least((t - threshold) * multiplier, cap)))
+def strategy_adjustment(trending: str, threshold: str, multiplier: str, cap: str) -> Column:
+    """Trending boost of a strategy (K5); arguments are column names."""
+    t, thr, mul, cap_ = (f"`{c}`" for c in (trending, threshold, multiplier, cap))
+    return F.when(F.col(trending) <= F.col(threshold), F.lit(0.0)).otherwise(round6(f"least(({t} - {thr}) * {mul}, {cap_})"))
 
 
 def assignment_bucket(experiment_key: ColumnOrName, user_id: ColumnOrName, space: int = C.BUCKET_SPACE) -> Column:

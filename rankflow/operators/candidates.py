@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import id_text, round6
+from ..functions import id_text, round6, sql_double
 from .features import attach_features
 
 # rows of the global pool, a structural bound independent of the data
@@ -95,7 +95,7 @@ def user_affinity_rows(users: DataFrame, runtime_map: DataFrame, profiles: DataF
 
     def eff(i: int) -> Column:
         blended = round6(
-            F.lit(C.RUNTIME_AFFINITY_WEIGHT) * F.col(f"_rn{i}") + F.lit(C.PROFILE_AFFINITY_WEIGHT) * F.col(f"_pf{i}")
+            f"{sql_double(C.RUNTIME_AFFINITY_WEIGHT)} * _rn{i} + {sql_double(C.PROFILE_AFFINITY_WEIGHT)} * _pf{i}"
         )
         return F.when(F.col("_has"), blended).otherwise(round6(f"_pf{i}"))
 
@@ -118,7 +118,10 @@ def user_affinity_rows(users: DataFrame, runtime_map: DataFrame, profiles: DataF
 def effective_affinity(user_rows: DataFrame) -> DataFrame:
     """Long form of R2/R3: (user_id, topic, affinity, topic_rank), rank 1..3
     among the user's top topics, 0 when the topic is not one of them."""
-    return user_rows.select("user_id", "top_topics", F.explode("affinity").alias("a")).select(
+    # explode_outer: the array always holds the five topics, and a plain
+    # explode would make the optimizer infer (and push down, inlined) a
+    # non-empty filter over the whole affinity computation
+    return user_rows.select("user_id", "top_topics", F.explode_outer("affinity").alias("a")).select(
         "user_id",
         F.col("a.topic").alias("topic"),
         F.col("a.affinity").alias("affinity"),

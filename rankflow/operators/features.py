@@ -44,7 +44,7 @@ def in_window(ts: str, as_of: str, window_hours: int) -> Column:
 
 def metric_counts() -> list[Column]:
     """Event type -> metric pivot (A3): seven ``count_if`` aggregates."""
-    return [F.count_if(F.col("event_type") == et).alias(m) for et, m in C.METRIC_FOR_EVENT.items()]
+    return [F.expr(f"count_if(event_type = '{et}')").alias(m) for et, m in C.METRIC_FOR_EVENT.items()]
 
 
 def dedupe_events(interactions: DataFrame, arrival: str | None = None) -> DataFrame:
@@ -83,10 +83,10 @@ def with_content_rates(counts: DataFrame, as_of: str, window_hours: int, now_col
     base = [*keys, "topic", F.lit(int(window_hours)).alias("window_hours"), *C.METRICS]
     s1 = counts.select(
         *base,
-        ratio("likes", "clicks").alias("_q_like"),
-        ratio("saves", "clicks").alias("_q_save"),
-        ratio("skip_count", "impressions").alias("_q_skip"),
-        ratio("watch_completes", "watch_starts").alias("_q_comp"),
+        ratio("`likes`", "`clicks`").alias("_q_like"),
+        ratio("`saves`", "`clicks`").alias("_q_save"),
+        ratio("`skip_count`", "`impressions`").alias("_q_skip"),
+        ratio("`watch_completes`", "`watch_starts`").alias("_q_comp"),
         *trending_ratios(),
         trending_decay(now, window_hours).alias("_decay"),
         "last_event_at",
@@ -186,7 +186,7 @@ def affinity_map_pivot(
     _check_window(window_hours)
     ev = interactions.filter(in_window("event_timestamp", as_of, window_hours) & F.col("topic").isin(*topics))
     aggs = [
-        F.count_if((F.col("topic") == t) & (F.col("event_type") == et)).alias(f"t{i}_{m}")
+        F.expr(f"count_if(topic = '{t}' AND event_type = '{et}')").alias(f"t{i}_{m}")
         for i, t in enumerate(topics)
         for et, m in C.METRIC_FOR_EVENT.items()
     ]
@@ -195,7 +195,7 @@ def affinity_map_pivot(
     s1 = agg.select(
         "*",
         *[affinity_ratio(f"t{i}_").alias(f"_q{i}") for i in idx],
-        *[sum((F.col(f"t{i}_{m}") for m in C.METRICS), F.lit(0)).alias(f"_n{i}") for i in idx],
+        *[F.expr(" + ".join(f"t{i}_{m}" for m in C.METRICS)).alias(f"_n{i}") for i in idx],
     )
     staged = s1.select(
         "user_id",

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
-from ..functions import id_text, round6
+from ..functions import id_text, round6, sql_double
 
 
 def _tie_order(score_col: str) -> list:
@@ -34,10 +34,12 @@ def _tie_order(score_col: str) -> list:
     ]
 
 
-def penalty_expr(n_picked: F.Column) -> F.Column:
-    """K8 for a group already picked ``n`` times in both topic and category."""
-    raw = n_picked * F.lit(C.DIVERSITY_TOPIC_PENALTY) + n_picked * F.lit(C.DIVERSITY_CATEGORY_PENALTY)
-    return round6(F.least(raw, F.lit(C.MAX_DIVERSITY_PENALTY)))
+def penalty_expr(n_picked: str) -> F.Column:
+    """K8 for a group already picked ``n`` times (column name) in both topic
+    and category."""
+    n = f"`{n_picked}`"
+    t, c, cap = (sql_double(v) for v in (C.DIVERSITY_TOPIC_PENALTY, C.DIVERSITY_CATEGORY_PENALTY, C.MAX_DIVERSITY_PENALTY))
+    return round6(f"least({n} * {t} + {n} * {c}, {cap})")
 
 
 def rank_window(scored: DataFrame, apply_diversity_penalty: bool = True, key: str = "user_id") -> DataFrame:
@@ -49,10 +51,10 @@ def rank_window(scored: DataFrame, apply_diversity_penalty: bool = True, key: st
         by_topic = Window.partitionBy(key).orderBy(F.col("topic").asc_nulls_first(), *_tie_order("base_score"))
         topic_start = Window.partitionBy(key).orderBy(F.col("topic").asc_nulls_first())
         j = F.row_number().over(by_topic) - F.rank().over(topic_start)
-        s = scored.withColumn("_j", j).withColumn("diversity_penalty", penalty_expr(F.col("_j"))).drop("_j")
+        s = scored.withColumn("_j", j).withColumn("diversity_penalty", penalty_expr("_j")).drop("_j")
     else:
         s = scored.withColumn("diversity_penalty", F.lit(0.0))
-    s = s.withColumn("score", round6(F.col("base_score") - F.col("diversity_penalty")))
+    s = s.withColumn("score", round6("base_score - diversity_penalty"))
     return s.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*_tie_order("score"))))
 
 

@@ -73,7 +73,7 @@ def score(candidates: DataFrame, strategies: DataFrame, now: str) -> DataFrame:
     s = c.join(F.broadcast(strategies), "strategy_name", "left")
     staged = s.select(
         "*",
-        round6(clamp("user_topic_affinity")).alias("c_affinity"),
+        round6("greatest(0.0D, least(1.0D, user_topic_affinity))").alias("c_affinity"),
         recency_raw("published_at", n).alias("_rec"),
         engagement_raw().alias("_eng"),
         trending_norm("trending_score").alias("c_trending"),
@@ -82,22 +82,22 @@ def score(candidates: DataFrame, strategies: DataFrame, now: str) -> DataFrame:
         *[c for c in staged.columns if c not in ("_rec", "_eng")],
         recency_from("_rec", "published_at").alias("c_recency"),
         round6("_eng").alias("c_engagement"),
-        strategy_adjustment("c_trending", F.col("boost_threshold"), F.col("boost_multiplier"), F.col("max_adjustment")).alias(
+        strategy_adjustment("c_trending", "boost_threshold", "boost_multiplier", "max_adjustment").alias(
             "c_adjustment"
         ),
     )
     weighted = comps.select(
         "*",
-        round6(F.col("c_affinity") * F.col("affinity_weight")).alias("w_affinity"),
-        round6(F.col("c_recency") * F.col("recency_weight")).alias("w_recency"),
-        round6(F.col("c_engagement") * F.col("engagement_weight")).alias("w_engagement"),
-        round6(F.col("c_trending") * F.col("trending_weight")).alias("w_trending"),
+        round6("c_affinity * affinity_weight").alias("w_affinity"),
+        round6("c_recency * recency_weight").alias("w_recency"),
+        round6("c_engagement * engagement_weight").alias("w_engagement"),
+        round6("c_trending * trending_weight").alias("w_trending"),
     )
     summed = weighted.select(
-        "*", round6(F.col("w_affinity") + F.col("w_recency") + F.col("w_engagement") + F.col("w_trending")).alias("_sum")
+        "*", round6("w_affinity + w_recency + w_engagement + w_trending").alias("_sum")
     )
     keep = [c for c in summed.columns if c not in STRATEGY_FIELDS[1:] and c != "_sum"]
-    return summed.select(*keep, round6(F.col("_sum") + F.col("c_adjustment")).alias("base_score"))
+    return summed.select(*keep, round6("_sum + c_adjustment").alias("base_score"))
 
 
 def breakdown(penalty_col: str = "diversity_penalty", final_col: str = "score") -> F.Column:
