@@ -25,11 +25,38 @@ _RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make the package importable in Python workers (the grouped-pandas
+    rerank runs there): zip it once per application and add it with
+    ``addPyFile``, which Spark distributes to every executor (the usual
+    ``--py-files`` route). The zip is built on the driver only."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    import rankflow
+
+    pkg_dir = os.path.dirname(os.path.abspath(rankflow.__file__))
+    out_dir = tempfile.mkdtemp(prefix="rankflow-pyfiles-")
+    archive = shutil.make_archive(
+        os.path.join(out_dir, "rankflow"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="rankflow"
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime options the operators assume. Idempotent."""
+    """Apply the runtime options the operators assume and ship the package
+    to the Python workers. Idempotent."""
     for key, value in _RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_code(spark)
     return spark
 
 
