@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import (
     canonical_strategy,
-    clamp,
     engagement_raw,
     recency_from,
     recency_raw,
@@ -23,11 +22,6 @@ from ..functions import (
     ts_lit,
 )
 
-STRATEGY_SCHEMA = (
-    "strategy_name string, affinity_weight double, recency_weight double, engagement_weight double, "
-    "trending_weight double, boost_threshold double, boost_multiplier double, max_adjustment double"
-)
-
 BREAKDOWN_FIELDS = (
     "user_topic_affinity",
     "user_topic_affinity_weighted",
