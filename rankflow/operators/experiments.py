@@ -20,19 +20,10 @@ def variants_table(
     rows, lo = [], 0
     for i, (v, s, bp) in enumerate(variants):
         hi = C.BUCKET_SPACE if i == len(variants) - 1 else lo + int(bp)
-        rows.append(
-            F.struct(
-                F.lit(experiment_key).alias("experiment_key"),
-                F.lit(i).alias("variant_order"),
-                F.lit(v).alias("variant_key"),
-                F.lit(s).alias("strategy_name"),
-                F.lit(int(bp)).alias("allocation_basis_points"),
-                F.lit(lo).alias("bucket_lo"),
-                F.lit(hi).alias("bucket_hi"),
-            )
-        )
+        rows.append(f"('{experiment_key}', {i}, '{v}', '{s}', {int(bp)}, {lo}, {hi})")
         lo = hi
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    cols = "experiment_key, variant_order, variant_key, strategy_name, allocation_basis_points, bucket_lo, bucket_hi"
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({cols})")
 
 
 def with_ranges(variants: DataFrame) -> DataFrame:

@@ -50,12 +50,12 @@ STRATEGY_FIELDS = (
 
 
 def strategies_table(spark: SparkSession, strategies: tuple = C.STRATEGIES) -> DataFrame:
-    """K6: the strategy registry as a literal table (JVM side, no Python rows)."""
-    rows = [
-        F.struct(F.lit(s[0]).alias(STRATEGY_FIELDS[0]), *[F.lit(float(v)).alias(n) for n, v in zip(STRATEGY_FIELDS[1:], s[1:])])
-        for s in strategies
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """K6: the strategy registry as a literal table (a JVM-side VALUES
+    relation built in one statement)."""
+    rows = ", ".join(
+        "(" + ", ".join([f"'{st[0]}'", *[f"{float(v)!r}D" for v in st[1:]]]) + ")" for st in strategies
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(STRATEGY_FIELDS)})")
 
 
 def score(candidates: DataFrame, strategies: DataFrame, now: str) -> DataFrame:
