@@ -10,6 +10,7 @@ from rankflow import sinks
 from rankflow.operators import attribution as attr
 from rankflow.operators import catalog, experiments, feed, ingest, insights, ops, scoring, validate
 from rankflow.sources import streams
+from pyspark.sql import functions as F
 
 T0 = dt.datetime(2026, 4, 8, 12)
 
@@ -139,3 +140,26 @@ def test_lag_and_availability(spark):
     hb = spark.createDataFrame([("feed", T0), ("ranking", T0 - dt.timedelta(minutes=5))], "service string, ts timestamp")
     up = {r.service: r.up for r in ops.availability(hb, "2026-04-08 12:00:30").collect()}
     assert up == {"feed": True, "ranking": False}
+
+
+def test_empty_page_for_users_without_candidates(spark):
+    item = "struct<user_topic_affinity:double,ctr:double>"
+    ranked = spark.createDataFrame(
+        [("u1", C.EXPERIMENT_KEY, "control", C.RULES_V1, f"c{i}", i, 1.0 - i / 100) for i in range(1, 26)],
+        "user_id string, experiment_key string, variant_key string, strategy_name string, content_id string, rank int, score double",
+    )
+    for c in ("title", "topic", "category"):
+        ranked = ranked.withColumn(c, F.lit("ai"))
+    ranked = (
+        ranked.withColumn("published_at", F.lit(None).cast("timestamp"))
+        .withColumn("candidate_sources", F.array(F.lit("recent")))
+        .withColumn("user_topic_affinity", F.lit(0.5))
+        .withColumn("score_breakdown", F.struct(F.lit(1.0).alias("final_score")))
+        .withColumn("content_features", F.struct(F.lit(0.1).alias("ctr")))
+    )
+    users = spark.createDataFrame([("u1",), ("u2",)], "user_id string")
+    first = {r.user_id: r for r in feed.page(ranked, users, 20, 0).collect()}
+    assert first["u1"].total_candidates == 25 and first["u1"].has_more and [i.rank for i in first["u1"].items] == list(range(1, 21))
+    assert first["u2"].total_candidates == 0 and not first["u2"].has_more and first["u2"].items == []
+    second = {r.user_id: r for r in feed.page(ranked, users, 20, 20).collect()}
+    assert [i.rank for i in second["u1"].items] == [21, 22, 23, 24, 25] and not second["u1"].has_more

@@ -111,3 +111,27 @@ def test_restart_from_checkpoint_and_replayed_batch(spark):
     assert [r.clicks for r in again] == [6]
     events = spark.read.parquet(os.path.join(out, "events"))
     assert events.filter("batch_id = 1").count() == 4
+
+
+def test_late_event_adds_nothing_and_time_never_regresses(spark):
+    root = tempfile.mkdtemp(prefix="rankflow-late-")
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    out = os.path.join(root, "out")
+    ckpt = os.path.join(root, "ckpt")
+
+    def run():
+        stream = streams.read_interactions(spark, source="json", path=src)
+        q = features_job.start(stream, out, 24, as_of=lambda _b: AS_OF, trigger={"availableNow": True}, checkpoint=ckpt)
+        q.awaitTermination(180)
+        assert q.exception() is None
+
+    with open(os.path.join(src, "1.json"), "w") as fh:
+        fh.write("\n".join(_rec(i, "click", 1, 1, "ai", 30 + i) for i in range(3)) + "\n")
+    run()
+    with open(os.path.join(src, "2.json"), "w") as fh:  # 40 h late: outside the 24 h window
+        fh.write(_rec(50, "click", 1, 1, "ai", 40 * 60) + "\n")
+    run()
+    latest = sinks.read_latest(spark, os.path.join(out, "content_features_latest"), ["content_id"]).collect()
+    assert [r.clicks for r in latest] == [3]
+    assert latest[0].last_event_at == dt.datetime(2026, 4, 8, 13, 30)
