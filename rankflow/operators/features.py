@@ -243,31 +243,48 @@ def point_in_time_counts(
     _check_window(window_hours)
     w_us = int(window_hours) * 3_600_000_000
     s_us = int(slice_seconds) * 1_000_000
-    ind = [(F.col("event_type") == et).cast("long").alias(m) for et, m in C.METRIC_FOR_EVENT.items()]
-    zero = [F.lit(0).cast("long").alias(m) for m in C.METRICS]
     ev = interactions.select("event_id", key, "event_type", "event_timestamp", micros("event_timestamp").alias("_us"))
-    weights = ev.select(key, "_us", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_probe_of"), F.lit(0).alias("_side"), *ind)
-    probes = ev.select(
-        key,
-        F.explode(F.array(F.struct(F.col("_us").alias("us"), F.lit(1).alias("side")),
-                          F.struct((F.col("_us") - F.lit(w_us)).alias("us"), F.lit(-1).alias("side")))).alias("p"),
+    # one scan: each event emits its weight row (kind 0) and two probes
+    # (kind 1) at t (+) and t - window (-); probes carry the event's fields
+    emitted = F.array(
+        F.struct(F.col("_us").alias("us"), F.lit(0).alias("kind"), F.lit(0).alias("side")),
+        F.struct(F.col("_us").alias("us"), F.lit(1).alias("kind"), F.lit(1).alias("side")),
+        F.struct((F.col("_us") - F.lit(w_us)).alias("us"), F.lit(1).alias("kind"), F.lit(-1).alias("side")),
+    )
+    rows = ev.select("event_id", key, "event_type", "event_timestamp", F.explode(emitted).alias("e")).select(
         "event_id",
-    ).select(key, F.col("p.us").alias("_us"), F.lit(1).alias("_kind"), F.col("event_id").alias("_probe_of"),
-             F.col("p.side").alias("_side"), *zero)
-    rows = weights.unionByName(probes).withColumn("_slice", F.floor(F.col("_us") / F.lit(s_us)))
+        key,
+        "event_type",
+        "event_timestamp",
+        F.col("e.us").alias("_us"),
+        F.col("e.kind").alias("_kind"),
+        F.col("e.side").alias("_side"),
+        F.floor(F.col("e.us") / F.lit(s_us)).alias("_slice"),
+        *[
+            F.when(F.col("e.kind") == 0, (F.col("event_type") == et).cast("long")).otherwise(F.lit(0)).alias(m)
+            for et, m in C.METRIC_FOR_EVENT.items()
+        ],
+    )
     # events sort before probes at equal time: C(x) counts events at exactly x
     local = Window.partitionBy(key, "_slice").orderBy("_us", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    pref = rows.select(key, "_slice", "_kind", "_probe_of", "_side", *[F.sum(m).over(local).alias(m) for m in C.METRICS])
+    pref = rows.select(
+        "event_id", key, "event_type", "event_timestamp", "_slice", "_kind", "_side",
+        *[F.sum(m).over(local).alias(m) for m in C.METRICS],
+    )
+    # every active slice gets a row (probe-only slices too: they need the
+    # carried offset); probes weigh zero
     totals = rows.groupBy(key, "_slice").agg(*[F.sum(m).alias(m) for m in C.METRICS])
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(key, "_slice", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_o_{m}") for m in C.METRICS])
     probed = pref.filter(F.col("_kind") == 1).join(offsets, [key, "_slice"], "left")
     signed = probed.select(
-        F.col("_probe_of").alias("event_id"),
+        "event_id", key, "event_type", "event_timestamp",
         *[(F.col("_side") * (F.col(m) + F.coalesce(F.col(f"_o_{m}"), F.lit(0)))).alias(m) for m in C.METRICS],
     )
-    counts = signed.groupBy("event_id").agg(*[F.sum(m).alias(m) for m in C.METRICS])
-    return ev.select("event_id", key, "event_type", "event_timestamp").join(counts, "event_id")
+    # each event's two probes fold back (event fields are functions of the id)
+    return signed.groupBy("event_id", key, "event_type", "event_timestamp").agg(
+        *[F.sum(m).cast("long").alias(m) for m in C.METRICS]
+    )
 
 
 # ------------------------------------------------------------- snapshots
