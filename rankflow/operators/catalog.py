@@ -172,13 +172,13 @@ def cascade_delete(parent: DataFrame, children: dict[str, tuple[DataFrame, str]]
 
 def purge_subjects(table: DataFrame, subjects: DataFrame, alternatives: dict[str, str], key: str) -> DataFrame:
     """Remove rows matched by the subject key or by any alternative key
-    (e.g. username, email, title): the union of matching key sets, then one
-    anti-join."""
-    matched = table.join(subjects.select(key).distinct(), key, "left_semi").select(key)
+    (e.g. username, email, title): one anti-join per key set, so the table
+    is read once and each subject key set is a small (often broadcast) side."""
+    out = table.join(subjects.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
     for tcol, scol in alternatives.items():
         alt = subjects.select(F.col(scol).alias(tcol)).filter(F.col(tcol).isNotNull()).distinct()
-        matched = matched.unionByName(table.join(alt, tcol, "left_semi").select(key))
-    return table.join(matched.distinct(), key, "left_anti")
+        out = out.join(alt, tcol, "left_anti")
+    return out
 
 
 def append_content(existing: DataFrame, new: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
