@@ -144,9 +144,14 @@ def q_candidate_pool(spark, sf):
     ))
 
 
-def _ranked(spark, sf, mode="window", diversity=True, general_category=False):
+def _ranked_with_users(spark, sf, mode="window", diversity=True, general_category=False):
     it, users, content, profiles = _feed_inputs(spark, sf, general_category)
-    return feed.build(spark, users, it, content, profiles, AS_OF, C.FEATURE_WINDOW_HOURS, mode, diversity)
+    ranked = feed.build(spark, users, it, content, profiles, AS_OF, C.FEATURE_WINDOW_HOURS, mode, diversity)
+    return ranked, users
+
+
+def _ranked(spark, sf, mode="window", diversity=True, general_category=False):
+    return _ranked_with_users(spark, sf, mode, diversity, general_category)[0]
 
 
 def _ranked_columns(df: DataFrame) -> DataFrame:
@@ -197,8 +202,8 @@ def q_ranked_feed_general(spark, sf):
 
 
 def q_feed_pages(spark, sf):
-    _, users, _, _ = _feed_inputs(spark, sf)
-    pages = feed.page(_ranked(spark, sf), users, C.PAGE_DEFAULT_LIMIT, 0)
+    ranked, users = _ranked_with_users(spark, sf)
+    pages = feed.page(ranked, users, C.PAGE_DEFAULT_LIMIT, 0)
     return pages.select(
         "user_id", "variant_key", "strategy_name", "feed_limit", "feed_offset", "total_candidates", "has_more",
         F.size("items").alias("item_count"),
@@ -207,8 +212,8 @@ def q_feed_pages(spark, sf):
 
 
 def q_feed_pages_second(spark, sf):
-    _, users, _, _ = _feed_inputs(spark, sf)
-    pages = feed.page(_ranked(spark, sf), users, C.PAGE_DEFAULT_LIMIT, C.PAGE_DEFAULT_LIMIT)
+    ranked, users = _ranked_with_users(spark, sf)
+    pages = feed.page(ranked, users, C.PAGE_DEFAULT_LIMIT, C.PAGE_DEFAULT_LIMIT)
     return pages.select(
         "user_id", "total_candidates", "has_more", F.size("items").alias("item_count"),
         F.array_join(F.transform("items", lambda x: x["content_id"].cast("string")), ",").alias("content_ids"),
@@ -226,8 +231,8 @@ def q_ranking_decisions(spark, sf):
 
 
 def _feed_pages_recorded(spark, sf):
-    _, users, _, _ = _feed_inputs(spark, sf)
-    return feed.pages_for_exposure(feed.page(_ranked(spark, sf), users, C.PAGE_DEFAULT_LIMIT, 0), AS_OF)
+    ranked, users = _ranked_with_users(spark, sf)
+    return feed.pages_for_exposure(feed.page(ranked, users, C.PAGE_DEFAULT_LIMIT, 0), AS_OF)
 
 
 def q_feed_exposure_items(spark, sf):
