@@ -31,6 +31,20 @@ ITEM_FIELDS = (
 )
 
 
+FANOUT_PARTITIONS_CONF = "spark.rankflow.feed.fanoutPartitions"
+
+
+def fanout_partitions(spark: SparkSession) -> int:
+    """Partitions for the per-user candidate fan-out. Each user row becomes
+    up to 120 candidate rows inside its task, so size this for the fanned-out
+    volume (about users x 120 x ~400 bytes / 128 MB) with
+    ``spark.rankflow.feed.fanoutPartitions``; by default the session's
+    shuffle partition count is used."""
+    configured = spark.conf.get(FANOUT_PARTITIONS_CONF, None)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, int(configured)) if configured else base
+
+
 def build(
     spark: SparkSession,
     users: DataFrame,
@@ -57,8 +71,7 @@ def build(
     # so the users x ~120 candidate rows are never shuffled. The partition
     # count is explicit: adaptive coalescing sizes partitions by the *user*
     # rows and would pack ~120x their volume into each task after the fan-out.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.drop("assignment_bucket").repartition(n, "user_id")
+    rows = rows.drop("assignment_bucket").repartition(fanout_partitions(spark), "user_id")
     items = cand.pool_items(content)
     # features only for the bounded pool (the feed never reads other vectors)
     features = feat.content_features(cand.pool_key_filter(interactions, items), now, window_hours)
