@@ -14,8 +14,6 @@ Greedy selection repeatedly takes the candidate with the highest
 
 from __future__ import annotations
 
-import datetime as _dt
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,16 +64,15 @@ def topic_category_one_to_one(items: DataFrame) -> bool:
     return (t or 0) <= 1 and (c or 0) <= 1
 
 
-_MIN_TS = _dt.datetime.min
-
-
 def _greedy_order(pdf: pd.DataFrame) -> pd.DataFrame:
     """Greedy diversity order of one user's candidates."""
     n = len(pdf)
     if n == 0:
         return pdf.assign(diversity_penalty=[], score=[], rank=[])
     base = pdf["base_score"].astype(float).tolist()
-    pub = [(_MIN_TS if pd.isna(p) else pd.Timestamp(p).to_pydatetime().replace(tzinfo=None)) for p in pdf["published_at"]]
+    # publication time as int64 nanoseconds; a missing time (NaT) becomes
+    # the minimum, i.e. it sorts below every real time
+    pub = pd.to_datetime(pdf["published_at"]).to_numpy(dtype="datetime64[ns]").astype("int64").tolist()
     ids = [str(x) for x in pdf["content_id"]]
     topics = pdf["topic"].tolist()
     cats = pdf["category"].tolist()

@@ -39,7 +39,7 @@ def _random_lists(n_users, one_to_one, seed):
             topic = rnd.choice(TOPICS)
             cat = topic if one_to_one else rnd.choice(TOPICS)
             base = round(rnd.choice([0.3, 0.31, 0.5, 0.5, 0.52, 0.7]) + rnd.choice([0, 0.01, 0.17, 0.05]), 6)
-            pub = dt.datetime(2026, 4, 1) + dt.timedelta(hours=rnd.choice([1, 2, 3]))
+            pub = dt.datetime(2026, 4, 1) + dt.timedelta(hours=rnd.choice([1, 2, 3])) if rnd.random() > 0.1 else None
             rows.append((u, i, topic, cat, base, pub))
     return rows
 
