@@ -740,6 +740,13 @@ FROM interactions QUALIFY position <= 10"""
 SELECT {b5} AS window_start, {b5} + INTERVAL 5 MINUTE AS window_end, service, topic, outcome, count(*) AS events,
        count(*) / CAST(300.0 AS DOUBLE) AS rate_per_second
 FROM oplog GROUP BY ALL"""
+    q["event_rate_5m_sliding"] = with_(_ops_log()) + """
+, w AS (
+  SELECT date_trunc('minute', ts) - to_minutes(k) AS window_start, service, outcome
+  FROM oplog, range(0, 5) r(k))
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, service, outcome, count(*) AS events,
+       count(*) / CAST(300.0 AS DOUBLE) AS rate_per_second
+FROM w GROUP BY ALL"""
     b15 = _bucket(900)
     q["event_increase_15m"] = with_(_ops_log()) + f"SELECT {b15} AS window_start, outcome, count(*) AS increase FROM oplog GROUP BY ALL"
     q["latency_p95"] = with_(_ops_log()) + """

@@ -495,6 +495,11 @@ def q_event_rate_5m(spark, sf):
     return finalize(ops.rate(S.operations_log(spark, sf), ["service", "topic", "outcome"], "5 minutes"))
 
 
+def q_event_rate_5m_sliding(spark, sf):
+    """O1 with a 1-minute slide: each event falls into five windows."""
+    return finalize(ops.rate(S.operations_log(spark, sf), ["service", "outcome"], "5 minutes", "1 minute"))
+
+
 def q_event_increase_15m(spark, sf):
     return finalize(ops.increase(S.operations_log(spark, sf), ["outcome"], "15 minutes"))
 
@@ -567,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_without_dismissed": q_page_without_dismissed,
     "recent_session_events": q_recent_session_events,
     "event_rate_5m": q_event_rate_5m,
+    "event_rate_5m_sliding": q_event_rate_5m_sliding,
     "event_increase_15m": q_event_increase_15m,
     "latency_p95": q_latency_p95,
     "latency_histogram_p95": q_latency_histogram_p95,
