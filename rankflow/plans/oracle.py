@@ -585,6 +585,10 @@ SELECT h.exposure_id, h.user_id, h.variant_key, h.strategy_name, 20 AS feed_limi
          CASE WHEN s.a_variant IS NOT NULL AND s.a_variant <> h.variant_key THEN 'variant_mismatch' END,
          CASE WHEN s.a_strategy IS NOT NULL AND s.a_strategy <> h.strategy_name THEN 'strategy_mismatch' END) AS errors
 FROM hdr h LEFT JOIN stored s ON s.experiment_key = h.experiment_key AND s.user_id = h.user_id""")
+    q["stream_replay_features"] = with_(INTERACTIONS, content_features_cte(C.FEATURE_WINDOW_HOURS)) + f"""
+SELECT printf('00000000-0000-0000-0000-%012d', content_id) AS content_id, topic, {METRICS},
+       ctr, like_rate, save_rate, skip_rate, completion_rate, trending_score, last_event_at
+FROM cf"""
     q["interaction_validation"] = with_(INTERACTIONS, DIRTY) + (
         "SELECT event_id, ingest_seq, event_type, topic, session_id, errors FROM validated"
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
+from .. import sinks
 from .. import sources as S
 from ..operators import attribution as attr
 from ..operators import candidates as cand
@@ -307,6 +308,49 @@ def q_duplicate_event_report(spark, sf):
     return validate.unique_violations(_dirty(spark, sf), ["event_id"], "event_id")
 
 
+def _uuid_text(c: str) -> F.Column:
+    return F.format_string("00000000-0000-0000-0000-%012d", F.col(c))
+
+
+def q_stream_replay_features(spark, sf):
+    """S1 + I4 + W1 + S2/S5/S6/S7 end to end: the interactions are written
+    as JSON records (UUID-form ids, as the contract requires) into a fresh
+    folder under the shared checkpoint directory, drained through the
+    Structured Streaming features job, and the latest content vectors are
+    read back (merge-on-read)."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources import streams
+    from ..streaming import features_job
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/rankflow-stream-{uuid.uuid4().hex}"
+    it = _it(spark, sf)
+    records = it.select(
+        F.lit(C.INTERACTION_SCHEMA_NAME).alias("schema_name"),
+        _uuid_text("event_id").alias("event_id"),
+        "event_type",
+        _uuid_text("user_id").alias("user_id"),
+        _uuid_text("content_id").alias("content_id"),
+        "session_id",
+        "topic",
+        "watch_duration_seconds",
+        F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
+    )
+    records.select(F.to_json(F.struct(*records.columns)).alias("value")).write.mode("overwrite").text(f"{root}/in")
+    stream = streams.read_interactions(spark, source="json", path=f"{root}/in")
+    q = features_job.start(stream, f"{root}/out", C.FEATURE_WINDOW_HOURS, as_of=lambda _b: AS_OF,
+                           trigger={"availableNow": True}, checkpoint=f"{root}/ckpt", query_name=None)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    latest = sinks.read_latest(spark, f"{root}/out/content_features_latest", ["content_id"])
+    return finalize(latest.select(
+        "content_id", "topic", *C.METRICS, "ctr", "like_rate", "save_rate", "skip_rate", "completion_rate",
+        "trending_score", "last_event_at",
+    ))
+
+
 # ------------------------------------------------------------------- catalog
 def q_content_listing(spark, sf):
     c = S.content(spark, sf)
@@ -545,6 +589,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interaction_validation": q_interaction_validation,
     "dead_letters": q_dead_letters,
     "deduplicated_interactions": q_deduplicated_interactions,
+    "stream_replay_features": q_stream_replay_features,
     "idempotent_counts": q_idempotent_counts,
     "duplicate_event_report": q_duplicate_event_report,
     "content_listing": q_content_listing,

@@ -101,13 +101,13 @@ def start(
     as_of: Callable[[DataFrame], str] | None = None,
     trigger: dict | None = None,
     checkpoint: str | None = None,
-    query_name: str = "interaction_features",
+    query_name: str | None = "interaction_features",
 ) -> StreamingQuery:
     """Start the job. ``trigger`` defaults to the snapshot flush interval
     (15 s); pass ``{"availableNow": True}`` to drain and stop. The checkpoint
     goes under the cluster's shared ``spark.checkpoint.dir`` unless given."""
     spark: SparkSession = stream.sparkSession
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), query_name)
+    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), query_name or "interaction_features")
     trig = trigger or {"processingTime": f"{C.SNAPSHOT_FLUSH_SECONDS} seconds"}
     # O6 counters on the stream itself: reported per trigger in
     # ``query.lastProgress["observedMetrics"]`` without an extra job
@@ -117,8 +117,9 @@ def start(
         F.count_if(F.col("event_id").isNull()).alias("unparsed"),
         F.max("event_timestamp").alias("last_event_at"),
     )
+    writer = observed.writeStream.queryName(query_name) if query_name else observed.writeStream
     return (
-        observed.writeStream.queryName(query_name)
+        writer
         .option("checkpointLocation", ckpt)
         .trigger(**trig)
         .foreachBatch(lambda df, bid: process_batch(df, bid, root, window_hours, as_of))
