@@ -39,27 +39,25 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
 # ---------------------------------------------------------------- F1
 def interactions_from_events(events: DataFrame) -> DataFrame:
     """One interaction per event: type mapping, content id from ``props.k``,
-    day session, topic by content, watch duration for completions."""
-    k = F.get_json_object("props", "$.k").cast("long")
-    et = F.col("event_type")
-    eid = F.col("event_id")
-    mapped = (
-        F.when(et == "view", F.when(eid % 3 == 0, F.lit("watch_start")).otherwise(F.lit("impression")))
-        .when(et == "click", F.lit("click"))
-        .when(et == "signup", F.lit("like"))
-        .when(et == "purchase", F.when(eid % 2 == 0, F.lit("watch_complete")).otherwise(F.lit("save")))
-        .when(et == "error", F.lit("skip"))
-    )
-    duration = F.when((et == "purchase") & (eid % 2 == 0), F.lit(1) + (eid % 600)).otherwise(F.lit(0))
-    return events.select(
-        eid.alias("event_id"),
-        mapped.alias("event_type"),
-        F.col("user_id"),
-        k.alias("content_id"),
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        topic_at(k % 5).alias("topic"),
-        duration.cast("int").alias("watch_duration_seconds"),
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
+    day session, topic by content, watch duration for completions. One SQL
+    projection (a single plan node, built in one call)."""
+    topics = "array(" + ", ".join(f"'{t}'" for t in C.TOPICS) + ")"
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    return events.selectExpr(
+        "event_id",
+        "CASE event_type"
+        " WHEN 'view' THEN CASE WHEN event_id % 3 = 0 THEN 'watch_start' ELSE 'impression' END"
+        " WHEN 'click' THEN 'click'"
+        " WHEN 'signup' THEN 'like'"
+        " WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN 'watch_complete' ELSE 'save' END"
+        " WHEN 'error' THEN 'skip' END AS event_type",
+        "user_id",
+        f"{k} AS content_id",
+        "concat(CAST(user_id AS STRING), '-', date_format(ts, 'yyyyMMdd')) AS session_id",
+        f"try_element_at({topics}, CAST({k} % 5 + 1 AS INT)) AS topic",
+        "CAST(CASE WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN 1 + event_id % 600 ELSE 0 END AS INT)"
+        " AS watch_duration_seconds",
+        "CAST(ts AS TIMESTAMP) AS event_timestamp",
     )
 
 
