@@ -69,20 +69,21 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- F2
 def content_from_parts(part: DataFrame, as_of: str = AS_OF, general_category: bool = False) -> DataFrame:
     """Catalog of content items, one per part. ``general_category`` makes
-    category vary independently of topic (exercises the general rerank)."""
-    pk = F.col("p_partkey")
-    now = ts_lit(as_of)
-    category = topic_at(F.floor(pk / 5) % 5) if general_category else topic_at(pk % 5)
-    draft = pk % 8 == 0
-    created_h = F.when(draft, pk * 7 + 6).otherwise(pk * 4 + 12)
-    return part.select(
-        pk.alias("content_id"),
-        F.concat(F.col("p_name"), F.lit(" "), pk.cast("string")).alias("title"),
-        topic_at(pk % 5).alias("topic"),
-        category.alias("category"),
-        F.when(draft, F.lit("draft")).otherwise(F.lit("published")).alias("status"),
-        F.when(~draft, minus_hours(now, pk * 4)).alias("published_at"),
-        minus_hours(now, created_h).alias("created_at"),
+    category vary independently of topic (exercises the general rerank).
+    One SQL projection; hour offsets use long arithmetic on microseconds."""
+    topics = "array(" + ", ".join(f"'{t}'" for t in C.TOPICS) + ")"
+    cat_idx = "(p_partkey DIV 5) % 5" if general_category else "p_partkey % 5"
+    now_us = f"unix_micros(to_timestamp('{as_of}'))"
+    return part.selectExpr(
+        "p_partkey AS content_id",
+        "concat(p_name, ' ', CAST(p_partkey AS STRING)) AS title",
+        f"try_element_at({topics}, CAST(p_partkey % 5 + 1 AS INT)) AS topic",
+        f"try_element_at({topics}, CAST({cat_idx} + 1 AS INT)) AS category",
+        "CASE WHEN p_partkey % 8 = 0 THEN 'draft' ELSE 'published' END AS status",
+        f"CASE WHEN p_partkey % 8 <> 0 THEN timestamp_micros({now_us} - CAST(p_partkey * 4 AS BIGINT) * 3600000000) END"
+        " AS published_at",
+        f"timestamp_micros({now_us} - CAST(CASE WHEN p_partkey % 8 = 0 THEN p_partkey * 7 + 6 ELSE p_partkey * 4 + 12 END"
+        " AS BIGINT) * 3600000000) AS created_at",
     )
 
 
