@@ -6,16 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankflow.llm import simhash
+import corpus_pipeline
+from rankflow.llm import kdtree, langid, mih, mixing, packing, pii, simhash, substrings
 from rankflow.llm.common import table
 
 
-def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.query(table(spark, sf_dir, "documents"))
+def _over(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(table(spark, sf_dir, name))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op9_simhash_components": op9_simhash_components,
+    "op1_language_id": _over("documents", langid.query),
+    "op2_source_mix": _over("documents", mixing.query),
+    "op3_repeated_bytes": _over("documents", substrings.query),
+    "op4_nearest_codes": _over("embeddings", mih.query),
+    "op5_retrieval_packing": _over("documents", packing.query),
+    "op6_exact_products": _over("embeddings", kdtree.query),
+    "op9_simhash_components": _over("documents", simhash.query),
+    "op10_personal_data": _over("documents", pii.query),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
