@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rankflow.llm import kdtree, langid, mih, mixing, packing, pii, simhash, substrings
+from rankflow.llm import chat, kdtree, langid, licenses, mih, mixing, packing, pii, simhash, substrings
 from rankflow.llm.common import table
 
 
@@ -22,12 +22,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nearest_codes": _over("embeddings", mih.query),
     "op5_retrieval_packing": _over("documents", packing.query),
     "op6_exact_products": _over("embeddings", kdtree.query),
+    "op7_chat_trees": _over("conversations", chat.query),
+    "op8_license_notices": _over("documents", licenses.query),
     "op9_simhash_components": _over("documents", simhash.query),
     "op10_personal_data": _over("documents", pii.query),
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_chat_trees": chat.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
