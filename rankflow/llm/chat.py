@@ -182,7 +182,11 @@ def sequences(made: DataFrame, tokenizer: str | None = None, most: int = PATHS)
         .select("leaf", "k", "node", "role", "text")
     )
     passing = on_path.groupBy("node").agg(F.count("*").alias("m")).where(F.col("m") <= most)
-    cut = on_path.select("leaf", "k", "node").join(passing, "node").groupBy("leaf").agg(F.min_by("node", "k").alias("tree"))
+    # a conversation that ends above all such nodes is a tree of its own
+    highest = F.min(F.when(F.col("m").isNotNull(), F.struct("k", "node")))
+    cut = on_path.select("leaf", "k", "node").join(passing, "node", "left").groupBy("leaf").agg(
+        F.coalesce(highest["node"], F.col("leaf")).alias("tree")
+    )
     buckets = max(1, -(-cut.count() // BUCKET_PATHS))
     dealt = on_path.join(cut, "leaf").withColumn("bucket", F.pmod(F.xxhash64("tree"), F.lit(buckets)).cast("int"))
 

@@ -132,7 +132,8 @@ def top_products(vectors: DataFrame, k: int = K, every: int = EVERY, shard_rows:
         kth = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min(F.struct("score", (-F.col("vec_id")).alias("neg"))).alias("kth"))
         kth = kth.where(F.col("n") == k).select("query_id", "kth")
         rest = asked.where(F.col("shard") != home).join(kth, F.col("vec_id") == F.col("query_id"), "left").select(
-            "vec_id", "v", "block", "shard",
+            # new names of its own: the rows it meets below come from the same table
+            *[F.col(c).alias(c) for c in ("vec_id", "v", "block", "shard")],
             F.coalesce("kth.score", F.lit(NO_SCORE).cast("long")).alias("floor"), F.coalesce("kth.neg", F.lit(NO_SCORE).cast("long")).alias("floor_id"),
         )
         found = found.union(best(rest))

@@ -98,6 +98,8 @@ class Scorer:
         self.rows = dict(index)
         self.used = len(logs)
         self.logs = np.concatenate((logs, np.zeros((REMEMBERED, len(self.langs)), np.float32)))
+        if not self.langs:
+            return
         e = np.exp(self.logs - self.logs.max(1, keepdims=True))
         self.share = e / e.sum(1, keepdims=True)
 
@@ -117,7 +119,8 @@ class Scorer:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall(text.lower()) if text else []
-        if not self.langs or not any(map(str.isalpha, "".join(words[:1]) or "0")) and not any(c.isalpha() for w in words for c in w):
+        # the pattern also lets number signs such as a half through
+        if not self.langs or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
         total, shares, n = np.zeros(len(self.langs)), np.zeros(len(self.langs)), len(words)
         counts = Counter(words)
