@@ -30,10 +30,10 @@ NOTICES: tuple[tuple[str, str, str], ...] = (
     ("Apache-2.0", "apache 2.0", "Licensed under the Apache License, Version 2.0"),
     ("MIT", "mit", "Released under the MIT License"),
     ("MIT", "permission hereby granted free charge", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("GPL-3.0", "gnu general public 3", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-2.0", "gnu general public 2", "This work is licensed under the GNU General Public License, version 2"),
-    ("LGPL-3.0", "gnu lesser public 3", "This work is licensed under the GNU Lesser General Public License, version 3"),
-    ("AGPL-3.0", "gnu affero public 3", "This work is licensed under the GNU Affero General Public License, version 3"),
+    ("GPL-3.0", "gnu general public 3", "Licensed under the GNU General Public License, version 3"),
+    ("GPL-2.0", "gnu general public 2", "Licensed under the GNU General Public License, version 2"),
+    ("LGPL-3.0", "gnu lesser public 3", "Licensed under the GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0", "gnu affero public 3", "Licensed under the GNU Affero General Public License, version 3"),
     ("MPL-2.0", "mozilla public 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0"),
     ("BSD-3-Clause", "redistribution source binary", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("CC-BY-4.0", "cc by 4.0", "Licensed under CC BY 4.0"),

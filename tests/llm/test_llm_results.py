@@ -298,7 +298,7 @@ def test_license_notices(spark):
 def test_license_wording():
     name = lambda t: [(x[2], x[3]) for x in licenses.scan(t)]
     assert name("Released under the MIT license.") == [("MIT", 0)]
-    assert name("licensed  under the GNU General\tPublic License, version 2") in ([("GPL-2.0", 1)], [("GPL-2.0", 0)], [("GPL-2.0", 2)])
+    assert name("licensed  under the GNU General\tPublic License, version 2") == [("GPL-2.0", 0)]
     assert name("This work is licensed under the GNU General Public License, version 9") == []
     assert name("a driving license and a dog license") == []
     assert name("Licensed under CC BY-SA 4.0") == [("CC-BY-SA-4.0", 0)]
