@@ -42,7 +42,7 @@ from rankflow.llm.common import digest, prepare, runs, saved, text_rows
 
 LENGTH, GRAM = 400, 128
 #: distinct contexts of one anchor, and of a shard
-HOT, SHARD = 20_000, 20_000
+HOT, SHARD = 4_000, 3_000
 #: bytes hashed at a time, so that the arrays stay in the cache (a longer text is a block of its own)
 BLOCK = 192 << 10
 PRIME = np.uint64((1 << 31) - 1)

@@ -117,7 +117,7 @@ def copied_texts():
     return out + ["q" * 1300, "short", "", pool[0] * 3, out[0], "Z" * 399]
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
+@pytest.mark.parametrize("hot", [4_000, 2])
 def test_repeated_bytes(spark, hot):
     texts = copied_texts()
     want = brute_removed([t.encode() for t in texts], substrings.LENGTH)
@@ -365,7 +365,7 @@ def brute_spans(text):
         for m in pattern.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
             ok = {
-                "email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")),
+                "email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
                 "card": 12 <= len(digits) <= 19 and pii.luhn(digits), "phone": 9 <= len(digits) <= 15,
             }[kind]
             if ok:
