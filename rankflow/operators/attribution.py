@@ -100,7 +100,10 @@ def select_exposures(header: DataFrame, experiment_key: str, now: str, lookback_
 
 
 def exposed_items(header: DataFrame, items: DataFrame) -> DataFrame:
-    """Exposure header 1:N items (inner: pages without items add no item rows)."""
+    """Exposure header 1:N items (inner: pages without items add no item
+    rows). Items that already carry the header's fields need no join."""
+    if {"user_id", "generated_at", "experiment_key", "variant_key", "strategy_name"} <= set(items.columns):
+        return items
     h = header.select("exposure_id", "user_id", "generated_at", "variant_key", "strategy_name")
     return items.select("item_id", "exposure_id", "content_id", "created_at").join(h, "exposure_id")
 
@@ -146,8 +149,12 @@ def strategy_comparison(
     """T1..T6: per-strategy exposure denominators, attributed outcomes and
     rates, ordered by (variant_key, strategy_name)."""
     h = select_exposures(header, experiment_key, now, lookback_hours)
+    if "experiment_key" in items.columns:
+        items = select_exposures(items, experiment_key, now, lookback_hours)
     it = exposed_items(h, items)
-    flags = item_outcomes(attribute(outcomes, it))
+    # Nothing before the first selected exposure can be credited to one
+    since = h.agg(F.min("generated_at").alias("since")).scalar()
+    flags = item_outcomes(attribute(outcomes.filter(F.col("event_timestamp") >= since), it))
     per_item = it.join(flags, "item_id", "left").groupBy("strategy_name").agg(
         F.count("*").alias("item_exposures"),
         F.coalesce(F.sum("clicked"), F.lit(0)).cast("long").alias("clicks"),

@@ -25,38 +25,17 @@ from .features import attach_features
 
 # rows of the global pool, a structural bound independent of the data
 POOL_MAX_ROWS = C.RECENT_LIMIT + C.TRENDING_SOURCE_LIMIT + len(C.TOPICS) * C.TOPIC_CANDIDATE_LIMIT
-BROADCAST_MAX_ROWS = 1_000_000
 OTHER_TOPIC = ""
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row bound (known from the plan, e.g. a
-    limit) is small; beyond that the join falls back to a shuffle join."""
-    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
-
-
-def top_k_per_group(
-    df: DataFrame, group_cols: list[str], order: list[Column], k: int, salt_buckets: int = 0, salt_col: str | None = None
-) -> DataFrame:
+def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k: int) -> DataFrame:
     """Top ``k`` rows per group (``_rank`` 1..k).
 
     ``row_number() <= k`` is planned with a partial ``WindowGroupLimit``
     before the exchange, so every map task sends at most ``k`` rows per group:
-    a hot group shuffles ``k x tasks`` rows, not its size. ``salt_buckets``
-    adds an explicit first stage per (group, salt) for engines without that
-    rule."""
-    src = df
-    if salt_buckets:
-        salt = F.abs(F.xxhash64(F.col(salt_col) if salt_col else F.struct(*df.columns))) % F.lit(salt_buckets)
-        w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order)
-        src = (
-            df.withColumn("_salt", salt)
-            .withColumn("_r1", F.row_number().over(w1))
-            .filter(F.col("_r1") <= k)
-            .drop("_r1", "_salt")
-        )
-    w2 = Window.partitionBy(*group_cols).orderBy(*order)
-    return src.withColumn("_rank", F.row_number().over(w2)).filter(F.col("_rank") <= k)
+    a hot group shuffles ``k x tasks`` rows, not its size."""
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k)
 
 
 # ------------------------------------------------------------------ R1..R3
@@ -140,7 +119,7 @@ POOL_ITEMS_MAX_ROWS = C.TRENDING_SEED_LIMIT + len(C.TOPICS) * C.TOPIC_CANDIDATE_
 def pool_items(content: DataFrame) -> DataFrame:
     """The items any pool can draw from: the 100 most recent published
     (global top-k, a TakeOrderedAndProject) and the 20 most recent per topic
-    (two-stage top-k, hot-topic safe). At most 100 + 5 * 20 rows."""
+    (limited before the shuffle). At most 100 + 5 * 20 rows."""
     cols = ["content_id", "title", "topic", "category", "published_at", "created_at"]
     published = content.filter(F.col("status") == "published").select(*cols)
     seed = published.orderBy(*_recency_order()).limit(C.TRENDING_SEED_LIMIT).select(
@@ -148,7 +127,6 @@ def pool_items(content: DataFrame) -> DataFrame:
     )
     per_topic = top_k_per_group(
         published.filter(F.col("topic").isin(*C.TOPICS)), ["topic"], _recency_order(), C.TOPIC_CANDIDATE_LIMIT,
-        salt_col="content_id",
     ).select(*cols, F.lit(0).alias("in_seed"), F.lit(1).alias("in_topic"))
     return seed.unionByName(per_topic).groupBy("content_id").agg(
         *[F.max(c).alias(c) for c in cols[1:]],  # one value per item: deterministic pick
@@ -191,7 +169,7 @@ def pool_key_filter(events: DataFrame, items: DataFrame) -> DataFrame:
     """Events of pool items only: a semi-join to at most
     ``POOL_ITEMS_MAX_ROWS`` keys, broadcast, applied before any shuffle, so
     the feature aggregate for the feed touches only the pool's events."""
-    return events.join(bounded_broadcast(items.select("content_id"), POOL_ITEMS_MAX_ROWS), "content_id", "left_semi")
+    return events.join(F.broadcast(items.select("content_id")), "content_id", "left_semi")
 
 
 # ------------------------------------------------------------------ R7, R8
@@ -215,7 +193,7 @@ def generate(user_rows: DataFrame, pool: DataFrame) -> DataFrame:
     p = pool.withColumn(
         "topic_key", F.when(F.col("topic").isin(*C.TOPICS), F.col("topic")).otherwise(F.lit(OTHER_TOPIC))
     )
-    joined = u.join(bounded_broadcast(p, POOL_MAX_ROWS), "topic_key")
+    joined = u.join(F.broadcast(p), "topic_key")
     sources = F.array_compact(
         F.array(
             F.when(F.col("in_recent") == 1, F.lit("recent")),

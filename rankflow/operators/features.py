@@ -1,8 +1,9 @@
 """Rolling ranking features.
 
-Counts are a static pivot: one ``count_if`` per metric inside a single
-hash aggregate, so a content that carries a third of all events is reduced
-map-side before the shuffle (partial + final aggregate).
+Counts are a static pivot: one ``count_if`` per metric inside a hash
+aggregate, so a content that carries a third of all events is reduced
+map-side before the shuffle (partial + final aggregate). The latest topic
+comes from a second, small aggregate over the topics of each key.
 
 The window is ``(as_of - window_hours, as_of]``; ``as_of`` is always a
 parameter so results are reproducible.
@@ -62,13 +63,21 @@ def dedupe_events(interactions: DataFrame, arrival: str | None = None) -> DataFr
 # ------------------------------------------------------------------ content
 def content_counts(interactions: DataFrame, as_of: str, window_hours: int = C.FEATURE_WINDOW_HOURS) -> DataFrame:
     """A1 + A5 + A6: per-content metric counts over the window, the latest
-    event time and the latest non-null event topic."""
+    event time and the latest non-null event topic (of equally late ones the
+    greatest)."""
     _check_window(window_hours)
     ev = interactions.filter(in_window("event_timestamp", as_of, window_hours))
-    return ev.groupBy("content_id").agg(
-        *metric_counts(),
-        F.max("event_timestamp").alias("last_event_at"),
-        F.expr("max_by(topic, struct(event_timestamp, event_id)) FILTER (WHERE topic IS NOT NULL)").alias("topic"),
+    return _counts_with_topic(ev, ["content_id"])
+
+
+def _counts_with_topic(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per key and topic (fixed-width buffers, so a hash aggregate over
+    the events), then the few topic rows of each key folded into one."""
+    per_topic = events.groupBy(*keys, "topic").agg(*metric_counts(), F.max("event_timestamp").alias("last_event_at"))
+    return per_topic.groupBy(*keys).agg(
+        *[F.sum(m).alias(m) for m in C.METRICS],
+        F.max("last_event_at").alias("last_event_at"),
+        F.expr("max_by(topic, struct(last_event_at, topic)) FILTER (WHERE topic IS NOT NULL)").alias("topic"),
     )
 
 
@@ -304,11 +313,7 @@ def daily_content_snapshots(interactions: DataFrame, window_hours: int = C.FEATU
         lambda s: (s - F.lit(w_us) < t) & (s >= t),
     )
     ev = interactions.select("*", F.explode(snaps).alias("_s_us"))
-    counts = ev.groupBy("content_id", "_s_us").agg(
-        *metric_counts(),
-        F.max("event_timestamp").alias("last_event_at"),
-        F.expr("max_by(topic, struct(event_timestamp, event_id)) FILTER (WHERE topic IS NOT NULL)").alias("topic"),
-    )
+    counts = _counts_with_topic(ev, ["content_id", "_s_us"])
     counts = counts.withColumn("snapshot_at", F.timestamp_micros("_s_us")).drop("_s_us")
     return with_content_rates(counts, "", window_hours, now_col="snapshot_at").drop("rate_out_of_bounds")
 

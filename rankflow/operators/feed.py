@@ -53,14 +53,15 @@ def build(
     profiles: DataFrame,
     now: str,
     window_hours: int = C.FEATURE_WINDOW_HOURS,
-    mode: str = "window",
+    mode: str = "auto",
     apply_diversity_penalty: bool = True,
     experiment_key: str = C.EXPERIMENT_KEY,
 ) -> DataFrame:
     """Ranked candidates of every user with score breakdown.
 
-    ``mode``: ``window`` (topic and category one to one), ``greedy``
-    (general, grouped pandas) or ``auto`` (checks the bounded pool).
+    ``mode``: ``auto`` (the default) takes the two-window form only when the
+    bounded pool's topics and categories are one to one and the general form
+    otherwise; ``window`` and ``greedy`` name one of them.
     """
     runtime = feat.affinity_map_pivot(interactions, now, window_hours)
     # assignment is a pure function of the user id: computed on the user rows
@@ -79,7 +80,7 @@ def build(
     candidates = cand.generate(rows, pool)
     scored = scoring.score(candidates, scoring.strategies_table(spark), now)
     if mode == "auto":
-        mode = "window" if rerank.topic_category_one_to_one(pool) else "greedy"
+        mode = "window" if rerank.topic_category_one_to_one(items) else "greedy"
     if mode == "greedy" and apply_diversity_penalty:
         ranked = rerank.rank_greedy(scored)
     else:

@@ -149,6 +149,5 @@ def recent_events(interactions: DataFrame, n: int = 10) -> DataFrame:
         ["session_id"],
         [F.col("event_timestamp").desc(), F.col("event_id").desc()],
         n,
-        salt_col="event_id",
     )
     return top.withColumnRenamed("_rank", "position")

@@ -42,23 +42,34 @@ def increase(log: DataFrame, by: Sequence[str], window: str = "15 minutes") -> D
 
 def quantile_exact(log: DataFrame, by: Sequence[str], value: str = "duration_seconds", q: float = 0.95) -> DataFrame:
     """Exact quantile with linear interpolation (the ``percentile`` /
-    ``quantile_cont`` definition) without holding a group's rows in one
-    task: rows are first counted per distinct value (partial aggregate), and
-    the two order statistics around ``q * (n - 1)`` are found on the
-    cumulative counts of the distinct values."""
-    counts = log.groupBy(*by, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.select(
-        *by, value, F.sum("_n").over(w).alias("_cum"), F.sum("_n").over(Window.partitionBy(*by)).alias("_total")
+    ``quantile_cont`` definition) without holding a group's rows in one task.
+
+    Rows are counted per value range first (a 64th of a power of two, so a few
+    thousand ranges per group at most); only the ranges that hold the two
+    order statistics around ``q * (n - 1)`` are then counted by value."""
+    part = F.when(F.col(value) > 0, F.floor(F.log2(value) * 64)).otherwise(F.when(F.col(value) == 0, -(1 << 20)).otherwise(-(1 << 21)))
+    rows = log.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), part.cast("long").alias("_part"))
+    ranges = rows.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    order = Window.partitionBy(*by).orderBy("_part")
+    ranges = ranges.select(
+        *by, "_part", (F.sum("_n").over(order) - F.col("_n")).alias("_below"), F.sum("_n").over(order).alias("_upto"),
+        F.sum("_n").over(Window.partitionBy(*by)).alias("samples"),
     )
-    pos = F.lit(q) * (F.col("_total") - 1)
-    lo_i, hi_i = F.floor(pos), F.ceil(pos)
+    pos = F.lit(q) * (F.col("samples") - 1)
+    lo_i, hi_i = F.floor(pos) + 1, F.ceil(pos) + 1
+    holds = lambda i: (F.col("_below") < i) & (i <= F.col("_upto"))
+    aimed = ranges.filter(holds(lo_i) | holds(hi_i)).drop("_upto")
+    cond = [F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}")) for c in [*by, "_part"]]
+    near = rows.alias("r").join(aimed.alias("a"), cond).select(*[f"r.{c}" for c in [*by, "_part", "_v"]], "_below", "samples")
+    counts = near.groupBy(*by, "_part", "_below", "samples", "_v").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("_cum", F.col("_below") + F.sum("_n").over(w))
     agg = cum.groupBy(*by).agg(
-        F.min(F.when(F.col("_cum") >= lo_i + 1, F.col(value))).alias("_lo"),
-        F.min(F.when(F.col("_cum") >= hi_i + 1, F.col(value))).alias("_hi"),
-        F.max("_total").alias("samples"),
+        F.min(F.when(F.col("_cum") >= lo_i, F.col("_v"))).alias("_lo"),
+        F.min(F.when(F.col("_cum") >= hi_i, F.col("_v"))).alias("_hi"),
+        F.max("samples").alias("samples"),
     )
-    frac = F.lit(q) * (F.col("samples") - 1) - F.floor(F.lit(q) * (F.col("samples") - 1))
+    frac = pos - F.floor(pos)
     return agg.select(*by, (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).alias("_q"), "samples")
 
 

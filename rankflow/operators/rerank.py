@@ -7,14 +7,14 @@ Greedy selection repeatedly takes the candidate with the highest
 * ``rank_window``: when topic and category map one to one, the penalty of
   the j-th item of its topic is a function of j alone, so greedy equals two
   window functions over the user's partition (no Python).
-* ``rank_greedy``: the general case, one ``applyInPandas`` call per user;
+* ``rank_greedy``: the general case, one ``applyInArrow`` call per user;
   a user's candidate list is bounded (40 + 20 + 3 * 20 = 120 items), and the
   loop only compares the head of each (topic, category) group per step.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,18 +64,14 @@ def topic_category_one_to_one(items: DataFrame) -> bool:
     return (t or 0) <= 1 and (c or 0) <= 1
 
 
-def _greedy_order(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Greedy diversity order of one user's candidates."""
-    n = len(pdf)
-    if n == 0:
-        return pdf.assign(diversity_penalty=[], score=[], rank=[])
-    base = pdf["base_score"].astype(float).tolist()
-    # publication time as int64 nanoseconds; a missing time (NaT) becomes
-    # the minimum, i.e. it sorts below every real time
-    pub = pd.to_datetime(pdf["published_at"]).to_numpy(dtype="datetime64[ns]").astype("int64").tolist()
-    ids = [str(x) for x in pdf["content_id"]]
-    topics = pdf["topic"].tolist()
-    cats = pdf["category"].tolist()
+def _greedy_order(t: pa.Table) -> pa.Table:
+    """One user's rows with penalty, score and rank in greedy diversity order."""
+    n = t.num_rows
+    base = t.column("base_score").to_pylist()
+    # a missing publication time sorts below every real time
+    pub = [-(1 << 63) if x is None else x for x in t.column("published_at").cast(pa.int64()).to_pylist()]
+    ids = [str(x) for x in t.column("content_id").to_pylist()]
+    topics, cats = t.column("topic").to_pylist(), t.column("category").to_pylist()
     # groups share a penalty at every step: keep each group's items in
     # (base, published, id) descending order and compare only group heads
     groups: dict[tuple, list[int]] = {}
@@ -110,28 +106,24 @@ def _greedy_order(pdf: pd.DataFrame) -> pd.DataFrame:
         penalty[i] = best_pen
         final[i] = best[0]
         rank[i] = step
-    return pdf.assign(diversity_penalty=penalty, score=final, rank=rank)
-
-
-GREEDY_INPUT = ("content_id", "topic", "category", "base_score", "published_at")
+    for name, values, kind in (
+        ("diversity_penalty", penalty, pa.float64()), ("score", final, pa.float64()), ("rank", rank, pa.int32())
+    ):
+        t = t.append_column(name, pa.array(values, kind))
+    return t
 
 
 def rank_greedy(scored: DataFrame, key: str = "user_id") -> DataFrame:
-    """K9 general form: grouped pandas per user (bounded group).
+    """K9 general form: one Arrow table per user (a bounded group) in and out.
 
-    Only the columns the greedy loop reads cross into Python; the result
-    (penalty, score, rank per item) is joined back on (user, item). Both
-    sides keep the user partitioning, so the join needs no shuffle."""
-    narrow = scored.select(key, *GREEDY_INPUT)
+    Whole rows go through, so the scored candidates are computed once and
+    nothing is joined back; the grouping reuses the user partitioning."""
     schema = T.StructType(
-        list(narrow.schema.fields)
+        list(scored.schema.fields)
         + [
             T.StructField("diversity_penalty", T.DoubleType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("rank", T.IntegerType()),
         ]
     )
-    ranks = narrow.groupBy(key).applyInPandas(_greedy_order, schema).select(
-        key, "content_id", "diversity_penalty", "score", "rank"
-    )
-    return scored.join(ranks, [key, "content_id"])
+    return scored.groupBy(key).applyInArrow(_greedy_order, schema)

@@ -43,9 +43,14 @@ def _id_invalid(df: DataFrame, name: str) -> Column:
 def interactions(df: DataFrame, now: str | None = None, raw_json_col: str | None = None) -> DataFrame:
     """V1-V5 (+ V7 topic check up front). Normalizes session (trim, empty ->
     null) and topic (trim, lower, empty -> null), applies defaults and adds
-    ``errors``. With ``raw_json_col`` unknown top-level keys are reported."""
+    ``errors``; lengths are measured after trimming. With ``raw_json_col``
+    unknown top-level keys are reported, and values of a wrong type (present
+    in the JSON but not parsed) are errors instead of taking the default."""
     cols = set(df.columns)
     out = df
+    mistyped = [c for c in ("watch_duration_seconds", "event_timestamp") if raw_json_col and c in cols]
+    wrong = {c: F.col(c).isNull() & F.get_json_object(F.col(raw_json_col), f"$.{c}").isNotNull() for c in mistyped}
+    out = out.withColumns({f"_bad_{c}": w for c, w in wrong.items()}) if wrong else out
     if "schema_name" not in cols:
         out = out.withColumn("schema_name", F.lit(C.INTERACTION_SCHEMA_NAME))
     out = out.withColumn("schema_name", F.coalesce("schema_name", F.lit(C.INTERACTION_SCHEMA_NAME)))
@@ -55,8 +60,6 @@ def interactions(df: DataFrame, now: str | None = None, raw_json_col: str | None
         out = out.withColumn("event_timestamp", F.coalesce("event_timestamp", ts_lit(now)))
     if "metadata" in cols and isinstance(df.schema["metadata"].dataType, T.MapType):
         out = out.withColumn("metadata", F.coalesce("metadata", F.create_map().cast(df.schema["metadata"].dataType)))
-    raw_topic = F.col("topic")
-    out = out.withColumn("_raw_topic_len", F.length(raw_topic)).withColumn("_raw_session_len", F.length("session_id"))
     out = out.withColumn("session_id", blank_to_null("session_id")).withColumn("topic", slug("topic"))
     checks = [
         (F.col("schema_name") != C.INTERACTION_SCHEMA_NAME, "schema_name_invalid"),
@@ -65,8 +68,8 @@ def interactions(df: DataFrame, now: str | None = None, raw_json_col: str | None
         (_id_invalid(out, "content_id"), "content_id_invalid"),
         (F.col("event_type").isNull() | ~F.col("event_type").isin(*C.EVENT_TYPES), "event_type_unknown"),
         (~F.col("watch_duration_seconds").between(0, C.MAX_WATCH_SECONDS), "watch_duration_out_of_range"),
-        (F.col("_raw_session_len") > C.MAX_SESSION_CHARS, "session_id_too_long"),
-        (F.col("_raw_topic_len") > C.MAX_TOPIC_CHARS, "topic_too_long"),
+        (F.length("session_id") > C.MAX_SESSION_CHARS, "session_id_too_long"),
+        (F.length("topic") > C.MAX_TOPIC_CHARS, "topic_too_long"),
         ((F.col("event_type") == "watch_complete") & (F.col("watch_duration_seconds") <= 0), "watch_complete_without_duration"),
         (F.col("topic").isNotNull() & ~F.col("topic").isin(*C.TOPICS), "topic_unsupported"),
         (F.col("event_timestamp").isNull(), "event_timestamp_missing"),
@@ -74,7 +77,8 @@ def interactions(df: DataFrame, now: str | None = None, raw_json_col: str | None
     if raw_json_col:
         extra = F.array_except(F.json_object_keys(F.col(raw_json_col)), F.array(*[F.lit(k) for k in INTERACTION_FIELDS]))
         checks.append((F.size(extra) > 0, "unknown_fields"))
-    return out.withColumn("errors", errors_of(*checks)).drop("_raw_topic_len", "_raw_session_len")
+    checks += [(F.col(f"_bad_{c}"), f"{c}_invalid") for c in mistyped]
+    return out.withColumn("errors", errors_of(*checks)).drop(*[f"_bad_{c}" for c in mistyped])
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,14 +94,23 @@ def dead_letters(
     source_topic: str = "interactions.events.v1",
     attempts: int = 1,
     payload_cols: Sequence[str] | None = None,
+    error_type: str = "validation_error",
 ) -> DataFrame:
-    """Dead-letter envelope for the invalid rows."""
+    """Dead-letter envelope for the rows with errors: where the record
+    came from, its headers and trace ids, what failed and the payload."""
     bad = validated.filter(F.size("errors") > 0)
     cols = set(bad.columns)
     payload = [c for c in (payload_cols or INTERACTION_FIELDS) if c in cols]
 
     def opt(name: str, dtype: str) -> Column:
-        return F.col(name) if name in cols else F.lit(None).cast(dtype)
+        """An envelope field under its stream name or its bare one."""
+        found = next((c for c in (f"source_{name}", name) if c in cols), None)
+        return F.col(found).cast(dtype) if found else F.lit(None).cast(dtype)
+
+    headers = opt("headers", "array<struct<key: string, value: string>>")
+
+    def header(name: str) -> Column:
+        return F.try_element_at(F.filter(headers, lambda h: F.lower(h["key"]) == name), F.lit(1))["value"]
 
     return bad.select(
         F.lit(C.DEAD_LETTER_SCHEMA_NAME).alias("schema_name"),
@@ -106,8 +119,11 @@ def dead_letters(
         opt("partition", "int").alias("source_partition"),
         opt("offset", "long").alias("source_offset"),
         opt("key", "string").alias("source_key"),
+        headers.alias("headers"),
+        header("x-request-id").alias("request_id"),
+        header("x-correlation-id").alias("correlation_id"),
         F.lit(service).alias("failed_service"),
-        F.lit("validation_error").alias("error_type"),
+        F.lit(error_type).alias("error_type"),
         F.array_join("errors", "; ").alias("error_message"),
         F.to_json(F.struct(*payload)).alias("payload"),
         F.lit(int(max(attempts, 1))).alias("attempts"),

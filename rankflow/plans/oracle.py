@@ -11,6 +11,7 @@ from __future__ import annotations
 import itertools
 
 from .. import constants as C
+from ..sources.tables import LOG_TOPICS, OPERATIONS, SERVICES
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 T = "[" + ", ".join(f"'{t}'" for t in C.TOPICS) + "]"
@@ -117,7 +118,7 @@ content AS (
 
 
 USERS = """
-users AS (SELECT c_custkey AS user_id FROM customer WHERE c_custkey IN (SELECT user_id FROM events))"""
+users AS (SELECT c_custkey AS user_id FROM customer)"""
 
 TOPICS = "\ntopics AS (SELECT * FROM (VALUES " + ", ".join(f"({i + 1}, '{t}')" for i, t in enumerate(C.TOPICS)) + ") t(i, topic))"
 
@@ -364,6 +365,30 @@ ranked_nd AS (
     ]
 
 
+def greedy_ctes() -> str:
+    """K9 in general: each step of the recursion takes every user's best
+    remaining candidate; the row carries what was picked and how often each
+    topic and category was."""
+    zeros = "[" + ", ".join("0" for _ in C.TOPICS) + "]"
+    picked = lambda counts, of: f"p.{counts}[list_position({T}, g.{of})]"
+    raw = f"CAST({picked('tc', 'topic')} AS DOUBLE) * {dbl(C.DIVERSITY_TOPIC_PENALTY)} + CAST({picked('cc', 'category')} AS DOUBLE) * {dbl(C.DIVERSITY_CATEGORY_PENALTY)}"
+    more = lambda counts, of: f"list_transform({counts}, lambda x, i: x + CAST(i = list_position({T}, {of}) AS INTEGER))"
+    return f"""
+remaining AS (SELECT user_id, content_id, topic, category, base_score, published_at FROM scored),
+picks(user_id, step, content_id, diversity_penalty, score, taken, tc, cc) AS (
+  SELECT DISTINCT user_id, 0, CAST(NULL AS BIGINT), {dbl(0)}, {dbl(0)}, CAST([] AS BIGINT[]), {zeros}, {zeros} FROM remaining
+  UNION ALL
+  SELECT user_id, step + 1, content_id, pen, score, list_append(taken, content_id), {more('tc', 'topic')}, {more('cc', 'category')}
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, base_score DESC, published_at DESC NULLS LAST,
+                                 CAST(content_id AS VARCHAR) DESC) AS best
+    FROM (SELECT *, {r6('base_score - pen')} AS score
+          FROM (SELECT p.user_id, p.step, p.taken, p.tc, p.cc, g.content_id, g.topic, g.category, g.base_score, g.published_at,
+                       {r6(f'least({raw}, {dbl(C.MAX_DIVERSITY_PENALTY)})')} AS pen
+                FROM picks p JOIN remaining g ON g.user_id = p.user_id AND NOT list_contains(p.taken, g.content_id)) a) b) c
+  WHERE best = 1)"""
+
+
 RANKED_COLS = (
     "user_id, content_id, topic, category, array_to_string(sources, ',') AS candidate_sources, "
     "user_topic_affinity, strategy_name, base_score, diversity_penalty, score, rank"
@@ -408,7 +433,7 @@ validated0 AS (
   SELECT schema_name, event_id, event_type, user_id, content_id,
          nullif(trim(session_id), '') AS session_id, nullif(lower(trim(topic)), '') AS topic,
          CAST(coalesce(watch_duration_seconds, 0) AS INTEGER) AS watch_duration_seconds, event_timestamp, ingest_seq,
-         length(topic) AS _tl, length(session_id) AS _sl
+         length(trim(topic)) AS _tl, length(trim(session_id)) AS _sl
   FROM dirty),
 validated AS (
   SELECT * EXCLUDE (_tl, _sl),
@@ -445,9 +470,11 @@ def page_items(limit: int = C.PAGE_DEFAULT_LIMIT) -> str:
 
 
 def _ops_log() -> str:
-    return """
+    pick = lambda names, by: "[" + ", ".join(f"'{n}'" for n in names) + f"][({by}) % {len(names)} + 1]"
+    return f"""
 oplog AS (
-  SELECT ts, 'feature-processor' AS service, 'consume' AS operation, 'interactions.events.v1' AS topic,
+  SELECT ts, {pick(SERVICES, 'event_id')} AS service, {pick(OPERATIONS, 'event_id // 3')} AS operation,
+         {pick(LOG_TOPICS, 'event_id // 7')} AS topic,
          CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS outcome,
          value / CAST(100.0 AS DOUBLE) AS duration_seconds
   FROM events)"""
@@ -555,6 +582,11 @@ QUALIFY row_number() OVER (PARTITION BY metric ORDER BY value DESC, variant_key,
     )
     q["ranked_feed"] = _feed(f"SELECT {RANKED_COLS} FROM ranked")
     q["ranked_feed_no_diversity"] = _feed(f"SELECT {RANKED_COLS} FROM ranked_nd")
+    cols = RANKED_COLS.replace("diversity_penalty, score, rank", "k.diversity_penalty, k.score, CAST(k.step AS INTEGER) AS rank")
+    q["ranked_feed_general"] = with_(*feed_ctes(general_category=True), greedy_ctes()).replace("WITH ", "WITH RECURSIVE ", 1) + (
+        f"SELECT {cols} FROM scored JOIN (SELECT user_id, content_id, diversity_penalty, score, step FROM picks WHERE step > 0) k "
+        "USING (user_id, content_id)"
+    )
     q["feed_pages"] = page_sql(0, C.PAGE_DEFAULT_LIMIT, True)
     q["feed_pages_second"] = page_sql(C.PAGE_DEFAULT_LIMIT, C.PAGE_DEFAULT_LIMIT, False)
     q["ranking_decisions"] = _feed(f"""
@@ -608,6 +640,26 @@ latest_ev AS (
   QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_seq DESC) = 1)""",
         content_features_cte(C.FEATURE_WINDOW_MAX_HOURS, "cf", "latest_ev"),
     ) + "SELECT * FROM cf"
+    uuid = lambda c: f"printf('00000000-0000-0000-0000-%012d', {c})"
+    q["stream_dirty_features"] = with_(
+        INTERACTIONS, DIRTY, """
+latest_ev AS (
+  SELECT * FROM validated WHERE errors = ''
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_seq DESC) = 1)""",
+        content_features_cte(C.FEATURE_WINDOW_HOURS, "cf", "latest_ev"),
+    ) + f"""
+SELECT {uuid('content_id')} AS content_id, topic, {METRICS},
+       ctr, like_rate, save_rate, skip_rate, completion_rate, trending_score, last_event_at
+FROM cf"""
+    q["stream_dead_letters"] = with_(INTERACTIONS, DIRTY) + f"""
+SELECT {uuid('event_id')} AS event_id, 'validation_error' AS error_type, replace(errors, ';', '; ') AS error_message,
+       'interactions.events.v1' AS source_topic, CAST(user_id % 4 AS INTEGER) AS source_partition, ingest_seq AS source_offset,
+       CAST(user_id AS VARCHAR) AS source_key, concat('r', CAST(event_id AS VARCHAR)) AS request_id, 1 AS attempts
+FROM validated WHERE errors <> ''"""
+    q["stream_audit"] = with_(INTERACTIONS, DIRTY) + f"""
+SELECT {uuid('event_id')} AS event_id, event_type, {uuid('user_id')} AS user_id, {uuid('content_id')} AS content_id, topic, event_timestamp
+FROM validated WHERE errors = ''
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_seq) = 1"""
     q["duplicate_event_report"] = with_(INTERACTIONS, DIRTY) + """
 SELECT event_id, count(*) AS occurrences, 'duplicate_in_batch' AS violation, 'event_id' AS field
 FROM dirty GROUP BY event_id HAVING count(*) > 1"""
@@ -626,16 +678,17 @@ SELECT substr(sha256(name), 1, 32) AS tag_id, name FROM names ORDER BY name LIMI
 , acc AS (
   SELECT c.c_custkey AS user_id, c.c_name AS username,
          lower(replace(c.c_name, '#', '_')) || '@' || lower(c.c_mktsegment) || '.example' AS email
-  FROM customer c WHERE c.c_custkey IN (SELECT user_id FROM users))
+  FROM customer c)
 SELECT user_id, trim(username) AS username, lower(trim(email)) AS email,
        concat_ws(';',
          CASE WHEN NOT regexp_matches(trim(username), '{C.USERNAME_PATTERN}') THEN 'username_invalid' END,
          CASE WHEN NOT regexp_matches(lower(trim(email)), '{C.EMAIL_PATTERN}') THEN 'email_invalid' END) AS errors
 FROM acc"""
-    q["user_listing"] = """
+    q["user_listing"] = f"""
 WITH acc AS (
-  SELECT c.c_custkey AS user_id, lower(replace(c.c_name, '#', '_')) AS username, min(e.ts) AS created_at
-  FROM customer c JOIN events e ON c.c_custkey = e.user_id GROUP BY ALL)
+  SELECT c_custkey AS user_id, lower(replace(c_name, '#', '_')) AS username,
+         {AS_OF} - to_hours(CAST(c_custkey * 97 % 8760 + 1 AS BIGINT)) AS created_at
+  FROM customer)
 SELECT user_id, username, created_at, user_id % 10 <> 9 AS has_profile,
        CAST(CASE WHEN user_id % 10 <> 9 THEN 5 ELSE 0 END AS INTEGER) AS n_preferences
 FROM acc ORDER BY created_at DESC, CAST(user_id AS VARCHAR) DESC LIMIT 100"""
@@ -668,10 +721,10 @@ FROM assignments"""
 SELECT 'interactions.events.v1' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
        CAST(greatest(count(*) - count_if(ts <= TIMESTAMP '2024-01-30 00:00:00'), 0) AS BIGINT) AS lag
 FROM events GROUP BY ALL"""
-    q["service_availability"] = f"""
-SELECT 'feature-processor' AS service, max(ts) AS last_seen,
+    q["service_availability"] = with_(_ops_log()) + f"""
+SELECT service, max(ts) AS last_seen,
        CAST(epoch_us({AS_OF}) - epoch_us(max(ts)) AS DOUBLE) / {dbl(1_000_000)} <= 300 AS up
-FROM events"""
+FROM oplog GROUP BY service"""
     page = page_items()
     q["observed_affinity"] = _feed(
         """

@@ -21,7 +21,7 @@ from ..operators import attribution as attr
 from ..operators import candidates as cand
 from ..operators import catalog, experiments, feed, ingest, insights, ops, validate
 from ..operators import features as feat
-from ..session import configure, materialize
+from ..session import configure
 
 AS_OF = S.AS_OF
 FULL_SPAN_HOURS = C.FEATURE_WINDOW_MAX_HOURS  # 720 h covers the whole event table
@@ -81,21 +81,19 @@ def q_experiment_assignments(spark, sf):
 def _exposures(spark, sf):
     """Header and items of the hour pages (F5) with the user's variant."""
     it = _it(spark, sf)
-    items = S.exposure_items(it)
-    # exposures are stored tables in production; the projection from events
-    # is cut here (reliable checkpoint) so the as-of join and the
-    # comparison's branches read it instead of re-deriving it
-    items = materialize(items.withColumn("created_at", F.col("generated_at")))
-    pages = items.groupBy("exposure_id", "user_id").agg(F.min("generated_at").alias("generated_at"))
-    # assignment is row-local on the page header (hash of the user id)
-    header = experiments.assign(pages, experiments.variants_table(spark)).withColumn("created_at", F.col("generated_at"))
-    return materialize(header), items, it
+    # assignment is row-local (hash of the user id), so the items carry the header's fields
+    items = experiments.assign(S.exposure_items(it), experiments.variants_table(spark)).withColumn(
+        "created_at", F.col("generated_at")
+    )
+    header = items.select(
+        "exposure_id", "user_id", "generated_at", "created_at", "experiment_key", "variant_key", "strategy_name"
+    ).distinct()
+    return header, items, it
 
 
 def q_exposure_items(spark, sf):
-    header, items, _ = _exposures(spark, sf)
-    h = header.select("exposure_id", "variant_key", "strategy_name")
-    return finalize(items.join(h, "exposure_id").select(
+    _, items, _ = _exposures(spark, sf)
+    return finalize(items.select(
         "exposure_id", "item_id", "user_id", "content_id", "generated_at", "variant_key", "strategy_name"
     ))
 
@@ -145,13 +143,13 @@ def q_candidate_pool(spark, sf):
     ))
 
 
-def _ranked_with_users(spark, sf, mode="window", diversity=True, general_category=False):
+def _ranked_with_users(spark, sf, mode="auto", diversity=True, general_category=False):
     it, users, content, profiles = _feed_inputs(spark, sf, general_category)
     ranked = feed.build(spark, users, it, content, profiles, AS_OF, C.FEATURE_WINDOW_HOURS, mode, diversity)
     return ranked, users
 
 
-def _ranked(spark, sf, mode="window", diversity=True, general_category=False):
+def _ranked(spark, sf, mode="auto", diversity=True, general_category=False):
     return _ranked_with_users(spark, sf, mode, diversity, general_category)[0]
 
 
@@ -318,39 +316,108 @@ def q_stream_replay_features(spark, sf):
     folder under the shared checkpoint directory, drained through the
     Structured Streaming features job, and the latest content vectors are
     read back (merge-on-read)."""
+    from ..sources import streams
+
+    root = _stream_root(spark)
+    records = _broker_values(_it(spark, sf))
+    records.select("value").write.mode("overwrite").text(f"{root}/in")
+    _drain(spark, streams.read_interactions(spark, source="json", path=f"{root}/in", max_records_per_trigger=STREAM_FILES), root)
+    return _latest_vectors(spark, root)
+
+
+#: files of a micro-batch
+STREAM_FILES = 8
+
+
+def _stream_root(spark) -> str:
     import uuid
 
     from ..session import checkpoint_dir
-    from ..sources import streams
-    from ..streaming import features_job
 
-    root = f"{checkpoint_dir(spark).rstrip('/')}/rankflow-stream-{uuid.uuid4().hex}"
-    it = _it(spark, sf)
-    records = it.select(
+    return f"{checkpoint_dir(spark).rstrip('/')}/rankflow-stream-{uuid.uuid4().hex}"
+
+
+def _broker_values(it: DataFrame, *others) -> DataFrame:
+    """Interactions as JSON records with UUID-form ids, beside ``others``."""
+    fields = [
         F.lit(C.INTERACTION_SCHEMA_NAME).alias("schema_name"),
         _uuid_text("event_id").alias("event_id"),
-        "event_type",
+        F.col("event_type"),
         _uuid_text("user_id").alias("user_id"),
         _uuid_text("content_id").alias("content_id"),
-        "session_id",
-        "topic",
-        "watch_duration_seconds",
+        F.col("session_id"),
+        F.col("topic"),
+        F.col("watch_duration_seconds"),
         F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
-    )
-    records.select(F.to_json(F.struct(*records.columns)).alias("value")).write.mode("overwrite").text(f"{root}/in")
-    stream = streams.read_interactions(spark, source="json", path=f"{root}/in")
+    ]
+    return it.select(F.to_json(F.struct(*fields)).alias("value"), *others)
+
+
+def _drain(spark, stream, root: str) -> None:
+    from ..streaming import features_job
+
     q = features_job.start(stream, f"{root}/out", C.FEATURE_WINDOW_HOURS, as_of=lambda _b: AS_OF,
                            trigger={"availableNow": True}, checkpoint=f"{root}/ckpt", query_name=None)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    latest = sinks.read_latest(spark, f"{root}/out/content_features_latest", ["content_id"])
+
+
+def _latest_vectors(spark, root: str) -> DataFrame:
+    latest = sinks.read_latest(
+        spark, f"{root}/out/content_features_latest", ["content_id"], as_of=AS_OF, window_hours=C.FEATURE_WINDOW_HOURS
+    )
     return finalize(latest.select(
         "content_id", "topic", *C.METRICS, "ctr", "like_rate", "save_rate", "skip_rate", "completion_rate",
         "trending_score", "last_event_at",
     ))
 
 
+def _drained_dirty(spark, sf) -> str:
+    """The defective interactions (F7) as broker records in several
+    micro-batches: every second copy of an id arrives in a later one."""
+    from ..sources import streams
+
+    root = _stream_root(spark)
+    dirty = _dirty(spark, sf)
+    copy = F.col("ingest_seq") - F.col("event_id") * 4
+    records = _broker_values(
+        dirty, F.col("user_id").cast("string").alias("key"), F.lit("interactions.events.v1").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"), F.col("ingest_seq").alias("offset"), F.col("event_timestamp").alias("timestamp"),
+        F.array(F.struct(F.lit("x-request-id").alias("key"), F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("value"))).alias("headers"),
+        (F.col("event_id") % 2 + F.when(copy > 0, 1).otherwise(0)).cast("int").alias("step"),
+    )
+    for step in range(3):
+        part = records.filter(F.col("step") == step).drop("step")
+        part.repartition(STREAM_FILES).write.mode("append").parquet(f"{root}/in")
+    _drain(spark, streams.read_interactions(spark, source="records", path=f"{root}/in", max_records_per_trigger=STREAM_FILES), root)
+    return root
+
+
+def q_stream_dirty_features(spark, sf):
+    """I1 + I2 + W1 + W4 through the stream: re-sent ids and defective records
+    in several micro-batches; the latest vectors count each id once, by its
+    last arrival."""
+    return _latest_vectors(spark, _drained_dirty(spark, sf))
+
+
+def q_stream_dead_letters(spark, sf):
+    """S5 + V14 through the stream: what was rejected, with its broker envelope."""
+    dead = spark.read.parquet(f"{_drained_dirty(spark, sf)}/out/dead_letters")
+    return dead.select(
+        "event_id", "error_type", "error_message", "source_topic", "source_partition", "source_offset", "source_key", "request_id", "attempts"
+    )
+
+
+def q_stream_audit(spark, sf):
+    """S2 + I1 + S13 through the stream: one audit row per accepted id (its
+    first arrival), read back from the stored payload."""
+    from ..sources import streams
+
+    audit = spark.read.parquet(f"{_drained_dirty(spark, sf)}/out/audit")
+    return finalize(streams.replay_audit(audit).select("event_id", "event_type", "user_id", "content_id", "topic", "event_timestamp"))
+
+
 # ------------------------------------------------------------------- catalog
 def q_content_listing(spark, sf):
     c = S.content(spark, sf)
@@ -590,6 +657,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dead_letters": q_dead_letters,
     "deduplicated_interactions": q_deduplicated_interactions,
     "stream_replay_features": q_stream_replay_features,
+    "stream_dirty_features": q_stream_dirty_features,
+    "stream_dead_letters": q_stream_dead_letters,
+    "stream_audit": q_stream_audit,
     "idempotent_counts": q_idempotent_counts,
     "duplicate_event_report": q_duplicate_event_report,
     "content_listing": q_content_listing,

@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ts_lit
+from ..functions import micros, ts_lit
 
 
 def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -25,19 +25,57 @@ def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in whatever file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def expire_partitions(spark: SparkSession, path: str, column: str, first_kept: str) -> list[str]:
+    """Drops the partitions of ``path`` whose ``column`` is below
+    ``first_kept`` (a date); returns what was dropped."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = []
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        name = s.getPath().getName()
+        if name.startswith(f"{column}=") and name.split("=", 1)[1] < first_kept:
+            fs.delete(s.getPath(), True)
+            old.append(name)
+    return sorted(old)
+
+
+EVENT_COLUMNS = ("event_id", "event_type", "user_id", "content_id", "topic", "event_timestamp", "arrival")
+
+
+def append_events(events: DataFrame, path: str, batch_id: int) -> None:
+    """What the rolling features read of every arrival, by event date and batch."""
+    out = events.select(*EVENT_COLUMNS, F.to_date("event_timestamp").alias("event_date"), F.lit(int(batch_id)).alias("batch_id"))
+    _overwrite_partitions(out, path, ["event_date", "batch_id"])
+
+
+def append_arrivals(events: DataFrame, path: str, batch_id: int, as_of: str) -> None:
+    """The ids of a batch and their order of arrival, by processing date."""
+    out = events.select("event_id", "arrival", F.to_date(ts_lit(as_of)).alias("arrival_date"), F.lit(int(batch_id)).alias("batch_id"))
+    _overwrite_partitions(out, path, ["arrival_date", "batch_id"])
+
+
 def append_audit(events: DataFrame, path: str, batch_id: int, created_at: str) -> None:
     """Immutable audit rows (normalized columns, metadata and whole
-    payload as JSON, created / published times) partitioned by event date."""
+    payload as JSON, created / published times, trace headers) partitioned by
+    event date and batch."""
     cols = [c for c in events.columns if c not in ("errors", "value")]
     out = events.select(
         *cols,
-        F.to_json(F.struct(*[c for c in cols if not c.startswith("source_")])).alias("event_payload"),
+        F.to_json(
+            F.struct(*[c for c in cols if not c.startswith("source_")]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+        ).alias("event_payload"),
         ts_lit(created_at).alias("created_at"),
         F.lit(None).cast("timestamp").alias("published_at"),
         F.to_date("event_timestamp").alias("event_date"),
         F.lit(int(batch_id)).alias("batch_id"),
     )
-    _overwrite_partitions(out, path, ["batch_id"])
+    _overwrite_partitions(out, path, ["event_date", "batch_id"])
 
 
 def to_keyed_json(df: DataFrame, key_col: str = "user_id", header_cols: dict[str, str] | None = None) -> DataFrame:
@@ -81,13 +119,34 @@ def upsert_latest(new_rows: DataFrame, path: str, batch_id: int) -> None:
     _overwrite_partitions(new_rows.withColumn("version", F.lit(int(batch_id))), path, ["version"])
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str], order_col: str = "updated_at") -> DataFrame:
-    """S7 / S8 read side: latest row per key over all versions (an aggregate:
-    partial ``max_by`` per key, no sort of the whole table)."""
+def read_latest(
+    spark: SparkSession,
+    path: str,
+    keys: list[str],
+    order_col: str = "updated_at",
+    as_of: str | None = None,
+    window_hours: int | None = None,
+) -> DataFrame:
+    """S7 / S8 read side: latest row per key over all versions (partial
+    ``max_by`` per key). With ``as_of`` and ``window_hours`` rows without an
+    event in the window ending at ``as_of`` are left out (W4): keys that no
+    batch has touched since, and the ones a batch emptied."""
     df = spark.read.parquet(path)
     others = [c for c in df.columns if c not in keys]
     order = F.struct(F.col(order_col), F.col("version"))
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*keys, "_r.*").drop("version")
+    out = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*keys, "_r.*").drop("version")
+    if as_of is None:
+        return out
+    since = F.timestamp_micros(micros(ts_lit(as_of)) - F.lit(int(window_hours or 0) * 3_600_000_000))
+    return out.filter(F.col("last_event_at") > since)
+
+
+def emptied(stored: DataFrame, touched: DataFrame, fresh: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
+    """Zero rows for stored keys that the touched ones no longer have events for."""
+    on = [c for c in touched.columns]
+    gone = stored.filter(F.col("last_event_at").isNotNull()).join(touched, on, "left_semi").join(fresh.select(*keys), keys, "left_anti")
+    zero = {c: F.lit(0).cast(fresh.schema[c].dataType) for c in metrics}
+    return gone.withColumns(zero | {"last_event_at": F.lit(None).cast("timestamp")}).select(*fresh.drop("updated_at").columns)
 
 
 def compact_latest(spark: SparkSession, path: str, out_path: str, keys: list[str], order_col: str = "updated_at") -> None:
@@ -114,7 +173,12 @@ def read_content_features(latest: DataFrame, items: DataFrame) -> DataFrame:
 
 
 __all__ = [
+    "append_arrivals",
     "append_audit",
+    "append_events",
+    "emptied",
+    "exists",
+    "expire_partitions",
     "to_keyed_json",
     "write_keyed",
     "write_dead_letters",

@@ -29,10 +29,16 @@ INTERACTION_RECORD = T.StructType(
 )
 
 
+BROKER_RECORD = (
+    "key string, value string, topic string, partition int, offset long, timestamp timestamp, "
+    "headers array<struct<key: string, value: string>>"
+)
+
+
 def parse_records(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse JSON values into columns; keep the envelope and the raw text."""
     parsed = raw.withColumn("record", F.from_json(F.col(value_col), INTERACTION_RECORD, {"mode": "PERMISSIVE"}))
-    envelope = [c for c in ("key", "topic", "partition", "offset", "timestamp") if c in raw.columns]
+    envelope = [c for c in ("key", "topic", "partition", "offset", "timestamp", "headers") if c in raw.columns]
     return parsed.select(
         *[F.col(c).alias(f"source_{c}") for c in envelope],
         F.col(value_col).alias("value"),
@@ -50,14 +56,18 @@ def read_interactions(
     max_records_per_trigger: int | None = None,
 ) -> DataFrame:
     """The interaction stream. ``source='kafka'`` subscribes to the topic
-    (needs the Kafka connector on the classpath); ``source='json'`` reads
-    JSON-lines files from ``path`` (one record per line, as the broker value)."""
+    (needs the Kafka connector on the classpath); ``source='records'`` reads
+    broker records with key, partition, offset and headers landed as parquet
+    files; ``source='json'`` reads JSON-lines files from ``path`` (one record
+    per line, as the broker value). ``max_records_per_trigger`` bounds a
+    micro-batch: records for Kafka, files for the file sources."""
     if source == "kafka":
         r = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
+            .option("includeHeaders", "true")
         )
         if max_records_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_records_per_trigger)
@@ -68,7 +78,14 @@ def read_interactions(
             "partition",
             "offset",
             "timestamp",
+            F.transform("headers", lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))).alias("headers"),
         )
+    elif source == "records":
+        # broker records landed as parquet files: the same envelope as Kafka's
+        r = spark.readStream.schema(BROKER_RECORD)
+        if max_records_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_records_per_trigger)
+        raw = r.parquet(path)
     elif source == "json":
         r = spark.readStream.format("text")
         if max_records_per_trigger:

@@ -19,20 +19,15 @@ from ..functions import micros, minus_hours, topic_at, ts_lit
 
 AS_OF = "2024-01-31 00:00:00"
 
-
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+# fixture values of the operations log
+SERVICES = ("feature-processor", "interaction-service", "ranking-service")
+OPERATIONS = ("consume", "publish")
+LOG_TOPICS = ("interactions.events.v1", "interactions.dead.v1")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Scan of one table. The relation (file listing, footer schema) is
-    resolved once per session and path; every use is still a fresh lazy scan
-    with its own pushed filters and pruned columns."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
-    df = _RELATIONS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _RELATIONS[key] = df
+    """Scan of one table, lazy, with its own pushed filters and pruned columns."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*columns) if columns else df
 
 
@@ -93,27 +88,22 @@ def content(spark: SparkSession, sf_dir: str, general_category: bool = False, as
 
 # ---------------------------------------------------------------- F3
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that produced at least one event (semi-join, no duplicates)."""
-    cust = table(spark, sf_dir, "customer", ["c_custkey"])
-    # distinct first: partial aggregation reduces the event column map-side,
-    # so the semi-join shuffles distinct ids, not one row per event
-    ev = table(spark, sf_dir, "events", ["user_id"]).distinct()
-    return cust.join(ev, cust.c_custkey == ev.user_id, "left_semi").select(F.col("c_custkey").alias("user_id"))
+    """Every customer: a user without events still has a profile, an assignment and a feed."""
+    return table(spark, sf_dir, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("user_id"))
 
 
 def user_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User rows for customers with events: username / email from the
-    customer name, ``created_at`` = the user's first event."""
+    """User rows, one per customer: username and email from the customer
+    name, ``created_at`` up to a year before the tables' end, by the key."""
     cust = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
-    first = table(spark, sf_dir, "events", ["user_id", "ts"]).groupBy("user_id").agg(F.min("ts").alias("created_at"))
-    j = cust.join(first, cust.c_custkey == first.user_id)
     uname = F.lower(F.regexp_replace("c_name", "#", "_"))
-    return j.select(
+    age_hours = (F.col("c_custkey") * 97) % 8760 + 1
+    return cust.select(
         F.col("c_custkey").alias("user_id"),
         uname.alias("username"),
         F.concat(uname, F.lit("@"), F.lower("c_mktsegment"), F.lit(".example")).alias("email"),
         F.col("c_name").alias("display_name"),
-        F.col("created_at").cast("timestamp").alias("created_at"),
+        F.timestamp_micros(micros(ts_lit(AS_OF)) - (age_hours * 3_600_000_000).cast("long")).alias("created_at"),
     )
 
 
@@ -219,13 +209,15 @@ def dirty_interactions(interactions_df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- F8
 def operations_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consumer log: one row per event; an ``error`` event is the one mapped
-    to ``skip`` in F1 and is logged as a failed consume."""
-    ev = table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    to ``skip`` in F1 and is logged as a failed consume. Service, operation
+    and topic vary with the event id."""
+    ev = table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
+    pick = lambda names, by: F.element_at(F.array(*[F.lit(n) for n in names]), (by % len(names) + 1).cast("int"))
     return ev.select(
         F.col("ts").cast("timestamp").alias("ts"),
-        F.lit("feature-processor").alias("service"),
-        F.lit("consume").alias("operation"),
-        F.lit("interactions.events.v1").alias("topic"),
+        pick(SERVICES, F.col("event_id")).alias("service"),
+        pick(OPERATIONS, F.floor(F.col("event_id") / 3)).alias("operation"),
+        pick(LOG_TOPICS, F.floor(F.col("event_id") / 7)).alias("topic"),
         F.when(F.col("event_type") == "error", F.lit("failure")).otherwise(F.lit("success")).alias("outcome"),
         (F.col("value") / F.lit(100.0)).alias("duration_seconds"),
     )

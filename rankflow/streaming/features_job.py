@@ -4,18 +4,22 @@ One streaming query: ``read -> parse -> foreachBatch(process_batch)``.
 Inside a micro-batch the batch operators are reused:
 
 1. validate (V1) and split; invalid rows and unparsable records go to the
-   dead-letter sink (S5, W7) at once;
-2. valid rows are appended to the audit / event store (S2), partitioned by
-   batch id;
+   dead-letter sink (S5, W7) with their envelope;
+2. of the valid rows, the first arrival of every id not seen before goes to
+   the audit table (S2, I1); what the features need of every arrival goes to
+   the event store, by event date and batch, and the ids with their order of
+   arrival to a narrow table beside it;
 3. the keys the batch touched (A13) are recomputed from the event store over
-   the window ending at ``as_of`` (A1..A11): the event store is read with a
-   partition-pruned time filter and semi-joined to the touched keys, and
-   duplicate event ids keep their last arrival (I2, W6);
-4. snapshots (S6) and the latest-value tables (S7, S8) are written.
+   the window ending at ``as_of`` (A1..A11). Only the window's dates are read;
+   an id counts by its last arrival, wherever in time that lies (I2, W6);
+4. snapshots (S6) and the latest-value tables (S7, S8) are written, with zero
+   rows for keys that lost their last event (W4), and dates older than twice
+   the window are dropped from the event store (W3).
 
 Every write is keyed by ``batch_id`` (partition overwrite / versioned
 merge), so a replayed batch after a failure rewrites the same files: the
-checkpoint only advances after ``process_batch`` returns (W6).
+checkpoint only advances after ``process_batch`` returns (W6). Steps 3 and 4
+are tried ``MAX_ATTEMPTS`` times; then the batch's rows are dead-lettered (W7).
 """
 
 from __future__ import annotations
@@ -33,10 +37,15 @@ from .. import constants as C
 from .. import sinks
 from ..functions import micros, ts_lit
 from ..operators import features as feat
-from ..operators import validate
+from ..operators import ingest, validate
 from ..session import checkpoint_dir
 
 
+#: windows that the event store keeps, and tries of a batch's features
+RETENTION_WINDOWS = 2
+MAX_ATTEMPTS = 3
+
+
 def _utc_now() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
@@ -49,13 +58,13 @@ def process_batch(
     as_of: Callable[[DataFrame], str] | None = None,
     service: str = "feature-processor",
 ) -> None:
-    spark = batch.sparkSession
     now = _utc_now()
     # the micro-batch feeds several writes: keep it (memory, spilling to
     # disk); a lost executor recomputes it from the replayable source
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     seq = [F.col(c) for c in ("source_partition", "source_offset") if c in batch.columns] or [F.monotonically_increasing_id()]
-    checked = validate.interactions(batch.withColumn("ingest_seq", F.struct(*seq)))
+    raw = "value" if "value" in batch.columns else None
+    checked = validate.interactions(batch.withColumn("ingest_seq", F.struct(*seq)), now=now, raw_json_col=raw)
     # unparsable records have no fields at all: make that explicit
     checked = checked.withColumn(
         "errors",
@@ -65,33 +74,78 @@ def process_batch(
     )
     valid = checked.filter(F.size("errors") == 0).drop("errors")
     invalid = checked.filter(F.size("errors") > 0)
+    payload = ["value", *validate.INTERACTION_FIELDS]
 
     sinks.write_dead_letters(
-        validate.dead_letters(invalid, service, now, payload_cols=["value", *validate.INTERACTION_FIELDS]),
-        os.path.join(root, "dead_letters"),
-        batch_id,
+        validate.dead_letters(invalid, service, now, payload_cols=payload), os.path.join(root, "dead_letters"), batch_id
     )
-    events_path = os.path.join(root, "events")
-    sinks.append_audit(valid.withColumn("arrival", F.struct(F.lit(int(batch_id)).alias("b"), F.col("ingest_seq").alias("s"))), events_path, batch_id, now)
+    arrivals = valid.withColumn("arrival", F.struct(F.lit(int(batch_id)).alias("b"), F.col("ingest_seq").alias("s")))
+    _append_audit(arrivals, os.path.join(root, "audit"), batch_id, now)
 
     t = as_of(valid) if as_of else now
-    lo = F.timestamp_micros(micros(ts_lit(t)) - F.lit(int(window_hours) * 3_600_000_000))
-    store = spark.read.parquet(events_path).filter(
-        (F.col("event_date") >= F.to_date(lo)) & (F.col("event_timestamp") > lo) & (F.col("event_timestamp") <= ts_lit(t))
-    )
-    latest_events = feat.dedupe_events(store, arrival="arrival")
+    sinks.append_events(arrivals, os.path.join(root, "events"), batch_id)
+    sinks.append_arrivals(arrivals, os.path.join(root, "arrivals"), batch_id, t)
+    for attempt in range(1, MAX_ATTEMPTS + 1):
+        try:
+            _update_features(valid, root, batch_id, t, window_hours)
+            break
+        except Exception as e:  # noqa: BLE001 - reported with the rows it concerns
+            if attempt == MAX_ATTEMPTS:
+                failed = valid.withColumn("errors", F.array(F.lit(f"{type(e).__name__}: {e}"[:1000])))
+                sinks.write_dead_letters(
+                    validate.dead_letters(failed, service, now, attempts=attempt, payload_cols=payload, error_type="processing_error"),
+                    os.path.join(root, "dead_letters_processing"), batch_id,
+                )
+    batch.unpersist()
 
-    touched_content = feat.touched_keys(valid, ["content_id"])
-    touched_users = feat.touched_keys(valid, ["user_id"])
-    content = feat.content_features(latest_events.join(touched_content, "content_id", "left_semi"), t, window_hours)
-    users = feat.user_topic_affinity(latest_events.join(touched_users, "user_id", "left_semi"), t, window_hours)
-    content = content.withColumn("updated_at", ts_lit(t))
-    users = users.withColumn("updated_at", ts_lit(t))
 
+def _append_audit(arrivals: DataFrame, path: str, batch_id: int, now: str) -> None:
+    """One audit row per id, for ever; only the id column of the stored rows is read."""
+    spark = arrivals.sparkSession
+    if sinks.exists(spark, path):
+        stored = spark.read.parquet(path).filter(F.col("batch_id") != int(batch_id)).select("event_id")
+        fresh = ingest.dedupe_new(arrivals, stored, "event_id", "ingest_seq")
+    else:
+        fresh = ingest.dedupe_first(arrivals, "event_id", "ingest_seq")
+    sinks.append_audit(fresh, path, batch_id, now)
+
+
+def current_events(spark: SparkSession, root: str, as_of: str, window_hours: int) -> DataFrame:
+    """Events of the window, each id by its last arrival (an id whose last
+    arrival lies outside the window does not count)."""
+    lo = F.timestamp_micros(micros(ts_lit(as_of)) - F.lit(int(window_hours) * 3_600_000_000))
+    store = spark.read.parquet(os.path.join(root, "events")).filter(
+        (F.col("event_date") >= F.to_date(lo)) & (F.col("event_date") <= F.to_date(ts_lit(as_of)))
+        & (F.col("event_timestamp") > lo) & (F.col("event_timestamp") <= ts_lit(as_of))
+    )
+    last = spark.read.parquet(os.path.join(root, "arrivals")).groupBy("event_id").agg(F.max("arrival").alias("last_arrival"))
+    return store.join(last, "event_id").filter(F.col("arrival") == F.col("last_arrival")).drop("last_arrival")
+
+
+def _update_features(valid: DataFrame, root: str, batch_id: int, t: str, window_hours: int) -> None:
+    spark = valid.sparkSession
+    current = current_events(spark, root, t, window_hours).persist(StorageLevel.MEMORY_AND_DISK)
+    made = []
+    for key, compute, name, keys, scores in (
+        ("content_id", feat.content_features, "content_features_latest", ["content_id"], [*feat.FEATURE_COLUMNS]),
+        ("user_id", feat.user_topic_affinity, "user_topic_affinity_latest", ["user_id", "topic"], ["affinity_score"]),
+    ):
+        touched = feat.touched_keys(valid, [key])
+        fresh = compute(current.join(touched, key, "left_semi"), t, window_hours)
+        path = os.path.join(root, name)
+        if sinks.exists(spark, path):
+            stored = sinks.read_latest(spark, path, keys)
+            fresh = fresh.unionByName(sinks.emptied(stored, touched, fresh, keys, [*C.METRICS, *scores]))
+        made.append(fresh.withColumn("updated_at", ts_lit(t)).persist(StorageLevel.MEMORY_AND_DISK))
+    content, users = made
     sinks.write_snapshots(content, users, root, t, batch_id)
     sinks.upsert_latest(content, os.path.join(root, "content_features_latest"), batch_id)
     sinks.upsert_latest(users, os.path.join(root, "user_topic_affinity_latest"), batch_id)
-    batch.unpersist()
+    for df in (current, content, users):
+        df.unpersist()
+    first_kept = (_dt.datetime.fromisoformat(t) - _dt.timedelta(hours=RETENTION_WINDOWS * window_hours)).date().isoformat()
+    sinks.expire_partitions(spark, os.path.join(root, "events"), "event_date", first_kept)
+    sinks.expire_partitions(spark, os.path.join(root, "arrivals"), "arrival_date", first_kept)
 
 
 def start(

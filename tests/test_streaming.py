@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rankflow import sinks
 from rankflow.operators import features as feat
+from rankflow.operators import validate
 from rankflow.sources import streams
 from rankflow.streaming import features_job
 
@@ -135,3 +136,83 @@ def test_late_event_adds_nothing_and_time_never_regresses(spark):
     latest = sinks.read_latest(spark, os.path.join(out, "content_features_latest"), ["content_id"]).collect()
     assert [r.clicks for r in latest] == [3]
     assert latest[0].last_event_at == dt.datetime(2026, 4, 8, 13, 30)
+
+
+def _drain(spark, src, out, ckpt, as_of):
+    stream = streams.read_interactions(spark, source="json", path=src, max_records_per_trigger=1)
+    q = features_job.start(stream, out, 24, as_of=as_of, trigger={"availableNow": True}, checkpoint=ckpt, query_name=None)
+    q.awaitTermination(180)
+    assert q.exception() is None
+
+
+def test_contract_of_records_ids_and_expiry(spark):
+    root = tempfile.mkdtemp(prefix="rankflow-contract-")
+    src, out, ckpt = (os.path.join(root, x) for x in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    blank = json.loads(_rec(40, "click", 1, 1, "ai", 5))
+    extra, text, none, long_topic = (dict(blank, event_id=EID % i) for i in (41, 42, 43, 44))
+    extra["colour"] = "red"
+    text["watch_duration_seconds"] = "abc"
+    del none["event_timestamp"]
+    long_topic["session_id"] = "s" * 250 + " " * 10
+    first = [_rec(30, "click", 2, 2, "ai", 10), _rec(31, "like", 2, 2, "ai", 10), _rec(32, "click", 3, 3, "ai", 10)]
+    with open(os.path.join(src, "1.json"), "w") as fh:
+        fh.write("\n".join([*first, *map(json.dumps, (extra, text, long_topic))]) + "\n")
+    _drain(spark, src, out, ckpt, lambda _b: AS_OF)
+    # the id 30 comes again, with a time outside the window: it no longer counts
+    with open(os.path.join(src, "2.json"), "w") as fh:
+        fh.write(_rec(30, "click", 2, 2, "ai", 30 * 60) + "\n")
+    _drain(spark, src, out, ckpt, lambda _b: AS_OF)
+
+    dead = {r.event_id: r.error_message for r in spark.read.parquet(os.path.join(out, "dead_letters")).collect()}
+    assert dead == {EID % 41: "unknown_fields", EID % 42: "watch_duration_seconds_invalid"}
+    audit = spark.read.parquet(os.path.join(out, "audit"))
+    assert sorted(r.event_id for r in audit.collect()) == sorted(EID % i for i in (30, 31, 32, 44))
+    path = os.path.join(out, "content_features_latest")
+    latest = {r.content_id: r for r in sinks.read_latest(spark, path, ["content_id"]).collect()}
+    assert (latest[CID % 2].clicks, latest[CID % 2].likes, latest[CID % 3].clicks) == (0, 1, 1)
+
+    # three days on: a touched key without events is emptied, an untouched one expires on reading,
+    # and dates before the retention are dropped
+    later = "2026-04-11 14:00:00"
+    with open(os.path.join(src, "3.json"), "w") as fh:
+        fh.write(_rec(50, "click", 2, 2, "ai", 10) + "\n")
+    _drain(spark, src, out, ckpt, lambda _b: later)
+    latest = {r.content_id: r for r in sinks.read_latest(spark, path, ["content_id"]).collect()}
+    assert (latest[CID % 2].likes, latest[CID % 2].last_event_at) == (0, None)
+    assert sinks.read_latest(spark, path, ["content_id"], as_of=later, window_hours=24).count() == 0
+    assert not [d for d in os.listdir(os.path.join(out, "events")) if d.startswith("event_date=") and d < "event_date=2026-04-09"]
+
+
+def test_missing_time_is_the_processing_time(spark):
+    rec = json.loads(_rec(60, "click", 1, 1, "ai", 5))
+    del rec["event_timestamp"]
+    wrong = dict(rec, event_id=EID % 61, event_timestamp="yesterday")
+    batch = streams.parse_records(spark.createDataFrame([(json.dumps(rec),), (json.dumps(wrong),)], "value string"))
+    got = {r.event_id: r for r in validate.interactions(batch, now=AS_OF, raw_json_col="value").collect()}
+    assert (got[EID % 60].errors, got[EID % 60].event_timestamp) == ([], dt.datetime(2026, 4, 8, 14))
+    assert got[EID % 61].errors == ["event_timestamp_invalid"]
+
+
+def test_dead_letters_carry_envelope_and_trace(spark):
+    raw = spark.createDataFrame(
+        [("k1", "{broken", "t", 3, 77, None, [("X-Request-Id", "r9"), ("x-correlation-id", "c9")])], streams.BROKER_RECORD
+    )
+    checked = streams.parse_records(raw).withColumn("errors", F.array(F.lit("malformed_record")))
+    (d,) = validate.dead_letters(checked, "svc", AS_OF).collect()
+    assert (d.source_key, d.source_partition, d.source_offset, d.request_id, d.correlation_id) == ("k1", 3, 77, "r9", "c9")
+
+
+def test_failing_features_dead_letter_the_batch(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="rankflow-fail-")
+    tries = []
+
+    def broken(*args):
+        tries.append(1)
+        raise ValueError("no features today")
+
+    monkeypatch.setattr(features_job, "_update_features", broken)
+    batch = streams.parse_records(spark.createDataFrame([(_rec(70, "click", 1, 1, "ai", 5),)], "value string"))
+    features_job.process_batch(batch, 0, root, 24, as_of=lambda _b: AS_OF)
+    (d,) = spark.read.parquet(os.path.join(root, "dead_letters_processing")).collect()
+    assert len(tries) == 3 and (d.event_id, d.attempts, d.error_type) == (EID % 70, 3, "processing_error")
