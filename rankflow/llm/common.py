@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rankflow.session import materialize, ship_code
 
 #: rows of an Arrow batch sent to a Python worker (whole texts can be long)
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 

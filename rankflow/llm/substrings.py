@@ -449,17 +449,17 @@ def removed(docs: DataFrame, length: int = LENGTH, hot: int = HOT, keep_text: bo
             out = []
             for i in range(b.num_rows):
                 data = (b.column("text")[i].as_py() or "").encode()
-                cut = b.column("cut")[i].as_py()
+                cut = b.column("cut")[i].values
                 n_spans = n_removed = 0
                 kept = data
-                if cut:
-                    edge = np.zeros(len(data) + 1, np.int64)
-                    np.add.at(edge, [c["lo"] for c in cut], 1)
-                    np.add.at(edge, [c["hi"] for c in cut], -1)
+                if cut is not None and len(cut):
+                    # numbers only: a monotonous text has a range at every byte
+                    lo, hi = (cut.field(c).to_numpy() for c in ("lo", "hi"))
+                    edge = np.bincount(lo, minlength=len(data) + 1) - np.bincount(hi, minlength=len(data) + 1)
                     gone = np.cumsum(edge[:-1]) > 0
                     n_spans, n_removed = len(runs(gone)[0]), int(gone.sum())
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                out.append((b.column("doc_id")[i].as_py(), len(data), n_removed, n_spans, digest(kept), kept))
+                out.append((b.column("doc_id")[i].as_py(), len(data), n_removed, n_spans, digest(kept), kept if keep_text else b""))
             cols = list(zip(*out)) or [()] * 6
             arrays = [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.string(), pa.binary()])]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
