@@ -184,8 +184,14 @@ def purge_subjects(table: DataFrame, subjects: DataFrame, alternatives: dict[str
 def append_content(existing: DataFrame, new: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
     """Validated new content with defaults (published_at only when
     published, zero engagement) appended; returns (table, rejected rows).
-    Title clashes with stored rows are reported as V16 violations."""
+    A title that repeats in the batch or is stored already rejects its rows (V16)."""
     v = validate.content(new)
+    # V16 on titles: within the batch and against the stored rows
+    repeated = v.groupBy("title").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("title").alias("_t"), F.lit(True).alias("_rep"))
+    stored = existing.select(F.trim("title").alias("_s")).distinct().withColumn("_old", F.lit(True))
+    v = v.join(repeated, F.col("title") == F.col("_t"), "left").join(stored, F.col("title") == F.col("_s"), "left")
+    clash = F.array_compact(F.array(F.when(F.col("_rep"), F.lit("title_duplicate")), F.when(F.col("_old"), F.lit("title_exists"))))
+    v = v.withColumn("errors", F.concat("errors", clash)).drop("_t", "_rep", "_s", "_old")
     ok = v.filter(F.size("errors") == 0).drop("errors")
     rejected = v.filter(F.size("errors") > 0)
     ok = (

@@ -98,6 +98,7 @@ def exposures_from_pages(pages: DataFrame, carry: tuple[str, ...] = ()) -> tuple
         "user_id",
         "feed_limit",
         "feed_offset",
+        *[c for c in ("session_id", "request_id", "correlation_id", "cache_hit") if c in pages.columns],
         "generated_at",
         F.col("generated_at").alias("created_at"),
     )

@@ -155,13 +155,24 @@ def decisions(ranked: DataFrame, generated_at: str) -> DataFrame:
     )
 
 
-def pages_for_exposure(pages: DataFrame, generated_at: str, session_col: str | None = None) -> DataFrame:
-    """E4 input: a page with its exposure id and generation time."""
+def pages_for_exposure(
+    pages: DataFrame, generated_at: str, session_col: str | None = None, correlation_id: str | None = None, cache_hit: bool = False
+) -> DataFrame:
+    """E4 input: a page with its exposure id, generation time, session,
+    request and correlation ids and whether the cache served it. Ids are
+    digests of the page's key, so a re-run records the same rows."""
     gen = ts_lit(generated_at)
-    return pages.withColumn(
-        "exposure_id",
-        F.sha2(F.concat_ws("|", F.col("user_id").cast("string"), F.lit(generated_at), F.col("feed_offset").cast("string")), 256),
-    ).withColumn("generated_at", gen)
+    key = F.concat_ws("|", F.col("user_id").cast("string"), F.lit(generated_at), F.col("feed_offset").cast("string"))
+    return pages.withColumns(
+        {
+            "exposure_id": F.sha2(key, 256),
+            "generated_at": gen,
+            "session_id": F.col(session_col).cast("string") if session_col else F.lit(None).cast("string"),
+            "request_id": F.sha2(F.concat_ws("|", F.lit("request"), key), 256),
+            "correlation_id": F.lit(correlation_id).cast("string"),
+            "cache_hit": F.lit(bool(cache_hit)),
+        }
+    )
 
 
 def write_feed_pages(pages: DataFrame, path: str, generated_at: str, ttl_seconds: int = C.FEED_CACHE_TTL_SECONDS) -> None:
@@ -176,7 +187,7 @@ def write_feed_pages(pages: DataFrame, path: str, generated_at: str, ttl_seconds
 
 
 def read_feed_pages(spark: SparkSession, path: str, now: str) -> DataFrame:
-    """S12 reader: the latest unexpired page per (user, limit, offset)."""
+    """S12 reader: the latest unexpired page per user, experiment, variant, limit and offset."""
     p = spark.read.parquet(path).filter(F.col("expires_at") > ts_lit(now))
-    w = Window.partitionBy("user_id", "feed_limit", "feed_offset").orderBy(F.col("generated_at").desc())
+    w = Window.partitionBy("user_id", "experiment_key", "variant_key", "feed_limit", "feed_offset").orderBy(F.col("generated_at").desc())
     return p.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -151,6 +151,14 @@ def lag_from_progress(progress_json: DataFrame, col: str = "json") -> DataFrame:
     )
 
 
+def flushes(snapshots: DataFrame, latest: DataFrame) -> DataFrame:
+    """Snapshot flushes, the last one, and the keys changed since (dirty)."""
+    done = snapshots.agg(F.countDistinct("batch_id").alias("flushes"), F.max("snapshot_at").alias("last_flush_at"))
+    since = snapshots.agg(F.max("snapshot_at")).scalar()
+    dirty = latest.filter(since.isNull() | (F.col("updated_at") > since)).agg(F.count("*").alias("dirty_keys"))
+    return done.withColumn("dirty_keys", dirty.scalar())
+
+
 def freshness(validated: DataFrame) -> DataFrame:
     """Processed / failed totals, last processed event, touched keys."""
     ok = F.size("errors") == 0

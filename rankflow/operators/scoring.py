@@ -112,10 +112,13 @@ def breakdown(penalty_col: str = "diversity_penalty", final_col: str = "score")
 
 
 def validate_candidates(candidates: DataFrame) -> DataFrame:
-    """Title 1..500, affinity in [0, 1], sources de-duplicated in order
-    (``array_distinct`` keeps first-seen order)."""
+    """Title 1..500, affinity in [0, 1], the feature vector's item is the
+    candidate's, sources de-duplicated in order (``array_distinct`` keeps
+    first-seen order)."""
+    vector = F.col("content_features")["content_id"] if "content_features" in candidates.columns else F.col("content_id")
     errors = F.array_compact(
         F.array(
+            F.when(vector.isNull() | (vector != F.col("content_id")), F.lit("features_of_another_item")),
             F.when(F.length(F.trim("title")).between(1, 500) == F.lit(False), F.lit("title_length")),
             F.when(~F.col("user_topic_affinity").between(0.0, 1.0), F.lit("affinity_out_of_range")),
             F.when(F.col("topic").isNull() | (F.trim("topic") == ""), F.lit("topic_empty")),

@@ -663,6 +663,94 @@ QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_seq) = 1"""
     q["duplicate_event_report"] = with_(INTERACTIONS, DIRTY) + """
 SELECT event_id, count(*) AS occurrences, 'duplicate_in_batch' AS violation, 'event_id' AS field
 FROM dirty GROUP BY event_id HAVING count(*) > 1"""
+    def maps(fixture, bad_score: str) -> str:
+        rows = ", ".join(f"({i}, '{k}', CAST({v} AS DOUBLE))" for i, pairs in enumerate(fixture) for k, v in pairs)
+        return with_(USERS) + f"""
+, entries AS (SELECT d, lower(trim(k)) AS k, v FROM (VALUES {rows}) t(d, k, v))
+SELECT user_id, string_agg(k, ',' ORDER BY k) AS topics,
+       concat_ws(';', CASE WHEN bool_or(k NOT IN {T_IN}) THEN 'topic_unsupported' END,
+                 CASE WHEN bool_or(v IS NULL OR {bad_score}) THEN '{"score_not_finite" if "isnan" in bad_score else "score_out_of_range"}' END) AS errors
+FROM users JOIN entries ON d = user_id % {len(fixture)} GROUP BY user_id"""
+
+    from .registry import AFFINITY_FIXTURE, PREFERENCE_FIXTURE
+
+    q["preference_validation"] = maps(PREFERENCE_FIXTURE, "v < 0 OR v > 1")
+    q["affinity_validation"] = maps(AFFINITY_FIXTURE, "isnan(v) OR isinf(v)")
+    q["content_validation"] = f"""
+WITH raw AS (
+  SELECT p_partkey AS content_id,
+         trim(CASE p_partkey % 7 WHEN 0 THEN '  ab  ' WHEN 1 THEN repeat('long ', 101) ELSE concat(' ', p_name, ' ') END) AS title,
+         nullif(trim(CASE p_partkey % 11 WHEN 0 THEN repeat('x', 2001) WHEN 1 THEN '   ' ELSE 'text' END), '') AS description,
+         lower(trim(CASE p_partkey % 13 WHEN 0 THEN NULL WHEN 1 THEN repeat('t', 101) ELSE ' AI ' END)) AS topic,
+         CASE WHEN p_partkey % 5 = 0 THEN 'sports' ELSE 'ai' END AS category,
+         coalesce(CASE p_partkey % 9 WHEN 0 THEN 'gone' WHEN 1 THEN NULL ELSE 'published' END, 'draft') AS status
+  FROM part)
+SELECT content_id, CAST(length(title) AS INTEGER) AS title_chars, description IS NULL AS no_description, topic, status,
+       concat_ws(';',
+         CASE WHEN NOT (length(title) BETWEEN 5 AND 500) THEN 'title_length' END,
+         CASE WHEN length(description) > 2000 THEN 'description_too_long' END,
+         CASE WHEN topic IS NULL OR length(topic) > 100 THEN 'topic_invalid' END,
+         CASE WHEN category NOT IN {T_IN} THEN 'category_unknown' END,
+         CASE WHEN status NOT IN ('draft', 'published') THEN 'status_unknown' END) AS errors
+FROM raw"""
+    q["tag_validation"] = """
+WITH raw AS (
+  SELECT p_partkey AS tag_id,
+         lower(trim(CASE p_partkey % 4 WHEN 0 THEN '   ' WHEN 1 THEN repeat('n', 256) ELSE concat('  ', upper(p_name)) END)) AS name
+  FROM part)
+SELECT tag_id, name, concat_ws(';', CASE WHEN NOT (length(name) BETWEEN 1 AND 255) THEN 'name_length' END,
+                               CASE WHEN tag_id % 6 = 0 THEN 'description_too_long' END) AS errors
+FROM raw"""
+    q["candidate_validation"] = """
+SELECT p_partkey AS content_id, 'trending,recent' AS candidate_sources,
+       concat_ws(';',
+         CASE WHEN p_partkey % 19 = 0 THEN 'features_of_another_item' END,
+         CASE WHEN p_partkey % 10 IN (0, 1) THEN 'title_length' END,
+         CASE WHEN p_partkey % 13 > 10 THEN 'affinity_out_of_range' END,
+         CASE WHEN p_partkey % 17 = 0 THEN 'topic_empty' END) AS errors
+FROM part"""
+    q["publish_outbox"] = f"""
+SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN ts WHEN event_id % 6 = 0 THEN {AS_OF} END AS published_at,
+       event_id % 3 = 0 AND event_id % 6 <> 0 AS pending
+FROM events"""
+    q["keyed_records"] = with_(INTERACTIONS) + """
+SELECT CAST(user_id AS VARCHAR) AS key,
+       concat('{"content_id":', content_id, ',"event_id":', event_id, ',"event_type":"', event_type, '","topic":"', topic,
+              '","user_id":', user_id, '}') AS value
+FROM interactions"""
+    pivot = ", ".join(f"max(affinity_score) FILTER (topic = '{t}') AS {t.replace('-', '_')}" for t in C.TOPICS)
+    q["affinity_map_read"] = with_(INTERACTIONS, user_topic_cte(C.FEATURE_WINDOW_HOURS)) + (
+        f"SELECT user_id, CAST(count(*) AS INTEGER) AS n_topics, {pivot} FROM ut GROUP BY user_id"
+    )
+    q["tag_resolution"] = with_(content_cte(), CONTENT_TAGS) + """
+, names AS (SELECT DISTINCT unnest(tags) AS name FROM content_tags),
+asked AS (
+  SELECT content_id, min(pos) AS pos, name
+  FROM (SELECT content_id, unnest([1, 2, 3, 4]) AS pos, unnest(['llm', 'none-' || CAST(content_id % 5 AS VARCHAR), topic, 'llm']) AS name FROM content)
+  GROUP BY content_id, name)
+SELECT a.content_id AS request_id, coalesce(string_agg(n.name, ',' ORDER BY pos), '') AS names,
+       CAST(count(*) FILTER (n.name IS NULL) AS INTEGER) AS unknown
+FROM asked a LEFT JOIN names n USING (name) GROUP BY a.content_id"""
+    q["content_intake"] = with_(content_cte()) + f"""
+, raw AS (
+  SELECT content_id + 10000000 AS content_id,
+         CASE WHEN content_id % 4 = 0 THEN title WHEN content_id % 4 = 1 THEN concat('repeated ', CAST(content_id // 40 AS VARCHAR))
+              ELSE concat('fresh item ', CAST(content_id AS VARCHAR)) END AS title
+  FROM content),
+checked AS (
+  SELECT *, concat_ws(';', CASE WHEN count(*) OVER (PARTITION BY title) > 1 THEN 'title_duplicate' END,
+                      CASE WHEN title IN (SELECT title FROM content) THEN 'title_exists' END) AS errors
+  FROM raw)
+SELECT content_id, title, CASE WHEN errors = '' THEN {AS_OF} END AS published_at, errors FROM checked"""
+    q["direct_attribution"] = with_(INTERACTIONS, EXPOSURES) + """
+SELECT o.event_id, o.event_type, e.exposure_id, e.item_id
+FROM outcomes o ASOF JOIN items e
+  ON o.user_id = e.user_id AND o.content_id = e.content_id AND o.event_timestamp >= e.generated_at
+WHERE o.event_id % 2 = 0"""
+    q["feed_page_cache"] = _feed(f"""
+SELECT user_id, any_value(experiment_key) AS experiment_key, any_value(variant_key) AS variant_key, count(*) AS total_candidates,
+       {AS_OF} AS generated_at, {AS_OF} + INTERVAL {C.FEED_CACHE_TTL_SECONDS} SECOND AS expires_at
+FROM ranked WHERE user_id % 5 <> 0 GROUP BY user_id""")
     order = _recency_order()
     q["content_listing"] = with_(content_cte()) + f"""
 , f AS (SELECT * FROM content WHERE category = 'backend' AND status = 'published')

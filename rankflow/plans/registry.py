@@ -19,7 +19,7 @@ from .. import sinks
 from .. import sources as S
 from ..operators import attribution as attr
 from ..operators import candidates as cand
-from ..operators import catalog, experiments, feed, ingest, insights, ops, validate
+from ..operators import catalog, experiments, feed, ingest, insights, ops, scoring, validate
 from ..operators import features as feat
 from ..session import configure
 
@@ -418,6 +418,175 @@ def q_stream_audit(spark, sf):
     return finalize(streams.replay_audit(audit).select("event_id", "event_type", "user_id", "content_id", "topic", "event_timestamp"))
 
 
+# ---------------------------------------------- intake rules and small tables
+def _scores(pairs) -> F.Column:
+    """A map literal from (key, score) pairs; a score may be null or a SQL number."""
+    entries = ", ".join(f"'{k}', CAST({v} AS DOUBLE)" for k, v in pairs)
+    return F.expr(f"map({entries})")
+
+
+# preference and affinity maps of the fixture, by user id % 6
+PREFERENCE_FIXTURE = (
+    ((" AI ", "0.5"), ("backend", "0.2")), (("cooking", "0.5"),), (("ai", "1.5"),), (("", "0.1"),), (("devops", "NULL"),),
+    (("ai", "0.0"), ("system-design", "1.0")),
+)
+AFFINITY_FIXTURE = (
+    (("AI", "12.5"), ("devops", "-3.0")), (("sport", "1.0"),), (("ai", "'NaN'"),), (("backend", "'Infinity'"),), (("  ", "1.0"),),
+    (("interview-prep", "0.0"),),
+)
+
+
+def _with_map(spark, sf, name, fixture) -> DataFrame:
+    which = F.col("user_id") % len(fixture)
+    col = F.lit(None)
+    for i, pairs in enumerate(fixture):
+        col = F.when(which == i, _scores(pairs)).otherwise(col)
+    return S.users(spark, sf).withColumn(name, col)
+
+
+def _map_report(v: DataFrame, name: str) -> DataFrame:
+    return v.select(
+        "user_id", F.array_join(F.array_sort(F.map_keys(name)), ",").alias("topics"), F.array_join("errors", ";").alias("errors")
+    )
+
+
+def q_preference_validation(spark, sf):
+    """V6 over every customer."""
+    return _map_report(validate.topic_preferences(_with_map(spark, sf, "topic_preferences", PREFERENCE_FIXTURE)), "topic_preferences")
+
+
+def q_affinity_validation(spark, sf):
+    """V7 over every customer."""
+    return _map_report(validate.topic_affinity(_with_map(spark, sf, "topic_affinity", AFFINITY_FIXTURE)), "topic_affinity")
+
+
+def _parts(spark, sf) -> DataFrame:
+    return S.table(spark, sf, "part", ["p_partkey", "p_name"])
+
+
+def q_content_validation(spark, sf):
+    """V8 over the catalog with a defect in every field."""
+    raw = _parts(spark, sf).selectExpr(
+        "p_partkey AS content_id",
+        "CASE p_partkey % 7 WHEN 0 THEN '  ab  ' WHEN 1 THEN repeat('long ', 101) ELSE concat(' ', p_name, ' ') END AS title",
+        "CASE p_partkey % 11 WHEN 0 THEN repeat('x', 2001) WHEN 1 THEN '   ' ELSE 'text' END AS description",
+        "CASE p_partkey % 13 WHEN 0 THEN NULL WHEN 1 THEN repeat('t', 101) ELSE ' AI ' END AS topic",
+        "CASE WHEN p_partkey % 5 = 0 THEN 'sports' ELSE 'ai' END AS category",
+        "CASE p_partkey % 9 WHEN 0 THEN 'gone' WHEN 1 THEN NULL ELSE 'published' END AS status",
+    )
+    return validate.content(raw).select(
+        "content_id", F.length("title").alias("title_chars"), F.col("description").isNull().alias("no_description"), "topic", "status",
+        F.array_join("errors", ";").alias("errors"),
+    )
+
+
+def q_tag_validation(spark, sf):
+    """V9 over tag names derived from the catalog."""
+    raw = _parts(spark, sf).selectExpr(
+        "p_partkey AS tag_id",
+        "CASE p_partkey % 4 WHEN 0 THEN '   ' WHEN 1 THEN repeat('n', 256) ELSE concat('  ', upper(p_name)) END AS name",
+        "CASE WHEN p_partkey % 6 = 0 THEN repeat('d', 501) END AS description",
+    )
+    return validate.tags(raw).select("tag_id", "name", F.array_join("errors", ";").alias("errors"))
+
+
+def q_candidate_validation(spark, sf):
+    """V11 over candidates derived from the catalog."""
+    raw = _parts(spark, sf).selectExpr(
+        "p_partkey AS content_id",
+        "CASE p_partkey % 10 WHEN 0 THEN ' ' WHEN 1 THEN repeat('t', 501) ELSE p_name END AS title",
+        "(p_partkey % 13) / 10.0D AS user_topic_affinity",
+        "CASE WHEN p_partkey % 17 = 0 THEN '' ELSE 'ai' END AS topic",
+        "array('trending', 'recent', 'trending') AS candidate_sources",
+        "named_struct('content_id', p_partkey + CAST(p_partkey % 19 = 0 AS INT)) AS content_features",
+    )
+    return scoring.validate_candidates(raw).select(
+        "content_id", F.array_join("candidate_sources", ",").alias("candidate_sources"), F.array_join("errors", ";").alias("errors")
+    )
+
+
+def q_publish_outbox(spark, sf):
+    """Rows whose publication is recorded now, and the ones still pending."""
+    audit = _it(spark, sf).select(
+        "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_timestamp")).alias("published_at")
+    )
+    sent = ingest.pending_publish(audit).filter(F.col("event_id") % 6 == 0)
+    out = ingest.mark_published(audit, sent, AS_OF)
+    return finalize(out.withColumn("pending", F.col("published_at").isNull()))
+
+
+def q_keyed_records(spark, sf):
+    """S3: every interaction as a keyed JSON record."""
+    it = _it(spark, sf).select("event_id", "event_type", "user_id", "content_id", "topic")
+    return sinks.to_keyed_json(it, "user_id").select("key", "value")
+
+
+def q_affinity_map_read(spark, sf):
+    """The long affinity table read back as one map per user."""
+    m = sinks.read_affinity_map(feat.user_topic_affinity(_it(spark, sf), AS_OF, C.FEATURE_WINDOW_HOURS))
+    topics = [F.try_element_at("topic_affinity", F.lit(t)).alias(t.replace("-", "_")) for t in C.TOPICS]
+    return m.select("user_id", F.size("topic_affinity").alias("n_topics"), *topics)
+
+
+def q_tag_resolution(spark, sf):
+    """Requested tag ids, repeats and unknown ones included, per item."""
+    c = S.content(spark, sf)
+    tags, _ = catalog.derive_tags(c)
+    tag_id = lambda name: F.substring(F.sha2(name, 256), 1, 32)
+    unknown = F.concat(F.lit("none-"), (F.col("content_id") % 5).cast("string"))
+    requests = c.select(
+        F.col("content_id").alias("request_id"),
+        F.array(tag_id(F.lit("llm")), tag_id(unknown), tag_id(F.col("topic")), tag_id(F.lit("llm"))).alias("tag_ids"),
+    )
+    found = catalog.resolve_tag_ids(requests, tags)
+    return found.select(
+        "request_id", F.array_join(F.transform("tags", lambda t: t["name"]), ",").alias("names"), F.size("unknown_tag_ids").alias("unknown")
+    )
+
+
+def q_content_intake(spark, sf):
+    """C5 + V16: new items with stored, repeated and fresh titles."""
+    c = S.content(spark, sf)
+    new = c.select(
+        (F.col("content_id") + 10_000_000).alias("content_id"),
+        F.when(F.col("content_id") % 4 == 0, F.col("title"))
+        .when(F.col("content_id") % 4 == 1, F.concat(F.lit("repeated "), F.floor(F.col("content_id") / 40).cast("string")))
+        .otherwise(F.concat(F.lit("fresh item "), F.col("content_id").cast("string")))
+        .alias("title"),
+        "topic", "category", F.lit("published").alias("status"),
+    )
+    everything, rejected = catalog.append_content(c, new, AS_OF)
+    taken = everything.filter(F.col("content_id") > 10_000_000).select("content_id", "title", "published_at", F.lit("").alias("errors"))
+    return finalize(taken.unionByName(rejected.select(
+        "content_id", "title", F.lit(None).cast("timestamp").alias("published_at"), F.array_join("errors", ";").alias("errors")
+    )))
+
+
+def q_direct_attribution(spark, sf):
+    """Outcomes that name in their metadata the page they came from (here
+    the latest earlier one, for every second event)."""
+    _, items, it = _exposures(spark, sf)
+    told = attr.attribute(S.outcome_events(it), items).select(
+        "event_id", "event_type", "content_id", F.when(F.col("event_id") % 2 == 0, F.col("exposure_id")).otherwise("none").alias("page")
+    )
+    out = told.withColumn("metadata", F.to_json(F.struct(F.col("page").alias("feed_exposure_id")))).drop("page")
+    found = attr.attribute_direct(out, S.exposure_items(it))
+    return found.select("event_id", "event_type", "exposure_id", "item_id")
+
+
+def q_feed_page_cache(spark, sf):
+    """First pages written twice, two minutes apart, and read back half a
+    minute after the second time: the older ones have expired."""
+    path = f"{_stream_root(spark)}/pages"
+    ranked, users = _ranked_with_users(spark, sf)
+    pages = feed.page(ranked, users, C.PAGE_DEFAULT_LIMIT, 0).drop("items")
+    feed.write_feed_pages(pages, path, "2024-01-30 23:58:00")
+    feed.write_feed_pages(pages.filter(F.col("user_id") % 5 != 0), path, AS_OF)
+    return finalize(feed.read_feed_pages(spark, path, "2024-01-31 00:00:30").select(
+        "user_id", "experiment_key", "variant_key", "total_candidates", "generated_at", "expires_at"
+    ))
+
+
 # ------------------------------------------------------------------- catalog
 def q_content_listing(spark, sf):
     c = S.content(spark, sf)
@@ -662,6 +831,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_audit": q_stream_audit,
     "idempotent_counts": q_idempotent_counts,
     "duplicate_event_report": q_duplicate_event_report,
+    "preference_validation": q_preference_validation,
+    "affinity_validation": q_affinity_validation,
+    "content_validation": q_content_validation,
+    "tag_validation": q_tag_validation,
+    "candidate_validation": q_candidate_validation,
+    "publish_outbox": q_publish_outbox,
+    "keyed_records": q_keyed_records,
+    "affinity_map_read": q_affinity_map_read,
+    "tag_resolution": q_tag_resolution,
+    "content_intake": q_content_intake,
+    "direct_attribution": q_direct_attribution,
+    "feed_page_cache": q_feed_page_cache,
     "content_listing": q_content_listing,
     "content_listing_by_tag": q_content_listing_by_tag,
     "content_tags": q_content_tags,
