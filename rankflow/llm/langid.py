@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rankflow.llm.common import prepare, texts_of
 
-ROWS_PER_LANG, MAX_LANGS, MAX_WORDS, MAX_GRAMS = 1500, 100, 60_000, 30_000
+ROWS_PER_LANG, MAX_LANGS, MAX_WORDS, MAX_GRAMS = 1500, 100, 40_000, 30_000
 LONGEST, SMOOTHING = 4, 0.5
 #: scores of words that a worker remembers
 REMEMBERED = 200_000
@@ -103,19 +103,33 @@ class Scorer:
         e = np.exp(self.logs - self.logs.max(1, keepdims=True))
         self.share = e / e.sum(1, keepdims=True)
 
-    def row(self, word: str) -> int:
-        score = np.zeros(len(self.langs), np.float32)
+    def learn(self, words: list[str]) -> None:
+        """Scores unseen words: each by its longest n-grams of which any is known."""
+        at = {w: self.used + i for i, w in enumerate(words)}
+        todo = words
         for n in range(LONGEST, 0, -1):
             index, logs = self.model.grams[n - 1]
-            if known := [i for g in grams(word, n) if (i := index.get(g)) is not None]:
-                score = logs[known].mean(0)
+            get, found, sizes, rows, rest = index.get, [], [], [], []
+            for w in todo:
+                known = [i for g in grams(w, n) if (i := get(g)) is not None]
+                if known:
+                    found += known
+                    sizes.append(len(known))
+                    rows.append(at[w])
+                else:
+                    rest.append(w)
+            if rows:
+                n_known = np.array(sizes)
+                self.logs[rows] = np.add.reduceat(logs[found], np.cumsum(n_known) - n_known) / n_known[:, None].astype(np.float32)
+            todo = rest
+            if not todo:
                 break
-        at = self.used
-        self.logs[at] = score
-        e = np.exp(score - score.max())
-        self.share[at] = e / e.sum()
-        self.rows[word], self.used = at, at + 1
-        return at
+        self.logs[[at[w] for w in todo]] = 0
+        new = self.logs[self.used : self.used + len(words)]
+        e = np.exp(new - new.max(1, keepdims=True))
+        self.share[self.used : self.used + len(words)] = e / e.sum(1, keepdims=True)
+        self.rows.update(at)
+        self.used += len(words)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall(text.lower()) if text else []
@@ -129,8 +143,10 @@ class Scorer:
             part = items[lo : lo + REMEMBERED // 2]
             if self.used + len(part) > len(self.logs):
                 self.forget()
-            get, new = self.rows.get, self.row
-            rows = [new(w) if (r := get(w)) is None else r for w, _ in part]
+            if new := [w for w, _ in part if w not in self.rows]:
+                self.learn(new)
+            get = self.rows.__getitem__
+            rows = [get(w) for w, _ in part]
             c = np.array([k for _, k in part], np.float64)
             total += c @ self.logs[rows]
             shares += c @ self.share[rows]
