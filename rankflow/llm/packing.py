@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -33,24 +34,48 @@ SHARD_BYTES = 8 << 20
 #: terms of a seed that are looked up, and neighbours taken from one look-up at most
 QUERY_TERMS, NEIGHBOURS = 12, 16
 K1, B = 1.2, 0.75
-#: chunks whose ids a worker remembers
-REMEMBERED = 600_000
+#: chunks whose ids a worker remembers, twice this many at most
+REMEMBERED = 350_000
 #: texts of these characters only: white space as str.split() sees it, lower case one by one
-PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u012f\\u0131-\\u024f]")
+PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u012f\\u0131-\\u017f]")
 BLANK = re.compile("[ \\t\\n\\r]+")
+#: pieces of a plain lower-case chunk, as the tokenizer's own pattern cuts them
+PIECE = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^a-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00df-\u00f6\u00f8-\u017f]+")
+SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+#: byte-level alphabet: bytes without a visible character take the code points from 256 on, in order
+HIDDEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
 TOKENIZER = "word_bpe_49k.json"
 
 
 class Encoder:
     """Ids of whole texts; equal to the tokenizer's, which never joins across white space.
 
-    A chunk between white space is encoded once and remembered.
+    A chunk between white space is encoded once and remembered; when the
+    memory is full, chunks not met again since the last time are forgotten.
+    Plain chunks are cut into pieces here, and the tokenizer's model encodes
+    each piece once; any other chunk goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(HIDDEN)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        self.pieces[piece] = found = struct.pack(f"<{len(ids)}H", *ids)
+        return found
+
+    def chunk(self, chunk: str) -> bytes:
+        if "<|" in chunk or PLAIN.search(chunk):
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}H", *ids)
+        get, new = self.pieces.get, self.piece
+        return b"".join([get(p) or new(p) for p in PIECE.findall(chunk.lower())])
 
     def chunks(self, text: str) -> list[str]:
         if PLAIN.search(text):
@@ -61,12 +86,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.chunks(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*parts).difference(self.known))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(e.ids, "<u2").tobytes()
+            self.known, self.before, self.pieces = {}, self.known, {}
+        missing = set().union(*parts).difference(self.known)
+        again = missing.intersection(self.before)
+        self.known.update((c, self.before[c]) for c in again)
+        self.known.update((c, self.chunk(c)) for c in missing.difference(again))
         get, end = self.known.__getitem__, np.array([END_ID], "<u2").tobytes()
         return [np.frombuffer(b"".join([*map(get, p), end]), "<u2") for p in parts]
 

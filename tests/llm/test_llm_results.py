@@ -228,6 +228,18 @@ def test_packing_round_trip(spark):
         assert at <= packing.WINDOW and at & (at - 1) == 0  # full, or a power of two: no padding
 
 
+def test_encoder_equals_the_tokenizer(spark):
+    tok = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    enc = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    rng = random.Random(8)
+    marks = [chr(c) for c in [*range(9, 14), *range(32, 0x250), 0x300, 0x301, 0x3A3, 0x2028, 0x3000, 0x1F600]]
+    texts = ["".join(rng.choices(marks, k=30)) for _ in range(3000)]
+    texts += ["".join(rng.choices(["'s", "'LL", "don't", "It's", "a1", "x²y", "\u00c9t\u00e9", "\u0130", "<|", "endoftext", "|>", " ", "\u00a0", "\u00ad"], k=12)) for _ in range(2000)]
+    texts += [r.text for r in docs(spark).collect()]
+    for t, got in zip(texts, enc.encode(texts)):
+        assert got.tolist() == [*tok.encode(t, add_special_tokens=False).ids, packing.END_ID], repr(t)
+
+
 def test_neighbours_share_a_window():
     words = lambda a, b: np.array([*range(a, b), 2], "<u2")
     shard = [words(1000, 1500), words(5000, 5500), words(1000, 1490), words(5010, 5500), words(9000, 9400)]
