@@ -29,7 +29,7 @@ _SHIPPED: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Make the package importable in Python workers (the grouped-pandas
+    """Make the package importable in Python workers (the general
     rerank runs there): zip it once per application and add it with
     ``addPyFile``, which Spark distributes to every executor (the usual
     ``--py-files`` route). The zip is built on the driver only."""
