@@ -187,7 +187,8 @@ def write_feed_pages(pages: DataFrame, path: str, generated_at: str, ttl_seconds
 
 
 def read_feed_pages(spark: SparkSession, path: str, now: str) -> DataFrame:
-    """S12 reader: the latest unexpired page per user, experiment, variant, limit and offset."""
+    """S12 reader: the latest unexpired page per user, experiment, variant,
+    limit and offset (pages of no experiment have no such columns)."""
     p = spark.read.parquet(path).filter(F.col("expires_at") > ts_lit(now))
-    w = Window.partitionBy("user_id", "experiment_key", "variant_key", "feed_limit", "feed_offset").orderBy(F.col("generated_at").desc())
+    w = Window.partitionBy("user_id", *[c for c in ("experiment_key", "variant_key") if c in p.columns], "feed_limit", "feed_offset").orderBy(F.col("generated_at").desc())
     return p.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
