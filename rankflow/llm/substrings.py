@@ -104,11 +104,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def anchors(buf: np.ndarray, first: np.ndarray, size: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Of texts laid end to end: (text, start, span, lead, key, context) per anchor occurrence.
+    """Of texts laid end to end: (text, start, span, lead, key, context, more) per anchor occurrence.
 
-    The strings that start at start .. start + span share the gram at start + lead.
+    The strings that start at start .. start + span share the gram at
+    start + lead. In a periodic stretch the next occurrence with the same
+    context follows at once: it is one row, which ``more`` others follow.
     """
-    none = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    none = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64))
     n, width = len(buf), length - gram + 1
     if n < length:
         return none
@@ -134,7 +136,12 @@ def anchors(buf: np.ndarray, first: np.ndarray, size: np.ndarray, length: int =
     a, b, p = where[new], where[last], own[new]
     keys = _mix(pre.both(p, p + gram))
     whole = _mix(pre.both(a, b + length)) ^ _mix(((p - a).astype(np.uint64) << np.uint64(32)) | (b - a).astype(np.uint64))
-    return text[new], a - first[text[new]], b - a, p - a, keys, whole
+    text = text[new]
+    follows = np.zeros(len(new), bool)
+    follows[1:] = (text[1:] == text[:-1]) & (whole[1:] == whole[:-1]) & (keys[1:] == keys[:-1]) & (a[1:] == b[:-1] + 1)
+    head = np.flatnonzero(~follows)
+    more = np.diff(np.append(head, len(new))) - 1
+    return tuple(x[head] for x in (text, a - first[text], b - a, p - a, keys, whole)) + (more,)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
@@ -160,7 +167,7 @@ def occurrences(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for who, texts in _blocks(batches):
             size = np.array([len(t) for t in texts])
-            text, start, span, lead, key, whole = anchors(
+            text, start, span, lead, key, whole, more = anchors(
                 np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size, length
             )
             ids, th = pa.array([w[0] for w in who], pa.int64()), pa.array([w[1] for w in who], pa.int64())
@@ -168,12 +175,13 @@ def occurrences(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                 [
                     pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)), ids.take(pa.array(text)), th.take(pa.array(text)),
                     pa.array(start.astype(np.int32)), pa.array(span.astype(np.int16)), pa.array(lead.astype(np.int16)),
+                    pa.array(more.astype(np.int32)),
                 ],
-                ["key", "whole", "doc_id", "th", "start", "span", "lead"],
+                ["key", "whole", "doc_id", "th", "start", "span", "lead", "more"],
             )
 
     return rows.select("doc_id", "th", "text").mapInArrow(
-        run, "key long, whole long, doc_id long, th long, start int, span short, lead short"
+        run, "key long, whole long, doc_id long, th long, start int, span short, lead short, more int"
     )
 
 
@@ -399,15 +407,16 @@ def _digest_ranges(contexts: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(rows: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(doc_id, th, lo, hi): byte ranges of (doc_id, th, text) that repeated strings cover, overlaps included."""
     found = occurrences(rows, length)
-    keys = found.groupBy("key").agg(F.count("*").alias("rows"), F.min("whole").alias("a"), F.max("whole").alias("b"))
+    times = F.sum(F.col("more") + 1)
+    keys = found.groupBy("key").agg(times.alias("rows"), F.min("whole").alias("a"), F.max("whole").alias("b"))
     again = keys.where("rows > 1").select(F.col("key").alias("k"), (F.col("a") != F.col("b")).alias("mixed"))
     back = saved(found.join(again, F.col("key") == F.col("k")).drop("k"))
     whole = (
         back.where("mixed").groupBy("key", "whole")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "start", "span", "lead")).alias("r"))
+        .agg(times.alias("n"), F.min(F.struct("doc_id", "th", "start", "span", "lead")).alias("r"))
     )
     whole = saved(whole.select("key", "whole", "n", "r.*"))
-    end = (F.col("start") + F.col("span") + length).cast("int").alias("hi")
+    end = (F.col("start") + F.col("span") + F.col("more") * (F.col("span") + 1) + length).cast("int").alias("hi")
     # a context that recurs as a whole is repeated throughout
     sure = back.where("not mixed").select("doc_id", "th", F.col("start").alias("lo"), end)
     twice = whole.where("n > 1").select(F.col("key").alias("k"), F.col("whole").alias("w"))

@@ -114,7 +114,8 @@ def copied_texts():
                 piece[rng.randrange(len(piece))] = "#"
             parts += ["".join(rng.choices("xyz ", k=rng.randint(0, 120))), "".join(piece)]
         out.append("".join(parts))
-    return out + ["q" * 1300, "short", "", pool[0] * 3, out[0], "Z" * 399]
+    calm = ["q" * 1300, "ab" * 900, "r" * 700 + pool[1], "r" * 420, "Z" * 399, "Z" * 400, "=" * 401]
+    return out + calm + ["short", "", pool[0] * 3, out[0]]
 
 
 @pytest.mark.parametrize("hot", [4_000, 2])
