@@ -47,6 +47,18 @@ HIDDEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHO
 TOKENIZER = "word_bpe_49k.json"
 
 
+class _Known(dict):
+    """Chunks and their ids; a chunk that is missing is encoded and kept."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        self[chunk] = found = dict.get(self.encoder.before, chunk) or self.encoder.chunk(chunk)
+        return found
+
+
 class Encoder:
     """Ids of whole texts; equal to the tokenizer's, which never joins across white space.
 
@@ -61,8 +73,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known, self.before = _Known(self), {}
 
     def piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(HIDDEN)
@@ -84,15 +95,10 @@ class Encoder:
         return (text if "<|" in text else text.lower()).split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.chunks(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known, self.before, self.pieces = {}, self.known, {}
-        missing = set().union(*parts).difference(self.known)
-        again = missing.intersection(self.before)
-        self.known.update((c, self.before[c]) for c in again)
-        self.known.update((c, self.chunk(c)) for c in missing.difference(again))
+            self.known, self.before, self.pieces = _Known(self), self.known, {}
         get, end = self.known.__getitem__, np.array([END_ID], "<u2").tobytes()
-        return [np.frombuffer(b"".join([*map(get, p), end]), "<u2") for p in parts]
+        return [np.frombuffer(b"".join([*map(get, p), end]), "<u2") for p in map(self.chunks, texts)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
