@@ -28,10 +28,11 @@ KINDS = [
     "CartesianProduct",
     "HashAggregate",
     "ObjectHashAggregate",
+    "SortAggregate",
     "Window",
     "WindowGroupLimit",
     "TakeOrderedAndProject",
-    "FlatMapGroupsInPandas",
+    "FlatMapGroupsInArrow",
     "Generate",
 ]
 
@@ -59,9 +60,9 @@ def main() -> None:
         s = summarize(plan_text(fn(spark, sf)))
         rows.append((name, s))
     cols = ["Scan parquet", "Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
-            "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate", "Window", "WindowGroupLimit",
-            "TakeOrderedAndProject", "FlatMapGroupsInPandas"]
-    short = ["scans", "shuffles", "bcast", "SMJ", "BHJ", "BNLJ", "cart", "agg", "win", "wgl", "topk", "pandas"]
+            "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate", "SortAggregate", "Window", "WindowGroupLimit",
+            "TakeOrderedAndProject", "FlatMapGroupsInArrow"]
+    short = ["scans", "shuffles", "bcast", "SMJ", "BHJ", "BNLJ", "cart", "agg", "sort agg", "win", "wgl", "topk", "arrow"]
     lines = [
         "# Physical plans of the registered queries",
         "",
