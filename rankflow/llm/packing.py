@@ -1,11 +1,15 @@
 """Lexical retrieval packing into training windows.
 
-Documents are dealt by a hash of the row into shards of bounded text. A shard
-is tokenized and gets a BM25 inverted index. Each window starts with a seed
-document; its strongest terms retrieve the unused neighbours, which fill the
-window greedily, best first. A document that is longer than what is left of a
-window goes on in the next one, so that windows are full. What is left at a
-shard's end is cut into sequences whose lengths are powers of two.
+Documents are tokenized once; document counts per term, their number and mean
+length are taken over the whole corpus. A document's key is its strongest
+corpus-wide BM25 term; a key with more than a shard of text is split by the
+next terms, ``DEPTH`` in all, and what is still too big by a hash of the row.
+Keys are dealt into shards of bounded text, each with a BM25 inverted index.
+Each window starts with a seed document; its terms retrieve the unused
+neighbours, which fill the window greedily, best first. A document that is
+longer than what is left of a window goes on in the next one, so that windows
+are full. What is left at a shard's end is cut into sequences whose lengths
+are powers of two.
 
 Defined results: a null text is an empty one, a document of the single end id;
 every id lies in exactly one piece; repeated rows are packed as documents of
@@ -19,6 +23,7 @@ import os
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rankflow.llm.common import prepare, text_rows
+from rankflow.llm.common import prepare, saved, text_rows
 
 WINDOW, END_ID = 4096, 2
 SHARD_BYTES = 8 << 20
-#: terms of a seed that are looked up, and neighbours taken from one look-up at most
-QUERY_TERMS, NEIGHBOURS = 12, 16
+#: strongest terms by which a key that is too big is split, one after the other
+DEPTH = 6
 K1, B = 1.2, 0.75
 #: chunks whose ids a worker remembers, twice this many at most
 REMEMBERED = 350_000
@@ -111,24 +116,50 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def counted(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, how often) of a document."""
+    s = np.sort(doc, kind="stable")
+    at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    return s[at], np.diff(np.append(at, len(s)))
+
+
+class Corpus:
+    """What BM25 takes from all documents: documents per term, their number and mean length."""
+
+    def __init__(self, df: np.ndarray, n: int, tokens: int):
+        self.df, self.mean = df, tokens / max(n, 1)
+        self.idf = np.log(1 + (n - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+    def weight(self, terms: np.ndarray, tfs: np.ndarray, sizes: np.ndarray | int) -> np.ndarray:
+        norm = K1 * (1 - B + B * sizes / self.mean)
+        return (self.idf[terms] * tfs * (K1 + 1) / (tfs + norm)).astype(np.float32)
+
+    def prefixes(self, doc: np.ndarray) -> list[str]:
+        """The strongest terms that another document has too: the first, the first two and so on."""
+        terms, tfs = counted(doc)
+        shared = self.df[terms] > 1
+        terms, tfs = terms[shared], tfs[shared]
+        w = self.weight(terms, tfs, len(doc))
+        top = terms[np.lexsort((terms, -w))[:DEPTH]].tolist()
+        return [".".join(map(str, top[: i + 1])) for i in range(len(top))] or [""]
+
+
 class Index:
-    """BM25 inverted index of a shard."""
+    """BM25 inverted index of a shard; without the figures of a corpus, the shard is the corpus."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         terms, tfs, sizes = [], [], np.array([len(d) for d in docs])
         for d in docs:
-            s = np.sort(d, kind="stable")
-            at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-            terms.append(s[at])
-            tfs.append(np.diff(np.append(at, len(s))))
+            t, n = counted(d)
+            terms.append(t)
+            tfs.append(n)
         self.ends = np.cumsum([len(t) for t in terms])
         term, tf = np.concatenate(terms), np.concatenate(tfs).astype(np.float32)
         doc = np.repeat(np.arange(len(docs), dtype=np.int32), [len(t) for t in terms])
         df = np.bincount(term, minlength=1 << 16)
-        idf = np.log(1 + (len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = (K1 * (1 - B + B * sizes / sizes.mean())).astype(np.float32)
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        self.term, self.weight = term, weight
+        corpus = corpus or Corpus(df, len(docs), int(sizes.sum()))
+        weight = corpus.weight(term, tf, sizes[doc])
+        self.term = term
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = doc[order], weight[order]
         self.first = np.concatenate(([0], np.cumsum(df)))
@@ -136,24 +167,20 @@ class Index:
         self.n = len(docs)
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents by falling score for the strongest terms of the seed."""
+        """Unused documents by falling score for the terms of the seed."""
         lo, hi = (self.ends[seed - 1] if seed else 0), self.ends[seed]
-        w = self.weight[lo:hi]
-        top = np.argpartition(-w, QUERY_TERMS - 1)[:QUERY_TERMS] if len(w) > QUERY_TERMS else np.arange(len(w))
         score = np.zeros(self.n, np.float32)
-        for t in np.sort(self.term[lo:hi][top]):
-            a, b = self.first[t], self.first[int(t) + 1]
+        for t in self.term[lo:hi].tolist():
+            a, b = self.first[t], self.first[t + 1]
             score[self.docs[a:b]] += self.weights[a:b]
         score[self.used] = 0
         found = np.flatnonzero(score)
-        if len(found) > NEIGHBOURS:
-            found = found[np.argpartition(-score[found], NEIGHBOURS - 1)[:NEIGHBOURS]]
         return found[np.lexsort((found, -score[found]))]
 
 
-def fill(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset): a shard's pieces, windows full but for the last."""
-    index, sizes = Index(docs), [len(d) for d in docs]
+    index, sizes = Index(docs, corpus), [len(d) for d in docs]
     out: list[tuple[int, int, int, int, int]] = []
     used, seed, begun, seq = index.used, 0, 0, 0
     current: int | None = None  # a document cut by the last window
@@ -217,26 +244,106 @@ def cut_tail(pieces: list[tuple[int, int, int, int, int]], window: int = WINDOW)
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per piece (the columns of ``SCHEMA``)."""
-    spark = docs.sparkSession
-    prepare(spark)
-    path = tokenizer or public_tokenizers.path(TOKENIZER)
-    rows = text_rows(docs)
-    size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, h, size, ids): every row's tokens as little-endian 16-bit numbers, and its bytes of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [x.tobytes() for x in encoder(path).encode([x or "" for x in b.column("text").to_pylist()])]
+            columns = [b.column("doc_id"), b.column("h"), b.column("size"), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "size", "ids"])
+
     # rows without a doc_id have nothing but their place to tell equal texts apart
     place = F.coalesce("doc_id", F.monotonically_increasing_id())
     hashed = F.xxhash64(F.lit("pack"), place, F.col("text"))
-    dealt = rows.withColumn("__h", hashed).withColumn("shard", F.pmod("__h", F.lit(shards)).cast("int"))
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
+    rows = text_rows(docs).withColumn("h", hashed).withColumn("size", size)
+    return rows.mapInArrow(run, "doc_id long, h long, size long, ids binary")
+
+
+def tokens_of(column: pa.Array) -> Iterator[np.ndarray]:
+    for x in column:
+        yield np.frombuffer(x.as_py(), "<u2")
+
+
+def corpus_of(made: DataFrame) -> Corpus:
+    """Figures of all documents; a row per term of the vocabulary reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
+        for b in batches:
+            for d in tokens_of(b.column("ids")):
+                df[counted(d)[0]] += 1
+                n, tokens = n + 1, tokens + len(d)
+        at = np.flatnonzero(df)
+        columns = [pa.array([*at.tolist(), -1, -2], pa.int32()), pa.array([*df[at].tolist(), n, tokens], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
+
+    found = made.select("ids").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = {r.term: r.n for r in found.collect()}
+    df = np.zeros(1 << 16, np.int64)
+    for t, n in counts.items():
+        if t >= 0:
+            df[t] = n
+    return Corpus(df, counts.get(-1, 0), counts.get(-2, 0))
+
+
+def dealt(made: DataFrame, corpus: Corpus, shard_bytes: int) -> DataFrame:
+    """Rows with their shard; what reaches the driver is a row per key with more than a shard of text."""
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [corpus.prefixes(d) for d in tokens_of(b.column("ids"))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.string()))], [*b.schema.names, "prefixes"])
+
+    keyed = made.mapInArrow(prefixes, "doc_id long, h long, size long, ids binary, prefixes array<string>")
+    sizes = keyed.select("size", F.explode("prefixes").alias("prefix")).groupBy("prefix").agg(F.sum("size").alias("size"))
+    hot = {r.prefix for r in sizes.where(F.col("size") > shard_bytes).select("prefix").collect()}
+
+    def below(found: list[str]) -> tuple[str, str | None]:
+        """The longest prefix that is too big, and the next one, if there is one."""
+        deep = sum(p in hot for p in found)  # what is above one that is too big is too big as well
+        return (found[deep - 1] if deep else "root"), (found[deep] if deep < len(found) else None)
+
+    def parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, int] = {}
+        for b in batches:
+            for found, size in zip(b.column("prefixes").to_pylist(), b.column("size").to_pylist()):
+                at = below(found)[0]
+                total[at] = total.get(at, 0) + size
+        columns = [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["parent", "size"])
+
+    totals = keyed.select("prefixes", "size").mapInArrow(parents, "parent string, size long")
+    bins, first = {}, 0
+    for r in totals.groupBy("parent").agg(F.sum("size").alias("size")).orderBy("parent").collect():
+        bins[r.parent] = (first, -(-r.size // shard_bytes))
+        first += bins[r.parent][1]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shards = []
+            for d, h in zip(tokens_of(b.column("ids")), b.column("h").to_pylist()):
+                parent, key = below(corpus.prefixes(d))
+                lo, n = bins[parent]
+                shards.append(lo + (h if key is None else zlib.crc32(key.encode())) % n)
+            columns = [b.column("doc_id"), b.column("h"), b.column("ids"), pa.array(shards, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "ids", "shard"])
+
+    return made.mapInArrow(place, "doc_id long, h long, ids binary, shard long")
+
+
+def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """One row per piece (the columns of ``SCHEMA``)."""
+    prepare(docs.sparkSession)
+    made = saved(encoded(docs, tokenizer or public_tokenizers.path(TOKENIZER)))
+    corpus = corpus_of(made)
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("doc_id", "ascending"), ("__h", "ascending")])
-        ids, texts, shard = t.column("doc_id").to_pylist(), t.column("text"), t.column("shard")[0].as_py()
-        tokens: list[np.ndarray] = []
-        for at in range(0, t.num_rows, 256):
-            tokens += encoder(path).encode([x or "" for x in texts.slice(at, 256).to_pylist()])
-        pieces = cut_tail(fill(tokens, window), window)
+        t = t.sort_by([("doc_id", "ascending"), ("h", "ascending")])
+        ids, shard = t.column("doc_id").to_pylist(), t.column("shard")[0].as_py()
+        tokens = list(tokens_of(t.column("ids")))
+        pieces = cut_tail(fill(tokens, window, corpus), window)
         d, start, n, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
         crc = [zlib.crc32(tokens[i][a : a + k].astype("<u4").tobytes()) for i, a, k, _, _ in pieces]
         total = np.array([len(x) for x in tokens], np.int64)
@@ -244,7 +351,7 @@ def packed(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         return pa.table({k: c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for k, c in zip(names, columns)})
 
-    return dealt.groupBy("shard").applyInArrow(run, SCHEMA)
+    return dealt(made, corpus, shard_bytes).groupBy("shard").applyInArrow(run, SCHEMA)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -249,6 +249,29 @@ def test_neighbours_share_a_window():
     assert {p[0] for p in pieces if p[3] == 1} >= {1} or pieces[2][0] in (1, 3)
 
 
+def test_near_copies_meet_whatever_the_shards(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(4000)]
+    rows = []
+    for i in range(300):
+        text = rng.choices(vocabulary, k=60)
+        rows += [(i, " ".join(text)), (1000 + i, " ".join([*text[:30], rng.choice(vocabulary), *text[31:]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard_bytes in (5_000, 50_000, 8 << 20):  # 60 shards, 6, 1
+        windows = {}
+        for r in packing.packed(df, shard_bytes=shard_bytes).collect():
+            windows.setdefault(r.doc_id, set()).add(r.sequence_id)
+        met = sum(bool(windows[i] & windows[1000 + i]) for i in range(300))
+        assert met >= 225, (shard_bytes, met)
+
+
+def test_one_term_in_all_documents_is_split(spark):
+    rows = [(i, "zyxwvut " * 50 + f"word{i % 7} " * (i % 5)) for i in range(400)]
+    made = packing.encoded(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path(packing.TOKENIZER)).cache()
+    sizes = [r["count"] for r in packing.dealt(made, packing.corpus_of(made), 10_000).groupBy("shard").count().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 120
+
+
 # 7
 
 
