@@ -1,11 +1,13 @@
 """License notices by conditional compression.
 
-Candidate blocks are the lines of a text around license cues. A block is
+A candidate block is the part of a line around one license cue. A block is
 compressed on its own and once with each template as a raw zstandard
-dictionary; templates are ranked by how much smaller that makes the block. The
-best ones are confirmed by exact wording: a template's notice must stand in the
-block with at most ``TOLERANCE`` of its words changed, left out or put in, and
-with all the words that tell it from other licenses unchanged.
+dictionary; templates are ranked by how much smaller that makes the block.
+Every template whose telling words are there is confirmed by exact wording: its
+notice must stand in the block with at most ``TOLERANCE`` of its words changed,
+left out or put in, and with all the words that tell it from other licenses
+unchanged. Where confirmed notices overlap, the one with the fewest differing
+words counts, then the one with the best reduction.
 
 Defined results: a null or empty text has no notices; repeated rows each get a
 row; equal reductions go to the template first in the list; a notice repeated
@@ -16,6 +18,7 @@ are not read. Positions are code points, end exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,7 +46,7 @@ NOTICES: tuple[tuple[str, str, str], ...] = (
 CUES = ("licens", "licenc", "permission is hereby", "redistribution and use", "subject to the terms")
 #: characters of a candidate block on either side of its cue (within its line)
 REACH = 400
-TOLERANCE, BEST, LEVEL = 0.2, 4, 3
+TOLERANCE, LEVEL = 0.2, 3
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -63,7 +66,7 @@ def templates():
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
-    """Stretches of lines around the cues; overlapping ones become one."""
+    """The stretch of a line around every cue."""
     low = text.lower()
     if len(low) != len(text):  # a letter whose lower case is longer
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
@@ -75,13 +78,17 @@ def blocks(text: str) -> list[tuple[int, int]]:
             end = text.find("\n", at)
             found.append((lo, min(len(text) if end < 0 else end, at + REACH)))
             at = low.find(cue, at + 1)
-    out: list[tuple[int, int]] = []
-    for lo, hi in sorted(found):
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], hi))
-        else:
-            out.append((lo, hi))
-    return out
+    return sorted(set(found))
+
+
+def words_within(text: str, lo: int, hi: int) -> list[tuple[str, int, int]]:
+    """Words of a stretch, without those that its ends cut."""
+    told = [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text, lo, hi)]
+    if told and lo and told[0][1] == lo and WORD.match(text[lo - 1]):
+        del told[0]
+    if told and told[-1][2] == hi and WORD.match(text[hi : hi + 1]):
+        del told[-1]
+    return told
 
 
 def differences(block: list[str], notice: list[str]) -> list[tuple[int, int, int]]:
@@ -116,25 +123,26 @@ def scan(text: str | None) -> list[tuple[int, int, str, int, float]]:
     if not text:
         return out
     plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+    hits = []
     for lo, hi in blocks(text):
-        block = text[lo:hi]
-        data = block.encode()
+        told = words_within(text, lo, hi)
+        there = {w for w, _, _ in told}
+        if not any(there.issuperset(t[1]) for t in templates()):
+            continue
+        data = text[lo:hi].encode()
         alone = len(plain.compress(data))
         ranked = sorted((len(t[3].compress(data)) - alone, i) for i, t in enumerate(templates()))
-        change = {i: size for size, i in ranked}
-        told, marked = words(block), []
-        best = [i for size, i in ranked if size < 0]
-        hits = []
-        for place, i in enumerate(best):
-            # beyond the first ones only those whose own words are all there
+        for size, i in ranked:
             name, needed, notice, _ = templates()[i]
-            if place >= BEST and not set(needed) <= {w for w, _, _ in told}:
-                continue
-            hits += [(d, change[i], a, b, name) for a, b, d in confirm(told, needed, notice)]
-        for d, size, a, b, name in sorted(hits):
-            if all(b <= x or a >= y for x, y in marked):
-                marked.append((a, b))
-                out.append((lo + a, lo + b, name, d, round(-size / max(alone, 1), 6)))
+            hits += [(d, size, i, a, b, name, alone) for a, b, d in confirm(told, needed, notice)]
+    starts: list[int] = []
+    ends: list[int] = []
+    for d, size, _, a, b, name, alone in sorted(hits):
+        at = bisect(starts, a)
+        if (at == 0 or ends[at - 1] <= a) and (at == len(starts) or starts[at] >= b):
+            starts.insert(at, a)
+            ends.insert(at, b)
+            out.append((a, b, name, d, round(-size / max(alone, 1), 6)))
     return sorted(out)
 
 

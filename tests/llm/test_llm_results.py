@@ -340,6 +340,22 @@ def test_license_wording():
     assert name("Licensed under CC BY-SA 4.0") == [("CC-BY-SA-4.0", 0)]
 
 
+def test_license_notices_in_a_long_line():
+    rng = random.Random(8)
+    names = ["Licensed under the Apache License, Version 2.0", "Released under the MIT License", licenses.NOTICES[2][2]]
+    parts, want = [], 0
+    for i in range(350):  # a cue every 300 characters
+        parts += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) + " " for _ in range(45)]
+        if i % 5 == 0:
+            parts.append(names[want % 3] + " ")
+            want += 1
+        else:
+            parts.append("a licensed trade ")
+    found = licenses.scan("".join(parts))
+    assert want > 50 and [x[2] for x in found] == [("Apache-2.0", "MIT", "MIT")[i % 3] for i in range(want)]
+    assert all(x[3] == 0 for x in found)
+
+
 # 9
 
 
