@@ -1,6 +1,7 @@
 """License notices by conditional compression.
 
-A candidate block is the part of a line around one license cue. A block is
+A candidate block is the text around one license cue, across line breaks (words
+skip them, and comment signs). A block is
 compressed on its own and once with each template as a raw zstandard
 dictionary; templates are ranked by how much smaller that makes the block.
 Every template whose telling words are there is confirmed by exact wording: its
@@ -43,8 +44,9 @@ NOTICES: tuple[tuple[str, str, str], ...] = (
     ("CC-BY-SA-4.0", "cc by-sa 4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "cc by-nc 4.0", "Licensed under CC BY-NC 4.0"),
 )
-CUES = ("licens", "licenc", "permission is hereby", "redistribution and use", "subject to the terms")
-#: characters of a candidate block on either side of its cue (within its line)
+#: single words, as a line break may stand between any two
+CUES = ("licens", "licenc", "hereby", "redistribution")
+#: characters of a candidate block on either side of its cue
 REACH = 400
 TOLERANCE, LEVEL = 0.2, 3
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -66,7 +68,7 @@ def templates():
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
-    """The stretch of a line around every cue."""
+    """The stretch around every cue, across line breaks."""
     low = text.lower()
     if len(low) != len(text):  # a letter whose lower case is longer
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
@@ -74,9 +76,7 @@ def blocks(text: str) -> list[tuple[int, int]]:
     for cue in CUES:
         at = low.find(cue)
         while at >= 0:
-            lo = max(text.rfind("\n", 0, at) + 1, at - REACH)
-            end = text.find("\n", at)
-            found.append((lo, min(len(text) if end < 0 else end, at + REACH)))
+            found.append((max(0, at - REACH), min(len(text), at + REACH)))
             at = low.find(cue, at + 1)
     return sorted(set(found))
 

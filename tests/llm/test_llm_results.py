@@ -356,6 +356,29 @@ def test_license_notices_in_a_long_line():
     assert all(x[3] == 0 for x in found)
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one""",
+    "GPL-3.0": """This file is licensed under the GNU General Public
+License, version 3""",
+    "Apache-2.0": """Licensed under the Apache License,
+Version 2.0 (the "License");""",
+}
+
+
+@pytest.mark.parametrize("lead", ["", "# ", " * "])
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrapped_notices(name, lead):
+    text = "some code\n" + "\n".join(lead + x for x in WRAPPED[name].splitlines()) + "\nmore code"
+    assert [x[2] for x in licenses.scan(text)] == [name]
+
+
 # 9
 
 
