@@ -13,7 +13,11 @@ words counts, then the one with the best reduction.
 Defined results: a null or empty text has no notices; repeated rows each get a
 row; equal reductions go to the template first in the list; a notice repeated
 in a text is listed at each place; an empty table gives no rows; other columns
-are not read. Positions are code points, end exclusive.
+are not read. Positions are code points, end exclusive. Headings count only
+where nothing else stands on their lines. The opening sentence of the BSD
+licenses is the two-clause one if conditions follow it without the clause on
+endorsement. Each identifier of an SPDX expression is a notice. Reservations of
+all rights are no licenses and are listed on their own.
 """
 
 from __future__ import annotations
@@ -40,12 +44,37 @@ NOTICES: tuple[tuple[str, str, str], ...] = (
     ("AGPL-3.0", "gnu affero public 3", "Licensed under the GNU Affero General Public License, version 3"),
     ("MPL-2.0", "mozilla public 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0"),
     ("BSD-3-Clause", "redistribution source binary", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("GPL-2.0", "gnu general public 2", "redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-3.0", "gnu general public 3", "redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("LGPL-2.1", "gnu lesser public 2.1", "redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-3.0", "gnu lesser public 3", "redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("AGPL-3.0", "gnu affero public 3", "redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("GPL-2.0", "gnu general public 2", "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPL-3.0", "gnu general public 3", "under the terms of the GNU General Public License version 3 as published by the Free Software Foundation"),
+    ("LGPL-2.1", "gnu lesser public 2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
+    ("ISC", "permission use copy modify distribute fee hereby granted", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("Unlicense", "free unencumbered public domain", "This is free and unencumbered software released into the public domain"),
+    ("CC-BY-4.0", "creative commons attribution 4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-SA-4.0", "creative commons attribution-sharealike 4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", "creative commons attribution-noncommercial 4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("MIT", "mit", "MIT License"),
+    ("MIT", "mit", "The MIT License"),
+    ("MIT", "mit", "The MIT License (MIT)"),
+    ("BSD-2-Clause", "bsd 2-clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "bsd 3-clause", "BSD 3-Clause License"),
+    ("ISC", "isc", "ISC License"),
     ("CC-BY-4.0", "cc by 4.0", "Licensed under CC BY 4.0"),
     ("CC-BY-SA-4.0", "cc by-sa 4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "cc by-nc 4.0", "Licensed under CC BY-NC 4.0"),
+    ("All-rights-reserved", "all rights reserved", "All rights reserved."),
 )
+HEADINGS = {"MIT License", "The MIT License", "The MIT License (MIT)", "BSD 2-Clause License", "BSD 3-Clause License", "ISC License"}
+RESERVED, BSD = "All-rights-reserved", "redistribution source binary"
+SPDX_TAG = re.compile(r"SPDX-License-Identifier:[ \t]*", re.I)
+#: a license, or an exception to one, in an SPDX expression
+SPDX_ID = re.compile(r"[( \t]*(?:(AND|OR|WITH)[ \t]+)?[( \t]*([A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?)[ \t]*\)*", re.I)
 #: single words, as a line break may stand between any two
-CUES = ("licens", "licenc", "hereby", "redistribution")
+CUES = ("licens", "licenc", "hereby", "redistribution", "unencumbered", "reserved")
 #: characters of a candidate block on either side of its cue
 REACH = 400
 TOLERANCE, LEVEL = 0.2, 3
@@ -58,13 +87,36 @@ def words(text: str) -> list[tuple[str, int, int]]:
 
 @lru_cache(maxsize=1)
 def templates():
-    """(name, needed words, notice words, compressor) per notice."""
-    out = []
-    for name, needed, notice in NOTICES:
-        data = zstandard.ZstdCompressionDict(notice.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)
-        out.append((name, needed.split(), [w for w, _, _ in words(notice)], press))
-    return out
+    """(name, needed words, notice words, compressor, whether a heading) per notice."""
+    return [(name, needed.split(), [w for w, _, _ in words(notice)], compressor(notice), notice in HEADINGS) for name, needed, notice in NOTICES]
+
+
+@lru_cache(maxsize=256)
+def compressor(notice: str) -> zstandard.ZstdCompressor:
+    data = zstandard.ZstdCompressionDict(notice.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)
+
+
+def alone_on_lines(text: str, a: int, b: int) -> bool:
+    """Whether no other word stands on the lines of a stretch."""
+    end = text.find("\n", b)
+    return not WORD.search(text, text.rfind("\n", 0, a) + 1, a) and not WORD.search(text, b, len(text) if end < 0 else end)
+
+
+def bsd(text: str, b: int) -> str:
+    """Which of the BSD licenses goes on after its opening sentence."""
+    rest = " ".join(w for w, _, _ in words(text[b : b + 2500])).split("redistribution and use in source")[0]
+    return "BSD-2-Clause" if "list of conditions" in rest and "endorse or promote" not in rest else "BSD-3-Clause"
+
+
+def spdx(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, identifier) of the licenses in SPDX lines; the first one has the tag with it."""
+    for tag in SPDX_TAG.finditer(text):
+        start, at, first = tag.start(), tag.end(), True
+        while (m := SPDX_ID.match(text, at)) and first == (m[1] is None):
+            if first or m[1].upper() != "WITH":
+                yield (start if first else m.start(2)), m.end(2), m[2]
+            at, first = m.end(), False
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
@@ -133,8 +185,16 @@ def scan(text: str | None) -> list[tuple[int, int, str, int, float]]:
         alone = len(plain.compress(data))
         ranked = sorted((len(t[3].compress(data)) - alone, i) for i, t in enumerate(templates()))
         for size, i in ranked:
-            name, needed, notice, _ = templates()[i]
-            hits += [(d, size, i, a, b, name, alone) for a, b, d in confirm(told, needed, notice)]
+            name, needed, notice, _, heading = templates()[i]
+            for a, b, d in confirm(told, needed, notice):
+                if not heading or alone_on_lines(text, a, b):
+                    hits.append((d, size, i, a, b, bsd(text, b) if " ".join(needed) == BSD else name, alone))
+    for a, b, name in spdx(text):
+        lo, hi = max(0, a - REACH), min(len(text), b + REACH)
+        data = text[lo:hi].encode()
+        alone = len(plain.compress(data))
+        size = len(compressor(f"SPDX-License-Identifier: {name}").compress(data)) - alone
+        hits.append((0, size, len(NOTICES), a, b, name, alone))
     starts: list[int] = []
     ends: list[int] = []
     for d, size, _, a, b, name, alone in sorted(hits):
@@ -146,16 +206,19 @@ def scan(text: str | None) -> list[tuple[int, int, str, int, float]]:
     return sorted(out)
 
 
-SCHEMA = "doc_id long, n_notices long, licenses string, notices string, best_reduction double"
+SCHEMA = "doc_id long, n_notices long, licenses string, notices string, best_reduction double, reserved string"
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """One row per document: number of notices, the licenses in code point order, and the notices as license:start:end:differing words."""
+    """One row per document: number of notices, the licenses in code point order, the notices as
+    license:start:end:differing words, and the reservations of all rights as start:end:differing words."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [scan(t) for t in texts_of(b)]
+            every = [scan(t) for t in texts_of(b)]
+            found = [[x for x in f if x[2] != RESERVED] for f in every]
+            kept = [[x for x in f if x[2] == RESERVED] for f in every]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"),
@@ -163,8 +226,9 @@ def query(docs: DataFrame) -> DataFrame:
                     pa.array([",".join(sorted({x[2] for x in f})) for f in found], pa.string()),
                     pa.array([",".join(f"{n}:{s}:{e}:{d}" for s, e, n, d, _ in f) for f in found], pa.string()),
                     pa.array([max((x[4] for x in f), default=0.0) for f in found], pa.float64()),
+                    pa.array([",".join(f"{s}:{e}:{d}" for s, e, _, d, _ in f) for f in kept], pa.string()),
                 ],
-                ["doc_id", "n_notices", "licenses", "notices", "best_reduction"],
+                ["doc_id", "n_notices", "licenses", "notices", "best_reduction", "reserved"],
             )
 
     return text_rows(docs).mapInArrow(run, SCHEMA)

@@ -379,6 +379,49 @@ def test_wrapped_notices(name, lead):
     assert [x[2] for x in licenses.scan(text)] == [name]
 
 
+GNU = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU {} as published by
+the Free Software Foundation, either version {} of the License, or
+(at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+STANDARD = [
+    (GNU.format("General Public License", 3), "GPL-3.0"),
+    (GNU.format("General Public License", 2), "GPL-2.0"),
+    (GNU.format("Lesser General Public License", "2.1"), "LGPL-2.1"),
+    (GNU.format("Lesser General Public License", 3), "LGPL-3.0"),
+    (GNU.format("Affero General Public License", 3), "AGPL-3.0"),
+    (BSD, "BSD-2-Clause"),
+    (BSD + "\n3. Neither the name may be used to endorse or promote products", "BSD-3-Clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided", "ISC"),
+    ("This is free and unencumbered software released into the\npublic domain.", "Unlicense"),
+    ("The MIT License (MIT)\n\nCopyright", "MIT"),
+    ("I know the MIT License well", ""),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note", "GPL-2.0-only"),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "MIT,Apache-2.0"),
+    ("All rights\nreserved.", "All-rights-reserved"),
+]
+
+
+@pytest.mark.parametrize("lead", ["", "# ", " * "])
+@pytest.mark.parametrize("text, want", STANDARD)
+def test_standard_notices(text, want, lead):
+    assert ",".join(x[2] for x in licenses.scan("\n".join(lead + x for x in text.splitlines()))) == want
+
+
+PLANTED = {"GPL": r"gnu general public license, version", "NC": r"cc by-nc 4\.0", "MIT": r"released under the mit", "Apache": r"apache license, version 2", "All-r": "all rights reserved"}
+
+
+def test_all_planted_license_lines(spark):
+    found, texts = {r.doc_id: r for r in licenses.query(docs(spark, SF_MEDIUM)).collect()}, docs(spark, SF_MEDIUM).collect()
+    for name, line in PLANTED.items():
+        want = {t.doc_id: len(re.findall(line, t.text, re.I)) for t in texts}
+        told = {i: len(list(filter(None, r.reserved.split(",")))) if name == "All-r" else sum(name in x for x in r.notices.split(",")) for i, r in found.items()}
+        assert told == want and sum(want.values()) > 0, name
+
+
 # 9
 
 
