@@ -10,10 +10,13 @@ escape character is doubled and put inside every control string of this and of
 common other templates, so that none is left; ``unescape`` gives the text back.
 The loss mask covers exactly the assistant's texts.
 
-Trees are cut so that none holds more than ``PATHS`` distinct conversations: a
-conversation goes to the first node on its path that at most ``PATHS`` distinct
-conversations pass (the nodes above it are then repeated once per such tree).
-Equal conversations are one path.
+Trees are cut so that none holds more than ``PATHS`` distinct conversations. A
+conversation belongs to the first node on its path that at most ``PATHS``
+distinct conversations pass; below a first turn that more of them pass, such
+nodes are bundled in depth-first order into trees of up to ``PATHS`` of them,
+and the turns above are repeated once per tree. Where more than ``SLICE`` times
+``PATHS`` pass a node, its children are dealt by a hash into slices that are
+bundled each on its own. Equal conversations are one path.
 
 Defined results: a null text or role counts as empty; turns are ordered by
 turn (nulls first), then role and text, so repeated rows are turns of their
@@ -43,7 +46,7 @@ TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 CONTROLS = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ESCAPE = "␛"
 ASSISTANT = "assistant"
-PATHS, BUCKET_PATHS = 2000, 4000
+PATHS, BUCKET_PATHS, SLICE = 2000, 4000, 32
 SHAPE = re.compile(re.escape(TURN) + r"(.*?)" + re.escape(TEXT) + r"(.*?)" + re.escape(END), re.S)
 ESCAPES = re.compile(ESCAPE + "+")
 
@@ -173,6 +176,28 @@ def tree(paths: list[list[tuple[str, str, str]]], to: Codec) -> dict:
     return {"ids": ids, "position_ids": positions, "nodes": nodes}
 
 
+def bundles(units: DataFrame, most: int) -> DataFrame:
+    """(unit, tree): units below hot nodes, put together in depth-first order up to ``most`` paths a tree."""
+    wide = F.filter("above", lambda a: a["m"] > SLICE * most)
+    last = F.element_at(wide, -1)
+    branch = F.concat(F.transform("above", lambda a: a["node"]), F.array("unit"))
+    sliced = F.concat(last["node"], F.lit("/"), F.pmod(F.xxhash64(F.element_at(branch, F.size(wide) + 1)), F.ceil(last["m"] / (SLICE * most))))
+    part = F.when(F.size(wide) > 0, sliced).otherwise(F.element_at(branch, 1))
+
+    def run(t: pa.Table) -> pa.Table:
+        rows = sorted(zip(t.column("branch").to_pylist(), t.column("unit").to_pylist(), t.column("paths").to_pylist()))
+        trees, held = [], most
+        for _, unit, paths in rows:
+            if held + paths > most:
+                tree, held = unit, 0
+            held += paths
+            trees.append(tree)
+        return pa.table({"unit": pa.array([r[1] for r in rows], pa.string()), "tree": pa.array(trees, pa.string())})
+
+    # the element after the last wide node is on the branch, as wide nodes come first
+    return units.select("unit", "paths", branch.alias("branch"), part.alias("part")).groupBy("part").applyInArrow(run, "unit string, tree string")
+
+
 def sequences(made: DataFrame, tokenizer: str | None = None, most: int = PATHS) -> DataFrame:
     """One row per tree (the columns of ``SEQUENCE``) from the rows of ``turns``."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
@@ -181,12 +206,17 @@ def sequences(made: DataFrame, tokenizer: str | None = None, most: int = PATHS)
         leaves.join(made.select("conv_id", "k", "node", "role", "text"), F.col("first_conv").eqNullSafe(F.col("conv_id")))
         .select("leaf", "k", "node", "role", "text")
     )
-    passing = on_path.groupBy("node").agg(F.count("*").alias("m")).where(F.col("m") <= most)
-    # a conversation that ends above all such nodes is a tree of its own
-    highest = F.min(F.when(F.col("m").isNotNull(), F.struct("k", "node")))
-    cut = on_path.select("leaf", "k", "node").join(passing, "node", "left").groupBy("leaf").agg(
-        F.coalesce(highest["node"], F.col("leaf")).alias("tree")
+    # at most one node of a level per ``most`` conversations
+    hot = F.broadcast(on_path.groupBy("node").agg(F.count("*").alias("m")).where(F.col("m") > most))
+    step = F.struct("k", "node", "m")
+    # a conversation that ends at a hot node is a unit of its own
+    found = on_path.select("leaf", "k", "node").join(hot, "node", "left").groupBy("leaf").agg(
+        F.sort_array(F.collect_list(F.when(F.col("m").isNotNull(), step))).alias("above"),
+        F.coalesce(F.min(F.when(F.col("m").isNull(), F.struct("k", "node")))["node"], F.col("leaf")).alias("unit"),
     )
+    found = saved(found)
+    units = found.where(F.size("above") > 0).groupBy("unit").agg(F.count("*").alias("paths"), F.first("above").alias("above"))
+    cut = found.join(bundles(units, most), "unit", "left").select("leaf", F.coalesce("tree", "unit").alias("tree"))
     buckets = max(1, -(-cut.count() // BUCKET_PATHS))
     dealt = on_path.join(cut, "leaf").withColumn("bucket", F.pmod(F.xxhash64("tree"), F.lit(buckets)).cast("int"))
 

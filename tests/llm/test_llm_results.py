@@ -310,6 +310,26 @@ def test_prefix_tree(spark, most):
         assert sum(len(t.nodes) for t in trees) == 6
 
 
+@pytest.mark.parametrize("most, slices", [(10, 32), (10, 2), (25, 32)])
+def test_hot_prefixes_stand_once_per_tree(spark, monkeypatch, most, slices):
+    monkeypatch.setattr(chat, "SLICE", slices)
+    shared = ["prompt", "hello", "more"]
+    told = {i: ["prompt", f"q{i}"] for i in range(55)}
+    told |= {100 + i: [*shared, f"r{i}", "end"] for i in range(33)}
+    told |= {200: shared[:1], 201: shared[:2], 202: shared, 203: ["other"], 204: ["other", "one"]}
+    rows = [(c, i, "user", t) for c, texts in told.items() for i, t in enumerate(texts)]
+    made = chat.turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    trees = chat.sequences(made, most=most).collect()
+    per_tree = [sum(n.leaf for n in t.nodes) for t in trees]
+    assert sum(per_tree) == len(told) and max(per_tree) <= most
+    tops = [sum(n.parent < 0 for n in t.nodes) for t in trees]
+    assert max(tops) == 1  # conversations that share nothing are not put together
+    copies = len(trees) - 1  # all but the tree under "other" repeat the prompt
+    paths = 55 + 33 + 3
+    least = -(-paths // most)
+    assert least <= copies <= (least if slices == 32 else 2 * least)
+
+
 def test_escapes_round_trip():
     rng = random.Random(3)
     for _ in range(5000):
