@@ -165,17 +165,28 @@ class Index:
         self.first = np.concatenate(([0], np.cumsum(df)))
         self.used = np.zeros(len(docs), bool)
         self.n = len(docs)
+        # terms in over an eighth of the documents: their weights as whole rows, at most 8 times the index
+        common = np.flatnonzero(df > len(docs) / 8)
+        self.row = np.full(1 << 16, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), len(docs)), np.float32)
+        for i, t in enumerate(common.tolist()):
+            a, b = self.first[t], self.first[t + 1]
+            self.rows[i, self.docs[a:b]] = self.weights[a:b]
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused documents by falling score for the terms of the seed."""
         lo, hi = (self.ends[seed - 1] if seed else 0), self.ends[seed]
-        score = np.zeros(self.n, np.float32)
-        for t in self.term[lo:hi].tolist():
-            a, b = self.first[t], self.first[t + 1]
+        terms = self.term[lo:hi].astype(np.int64)
+        row = self.row[terms]
+        score = np.add.reduce(self.rows[row[row >= 0]], axis=0)
+        begin, end = self.first[terms], self.first[terms + 1]
+        rest = (row < 0) & (end - begin > 1)  # a term of the seed alone finds nothing
+        for a, b in zip(begin[rest].tolist(), end[rest].tolist()):
             score[self.docs[a:b]] += self.weights[a:b]
         score[self.used] = 0
         found = np.flatnonzero(score)
-        return found[np.lexsort((found, -score[found]))]
+        return found[np.argsort(-score[found], kind="stable")]
 
 
 def fill(docs: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
@@ -294,9 +305,9 @@ def dealt(made: DataFrame, corpus: Corpus, shard_bytes: int) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [corpus.prefixes(d) for d in tokens_of(b.column("ids"))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.string()))], [*b.schema.names, "prefixes"])
+            yield pa.RecordBatch.from_arrays([b.column("size"), pa.array(found, pa.list_(pa.string()))], ["size", "prefixes"])
 
-    keyed = made.mapInArrow(prefixes, "doc_id long, h long, size long, ids binary, prefixes array<string>")
+    keyed = saved(made.select("size", "ids").mapInArrow(prefixes, "size long, prefixes array<string>"))
     sizes = keyed.select("size", F.explode("prefixes").alias("prefix")).groupBy("prefix").agg(F.sum("size").alias("size"))
     hot = {r.prefix for r in sizes.where(F.col("size") > shard_bytes).select("prefix").collect()}
 
