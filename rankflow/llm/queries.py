@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rankflow.llm import chat, kdtree, langid, licenses, mih, mixing, packing, pii, simhash, substrings
+from rankflow.llm import chat, kdtree, langid, licenses, mih, mixing, packing, pii, simhash, spelling, substrings
 from rankflow.llm.common import table
 
 
@@ -26,10 +26,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_notices": _over("documents", licenses.query),
     "op9_simhash_components": _over("documents", simhash.query),
     "op10_personal_data": _over("documents", pii.query),
+    "op11_spelling_variants": _over("documents", spelling.query),
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {"op7_chat_trees": chat.ORACLE}
+ORACLE: dict[str, str] = {"op7_chat_trees": chat.ORACLE, "op11_spelling_variants": spelling.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
