@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rankflow.llm import alignment, chat, kdtree, langid, licenses, mih, mixing, packing, pii, simhash, spelling, substrings
+from rankflow.llm import alignment, bilinear, chat, kdtree, langid, licenses, mih, mixing, packing, pii, simhash, spelling, substrings
 from rankflow.llm.common import table
 
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal_data": _over("documents", pii.query),
     "op11_spelling_variants": _over("documents", spelling.query),
     "op12_token_alignment": _over("documents", alignment.query),
+    "op13_bilinear_scores": _over("documents", bilinear.query),
     "pipeline": corpus_pipeline.run,
 }
 
