@@ -73,7 +73,11 @@ def content_counts(interactions: DataFrame, as_of: str, window_hours: int = C.FE
 def _counts_with_topic(events: DataFrame, keys: list[str]) -> DataFrame:
     """Counts per key and topic (fixed-width buffers, so a hash aggregate over
     the events), then the few topic rows of each key folded into one."""
-    per_topic = events.groupBy(*keys, "topic").agg(*metric_counts(), F.max("event_timestamp").alias("last_event_at"))
+    return fold_topics(events.groupBy(*keys, "topic").agg(*metric_counts(), F.max("event_timestamp").alias("last_event_at")), keys)
+
+
+def fold_topics(per_topic: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per key from rows (keys, topic, counts, last_event_at), with the topic of the latest one."""
     return per_topic.groupBy(*keys).agg(
         *[F.sum(m).alias(m) for m in C.METRICS],
         F.max("last_event_at").alias("last_event_at"),
@@ -154,13 +158,22 @@ def user_topic_counts(interactions: DataFrame, as_of: str, window_hours: int = C
     The user-level max runs on the aggregated rows, not on raw events."""
     _check_window(window_hours)
     ev = interactions.filter(in_window("event_timestamp", as_of, window_hours) & F.col("topic").isNotNull())
-    agg = ev.groupBy("user_id", "topic").agg(*metric_counts(), F.max("event_timestamp").alias("_last"))
-    return agg.withColumn("last_event_at", F.max("_last").over(Window.partitionBy("user_id"))).drop("_last")
+    agg = ev.groupBy("user_id", "topic").agg(*metric_counts(), F.max("event_timestamp").alias("last_event_at"))
+    return latest_of_user(agg)
+
+
+def latest_of_user(per_topic: DataFrame) -> DataFrame:
+    """Rows (user_id, topic, counts, last_event_at) with the user's latest event time in place of the topic's."""
+    return per_topic.withColumn("last_event_at", F.max("last_event_at").over(Window.partitionBy("user_id")))
 
 
 def user_topic_affinity(interactions: DataFrame, as_of: str, window_hours: int = C.FEATURE_WINDOW_HOURS) -> DataFrame:
     """A10 + A11: user-topic vectors with their affinity score."""
-    counts = user_topic_counts(interactions, as_of, window_hours)
+    return with_affinity(user_topic_counts(interactions, as_of, window_hours), window_hours)
+
+
+def with_affinity(counts: DataFrame, window_hours: int) -> DataFrame:
+    """A10 + A11 on a counts frame."""
     s1 = counts.select("user_id", "topic", *C.METRICS, affinity_ratio().alias("_q"), "last_event_at")
     staged = s1.select("user_id", "topic", *C.METRICS, affinity_raw("_q").alias("_raw"), "last_event_at")
     return staged.select(

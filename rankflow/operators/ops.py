@@ -159,6 +159,20 @@ def flushes(snapshots: DataFrame, latest: DataFrame) -> DataFrame:
     return done.withColumn("dirty_keys", dirty.scalar())
 
 
+def flush_report(flushes: DataFrame) -> DataFrame:
+    """O6 per flush, from the table the job writes: records, rejected ones, keys written, newest event."""
+    return flushes.groupBy("batch_id").agg(
+        F.sum("processed").alias("processed"), F.sum("failed").alias("failed"), F.max("content_keys").alias("content_keys"),
+        F.max("user_keys").alias("user_keys"), F.max("last_processed_at").alias("last_processed_at"), F.max("flushed_at").alias("flushed_at"),
+    )
+
+
+def lag_after(flushes: DataFrame, ends: DataFrame, batch_id: int) -> DataFrame:
+    """O5 after a flush: ``ends`` (topic, partition, low_offset, end_offset) against the offsets flushed until then."""
+    done = flushes.filter(F.col("batch_id") <= batch_id).groupBy("topic", "partition").agg(F.max("current_offset").alias("current_offset"))
+    return lag(ends.join(done, ["topic", "partition"], "left"))
+
+
 def freshness(validated: DataFrame) -> DataFrame:
     """Processed / failed totals, last processed event, touched keys."""
     ok = F.size("errors") == 0

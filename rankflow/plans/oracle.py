@@ -128,16 +128,16 @@ profiles AS (
   FROM users u CROSS JOIN topics t WHERE u.user_id % 10 <> 9)"""
 
 
-def window_filter(window_hours: int) -> str:
-    return f"event_timestamp > {AS_OF} - INTERVAL {int(window_hours)} HOUR AND event_timestamp <= {AS_OF}"
+def window_filter(window_hours: int, as_of: str = AS_OF) -> str:
+    return f"event_timestamp > {as_of} - INTERVAL {int(window_hours)} HOUR AND event_timestamp <= {as_of}"
 
 
-def content_features_cte(window_hours: int, name: str = "cf", source: str = "interactions") -> str:
+def content_features_cte(window_hours: int, name: str = "cf", source: str = "interactions", as_of: str = AS_OF) -> str:
     return f"""
 {name}_counts AS (
   SELECT content_id, {counts_sql()}, max(event_timestamp) AS last_event_at,
          arg_max(topic, event_timestamp) FILTER (WHERE topic IS NOT NULL) AS topic
-  FROM {source} WHERE {window_filter(window_hours)} GROUP BY content_id),
+  FROM {source} WHERE {window_filter(window_hours, as_of=as_of)} GROUP BY content_id),
 {name}_r AS (
   SELECT content_id, topic, {int(window_hours)} AS window_hours, {METRICS},
          {rate('clicks', 'impressions')} AS ctr,
@@ -145,7 +145,7 @@ def content_features_cte(window_hours: int, name: str = "cf", source: str = "int
          {rate('saves', 'clicks')} AS save_rate,
          {rate('skip_count', 'impressions')} AS skip_rate,
          {rate('watch_completes', 'watch_starts')} AS completion_rate,
-         {trending(AS_OF, window_hours)} AS trending_score,
+         {trending(as_of, window_hours)} AS trending_score,
          last_event_at
   FROM {name}_counts),
 {name} AS (
@@ -660,6 +660,31 @@ FROM validated WHERE errors <> ''"""
 SELECT {uuid('event_id')} AS event_id, event_type, {uuid('user_id')} AS user_id, {uuid('content_id')} AS content_id, topic, event_timestamp
 FROM validated WHERE errors = ''
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_seq) = 1"""
+    q["stream_continuous_features"] = q["stream_dirty_features"].replace(f"SELECT {uuid('content_id')} AS content_id", "SELECT content_id").replace(
+        "last_event_at\nFROM cf", "last_event_at, true AS last_exact\nFROM cf"
+    )
+    q["stream_moving_window"] = q["stream_replay_features"]
+    q["stream_flushes"] = with_(INTERACTIONS, DIRTY, """
+arrived AS (
+  SELECT *, event_id % 2 + CASE WHEN ingest_seq > event_id * 4 THEN 1 ELSE 0 END AS batch_id, user_id % 4 AS part FROM validated),
+flushed AS (
+  SELECT batch_id, count(*) FILTER (WHERE errors = '') AS processed, count(*) FILTER (WHERE errors <> '') AS failed,
+         count(DISTINCT content_id) FILTER (WHERE errors = '') AS content_keys, count(DISTINCT user_id) FILTER (WHERE errors = '') AS user_keys,
+         max(event_timestamp) FILTER (WHERE errors = '') AS last_processed_at
+  FROM arrived GROUP BY batch_id),
+ends AS (SELECT part, min(ingest_seq) AS low, max(ingest_seq) AS high FROM arrived GROUP BY part),
+waiting AS (
+  SELECT f.batch_id, e.part, greatest(e.high - coalesce(max(a.ingest_seq), e.low), 0) AS lag
+  FROM flushed f CROSS JOIN ends e LEFT JOIN arrived a ON a.part = e.part AND a.batch_id <= f.batch_id
+  GROUP BY f.batch_id, e.part, e.high, e.low)""") + f"""
+SELECT CAST(f.batch_id AS INTEGER) AS batch_id, processed, failed, content_keys, user_keys, last_processed_at, {AS_OF} AS flushed_at, max(lag) AS most_lag
+FROM flushed f JOIN waiting w USING (batch_id) GROUP BY ALL"""
+    days = [f"({AS_OF} - INTERVAL {d} DAY)" for d in (2, 1, 0)]
+    q["versioned_features"] = with_(INTERACTIONS, *[content_features_cte(C.FEATURE_WINDOW_HOURS, f"cf{i}", as_of=t) for i, t in enumerate(days)]) + f"""
+, parts AS ({" UNION ALL ".join(f"SELECT {i} AS part, *, {t} AS updated_at FROM cf{i}" for i, t in enumerate(days))}),
+both_reads AS (SELECT 'before' AS read, * FROM parts WHERE part < 2 UNION ALL SELECT 'after' AS read, * FROM parts)
+SELECT read, content_id, topic, {METRICS}, trending_score, updated_at FROM both_reads
+QUALIFY row_number() OVER (PARTITION BY read, content_id ORDER BY updated_at DESC) = 1"""
     q["duplicate_event_report"] = with_(INTERACTIONS, DIRTY) + """
 SELECT event_id, count(*) AS occurrences, 'duplicate_in_batch' AS violation, 'event_id' AS field
 FROM dirty GROUP BY event_id HAVING count(*) > 1"""

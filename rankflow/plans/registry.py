@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .. import constants as C
 from .. import sinks
 from .. import sources as S
+from ..functions import micros, ts_lit
 from ..operators import attribution as attr
 from ..operators import candidates as cand
 from ..operators import catalog, experiments, feed, ingest, insights, ops, scoring, validate
@@ -353,10 +354,10 @@ def _broker_values(it: DataFrame, *others) -> DataFrame:
     return it.select(F.to_json(F.struct(*fields)).alias("value"), *others)
 
 
-def _drain(spark, stream, root: str) -> None:
+def _drain(spark, stream, root: str, as_of=lambda _b: AS_OF) -> None:
     from ..streaming import features_job
 
-    q = features_job.start(stream, f"{root}/out", C.FEATURE_WINDOW_HOURS, as_of=lambda _b: AS_OF,
+    q = features_job.start(stream, f"{root}/out", C.FEATURE_WINDOW_HOURS, as_of=as_of,
                            trigger={"availableNow": True}, checkpoint=f"{root}/ckpt", query_name=None)
     q.awaitTermination()
     if q.exception() is not None:
@@ -373,11 +374,18 @@ def _latest_vectors(spark, root: str) -> DataFrame:
     ))
 
 
+#: folders of drains by application and input: the queries on one stream read one run of it
+_DRAINED: dict[tuple[str, str], str] = {}
+
+
 def _drained_dirty(spark, sf) -> str:
-    """The defective interactions (F7) as broker records in several
+    """The defective interactions (F7) as broker records in three
     micro-batches: every second copy of an id arrives in a later one."""
     from ..sources import streams
 
+    this = (spark.sparkContext.applicationId, sf)
+    if this in _DRAINED:
+        return _DRAINED[this]
     root = _stream_root(spark)
     dirty = _dirty(spark, sf)
     copy = F.col("ingest_seq") - F.col("event_id") * 4
@@ -391,6 +399,7 @@ def _drained_dirty(spark, sf) -> str:
         part = records.filter(F.col("step") == step).drop("step")
         part.repartition(STREAM_FILES).write.mode("append").parquet(f"{root}/in")
     _drain(spark, streams.read_interactions(spark, source="records", path=f"{root}/in", max_records_per_trigger=STREAM_FILES), root)
+    _DRAINED[this] = root
     return root
 
 
@@ -418,6 +427,105 @@ def q_stream_audit(spark, sf):
     return finalize(streams.replay_audit(audit).select("event_id", "event_type", "user_id", "content_id", "topic", "event_timestamp"))
 
 
+def q_stream_flushes(spark, sf):
+    """W5 + O5 + O6 from the stream's own tables: per flush the records, the
+    rejected ones, the keys written and the records still waiting."""
+    flushes = sinks.stored(spark, f"{_drained_dirty(spark, sf)}/out/flushes", sinks.FLUSH_SCHEMA)
+    ends = spark.read.parquet(f"{_drained_dirty(spark, sf)}/in").groupBy("topic", F.col("partition").cast("long").alias("partition")).agg(
+        F.min("offset").alias("low_offset"), F.max("offset").alias("end_offset")
+    )
+    report = ops.flush_report(flushes)
+    lag = None
+    for batch in range(3):
+        one = ops.lag_after(flushes, ends, batch).agg(F.max("lag").alias("most_lag")).select(F.lit(batch).alias("batch_id"), "most_lag")
+        lag = one if lag is None else lag.unionByName(one)
+    return finalize(report.join(lag, "batch_id"))
+
+
+def q_stream_continuous_features(spark, sf):
+    """W1 + W2 + I2 in keyed state: the defective interactions in two
+    micro-batches through the two stateful steps; the last vector of every content."""
+    from ..streaming import continuous
+
+    root = _stream_root(spark)
+    valid = validate.interactions(_dirty(spark, sf)).filter(F.size("errors") == 0)
+    rows = valid.select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("ingest_seq").alias("seq"), F.col("content_id").cast("string").alias("content_id"),
+        "topic", "event_type", "event_timestamp",
+    )
+    for step in range(2):
+        (rows.filter(F.col("seq") % 2 == 0) if step == 0 else rows.filter(F.col("seq") % 2 != 0)).coalesce(STREAM_FILES).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STREAM_FILES).parquet(f"{root}/in")
+    continuous.drain(continuous.vectors(continuous.changes(stream, C.FEATURE_WINDOW_HOURS), C.FEATURE_WINDOW_HOURS, AS_OF), f"{root}/out", f"{root}/ckpt", AS_OF)
+    latest = sinks.read_latest(spark, f"{root}/out", ["content_id"], as_of=AS_OF, window_hours=C.FEATURE_WINDOW_HOURS)
+    return finalize(latest.select(
+        F.col("content_id").cast("long").alias("content_id"), "topic", *C.METRICS, "ctr", "like_rate", "save_rate", "skip_rate", "completion_rate",
+        "trending_score", "last_event_at", "last_exact",
+    ))
+
+
+#: days of the moving stream, and which of the last day's events come on its first one
+MOVING_DAYS, AHEAD = 4, 10
+
+
+def q_stream_moving_window(spark, sf):
+    """I4 + W3: a stream whose first micro-batch holds nothing but broken
+    records and whose ``as_of`` moves over four days; a tenth of the last day's
+    events arrive three days ahead. The vectors come from the events that the
+    store still holds at the end."""
+    from ..sources import streams
+    from ..streaming import features_job
+
+    root = _stream_root(spark)
+    end = ts_lit(AS_OF)
+    back = F.ceil((micros(end) - micros("event_timestamp")) / F.lit(86_400_000_000)).cast("int")
+    it = _it(spark, sf).withColumn("day", F.lit(MOVING_DAYS + 1) - F.greatest(back, F.lit(1)))
+    it = it.filter(F.col("day").between(1, MOVING_DAYS))
+    sent = F.when((F.col("day") == MOVING_DAYS) & (F.col("event_id") % AHEAD == 0), F.lit(1)).otherwise(F.col("day"))
+    records = _broker_values(
+        it, F.col("user_id").cast("string").alias("key"), F.lit("interactions.events.v1").alias("topic"), F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"), F.timestamp_micros(micros(end) - (F.lit(MOVING_DAYS) - sent).cast("long") * 86_400_000_000).alias("timestamp"),
+        F.lit(None).cast("array<struct<key: string, value: string>>").alias("headers"), sent.alias("step"),
+    )
+    broken = records.filter(F.col("step") == 1).withColumn("value", F.expr("left(value, length(value) - 7)")).withColumn("step", F.lit(0))
+    # an empty day leaves files without rows, so that a step is always one micro-batch
+    for step in range(MOVING_DAYS + 1):
+        part = (broken if step == 0 else records).filter(F.col("step") == step).drop("step")
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    _drain(spark, streams.read_interactions(spark, source="records", path=f"{root}/in", max_records_per_trigger=1), root, features_job.max_broker_time)
+    events = features_job.current_events(spark, f"{root}/out", AS_OF, C.FEATURE_WINDOW_HOURS)
+    v = feat.content_features(events, AS_OF, C.FEATURE_WINDOW_HOURS)
+    return finalize(v.select(
+        "content_id", "topic", *C.METRICS, "ctr", "like_rate", "save_rate", "skip_rate", "completion_rate", "trending_score", "last_event_at"
+    ))
+
+
+def q_versioned_features(spark, sf):
+    """S7 + S8 as table versions: the vectors of three days are upserted, the
+    table is folded in place, and both the version from before the last day and
+    the newest one are read afterwards."""
+    path = f"{_stream_root(spark)}/latest"
+    pinned = 0
+    for batch in range(3):
+        t = days_later(batch - 2)
+        v = feat.content_features(_it(spark, sf), t, C.FEATURE_WINDOW_HOURS)
+        sinks.upsert_latest(v.withColumn("updated_at", ts_lit(t)), path, batch, ["content_id"])
+        pinned = pinned if batch == 2 else sinks.versions.VersionedTable(spark, path).version()
+    sinks.compact_latest(spark, path, ["content_id"])
+    out = None
+    for label, version in (("before", pinned), ("after", None)):
+        rows = sinks.read_latest(spark, path, ["content_id"], version=version).select(F.lit(label).alias("read"), "content_id", "topic", *C.METRICS, "trending_score", "updated_at")
+        out = rows if out is None else out.unionByName(rows)
+    return finalize(out)
+
+
+def days_later(days: int) -> str:
+    """``AS_OF`` so many days later."""
+    import datetime as dt
+
+    return (dt.datetime.fromisoformat(AS_OF) + dt.timedelta(days=days)).strftime("%Y-%m-%d %H:%M:%S")
+
+
 # ---------------------------------------------- intake rules and small tables
 def _scores(pairs) -> F.Column:
     """A map literal from (key, score) pairs; a score may be null or a SQL number."""
@@ -829,6 +937,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dirty_features": q_stream_dirty_features,
     "stream_dead_letters": q_stream_dead_letters,
     "stream_audit": q_stream_audit,
+    "stream_flushes": q_stream_flushes,
+    "stream_continuous_features": q_stream_continuous_features,
+    "stream_moving_window": q_stream_moving_window,
+    "versioned_features": q_versioned_features,
     "idempotent_counts": q_idempotent_counts,
     "duplicate_event_report": q_duplicate_event_report,
     "preference_validation": q_preference_validation,

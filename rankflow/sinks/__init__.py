@@ -3,17 +3,19 @@
 Writes are idempotent by construction so that a re-run micro-batch (after
 an executor or driver loss) leaves the same result: every batch writes its
 own ``batch_id`` partition with dynamic partition overwrite, and "latest"
-tables are copy-on-write versions keyed by batch id.
+tables are versioned (``versions``): a batch adds a part with the rows it
+recomputed, readers merge the parts of one version, and parts are folded in place.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import micros, ts_lit
+from .versions import VersionedTable, compact, latest
 
 
 def _overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -45,19 +47,53 @@ def expire_partitions(spark: SparkSession, path: str, column: str, first_kept: s
     return sorted(old)
 
 
-EVENT_COLUMNS = ("event_id", "event_type", "user_id", "content_id", "topic", "event_timestamp", "arrival")
+EVENT_COLUMNS = ("event_id", "event_type", "user_id", "content_id", "topic", "event_timestamp")
+EVENT_SCHEMA = (
+    "event_id string, event_type string, user_id string, content_id string, topic string, event_timestamp timestamp, "
+    "event_date date, batch_id int"
+)
+
+
+def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a folder, read with the schema they were written with: a batch without a row leaves a folder without a file."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def append_events(events: DataFrame, path: str, batch_id: int) -> None:
-    """What the rolling features read of every arrival, by event date and batch."""
+    """What the rolling features read of a batch's events, by event date and batch."""
     out = events.select(*EVENT_COLUMNS, F.to_date("event_timestamp").alias("event_date"), F.lit(int(batch_id)).alias("batch_id"))
     _overwrite_partitions(out, path, ["event_date", "batch_id"])
 
 
-def append_arrivals(events: DataFrame, path: str, batch_id: int, as_of: str) -> None:
-    """The ids of a batch and their order of arrival, by processing date."""
-    out = events.select("event_id", "arrival", F.to_date(ts_lit(as_of)).alias("arrival_date"), F.lit(int(batch_id)).alias("batch_id"))
-    _overwrite_partitions(out, path, ["arrival_date", "batch_id"])
+def append_taken(copies: DataFrame, path: str, batch_id: int) -> None:
+    """The stored copies (with their ``of_batch``) that a batch takes out since it sends their ids again, by the copies' event date."""
+    out = copies.select(*EVENT_COLUMNS, "of_batch", "event_date", F.lit(int(batch_id)).alias("batch_id"))
+    _overwrite_partitions(out, path, ["event_date", "batch_id"])
+
+
+def append_filter(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The Bloom filter of a batch's ids (``id_index``)."""
+    _overwrite_partitions(rows.withColumn("batch_id", F.lit(int(batch_id))), path, ["batch_id"])
+
+
+FLUSH_SCHEMA = (
+    "topic string, partition long, current_offset long, processed long, failed long, last_processed_at timestamp, "
+    "flushed_at timestamp, content_keys long, user_keys long, batch_id int"
+)
+
+
+def append_flush(rows: DataFrame, content_keys: int, user_keys: int, path: str, batch_id: int, flushed_at: str) -> None:
+    """What a flush did, by source partition, and how many keys it wrote."""
+    named = {"flushed_at": ts_lit(flushed_at), "content_keys": F.lit(content_keys).cast("long"), "user_keys": F.lit(user_keys).cast("long")}
+    _overwrite_partitions(rows.withColumns(named | {"batch_id": F.lit(int(batch_id))}), path, ["batch_id"])
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replaced if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
 
 
 def append_audit(events: DataFrame, path: str, batch_id: int, created_at: str) -> None:
@@ -112,11 +148,27 @@ def write_snapshots(content_features: DataFrame, user_features: DataFrame, root:
         _overwrite_partitions(out, os.path.join(root, name), ["batch_id"])
 
 
-def upsert_latest(new_rows: DataFrame, path: str, batch_id: int) -> None:
-    """S7 / S8 write side: the rows a batch recomputed go to their own
-    version directory (merge-on-read): a batch writes only the keys it
-    touched, and a replayed batch rewrites the same version."""
-    _overwrite_partitions(new_rows.withColumn("version", F.lit(int(batch_id))), path, ["version"])
+#: parts of a latest-value table before they are folded, and versions that readers may still use
+LATEST_PARTS, LATEST_KEPT = 16, 2
+BUCKETS = 64
+
+
+def bucket_of(key: str) -> Column:
+    """Groups of keys: parts are sorted by them, so that a reader of few keys skips most row groups."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def upsert_latest(new_rows: DataFrame, path: str, batch_id: int, keys: list[str] | None = None, order_col: str = "updated_at") -> int:
+    """S7 / S8 write side: the rows a batch recomputed become a part of the
+    table's next version; a replayed batch replaces its own part. With
+    ``keys`` the parts of earlier batches are folded when there are many.
+    Returns the version."""
+    table = VersionedTable(new_rows.sparkSession, path)
+    if keys and sum(p["batch"] < batch_id for p in table.manifest()["parts"]) >= LATEST_PARTS:
+        compact_latest(new_rows.sparkSession, path, keys, order_col, batch_id)
+        table.vacuum(LATEST_KEPT)
+    rows = new_rows.withColumn("bucket", bucket_of(keys[0] if keys else new_rows.columns[0])).withColumn("version", F.lit(int(batch_id)))
+    return table.append(rows.sortWithinPartitions("bucket"), batch_id)
 
 
 def read_latest(
@@ -126,15 +178,20 @@ def read_latest(
     order_col: str = "updated_at",
     as_of: str | None = None,
     window_hours: int | None = None,
+    version: int | None = None,
+    buckets: list[int] | None = None,
 ) -> DataFrame:
-    """S7 / S8 read side: latest row per key over all versions (partial
-    ``max_by`` per key). With ``as_of`` and ``window_hours`` rows without an
-    event in the window ending at ``as_of`` are left out (W4): keys that no
+    """S7 / S8 read side: latest row per key over the parts of one version
+    (the newest by default; partial ``max_by`` per key), of the keys in
+    ``buckets`` only if given. With ``as_of`` and ``window_hours`` rows without
+    an event in the window ending at ``as_of`` are left out (W4): keys that no
     batch has touched since, and the ones a batch emptied."""
-    df = spark.read.parquet(path)
-    others = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(order_col), F.col("version"))
-    out = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*keys, "_r.*").drop("version")
+    rows = VersionedTable(spark, path).read(version)
+    if rows is None:
+        raise FileNotFoundError(f"{path} has no version yet")
+    if buckets is not None:
+        rows = rows.where(F.col("bucket").isin(buckets))
+    out = latest(rows, keys, order_col).drop("version", "bucket")
     if as_of is None:
         return out
     since = F.timestamp_micros(micros(ts_lit(as_of)) - F.lit(int(window_hours or 0) * 3_600_000_000))
@@ -149,11 +206,9 @@ def emptied(stored: DataFrame, touched: DataFrame, fresh: DataFrame, keys: list[
     return gone.withColumns(zero | {"last_event_at": F.lit(None).cast("timestamp")}).select(*fresh.drop("updated_at").columns)
 
 
-def compact_latest(spark: SparkSession, path: str, out_path: str, keys: list[str], order_col: str = "updated_at") -> None:
-    """Fold all versions into one (run off the hot path, e.g. hourly)."""
-    read_latest(spark, path, keys, order_col).withColumn("version", F.lit(0)).write.mode("overwrite").partitionBy(
-        "version"
-    ).parquet(out_path)
+def compact_latest(spark: SparkSession, path: str, keys: list[str], order_col: str = "updated_at", before: int | None = None) -> int:
+    """Folds the parts of a latest-value table (of batches before ``before``) into one, in place; returns the version."""
+    return compact(VersionedTable(spark, path), lambda df: latest(df, keys, order_col).sortWithinPartitions("bucket"), before)
 
 
 def read_affinity_map(latest_affinity: DataFrame) -> DataFrame:
@@ -173,16 +228,21 @@ def read_content_features(latest: DataFrame, items: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "append_arrivals",
     "append_audit",
     "append_events",
+    "append_filter",
+    "append_flush",
+    "append_taken",
+    "bucket_of",
     "emptied",
     "exists",
     "expire_partitions",
+    "stored",
     "to_keyed_json",
     "write_keyed",
     "write_dead_letters",
     "write_snapshots",
+    "write_text",
     "upsert_latest",
     "read_latest",
     "compact_latest",
