@@ -7,9 +7,9 @@ tokens share it), and at byte-fallback tokens, the tokens' decoded bytes place
 the ends. Decoded bytes must add up to the text.
 
 Neither tokenizer joins a character that is no white space with a space or a
-line break after it (A's pattern, and no piece of B holds one after another
-character; checked when the model is read), so texts are cut there and a
-worker remembers how such a chunk aligns. Chunks of over ``LONG`` characters
+line break after it, nor a Latin letter with a full stop or comma after it
+(A's pattern, and no piece of B holds one so; checked when the model is read),
+so texts are cut there and a worker remembers how such a chunk aligns. Chunks of over ``LONG`` characters
 are not remembered, and at ``REMEMBERED`` chunks those not met since the last
 time are forgotten.
 
@@ -43,8 +43,8 @@ LONG, REMEMBERED = 200, 250_000
 #: chunks that are read as one text
 TOGETHER = 1000
 SPACE = "▁"
-#: a space or line break, and everything up to the next one that follows a character which is no white space
-CHUNK = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
+#: in front of a space or line break after a character that is no white space, and of a full stop or comma after a Latin letter
+CUT = re.compile(r"(?<=\S)(?=[ \n])|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
 
 
 def byte_level() -> dict[str, int]:
@@ -72,8 +72,9 @@ class Aligner:
         for i in range(self.b.get_piece_size()):
             piece, fallback = self.b.id_to_piece(i), self.b.is_byte(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if fallback else piece.replace(SPACE, " ").encode())
-            if not fallback and (SPACE in piece.lstrip(SPACE) or ("\n" in piece and len(piece) > 1)):
-                raise ValueError("a piece crosses white space; texts cannot be cut there")
+            text = piece.replace(SPACE, " ")
+            if not fallback and (len(CUT.split(text)) > 1 or ("\n" in text and len(text) > 1)):
+                raise ValueError(f"the piece {piece} stands across a cut")
         self.fallback = np.array([self.b.is_byte(i) for i in range(self.b.get_piece_size())])
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
@@ -106,7 +107,7 @@ class Aligner:
         """
         if not chunks:
             return []
-        # so that no chunk stands where B puts a space in front
+        # so that no chunk stands where B puts a space in front, and one that follows a letter does so
         lead = " x"
         found = self.cuts(lead + "".join(chunks))
         if found is None:
@@ -135,9 +136,9 @@ class Aligner:
                 self.known[c] = self.older[c]
             else:
                 new.append(c)
-        # a chunk that ends in white space stands at the end of a text
-        whole = [c for c in new if not c[-1].isspace()]
-        parts = [whole[lo : lo + TOGETHER] for lo in range(0, len(whole), TOGETHER)] + [[c] for c in new if c[-1].isspace()]
+        # a chunk that ends in white space stands at the end of a text, one without any at its start after a letter
+        whole = [c for c in new if not c[-1].isspace() and c[0] in " \n"]
+        parts = [whole[lo : lo + TOGETHER] for lo in range(0, len(whole), TOGETHER)] + [[c] for c in new if c[-1].isspace() or c[0] not in " \n"]
         for part in parts:
             for c, found in zip(part, self.aligned(part)):
                 (self.known if len(c) <= LONG else passing)[c] = found
@@ -145,7 +146,7 @@ class Aligner:
 
     def documents(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, list[int]]]:
         """(n_a, n_b, n_groups, groups_sha256, linked pairs) of each text."""
-        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        cut = [CUT.split(" " + t) if t else [] for t in texts]
         met = set(chain.from_iterable(cut))
         passing = self.remember({c for c in met if c not in self.known})
         known = self.known | passing if passing else self.known
