@@ -8,6 +8,7 @@ number of blocks, and what comes back to a block is bounded by its text.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -17,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.session import checkpoint_dir
+
 #: characters of a block's texts, but for one document that is longer
 BLOCK_CHARS = 4_000_000
 
@@ -38,11 +41,22 @@ def grouped(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_CHARS) -> Iter
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values).tobytes(), 1)
+    """The numbers, byte plane by byte plane: the high ones are nearly all zero."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), kind)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """A frame that several steps read, as Parquet in the shared checkpoint folder: smaller than a checkpoint where rows are wide."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def looked_up(blocks: DataFrame, items: str, table: DataFrame, key: str, values: list[str]) -> DataFrame:
