@@ -3,9 +3,9 @@
 A candidate block is the text around one license cue, across line breaks (words
 skip them, and comment signs). A block is
 compressed on its own and once with each template as a raw zstandard
-dictionary; templates are ranked by how much smaller that makes the block.
-Every template whose telling words are there is confirmed by exact wording: its
-notice must stand in the block with at most ``TOLERANCE`` of its words changed,
+dictionary; templates are ranked by how much smaller that makes the block, and
+the winners, those with at least ``WINNER`` of the best reduction, are confirmed
+by exact wording: the notice must stand in the block with at most ``TOLERANCE`` of its words changed,
 left out or put in, and with all the words that tell it from other licenses
 unchanged. Where confirmed notices overlap, the one with the fewest differing
 words counts, then the one with the best reduction.
@@ -78,6 +78,8 @@ CUES = ("licens", "licenc", "hereby", "redistribution", "unencumbered", "reserve
 #: characters of a candidate block on either side of its cue
 REACH = 400
 TOLERANCE, LEVEL = 0.2, 3
+#: share of a block's best reduction that a template needs to be confirmed
+WINNER = 0.5
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -169,6 +171,12 @@ def confirm(block: list[tuple[str, int, int]], needed: list[str], notice: list[s
     return [(block[lo][1], block[hi - 1][2], d) for lo, hi, d in taken]
 
 
+def winners(sizes: list[int]) -> list[tuple[int, int]]:
+    """The (change in size, template) that are confirmed, best first: templates that make the block smaller, by ``WINNER`` of the best reduction at least."""
+    ranked = sorted((size, i) for i, size in enumerate(sizes))
+    return [(size, i) for size, i in ranked if size < 0 and size <= WINNER * ranked[0][0]]
+
+
 def scan(text: str | None) -> list[tuple[int, int, str, int, float]]:
     """(start, end, license, differing words, size reduction) by start."""
     out: list[tuple[int, int, str, int, float]] = []
@@ -183,8 +191,7 @@ def scan(text: str | None) -> list[tuple[int, int, str, int, float]]:
             continue
         data = text[lo:hi].encode()
         alone = len(plain.compress(data))
-        ranked = sorted((len(t[3].compress(data)) - alone, i) for i, t in enumerate(templates()))
-        for size, i in ranked:
+        for size, i in winners([len(t[3].compress(data)) - alone for t in templates()]):
             name, needed, notice, _, heading = templates()[i]
             for a, b, d in confirm(told, needed, notice):
                 if not heading or alone_on_lines(text, a, b):
