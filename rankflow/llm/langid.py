@@ -7,9 +7,13 @@ A text's language has the largest sum over its words; its score is the mean
 share of that language in the words' own probabilities (0 to 1).
 
 The model is fitted on a hash sample of the labelled rows that are not held
-out (``ROWS_PER_LANG`` rows of each language are expected, ``MAX_LANGS``
-languages, ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each length are
-kept); every row is predicted, over its whole text.
+out (``ROWS_PER_LANG`` rows of each language are expected). Spark counts its
+words and n-grams; of each language the ``WORDS`` commonest words and the
+``GRAMS`` commonest n-grams of each length are kept, with their counts in all
+languages, so the model grows with the number of languages and a small
+language keeps its own words. Counts are brought to the same total per
+language before they are smoothed: what a language lacks costs the same in
+all. Every row is predicted, over its whole text.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter,
 or when no labelled row exists; equal sums go to the language first in code
@@ -20,17 +24,17 @@ each get a row; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import prepare, texts_of
+from rankflow.llm.common import prepare, saved, texts_of
 
-ROWS_PER_LANG, MAX_LANGS, MAX_WORDS, MAX_GRAMS = 1500, 100, 40_000, 30_000
+ROWS_PER_LANG, WORDS, GRAMS = 1500, 15_000, 8_000
 LONGEST, SMOOTHING = 4, 0.5
 #: scores of words that a worker remembers
 REMEMBERED = 200_000
@@ -49,10 +53,13 @@ def training_rows(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    share = F.lit(rows_per_lang) / F.col("n")
+    # a number per language, as many as the model has columns
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    share = F.lit(0.0)
+    if sizes:
+        share = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, rows_per_lang / n)]), F.col("lang"))
     u = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return rows.join(F.broadcast(sizes), "lang").where((u < share) & F.col("text").isNotNull()).select("lang", "text")
+    return rows.where((u < share) & F.col("text").isNotNull()).select("lang", "text")
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -63,27 +70,27 @@ def grams(word: str, n: int) -> list[str]:
 class Model:
     """Log frequencies of words and n-grams by language; rows of a matrix, found by a dictionary."""
 
-    def __init__(self, counts: list[tuple[str, str, int]]):
-        self.langs = sorted({lang for lang, _, _ in counts})
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(at)))
-        for lang, word, n in counts:
-            words[word][at[lang]] += n
+    def __init__(self, words: list[tuple[str, str, int]], parts: list[tuple[str, int, str, int]] | None = None):
+        """``words``: (language, word, count); ``parts``: (language, length, n-gram, count), by default those of the words."""
+        if parts is None:
+            parts = [(lang, n, g, c) for lang, word, c in words for n in range(1, LONGEST + 1) for g in grams(word, n)]
+        self.langs = sorted({lang for lang, _, _ in words})
         self.words = self._logs(words)
-        self.grams: list[tuple[dict[str, int], np.ndarray]] = []
-        for n in range(1, LONGEST + 1):
-            found: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(at)))
-            for word, c in words.items():
-                for g in grams(word, n):
-                    found[g] += c
-            top = sorted(found, key=lambda g: (-found[g].sum(), g))[:MAX_GRAMS]
-            self.grams.append(self._logs({g: found[g] for g in top}))
-
-    def _logs(self, counts: dict[str, np.ndarray]) -> tuple[dict[str, int], np.ndarray]:
-        if not counts:
-            return {}, np.zeros((0, len(self.langs)), np.float32)
-        m = np.array(list(counts.values())) + SMOOTHING
-        return {w: i for i, w in enumerate(counts)}, np.log(m / m.sum(0)).astype(np.float32)
+        self.grams = [self._logs([(lang, g, c) for lang, size, g, c in parts if size == n]) for n in range(1, LONGEST + 1)]
+
+    def _logs(self, counts: list[tuple[str, str, int]]) -> tuple[dict[str, int], np.ndarray]:
+        at = {lang: i for i, lang in enumerate(self.langs)}
+        index: dict[str, int] = {}
+        for _, item, _ in counts:
+            index.setdefault(item, len(index))
+        m = np.zeros((len(index), len(at)))
+        for lang, item, n in counts:
+            m[index[item], at[lang]] += n
+        if not index:
+            return {}, m.astype(np.float32)
+        total = m.sum(0)
+        m = m * (total.max() / np.maximum(total, 1)) + SMOOTHING
+        return index, np.log(m / m.sum(0)).astype(np.float32)
 
 
 class Scorer:
@@ -154,15 +161,31 @@ class Scorer:
         return self.langs[best], float(min(max(shares[best] / n, 0.0), 1.0))
 
 
-def fit(docs: DataFrame) -> Model:
-    """Word counts by language, added up by Spark; the ``MAX_WORDS`` most frequent words reach the driver."""
+def _commonest(counts: DataFrame, of: list[str], items: list[str], most: int) -> DataFrame:
+    """The rows of ``counts`` whose items are among the ``most`` commonest of any group ``of``."""
+    rank = F.row_number().over(Window.partitionBy(*of).orderBy(F.desc("n"), *items))
+    kept = counts.withColumn("rank", rank).where(F.col("rank") <= most).select(*items).distinct()
+    return counts.join(kept, items)
+
+
+def _grams(word: str, size: int) -> Column:
+    """``grams`` as an array of (size, gram); null where the word is too short."""
+    marked = F.concat(F.lit("^"), word, F.lit("$")) if size > 1 else F.col(word)
+    starts = F.sequence(F.lit(1), F.length(marked) - F.lit(size - 1))
+    every = F.transform(starts, lambda i: F.struct(F.lit(size).alias("size"), F.substr(marked, i, F.lit(size)).alias("gram")))
+    return F.when(F.length(marked) >= size, every)
+
+
+def fit(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> Model:
+    """Word and n-gram counts by language, added up by Spark; the commonest of each language reach the driver."""
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))
-    counts = training_rows(docs).select("lang", word.alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    per_word = counts.groupBy("word").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-    )
-    top = per_word.orderBy(F.desc("total"), "word").limit(MAX_WORDS).collect()
-    return Model([(lang, r.word, n) for r in top for lang, n in r.by.items()])
+    counts = saved(training_rows(docs).select("lang", word.alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")))
+    parts = F.array_compact(F.array(*[_grams("word", n) for n in range(1, LONGEST + 1)]))
+    found = counts.select("lang", "n", F.inline(F.flatten(parts)))
+    found = found.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    kept = _commonest(counts, ["lang"], ["word"], words).collect()
+    kept_grams = _commonest(found, ["lang", "size"], ["size", "gram"], grams).collect()
+    return Model([(r.lang, r.word, r.n) for r in kept], [(r.lang, r["size"], r.gram, r.n) for r in kept_grams])
 
 
 _SCORERS: dict[int, Scorer] = {}
