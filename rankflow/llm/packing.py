@@ -4,7 +4,7 @@ Documents are tokenized once; document counts per term, their number and mean
 length are taken over the whole corpus. A document's key is its strongest
 corpus-wide BM25 term; a key with more than a shard of text is split by the
 next terms, ``DEPTH`` in all, and what is still too big by a hash of the row.
-Keys are dealt into shards of bounded text, each with a BM25 inverted index.
+Keys are dealt by hash into shards of about so much text, each with a BM25 inverted index.
 Each window starts with a seed document; its terms retrieve the unused
 neighbours, which fill the window greedily, best first. A document that is
 longer than what is left of a window goes on in the next one, so that windows

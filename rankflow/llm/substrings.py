@@ -17,7 +17,8 @@ anywhere else, in the same document or another. Matches never cross documents.
    over prefix polynomial hashes. Neighbours in both orders bound how far a
    context is shared to either side; where one partner reaches both bounds
    these are the repeats, otherwise the starts in between are looked up by
-   their own hashes. Every match is verified on its bytes.
+   their own hashes. Matches of this step are verified on their bytes; step 2
+   decides by two 62-bit hashes of whole contexts.
    An anchor with over ``HOT`` distinct contexts does not enter a shard: its
    strings are grouped by a 128-bit digest instead, which Spark adds up before
    the shuffle.
