@@ -91,7 +91,7 @@ def process_batch(
     added, taken, keys = _store(valid, root, batch_id, now)
     for attempt in range(1, MAX_ATTEMPTS + 1):
         try:
-            _update_features(added, taken, root, batch_id, t, window_hours)
+            _update_features(valid, added, taken, root, batch_id, t, window_hours)
             break
         except Exception as e:  # noqa: BLE001 - reported with the rows it concerns
             if attempt == MAX_ATTEMPTS:
@@ -171,7 +171,9 @@ def current_events(spark: SparkSession, root: str, as_of: str, window_hours: int
     return events_between(spark, root, lo.strftime("%Y-%m-%d %H:%M:%S.%f"), as_of)
 
 
-def _update_features(added: DataFrame, taken: DataFrame | None, root: str, batch_id: int, t: str, window_hours: int) -> None:
+def _update_features(
+    valid: DataFrame, added: DataFrame, taken: DataFrame | None, root: str, batch_id: int, t: str, window_hours: int
+) -> None:
     spark = added.sparkSession
     oldest = slices.to_micros(t) // slices.HOUR - RETENTION_WINDOWS * window_hours
     made, old, lost = [], added.select(*sinks.EVENT_COLUMNS).limit(0), None
@@ -189,7 +191,8 @@ def _update_features(added: DataFrame, taken: DataFrame | None, root: str, batch
             rows = slices.with_resets(rows, key, events_between(spark, root, *span))
         table = VersionedTable(spark, os.path.join(root, f"{key}_slices"))
         slices.append(table, rows, key, batch_id, oldest)
-        touched = feat.touched_keys(added.select(key).union(old.select(key)), [key]).persist(StorageLevel.MEMORY_AND_DISK)
+        # the keys of all arrivals, also of those that a later one in the batch replaced
+        touched = feat.touched_keys(valid.select(key).union(old.select(key)), [key]).persist(StorageLevel.MEMORY_AND_DISK)
         buckets = [r.b for r in touched.select(sinks.bucket_of(key).alias("b")).distinct().collect()]
         counts = slices.counts(table, touched, buckets, key, t, window_hours, lambda lo, hi: events_between(spark, root, lo, hi))
         if key == "content_id":
