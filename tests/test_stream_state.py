@@ -5,6 +5,7 @@ import json
 import os
 import random
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -262,7 +263,11 @@ def test_progress_reports_are_kept(spark):
         stream = streams.read_interactions(spark, source="json", path=f"{root}/in", max_records_per_trigger=1)
         q = features_job.start(stream, f"{root}/out", 24, as_of=lambda _b: NOW, trigger={"availableNow": True}, checkpoint=f"{root}/ckpt", query_name=None)
         q.awaitTermination(120)
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        # reports come on a thread of their own
+        for _ in range(300):
+            if os.path.isdir(f"{root}/progress") and len([n for n in os.listdir(f"{root}/progress") if n.endswith(".json")]) >= 2:
+                break
+            time.sleep(0.2)
     finally:
         spark.streams.removeListener(table)
     progress = spark.read.option("wholetext", True).text(f"{root}/progress").select(F.from_json("value", "batchId long, numInputRows long").alias("p")).select("p.*")
