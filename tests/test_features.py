@@ -1,4 +1,4 @@
-"""Feature math: golden values from the reference's aggregation tests."""
+"""Feature math: values worked out by hand and brute force."""
 
 import datetime as dt
 
@@ -7,7 +7,7 @@ import pytest
 from rankflow import constants as C
 from rankflow.operators import features as feat
 
-NOW = "2026-04-08 14:00:00"
+NOW = "2025-11-19 14:00:00"
 
 
 def _events(spark, rows):
@@ -17,7 +17,7 @@ def _events(spark, rows):
     )
 
 
-def _burst(counts, ts, user="u1", content="c1", topic="backend", start=0):
+def _burst(counts, ts, user="u1", content="c1", topic="devops", start=0):
     rows, eid = [], start
     for et, n in counts.items():
         for _ in range(n):
@@ -26,31 +26,28 @@ def _burst(counts, ts, user="u1", content="c1", topic="backend", start=0):
     return rows
 
 
-GOLDEN_COUNTS = {
-    "impression": 100, "click": 25, "like": 10, "save": 5, "skip": 4, "watch_start": 12, "watch_complete": 9,
-}
+def test_content_rates_and_trending_by_hand(spark):
+    counts = {"impression": 80, "click": 32, "like": 8, "save": 4, "skip": 6, "watch_start": 20, "watch_complete": 5}
+    now = dt.datetime(2025, 11, 19, 14, 0, 0)
+    cf = feat.content_features(_events(spark, _burst(counts, now)), NOW, 24).first()
+    assert (cf.ctr, cf.like_rate, cf.save_rate, cf.skip_rate, cf.completion_rate) == (
+        32 / 80, 8 / 32, 4 / 32, 6 / 80, 5 / 20)
+    # 8 + 32 + 24 + 16 - 15 + 15 + 17.5 by weight, 4 + 1.5 + 1 + 3 of bonus, no decay at age 0
+    assert cf.trending_score == 97.5 + 9.5
+    assert cf.impressions == 80 and cf.watch_completes == 5
+    assert cf.topic == "devops" and cf.window_hours == 24
 
 
-def test_content_rates_and_trending_golden(spark):
-    now = dt.datetime(2026, 4, 8, 14, 0, 0)
-    cf = feat.content_features(_events(spark, _burst(GOLDEN_COUNTS, now)), NOW, 24).first()
-    assert (cf.ctr, cf.like_rate, cf.save_rate, cf.skip_rate, cf.completion_rate) == (0.25, 0.4, 0.2, 0.04, 0.75)
-    # 115.5 weighted + 15.5 quality bonus, no decay at age 0
-    assert cf.trending_score == 131.0
-    assert cf.impressions == 100 and cf.watch_completes == 9
-    assert cf.topic == "backend" and cf.window_hours == 24
-
-
-def test_trending_decays_for_stale_content(spark):
-    counts = {"impression": 10, "click": 4, "like": 2, "save": 1}
-    fresh = _burst(counts, dt.datetime(2026, 4, 8, 13, 59), content="fresh")
-    stale = _burst(counts, dt.datetime(2026, 4, 7, 15, 0), content="stale", start=100)
-    rows = {r.content_id: r.trending_score for r in feat.content_features(_events(spark, fresh + stale), NOW, 24).collect()}
-    assert rows["fresh"] > rows["stale"] > 0
+def test_old_bursts_trend_below_new_ones(spark):
+    counts = {"impression": 6, "click": 5, "watch_start": 3, "watch_complete": 2}
+    late = _burst(counts, dt.datetime(2025, 11, 19, 13, 40), content="late")
+    early = _burst(counts, dt.datetime(2025, 11, 18, 18, 20), content="early", start=50)
+    rows = {r.content_id: r.trending_score for r in feat.content_features(_events(spark, late + early), NOW, 24).collect()}
+    assert rows["late"] > rows["early"] > 0
 
 
 def test_window_is_left_open_right_closed(spark):
-    now = dt.datetime(2026, 4, 8, 14, 0, 0)
+    now = dt.datetime(2025, 11, 19, 14, 0, 0)
     rows = [
         (1, "click", "u", "c", "ai", now - dt.timedelta(hours=24)),  # excluded: t - window
         (2, "click", "u", "c", "ai", now - dt.timedelta(hours=24) + dt.timedelta(microseconds=1)),
@@ -60,21 +57,22 @@ def test_window_is_left_open_right_closed(spark):
     assert feat.content_features(_events(spark, rows), NOW, 24).first().clicks == 2
 
 
-def test_affinity_golden_and_user_level_last_event(spark):
-    now = dt.datetime(2026, 4, 8, 13, 0, 0)
-    counts = {"click": 2, "like": 1, "save": 1, "skip": 1, "watch_start": 2, "watch_complete": 1}
+def test_affinity_by_hand_and_user_level_last_event(spark):
+    now = dt.datetime(2025, 11, 19, 13, 0, 0)
+    counts = {"impression": 5, "click": 4, "like": 2, "skip": 2, "watch_start": 4, "watch_complete": 1}
     rows = _burst(counts, now, topic="ai")
     rows.append((99, "click", "u1", "c9", "backend", now + dt.timedelta(minutes=30)))
     rows.append((98, "click", "u1", "c9", None, now + dt.timedelta(minutes=50)))  # no topic: skipped
     out = {r.topic: r for r in feat.user_topic_affinity(_events(spark, rows), NOW, 24).collect()}
-    assert out["ai"].affinity_score == 18.0
+    # 1 + 6 + 8 - 6 + 4 + 4.5 by weight, a quarter of the starts completed: 1.25
+    assert out["ai"].affinity_score == 17.5 + 1.25
     assert set(out) == {"ai", "backend"}
     # last_event_at is per user across topics (null-topic events never touch it)
     assert out["ai"].last_event_at == out["backend"].last_event_at == now + dt.timedelta(minutes=30)
 
 
 def test_idempotent_counting_and_resent_timestamp(spark):
-    t0 = dt.datetime(2026, 4, 8, 12, 0, 0)
+    t0 = dt.datetime(2025, 11, 19, 12, 0, 0)
     rows = spark.createDataFrame(
         [
             (1, "click", "u", "c", "ai", t0, 0),
@@ -92,9 +90,9 @@ def test_idempotent_counting_and_resent_timestamp(spark):
 
 def test_window_bounds_are_checked(spark):
     with pytest.raises(ValueError):
-        feat.content_counts(_events(spark, _burst({"click": 1}, dt.datetime(2026, 4, 8))), NOW, 0)
+        feat.content_counts(_events(spark, _burst({"click": 1}, dt.datetime(2025, 11, 19))), NOW, 0)
     with pytest.raises(ValueError):
-        feat.content_counts(_events(spark, _burst({"click": 1}, dt.datetime(2026, 4, 8))), NOW, 721)
+        feat.content_counts(_events(spark, _burst({"click": 1}, dt.datetime(2025, 11, 19))), NOW, 721)
 
 
 def test_point_in_time_matches_brute_force(spark):
@@ -132,7 +130,7 @@ def test_pivoted_affinity_map_equals_two_step(spark):
     import random
 
     rnd = random.Random(5)
-    now = dt.datetime(2026, 4, 8, 14)
+    now = dt.datetime(2025, 11, 19, 14)
     rows = []
     for i in range(600):
         ts = now - dt.timedelta(minutes=rnd.randrange(0, 60 * 30))

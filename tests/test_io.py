@@ -12,7 +12,7 @@ from rankflow.operators import catalog, experiments, feed, ingest, insights, ops
 from rankflow.sources import streams
 from pyspark.sql import functions as F
 
-T0 = dt.datetime(2026, 4, 8, 12)
+T0 = dt.datetime(2025, 11, 19, 12)
 
 
 def test_keyed_json_sorted_and_headers(spark):
@@ -26,11 +26,11 @@ def test_keyed_json_sorted_and_headers(spark):
 def test_feed_page_cache_roundtrip(spark):
     path = tempfile.mkdtemp(prefix="rankflow-pages-")
     pages = spark.createDataFrame([("u1", 20, 0, 5), ("u2", 20, 0, 0)], "user_id string, feed_limit int, feed_offset int, total_candidates long")
-    feed.write_feed_pages(pages, path, "2026-04-08 12:00:00")
-    feed.write_feed_pages(pages.filter("user_id = 'u1'"), path, "2026-04-08 12:00:30")
-    fresh = feed.read_feed_pages(spark, path, "2026-04-08 12:00:45").collect()
-    assert {(r.user_id, r.generated_at) for r in fresh} == {("u1", dt.datetime(2026, 4, 8, 12, 0, 30)), ("u2", dt.datetime(2026, 4, 8, 12))}
-    assert feed.read_feed_pages(spark, path, "2026-04-08 12:02:00").count() == 0  # 60 s lifetime
+    feed.write_feed_pages(pages, path, "2025-11-19 12:00:00")
+    feed.write_feed_pages(pages.filter("user_id = 'u1'"), path, "2025-11-19 12:00:30")
+    fresh = feed.read_feed_pages(spark, path, "2025-11-19 12:00:45").collect()
+    assert {(r.user_id, r.generated_at) for r in fresh} == {("u1", dt.datetime(2025, 11, 19, 12, 0, 30)), ("u2", dt.datetime(2025, 11, 19, 12))}
+    assert feed.read_feed_pages(spark, path, "2025-11-19 12:02:00").count() == 0  # 60 s lifetime
 
 
 def test_latest_tables_and_affinity_map(spark):
@@ -53,12 +53,12 @@ def test_latest_tables_and_affinity_map(spark):
 
 def test_audit_replay_and_pending_publish(spark):
     payload = json.dumps({"event_id": "e1", "event_type": "click", "user_id": "u", "content_id": "c", "topic": "ai",
-                          "watch_duration_seconds": 0, "event_timestamp": "2026-04-08T12:00:00"})
+                          "watch_duration_seconds": 0, "event_timestamp": "2025-11-19T12:00:00"})
     audit = spark.createDataFrame([("e1", payload, None), ("e2", payload, T0)], "event_id string, event_payload string, published_at timestamp")
     assert streams.replay_audit(audit).first().event_type == "click"
     pend = ingest.pending_publish(audit)
     assert [r.event_id for r in pend.collect()] == ["e1"]
-    marked = ingest.mark_published(audit, pend, "2026-04-08 13:00:00")
+    marked = ingest.mark_published(audit, pend, "2025-11-19 13:00:00")
     assert ingest.pending_publish(marked).count() == 0
 
 
@@ -83,7 +83,7 @@ def test_users_listing_and_bulk_content(spark):
     existing = spark.createDataFrame([(1, "Existing title", "ai", "ai", "published")], "content_id long, title string, topic string, category string, status string")
     new = spark.createDataFrame([(2, " New item ", " Backend ", "backend", None, None), (3, "bad", "x", "cooking", None, None)],
                                 "content_id long, title string, topic string, category string, status string, description string")
-    table, rejected = catalog.append_content(existing, new, "2026-04-08 12:00:00")
+    table, rejected = catalog.append_content(existing, new, "2025-11-19 12:00:00")
     rows = {r.content_id: r for r in table.collect()}
     assert rows[2].status == "draft" and rows[2].topic == "backend" and rows[2].title == "New item"
     assert [r.content_id for r in rejected.collect()] == [3]
@@ -94,7 +94,7 @@ def test_assignment_get_or_create_and_exposures(spark):
     stored = spark.createDataFrame([(C.EXPERIMENT_KEY, "u1", 1, "trending_boost", C.RULES_V2, T0)],
                                    "experiment_key string, user_id string, assignment_bucket int, variant_key string, strategy_name string, assigned_at timestamp")
     users = spark.createDataFrame([("u1",), ("u2",)], "user_id string")
-    allr, fresh = experiments.get_or_create(stored, users, variants, "2026-04-08 13:00:00")
+    allr, fresh = experiments.get_or_create(stored, users, variants, "2025-11-19 13:00:00")
     got = {r.user_id: r for r in allr.collect()}
     assert got["u1"].variant_key == "trending_boost"  # stored wins
     assert [r.user_id for r in fresh.collect()] == ["u2"]
@@ -138,7 +138,7 @@ def test_lag_and_availability(spark):
                                                              "latestOffset": json.dumps({"t": {"0": 10, "1": 3}})}]}),)], "json string")
     assert {r.partition: r.lag for r in ops.lag_from_progress(prog).collect()} == {"0": 3, "1": 3}
     hb = spark.createDataFrame([("feed", T0), ("ranking", T0 - dt.timedelta(minutes=5))], "service string, ts timestamp")
-    up = {r.service: r.up for r in ops.availability(hb, "2026-04-08 12:00:30").collect()}
+    up = {r.service: r.up for r in ops.availability(hb, "2025-11-19 12:00:30").collect()}
     assert up == {"feed": True, "ranking": False}
 
 

@@ -9,7 +9,7 @@ import pytest
 from rankflow import constants as C
 from rankflow.operators import rerank, scoring
 
-NOW = "2026-04-08 14:00:00"
+NOW = "2025-11-19 14:00:00"
 TOPICS = list(C.TOPICS)
 
 
@@ -88,7 +88,7 @@ def _candidates(spark, rows):
 
 
 def test_recency_order_clamp_and_breakdown(spark):
-    now = dt.datetime(2026, 4, 8, 14)
+    now = dt.datetime(2025, 11, 19, 14)
     rows = [
         ("u", "new", "ai", "ai", now - dt.timedelta(hours=1), 1.7, 1.0, 2.0, 2.0, 1.0, 0.1, 10.0, "rules_v1"),
         ("u", "old", "ai", "ai", now - dt.timedelta(hours=96), -0.2, 0.1, 0.0, 0.0, 0.0, 0.9, 0.0, " rules_based.v1 "),
@@ -106,7 +106,7 @@ def test_recency_order_clamp_and_breakdown(spark):
 
 
 def test_v2_boost_flips_order(spark):
-    now = dt.datetime(2026, 4, 8, 14)
+    now = dt.datetime(2025, 11, 19, 14)
     # a: fresh, weak trending; b: older, strong trending
     base = [
         ("a", "ai", "ai", now - dt.timedelta(hours=2), 0.6, 0.2, 0.1, 0.1, 0.2, 0.0, 2.0),

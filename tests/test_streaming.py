@@ -14,14 +14,14 @@ from rankflow.operators import validate
 from rankflow.sources import streams
 from rankflow.streaming import features_job
 
-AS_OF = "2026-04-08 14:00:00"
-U = "10000000-0000-0000-0000-0000000000%02d"
-CID = "30000000-0000-0000-0000-0000000000%02d"
-EID = "51000000-0000-0000-0000-0000000%05d"
+AS_OF = "2025-11-19 14:00:00"
+U = "a7c00000-1111-4222-8333-0000000000%02d"
+CID = "c0de0000-1111-4222-8333-0000000000%02d"
+EID = "e7e70000-1111-4222-8333-0000000%05d"
 
 
 def _rec(i, et, user, content, topic, minutes_before, duration=0):
-    ts = dt.datetime(2026, 4, 8, 14) - dt.timedelta(minutes=minutes_before)
+    ts = dt.datetime(2025, 11, 19, 14) - dt.timedelta(minutes=minutes_before)
     return json.dumps({
         "schema_name": "interaction_event.v1", "event_id": EID % i, "event_type": et, "user_id": U % user,
         "content_id": CID % content, "session_id": f"s{user}", "topic": topic, "watch_duration_seconds": duration,
@@ -135,7 +135,7 @@ def test_late_event_adds_nothing_and_time_never_regresses(spark):
     run()
     latest = sinks.read_latest(spark, os.path.join(out, "content_features_latest"), ["content_id"]).collect()
     assert [r.clicks for r in latest] == [3]
-    assert latest[0].last_event_at == dt.datetime(2026, 4, 8, 13, 30)
+    assert latest[0].last_event_at == dt.datetime(2025, 11, 19, 13, 30)
 
 
 def _drain(spark, src, out, ckpt, as_of):
@@ -174,14 +174,14 @@ def test_contract_of_records_ids_and_expiry(spark):
 
     # three days on: a touched key without events is emptied, an untouched one expires on reading,
     # and dates before the retention are dropped
-    later = "2026-04-11 14:00:00"
+    later = "2025-11-22 14:00:00"
     with open(os.path.join(src, "3.json"), "w") as fh:
         fh.write(_rec(50, "click", 2, 2, "ai", 10) + "\n")
     _drain(spark, src, out, ckpt, lambda _b: later)
     latest = {r.content_id: r for r in sinks.read_latest(spark, path, ["content_id"]).collect()}
     assert (latest[CID % 2].likes, latest[CID % 2].last_event_at) == (0, None)
     assert sinks.read_latest(spark, path, ["content_id"], as_of=later, window_hours=24).count() == 0
-    assert not [d for d in os.listdir(os.path.join(out, "events")) if d.startswith("event_date=") and d < "event_date=2026-04-09"]
+    assert not [d for d in os.listdir(os.path.join(out, "events")) if d.startswith("event_date=") and d < "event_date=2025-11-20"]
 
 
 def test_missing_time_is_the_processing_time(spark):
@@ -190,7 +190,7 @@ def test_missing_time_is_the_processing_time(spark):
     wrong = dict(rec, event_id=EID % 61, event_timestamp="yesterday")
     batch = streams.parse_records(spark.createDataFrame([(json.dumps(rec),), (json.dumps(wrong),)], "value string"))
     got = {r.event_id: r for r in validate.interactions(batch, now=AS_OF, raw_json_col="value").collect()}
-    assert (got[EID % 60].errors, got[EID % 60].event_timestamp) == ([], dt.datetime(2026, 4, 8, 14))
+    assert (got[EID % 60].errors, got[EID % 60].event_timestamp) == ([], dt.datetime(2025, 11, 19, 14))
     assert got[EID % 61].errors == ["event_timestamp_invalid"]
 
 

@@ -5,8 +5,8 @@ import datetime as dt
 
 from rankflow.operators import catalog, ingest, validate
 
-T0 = dt.datetime(2026, 4, 8, 12)
-UUID = "51000000-0000-0000-0000-0000000000%02d"
+T0 = dt.datetime(2025, 11, 19, 12)
+UUID = "e7e70000-1111-4222-8333-0000000000%02d"
 
 
 def _raw(spark, rows):
@@ -32,7 +32,7 @@ def test_interaction_contract(spark):
     assert got[3].errors == ["event_id_invalid", "event_type_unknown", "topic_unsupported"]
     assert got[3].session_id is None
     assert set(got[4].errors) >= {"schema_name_invalid", "watch_duration_out_of_range", "session_id_too_long", "topic_too_long"}
-    dl = validate.dead_letters(validate.interactions(_raw(spark, rows)), "feature-processor", "2026-04-08 13:00:00").collect()
+    dl = validate.dead_letters(validate.interactions(_raw(spark, rows)), "feature-processor", "2025-11-19 13:00:00").collect()
     assert {r.ingest_seq for r in dl} == {2, 3, 4}
     assert all(r.attempts == 1 and r.schema_name == "dead_letter_event.v1" and r.payload.startswith("{") for r in dl)
 
@@ -98,8 +98,8 @@ def test_catalog_listing_tags_patches(spark):
     assert [r.name for r in catalog.list_tags(tags, limit=3).collect()] == ["ai", "api-design", "backend"]
     changes = spark.createDataFrame([(3, ["status"], "published", None), (1, ["title"], "draft", "New title")],
                                     "content_id long, fields array<string>, status string, title string")
-    patched = {r.content_id: r for r in catalog.apply_patches(content, changes, "content_id", ["status", "title"], "2026-04-09 00:00:00").collect()}
-    assert patched[3].status == "published" and patched[3].published_at == dt.datetime(2026, 4, 9)
+    patched = {r.content_id: r for r in catalog.apply_patches(content, changes, "content_id", ["status", "title"], "2025-11-20 00:00:00").collect()}
+    assert patched[3].status == "published" and patched[3].published_at == dt.datetime(2025, 11, 20)
     assert patched[1].status == "published" and patched[1].title == "New title"
     assert [r.content_id for r in catalog.delete_keys(content, spark.createDataFrame([(2,)], "content_id long"), ["content_id"]).collect()] == [1, 3]
     subjects = spark.createDataFrame([(None, "Intro to LLM agents")], "content_id long, title string")
@@ -115,7 +115,7 @@ def test_append_users_uniqueness_and_defaults(spark):
          ("u4", "dana_ml", "dup@example.com"), ("u5", "emma_dev", "DUP@example.com "), ("u6", "x", "bad")],
         "user_id string, username string, email string",
     )
-    u, p, rejected = catalog.append_users(users, profiles, new, "2026-04-08 12:00:00")
+    u, p, rejected = catalog.append_users(users, profiles, new, "2025-11-19 12:00:00")
     assert sorted(r.user_id for r in u.collect()) == ["u1", "u2"]
     assert {r.user_id: r.topic_preferences for r in p.collect()} == {"u1": {"ai": 0.9}, "u2": {}}
     errs = {r.user_id: sorted(r.errors) for r in rejected.collect()}
