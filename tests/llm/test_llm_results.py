@@ -80,6 +80,12 @@ def test_mix_targets_and_copies(spark):
         taken[s] += n
     assert all(abs(taken[s] - want[s]) <= max(found["size"].max(), 0.02 * want[s]) for s in sizes)
     assert (found.taken <= 2 * found["size"]).all()
+    # the share of documents with the extra copy is the fraction: within four standard deviations
+    for s, g in found.groupby("source", dropna=False):
+        rate = g.target.iloc[0] / g.source_size.iloc[0]
+        extra, p = (g.copies - int(rate)).mean(), rate - int(rate)
+        assert set(g.copies - int(rate)) <= {0, 1}
+        assert abs(extra - p) <= 4 * (p * (1 - p) / len(g)) ** 0.5
     again = mixing.query(d.repartition(7)).toPandas().set_index("doc_id").taken
     assert (again == found.set_index("doc_id").taken.reindex(again.index)).all()
 
