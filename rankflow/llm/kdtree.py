@@ -7,10 +7,12 @@ largest inner product that a point in it can have, and the traversal ends when
 no box can beat the k-th best. Each query first visits a home shard; the k-th
 score found there goes with it to all other shards and prunes them from the start.
 
-Defined results: vectors that are null, of an unusual length, or hold null or
-non-finite components take no part (zero vectors do); of rows with the same
-vec_id the least vector takes part; equal scores go to the smaller vec_id; an
-empty table gives no rows; other columns are not read. Scores are 64-bit.
+Defined results: vectors that are null, or hold null or non-finite components
+take no part (zero vectors do); a query meets all other rows of its length,
+another vector under its own vec_id included; rows that repeat id and vector
+count once; equal scores go to the smaller vec_id; an empty table gives no
+rows; other columns are not read. Scores are 64-bit. ``query_key`` tells
+queries with one id apart.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import prepare, saved
-from rankflow.llm.vectors import matrix, usable, with_shards
+from rankflow.llm.vectors import TOGETHER, matrix, usable, with_shards
 
 SCALE, LEAF = 256, 256
 SHARD_ROWS, BLOCK_QUERIES = 30_000, 20_000
@@ -32,9 +34,9 @@ NO_SCORE = -(1 << 63)
 
 
 class Tree:
-    def __init__(self, ids: np.ndarray, x: np.ndarray, leaf: int = LEAF):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[order], x[order]
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, x: np.ndarray, leaf: int = LEAF):
+        order = np.lexsort((keys, ids))
+        self.ids, self.keys, self.x = ids[order], keys[order], x[order]
         # doubles are exact below 2^53 and much faster to multiply
         most = float(np.abs(x).max(initial=0))
         self.kind = np.float64 if most * most * x.shape[1] < 2**53 else np.int64
@@ -67,8 +69,8 @@ class Tree:
         """The largest inner product of any point of each node's box, for every query."""
         return np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T
 
-    def top(self, q: np.ndarray, bounds: np.ndarray, k: int, own: int, floor: tuple[int, int]) -> list[tuple[int, int]]:
-        """The k best (score, -vec_id) that are above ``floor``, best-first."""
+    def top(self, q: np.ndarray, bounds: np.ndarray, k: int, own: tuple[int, int], floor: tuple[int, int]) -> list[tuple[int, int]]:
+        """The k best (score, -vec_id) that are above ``floor``, best-first; ``own`` is the query's (vec_id, key)."""
         best: list[tuple[int, int]] = []
         heap = [(-int(bounds[0]), self.first_id[0], 0)] if len(self.low) else []
         while heap:
@@ -86,8 +88,8 @@ class Tree:
             score = self.x[rows] @ q
             if len(best) == k:
                 rows, score = rows[score >= worst[0]], score[score >= worst[0]]
-            for s, i in zip(score.tolist(), self.ids[rows].tolist()):
-                if i == own or (s, -i) <= floor:
+            for s, i, key in zip(score.tolist(), self.ids[rows].tolist(), self.keys[rows].tolist()):
+                if (i, key) == own or (s, -i) <= floor:
                     continue
                 if len(best) < k:
                     heapq.heappush(best, (s, -i))
@@ -98,47 +100,49 @@ class Tree:
 
 def search(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     """The best of one shard for the queries of one block; scores at or below a query's floor are left out."""
-    out: list[tuple[int, int, int]] = []
+    out: list[tuple[int, int, int, int]] = []
     if left.num_rows and right.num_rows:
-        tree = Tree(left.column("vec_id").to_numpy(), matrix(left.column("v")).astype(np.int64))
+        tree = Tree(left.column("vec_id").to_numpy(), left.column("key").to_numpy(), matrix(left.column("v")).astype(np.int64))
         q = matrix(right.column("v")).astype(tree.kind)
         floors = list(zip(right.column("floor").to_pylist(), right.column("floor_id").to_pylist()))
+        asked = list(zip(right.column("vec_id").to_pylist(), right.column("key").to_pylist()))
         for at in range(0, len(q), 256):
             bounds = tree.bounds(q[at : at + 256])
-            for i, own in enumerate(right.column("vec_id").slice(at, 256).to_pylist()):
-                out += [(own, -neg, int(s)) for s, neg in tree.top(q[at + i], bounds[i], k, own, floors[at + i])]
-    return pa.table({n: pa.array([o[c] for o in out], pa.int64()) for c, n in enumerate(("query_id", "vec_id", "score"))})
+            for i, own in enumerate(asked[at : at + 256]):
+                out += [(*own, -neg, int(s)) for s, neg in tree.top(q[at + i], bounds[i], k, own, floors[at + i])]
+    return pa.table({n: pa.array([o[c] for o in out], pa.int64()) for c, n in enumerate(("query_id", "query_key", "vec_id", "score"))})
 
 
 def top_products(vectors: DataFrame, k: int = K, every: int = EVERY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k largest inner products of every row whose vec_id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    prepare(spark)
+    """(query_id, rank, vec_id, score, query_key): the k largest inner products of every row whose vec_id is divisible by ``every``."""
+    prepare(vectors.sparkSession)
     rows = usable(vectors, zeros=True)
     rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * SCALE).cast("long")))
     queries = rows.where(F.col("vec_id") % every == 0)
-    n = rows.count()
-    shards = max(1, -(-n // shard_rows))
-    data, asked = with_shards(rows, queries, shards, max(1, -(-queries.count() // BLOCK_QUERIES)))
-    home = F.pmod(F.xxhash64(F.lit("home"), "vec_id"), F.lit(shards)).cast("int")
+    shards, blocks = max(1, -(-rows.count() // shard_rows)), max(1, -(-queries.count() // BLOCK_QUERIES))
+    data, asked = with_shards(rows, queries, shards, blocks)
+    home = F.pmod(F.xxhash64(F.lit("home"), "key"), F.lit(shards)).cast("int")
 
     def best(of: DataFrame) -> DataFrame:
-        met = data.groupBy("shard", "block").cogroup(of.groupBy("shard", "block"))
-        return met.applyInArrow(lambda a, b: search(a, b, k), "query_id long, vec_id long, score long")
+        met = data.groupBy(*TOGETHER).cogroup(of.groupBy(*TOGETHER))
+        return met.applyInArrow(lambda a, b: search(a, b, k), "query_id long, query_key long, vec_id long, score long")
 
     none = asked.withColumns({"floor": F.lit(NO_SCORE).cast("long"), "floor_id": F.lit(NO_SCORE).cast("long")})
     found = saved(best(none.where(F.col("shard") == home)))
     if shards > 1:
-        kth = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min(F.struct("score", (-F.col("vec_id")).alias("neg"))).alias("kth"))
-        kth = kth.where(F.col("n") == k).select("query_id", "kth")
-        rest = asked.where(F.col("shard") != home).join(kth, F.col("vec_id") == F.col("query_id"), "left").select(
+        kth = found.groupBy("query_id", "query_key").agg(
+            F.count("*").alias("n"), F.min(F.struct("score", (-F.col("vec_id")).alias("neg"))).alias("kth")
+        )
+        kth = kth.where(F.col("n") == k).select("query_id", "query_key", "kth")
+        same = (F.col("vec_id") == F.col("query_id")) & (F.col("key") == F.col("query_key"))
+        rest = asked.where(F.col("shard") != home).join(kth, same, "left").select(
             # new names of its own: the rows it meets below come from the same table
-            *[F.col(c).alias(c) for c in ("vec_id", "v", "block", "shard")],
+            *[F.col(c).alias(c) for c in ("vec_id", "v", "d", "key", "block", "shard")],
             F.coalesce("kth.score", F.lit(NO_SCORE).cast("long")).alias("floor"), F.coalesce("kth.neg", F.lit(NO_SCORE).cast("long")).alias("floor_id"),
         )
         found = found.union(best(rest))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_key")
 
 
 def query(vectors: DataFrame) -> DataFrame:

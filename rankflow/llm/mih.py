@@ -1,18 +1,19 @@
 """Approximate nearest neighbours by multi-index hashing.
 
 Codes: centred vectors, turned by a learned rotation (principal axes, then
-iterative quantisation, fitted on about ``SAMPLE`` rows), give one bit per
-dimension, ``BITS`` in all. Every row is indexed. A code is split into
+iterative quantisation, fitted in every shard on the ``SAMPLE`` rows of least
+hash), give one bit per dimension, ``BITS`` in all. Every row is indexed. A code is split into
 substrings of eight bits with an index each. For a radius r, a code within r
 bits of the query is within r // substrings bits in some substring (the
 pigeonhole), so probing those values retrieves every code within r. The radius
 grows until at least ``SHARE`` of the shard (``LEAST`` rows or more) lies within it;
 all rows within it are ranked by their original vectors.
 
-Defined results: vectors that are null, zero, of an unusual length, or hold
-null or non-finite components take no part; of rows with the same vec_id the
-least vector takes part, so a query never meets its own id; equal distances go
-to the smaller vec_id; an empty table gives no rows; other columns are not read.
+Defined results: vectors that are null, zero, or hold null or non-finite
+components take no part; a query meets all other rows of its length, another
+vector under its own vec_id included; rows that repeat id and vector count
+once; equal distances go to the smaller vec_id; an empty table gives no rows;
+other columns are not read. ``query_key`` tells queries with one id apart.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import prepare
-from rankflow.llm.vectors import matrix, usable, with_shards
+from rankflow.llm.vectors import TOGETHER, matrix, usable, with_shards
 
 BITS, PART_BITS = 64, 8
 SAMPLE, ROUNDS, SEED = 8000, 20, 7
@@ -96,48 +97,45 @@ class Index:
             radius += self.parts
 
 
-def search(ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, model, k: int = K, share: float = SHARE, least: int = LEAST):
-    """(query, rank order kept by the caller) lists of the k nearest found in one shard, by original vectors."""
-    index = Index(encode(x, model))
-    out = []
-    for qid, vec, code in zip(asked.tolist(), q, encode(q, model)):
-        rows = index.candidates(code, max(least, int(share * len(ids))) + 1)
-        rows = rows[ids[rows] != qid]
-        far = np.sqrt(((x[rows] - vec) ** 2).sum(1))
-        best = np.lexsort((ids[rows], far))[:k]
-        out.append((qid, ids[rows[best]], far[best]))
-    return out
-
-
-def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY, share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of every row whose vec_id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    prepare(spark)
+def search(left: pa.Table, right: pa.Table, k: int, share: float, least: int) -> pa.Table:
+    """The k nearest found in one shard for the queries of one block, by original vectors."""
+    out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    if left.num_rows and right.num_rows:
+        left = left.sort_by("key")
+        keys, ids, x = left.column("key").to_numpy(), left.column("vec_id").to_numpy(), matrix(left.column("v"))
+        q = matrix(right.column("v"))
+        model = learn(x[:SAMPLE])
+        index = Index(encode(x, model))
+        asked = zip(right.column("vec_id").to_pylist(), right.column("key").to_pylist(), q, encode(q, model))
+        for own, key, vec, code in asked:
+            rows = index.candidates(code, max(least, int(share * len(ids))) + 1)
+            rows = rows[(keys[rows] != key) | (ids[rows] != own)]
+            far = np.sqrt(((x[rows] - vec) ** 2).sum(1))
+            best = np.lexsort((ids[rows], far))[:k]
+            out.append((own, key, ids[rows[best]], far[best]))
+    sizes = [len(o[2]) for o in out]
+    return pa.table({
+        "query_id": pa.array(np.repeat(np.array([o[0] for o in out], np.int64), sizes)),
+        "query_key": pa.array(np.repeat(np.array([o[1] for o in out], np.int64), sizes)),
+        "vec_id": pa.array(np.concatenate([np.empty(0, np.int64), *(o[2] for o in out)])),
+        "score": pa.array(np.concatenate([np.empty(0), *(o[3] for o in out)])),
+    })
+
+
+def neighbours(
+    vectors: DataFrame, k: int = K, every: int = EVERY, share: float = SHARE, least: int = LEAST, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """(query_id, rank, vec_id, score, query_key): the k nearest found of every row whose vec_id is divisible by ``every``."""
+    prepare(vectors.sparkSession)
     rows = usable(vectors, zeros=False)
-    n = rows.count()
-    part = F.pmod(F.xxhash64(F.lit("fit"), "vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(n, 1)))
-    # about SAMPLE rows whatever the size of the table
-    sample = rows.where(part).orderBy("vec_id").limit(2 * SAMPLE).toArrow() if n else None
-    if sample is None or not sample.num_rows:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    model = spark.sparkContext.broadcast(learn(matrix(sample.column("v"))))
     queries = rows.where(F.col("vec_id") % every == 0)
-    data, asked = with_shards(rows, queries, -(-n // SHARD_ROWS), max(1, -(-queries.count() // BLOCK_QUERIES)))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        if left.num_rows and right.num_rows:
-            ids, asked = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
-            found = search(ids, matrix(left.column("v")), asked, matrix(right.column("v")), model.value, k, share, least)
-        return pa.table({
-            "query_id": pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)),
-            "vec_id": pa.array(np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)])),
-            "score": pa.array(np.concatenate([np.empty(0), *(f[2] for f in found)])),
-        })
-
-    near = data.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    shards, blocks = max(1, -(-rows.count() // shard_rows)), max(1, -(-queries.count() // BLOCK_QUERIES))
+    data, asked = with_shards(rows, queries, shards, blocks)
+    near = data.groupBy(*TOGETHER).cogroup(asked.groupBy(*TOGETHER)).applyInArrow(
+        lambda a, b: search(a, b, k, share, least), "query_id long, query_key long, vec_id long, score double"
+    )
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy("score", "vec_id"))
+    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_key")
 
 
 def query(vectors: DataFrame) -> DataFrame:
