@@ -4,7 +4,9 @@ A known word scores its smoothed log frequency in every language. An unseen
 word falls back to its character n-grams: the mean log frequency of its known
 4-grams (with word marks), else of its 3-grams, 2-grams and single characters.
 A text's language has the largest sum over its words; its score is the mean
-share of that language in the words' own probabilities (0 to 1).
+share of that language in the words' own probabilities (0 to 1). The filter goes
+by the lead instead: by how much that sum, per word, exceeds the runner-up's. A
+share shrinks as languages are added, a lead does not.
 
 The model is fitted on a hash sample of the labelled rows that are not held
 out (``ROWS_PER_LANG`` rows of each language are expected). Spark counts its
@@ -39,8 +41,8 @@ LONGEST, SMOOTHING = 4, 0.5
 #: scores of words that a worker remembers
 REMEMBERED = 200_000
 UNKNOWN = "und"
-#: least score of a text that the filter keeps
-KEEP_SCORE = 0.4
+#: least lead (log units a word) of a text that the filter keeps
+KEEP_LEAD = 0.1
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -138,11 +140,12 @@ class Scorer:
         self.rows.update(at)
         self.used += len(words)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """(language, score, lead); the lead of an only language is infinite."""
         words = LETTERS.findall(text.lower()) if text else []
         # the pattern also lets number signs such as a half through
         if not self.langs or not any(c.isalpha() for w in words for c in w):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         total, shares, n = np.zeros(len(self.langs)), np.zeros(len(self.langs)), len(words)
         counts = Counter(words)
         items = list(counts.items())
@@ -158,7 +161,8 @@ class Scorer:
             total += c @ self.logs[rows]
             shares += c @ self.share[rows]
         best = int(total.argmax())
-        return self.langs[best], float(min(max(shares[best] / n, 0.0), 1.0))
+        lead = total[best] - np.delete(total, best).max(initial=-np.inf)
+        return self.langs[best], float(min(max(shares[best] / n, 0.0), 1.0)), float(lead / n)
 
 
 def _commonest(counts: DataFrame, of: list[str], items: list[str], most: int) -> DataFrame:
@@ -200,18 +204,18 @@ def _scorer(shared) -> Scorer:
 
 
 def predictor(docs: DataFrame):
-    """A function from a text column to ``struct<lang_pred, score>``, fitted on ``docs``."""
+    """A function from a text column to ``struct<lang_pred, score, lead>``, fitted on ``docs``."""
     prepare(docs.sparkSession)
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(fit(docs)))
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, lead: double>")
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _scorer(shared)
         for part in texts:
             found = [scorer.predict(part[i].as_py()) for i in range(len(part))]
             yield pa.StructArray.from_arrays(
-                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                ["lang_pred", "score"],
+                [pa.array([x[0] for x in found], pa.string()), *(pa.array([x[i] for x in found], pa.float64()) for i in (1, 2))],
+                ["lang_pred", "score", "lead"],
             )
 
     return predict
@@ -231,13 +235,13 @@ class _Shared:
 def query(docs: DataFrame) -> DataFrame:
     predict = predictor(docs)
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), predict(F.col("text").cast("string")).alias("p"))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p.lang_pred", "p.score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "p.lang_pred", "p.score", "p.lead")
 
 
-def keep_known(docs: DataFrame, least: float = KEEP_SCORE) -> DataFrame:
-    """All columns of the rows whose text has a language with at least this score."""
+def keep_known(docs: DataFrame, least: float = KEEP_LEAD) -> DataFrame:
+    """All columns of the rows whose text has a language that leads by at least this much a word."""
     predict = predictor(docs)
     found = docs.withColumn("__lang", predict(F.col("text").cast("string")))
-    return found.where((F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.score") >= least)).select(
+    return found.where((F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.lead") >= least)).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )

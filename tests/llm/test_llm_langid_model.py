@@ -35,7 +35,7 @@ def test_scores_equal_the_definition(spark):
         if not r.text or len(r.text) > 5000:
             continue
         scores = _plain_scores(model, r.text)
-        lang, _ = langid.Scorer(model).predict(r.text)
+        lang, _, _ = langid.Scorer(model).predict(r.text)
         assert math.isclose(max(scores), scores[model.langs.index(lang)], rel_tol=1e-5)
 
 
@@ -72,3 +72,18 @@ def test_a_cut_per_language(spark):
     model = langid.fit(docs, words=2, grams=3)
     assert {"uno", "due"} <= set(model.words[0]) and len(model.words[0]) == 4
     assert all(len(index) <= 6 for index, _ in model.grams)
+
+
+def test_filter_does_not_shrink_with_languages(spark):
+    """Forty languages: no text has a large share of the sum, but each leads by its own words."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    lexicon = {f"l{i:02}": ["".join(rng.choice(letters, rng.integers(3, 8))) for _ in range(60)] for i in range(40)}
+    rows = [(i, " ".join(rng.choice(lexicon[lang], 30)), lang) for i, lang in enumerate(sorted(lexicon) * 8)]
+    rows += [(5000, "", None), (5001, "12 34", None), (5002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.keep_known(docs).collect()} == set(range(len(rows) - 3))
+    one = spark.createDataFrame([r for r in rows if r[2] in ("l00", None)], docs.schema)
+    assert langid.keep_known(one).count() == 8

@@ -21,7 +21,7 @@ def test_pipeline_rows(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
     # 1: what has a language stays
-    known = {r.doc_id for r in langid.query(docs).collect() if r.lang_pred != "und" and r.score >= langid.KEEP_SCORE}
+    known = {r.doc_id for r in langid.query(docs).collect() if r.lang_pred != "und" and r.lead >= langid.KEEP_LEAD}
     assert {i for i, r in rows.items() if r.lang and len(r.text.split()) > 20} <= known
     # 2: the first of every group of fingerprints linked at three bits
     ids = sorted(known)

@@ -39,10 +39,10 @@ def test_language_accuracy_and_blindness(spark):
 def test_word_first_then_shorter_grams():
     model = langid.Model([("en", "house", 5), ("fr", "maison", 5)])
     s = langid.Scorer(model)
-    assert s.predict("house") == ("en", pytest.approx(1.0, abs=0.1))
+    assert s.predict("house")[:2] == ("en", pytest.approx(1.0, abs=0.1))
     assert s.predict("maisonette")[0] == "fr"  # known 4-grams
     assert s.predict("ous")[0] == "en"  # a 3-gram
-    assert s.predict("ß") == ("en", 0.5)  # nothing known: a tie
+    assert s.predict("ß")[:2] == ("en", 0.5)  # nothing known: a tie
 
 
 # 2
