@@ -310,12 +310,17 @@ def point_in_time_counts(
 
 
 # ------------------------------------------------------------- snapshots
-def daily_content_snapshots(interactions: DataFrame, window_hours: int = C.FEATURE_WINDOW_HOURS) -> DataFrame:
+def daily_content_snapshots(
+    interactions: DataFrame, window_hours: int = C.FEATURE_WINDOW_HOURS, until: str | None = None
+) -> DataFrame:
     """Content vectors as of every midnight (an append-only snapshot
     history, S6 shape). Each event is sent to the snapshots whose window
     contains it (``s - window < t <= s``) by a generator, then one grouped
-    aggregate computes all snapshots at once."""
+    aggregate computes all snapshots at once. With ``until`` only the snapshots
+    up to that time are made, and later events are left out in the scan."""
     _check_window(window_hours)
+    if until is not None:
+        interactions = interactions.filter(F.col("event_timestamp") <= ts_lit(until))
     w_us = int(window_hours) * 3_600_000_000
     day_us = 86_400_000_000
     t = micros("event_timestamp")
@@ -323,7 +328,7 @@ def daily_content_snapshots(interactions: DataFrame, window_hours: int = C.FEATU
     n = -(-int(window_hours) // 24)
     snaps = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(n)), lambda k: first + k * F.lit(day_us)),
-        lambda s: (s - F.lit(w_us) < t) & (s >= t),
+        lambda s: (s - F.lit(w_us) < t) & (s >= t) & (F.lit(True) if until is None else s <= micros(ts_lit(until))),
     )
     ev = interactions.select("*", F.explode(snaps).alias("_s_us"))
     counts = _counts_with_topic(ev, ["content_id", "_s_us"])

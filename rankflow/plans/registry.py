@@ -22,7 +22,7 @@ from ..operators import attribution as attr
 from ..operators import candidates as cand
 from ..operators import catalog, experiments, feed, ingest, insights, ops, scoring, validate
 from ..operators import features as feat
-from ..session import configure
+from ..session import configure, materialize
 
 AS_OF = S.AS_OF
 FULL_SPAN_HOURS = C.FEATURE_WINDOW_MAX_HOURS  # 720 h covers the whole event table
@@ -66,8 +66,9 @@ def q_point_in_time_features(spark, sf):
 def q_daily_snapshot_as_of(spark, sf):
     """Daily content snapshots over the whole history (each day's
     vector as of its midnight), then the latest snapshot as of a time."""
-    snaps = feat.daily_content_snapshots(_it(spark, sf), C.FEATURE_WINDOW_HOURS)
-    return finalize(feat.snapshot_as_of(snaps, ["content_id"], "2024-01-20 12:00:00"))
+    until = "2024-01-20 12:00:00"
+    snaps = feat.daily_content_snapshots(_it(spark, sf), C.FEATURE_WINDOW_HOURS, until)
+    return finalize(feat.snapshot_as_of(snaps, ["content_id"], until))
 
 
 # --------------------------------------------------------------- experiments
@@ -80,12 +81,16 @@ def q_experiment_assignments(spark, sf):
 
 
 def _exposures(spark, sf):
-    """Header and items of the hour pages (F5) with the user's variant."""
+    """Header and items of the hour pages (F5) with the user's variant.
+
+    The items are the exposure table (S11): worked out once, read by every
+    branch of the attribution."""
     it = _it(spark, sf)
     # assignment is row-local (hash of the user id), so the items carry the header's fields
     items = experiments.assign(S.exposure_items(it), experiments.variants_table(spark)).withColumn(
         "created_at", F.col("generated_at")
     )
+    items = materialize(items)
     header = items.select(
         "exposure_id", "user_id", "generated_at", "created_at", "experiment_key", "variant_key", "strategy_name"
     ).distinct()
@@ -100,8 +105,9 @@ def q_exposure_items(spark, sf):
 
 
 def q_attributed_outcomes(spark, sf):
+    """Stored items know only their page; the header says whose it was."""
     header, items, it = _exposures(spark, sf)
-    ex = attr.exposed_items(header, items)
+    ex = attr.exposed_items(header, items.select("item_id", "exposure_id", "content_id", "created_at"))
     return finalize(attr.attribute(S.outcome_events(it), ex))
 
 
