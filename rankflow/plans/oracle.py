@@ -601,6 +601,13 @@ FROM ranked GROUP BY user_id""")
 SELECT {exp_id} || ':' || CAST(content_id AS VARCHAR) AS item_id, {exp_id} AS exposure_id, content_id, topic, category,
        rank, score, {AS_OF} AS created_at, user_id, variant_key, strategy_name
 FROM ranked WHERE rank <= {C.PAGE_DEFAULT_LIMIT}""")
+    q["feed_exposure_headers"] = _feed(f"""
+SELECT {exp_id} AS exposure_id, any_value(experiment_key) AS experiment_key, any_value(variant_key) AS variant_key,
+       any_value(strategy_name) AS strategy_name, user_id, {C.PAGE_DEFAULT_LIMIT} AS feed_limit, 0 AS feed_offset,
+       'home-' || CAST(user_id AS VARCHAR) AS session_id,
+       sha256('request|' || CAST(user_id AS VARCHAR) || '|2024-01-31 00:00:00|0') AS request_id,
+       'home-feed' AS correlation_id, false AS cache_hit, {AS_OF} AS generated_at, {AS_OF} AS created_at
+FROM ranked GROUP BY user_id""")
     q["exposure_validation"] = _feed(f"""
 , stored AS (
   SELECT experiment_key, user_id,

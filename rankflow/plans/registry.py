@@ -250,6 +250,16 @@ def q_feed_exposure_items(spark, sf):
     return finalize(items)
 
 
+def q_feed_exposure_headers(spark, sf):
+    """The header row of every delivered first page, with the session, request,
+    correlation and cache fields that its request carried."""
+    ranked, users = _ranked_with_users(spark, sf)
+    pages = feed.page(ranked, users, C.PAGE_DEFAULT_LIMIT, 0).withColumn("session", F.concat(F.lit("home-"), "user_id"))
+    recorded = feed.pages_for_exposure(pages, AS_OF, session_col="session", correlation_id="home-feed")
+    header, _ = experiments.exposures_from_pages(recorded)
+    return finalize(header)
+
+
 def q_exposure_validation(spark, sf):
     """J13 + V15: recorded exposures checked against a stored assignment
     table in which users with id % 7 == 0 were moved to the other variant
@@ -935,6 +945,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_pages_second": q_feed_pages_second,
     "ranking_decisions": q_ranking_decisions,
     "feed_exposure_items": q_feed_exposure_items,
+    "feed_exposure_headers": q_feed_exposure_headers,
     "exposure_validation": q_exposure_validation,
     "interaction_validation": q_interaction_validation,
     "dead_letters": q_dead_letters,
