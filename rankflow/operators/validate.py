@@ -146,6 +146,22 @@ def unique_violations(df: DataFrame, keys: Sequence[str], field: str, existing:
     return out.withColumn("field", F.lit(field))
 
 
+def content_feature_vectors(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Counts present and not negative, the five rates in [0, 1], the window
+    within its bounds. ``strict`` leaves out the vectors with an error."""
+    rates = ("ctr", "like_rate", "save_rate", "skip_rate", "completion_rate")
+    errs = errors_of(
+        *[(F.col(m).isNull() | (F.col(m) < 0), f"{m}_invalid") for m in C.METRICS],
+        *[(F.col(r).isNull() | F.isnan(r) | (F.col(r) < 0) | (F.col(r) > 1), f"{r}_out_of_range") for r in rates],
+        (
+            F.col("window_hours").isNull() | ~F.col("window_hours").between(C.FEATURE_WINDOW_MIN_HOURS, C.FEATURE_WINDOW_MAX_HOURS),
+            "window_hours_out_of_range",
+        ),
+    )
+    out = df.withColumn("errors", errs)
+    return out.filter(F.size("errors") == 0).drop("errors") if strict else out
+
+
 def topic_preferences(df: DataFrame, col: str = "topic_preferences") -> DataFrame:
     """V6: keys trimmed + lower-cased (last wins on collision), non-empty,
     within the five topics; scores numeric in [0, 1]."""

@@ -517,6 +517,14 @@ def _build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["content_features"] = with_(INTERACTIONS, content_features_cte(C.FEATURE_WINDOW_HOURS)) + "SELECT * FROM cf"
     q["content_features_30d"] = with_(INTERACTIONS, content_features_cte(C.FEATURE_WINDOW_MAX_HOURS)) + "SELECT * FROM cf"
+    rates = ("ctr", "like_rate", "save_rate", "skip_rate", "completion_rate")
+    wrong = ", ".join(f"CASE WHEN {r} < 0 OR {r} > 1 THEN '{r}_out_of_range' END" for r in rates)
+    q["content_feature_validation"] = with_(INTERACTIONS, content_features_cte(C.FEATURE_WINDOW_HOURS)) + (
+        f"SELECT content_id, {METRICS}, concat_ws(';', {wrong}) AS errors FROM cf"
+    )
+    q["content_features_strict"] = with_(INTERACTIONS, content_features_cte(C.FEATURE_WINDOW_HOURS)) + (
+        f"SELECT * EXCLUDE (rate_out_of_bounds) FROM cf WHERE {' AND '.join(f'{r} BETWEEN 0 AND 1' for r in rates)}"
+    )
     q["user_topic_affinity"] = with_(INTERACTIONS, user_topic_cte(C.FEATURE_WINDOW_HOURS)) + "SELECT * FROM ut"
     q["user_topic_affinity_30d"] = with_(INTERACTIONS, user_topic_cte(C.FEATURE_WINDOW_MAX_HOURS)) + "SELECT * FROM ut"
     w_us = C.FEATURE_WINDOW_HOURS * 3_600_000_000

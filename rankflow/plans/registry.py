@@ -47,6 +47,18 @@ def q_content_features(spark, sf):
     return finalize(feat.content_features(_it(spark, sf), AS_OF, C.FEATURE_WINDOW_HOURS))
 
 
+def q_content_feature_validation(spark, sf):
+    """Every vector with its errors; counts, rates and window."""
+    v = validate.content_feature_vectors(feat.content_features(_it(spark, sf), AS_OF, C.FEATURE_WINDOW_HOURS))
+    return v.select("content_id", *C.METRICS, F.array_join("errors", ";").alias("errors"))
+
+
+def q_content_features_strict(spark, sf):
+    """V13, strict form: only vectors within all bounds."""
+    cf = feat.content_features(_it(spark, sf), AS_OF, C.FEATURE_WINDOW_HOURS).drop("rate_out_of_bounds")
+    return finalize(validate.content_feature_vectors(cf, strict=True))
+
+
 def q_content_features_30d(spark, sf):
     return finalize(feat.content_features(_it(spark, sf), AS_OF, FULL_SPAN_HOURS))
 
@@ -924,6 +936,8 @@ def q_processor_freshness(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_features": q_content_features,
     "content_features_30d": q_content_features_30d,
+    "content_feature_validation": q_content_feature_validation,
+    "content_features_strict": q_content_features_strict,
     "user_topic_affinity": q_user_topic_affinity,
     "user_topic_affinity_30d": q_user_topic_affinity_30d,
     "point_in_time_features": q_point_in_time_features,

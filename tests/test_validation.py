@@ -3,6 +3,7 @@
 import datetime as dt
 
 
+from rankflow import constants as C
 from rankflow.operators import catalog, ingest, validate
 
 T0 = dt.datetime(2025, 11, 19, 12)
@@ -125,3 +126,24 @@ def test_append_users_uniqueness_and_defaults(spark):
         "u5": ["email_duplicate"],
         "u6": ["email_invalid", "username_invalid"],
     }
+
+
+def test_feature_vector_bounds(spark):
+    names = [*C.METRICS, "ctr", "like_rate", "save_rate", "skip_rate", "completion_rate"]
+    shape = "content_id string, window_hours int, " + ", ".join(f"{n} {'long' if n in C.METRICS else 'double'}" for n in names)
+    good = {n: 3 if n in C.METRICS else 0.5 for n in names}
+
+    def row(name, window=24, **change):
+        return (name, window, *[(good | change)[n] for n in names])
+
+    rows = [row("fine"), row("edges", 720, ctr=1.0, like_rate=0.0, clicks=0), row("over", like_rate=1.5, save_rate=2.0),
+            row("negative", likes=-1), row("none", saves=None), row("nan", ctr=float("nan")), row("window", 721), row("nowindow", None)]
+    df = spark.createDataFrame(rows, shape)
+    errs = {r.content_id: list(r.errors) for r in validate.content_feature_vectors(df).collect()}
+    assert errs == {
+        "fine": [], "edges": [], "over": ["like_rate_out_of_range", "save_rate_out_of_range"], "negative": ["likes_invalid"],
+        "none": ["saves_invalid"], "nan": ["ctr_out_of_range"], "window": ["window_hours_out_of_range"],
+        "nowindow": ["window_hours_out_of_range"],
+    }
+    strict = validate.content_feature_vectors(df, strict=True)
+    assert strict.columns == df.columns and {r.content_id for r in strict.collect()} == {"fine", "edges"}
