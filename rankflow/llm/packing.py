@@ -52,6 +52,24 @@ HIDDEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHO
 TOKENIZER = "word_bpe_49k.json"
 
 
+#: packs so many ids
+PACK = [struct.Struct(f"<{n}H").pack for n in range(65)]
+
+
+class _Pieces(dict):
+    """Pieces and their ids; a piece that is missing is encoded and kept."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(HIDDEN)
+        ids = [t.id for t in self.tokenize(shown)]
+        self[piece] = found = PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}H", *ids)
+        return found
+
+
 class _Known(dict):
     """Chunks and their ids; a chunk that is missing is encoded and kept."""
 
@@ -76,22 +94,19 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self.tokenizer.model)
         self.known, self.before = _Known(self), {}
 
-    def piece(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(HIDDEN)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        self.pieces[piece] = found = struct.pack(f"<{len(ids)}H", *ids)
-        return found
-
     def chunk(self, chunk: str) -> bytes:
+        # mostly a word, or a word and a mark: two pieces
+        word = chunk[:-1] if chunk[-1] in ".," else chunk
+        if word.isalpha() and not PLAIN.search(word):
+            found = self.pieces[word.lower()]
+            return found if word is chunk else found + self.pieces[chunk[-1]]
         if "<|" in chunk or PLAIN.search(chunk):
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}H", *ids)
-        get, new = self.pieces.get, self.piece
-        return b"".join([get(p) or new(p) for p in PIECE.findall(chunk.lower())])
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(chunk.lower())))
 
     def chunks(self, text: str) -> list[str]:
         if PLAIN.search(text):
@@ -101,8 +116,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
-            self.known, self.before, self.pieces = _Known(self), self.known, {}
-        get, end = self.known.__getitem__, np.array([END_ID], "<u2").tobytes()
+            self.known, self.before, self.pieces = _Known(self), self.known, _Pieces(self.tokenizer.model)
+        get, end = self.known.__getitem__, PACK[1](END_ID)
         return [np.frombuffer(b"".join([*map(get, p), end]), "<u2") for p in map(self.chunks, texts)]
 
 
@@ -119,8 +134,10 @@ def encoder(path: str) -> Encoder:
 def counted(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(terms, how often) of a document."""
     s = np.sort(doc, kind="stable")
-    at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    return s[at], np.diff(np.append(at, len(s)))
+    edge = np.ones(len(s) + 1, bool)
+    np.not_equal(s[1:], s[:-1], out=edge[1:-1])
+    at = edge.nonzero()[0]
+    return s[at[:-1]], at[1:] - at[:-1]
 
 
 class Corpus:
@@ -140,6 +157,10 @@ class Corpus:
         shared = self.df[terms] > 1
         terms, tfs = terms[shared], tfs[shared]
         w = self.weight(terms, tfs, len(doc))
+        if len(w) > DEPTH:
+            # those that may be among the strongest, equal ones included
+            best = (w >= np.partition(w, -DEPTH)[-DEPTH]).nonzero()[0]
+            terms, w = terms[best], w[best]
         top = terms[np.lexsort((terms, -w))[:DEPTH]].tolist()
         return [".".join(map(str, top[: i + 1])) for i in range(len(top))] or [""]
 
@@ -182,8 +203,10 @@ class Index:
         score = np.add.reduce(self.rows[row[row >= 0]], axis=0)
         begin, end = self.first[terms], self.first[terms + 1]
         rest = (row < 0) & (end - begin > 1)  # a term of the seed alone finds nothing
-        for a, b in zip(begin[rest].tolist(), end[rest].tolist()):
-            score[self.docs[a:b]] += self.weights[a:b]
+        begin, size = begin[rest], end[rest] - begin[rest]
+        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        # one after the other, in the terms' order
+        np.add.at(score, self.docs[at], self.weights[at])
         score[self.used] = 0
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]
