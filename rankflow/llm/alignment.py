@@ -27,8 +27,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterator
-from itertools import chain
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +67,8 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         chars = byte_level()
-        self.bytes_a = {i: bytes(chars[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        found = {i: bytes(chars[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.bytes_a = [found.get(i, b"") for i in range(max(self.a.get_vocab_size(), *found) + 1)]
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece, fallback = self.b.id_to_piece(i), self.b.is_byte(i)
@@ -76,6 +77,9 @@ class Aligner:
             if not fallback and (len(CUT.split(text)) > 1 or ("\n" in text and len(text) > 1)):
                 raise ValueError(f"the piece {piece} stands across a cut")
         self.fallback = np.array([self.b.is_byte(i) for i in range(self.b.get_piece_size())])
+        # the ids with what stands behind them in the groups' text: inside a group, and at the end of its part
+        spelled = [f"{i}{mark}" for n, end in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")) for i in range(n) for mark in (",", end)]
+        self.spelled = pa.array(spelled, pa.large_string())
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
@@ -86,7 +90,7 @@ class Aligner:
         # B puts the space in front itself
         pieces = self.b.encode(text[1:], return_type="proto").pieces
         ids_a, ids_b = encoding.ids, [p.id for p in pieces]
-        parts_a, parts_b = [self.bytes_a.get(i, b"") for i in ids_a], [self.bytes_b[i] for i in ids_b]
+        parts_a, parts_b = list(map(self.bytes_a.__getitem__, ids_a)), list(map(self.bytes_b.__getitem__, ids_b))
         if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
             return None
         spans = np.array(encoding.offsets, np.int64).reshape(-1, 2)
@@ -101,7 +105,7 @@ class Aligner:
         return np.array(ids_a, np.int64), ends_a, np.array(ids_b, np.int64), ends_b
 
     def aligned(self, chunks: list[str]) -> list[tuple | None]:
-        """Per chunk (tokens of A, of B, groups, their text, linked pairs as A * 65536 + B), or None.
+        """Per chunk (tokens of A, of B, groups, their text with a semicolon behind each, linked pairs as numbers A * 65536 + B), or None.
 
         Chunks are read as one text; where that does not come back, in halves.
         """
@@ -115,15 +119,22 @@ class Aligner:
             return [None] if not half else self.aligned(chunks[:half]) + self.aligned(chunks[half:])
         ids_a, ends_a, ids_b, ends_b = found
         ends, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        pairs = (ids_a[i] * 65536 + ids_b[j]).tolist()
-        a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+        pairs = (ids_a[i] * 65536 + ids_b[j]).tobytes()
         last = np.searchsorted(ends, np.cumsum([len(lead), *[len(c.encode()) for c in chunks]]), side="right").tolist()
-        i, j = [0, *(i + 1).tolist()], [0, *(j + 1).tolist()]
-        out = []
-        for lo, hi in zip(last, last[1:]):
-            groups = [",".join(a[i[g] : i[g + 1]]) + "|" + ",".join(b[j[g] : j[g + 1]]) for g in range(lo, hi)]
-            out.append((i[hi] - i[lo], j[hi] - j[lo], hi - lo, ";".join(groups), pairs[lo:hi]))
-        return out
+        # tokens of A and B up to each group's start
+        i, j = np.concatenate(([0], i + 1)), np.concatenate(([0], j + 1))
+        code = np.empty(len(ids_a) + len(ids_b), np.int64)
+        code[np.arange(len(ids_a)) + np.repeat(j[:-1], np.diff(i))] = 2 * ids_a
+        code[np.arange(len(ids_b)) + np.repeat(i[1:], np.diff(j))] = 2 * (len(self.bytes_a) + ids_b)
+        code[i[1:] + j[:-1] - 1] += 1
+        code[i[1:] + j[1:] - 1] += 1
+        text = self.spelled.take(pa.array(code))
+        ends = np.frombuffer(text.buffers()[1], np.int64)[i + j].tolist()
+        data, i, j = text.buffers()[2].to_pybytes(), i.tolist(), j.tolist()
+        return [
+            (i[hi] - i[lo], j[hi] - j[lo], hi - lo, data[ends[lo] : ends[hi]], pairs[8 * lo : 8 * hi])
+            for lo, hi in zip(last, last[1:])
+        ]
 
     def remember(self, chunks: set[str]) -> dict[str, tuple | None]:
         """Aligns the chunks that are not remembered; returns the long ones."""
@@ -144,24 +155,51 @@ class Aligner:
                 (self.known if len(c) <= LONG else passing)[c] = found
         return passing
 
+    def found(self, chunks: Iterable[str]) -> list[tuple | None]:
+        """What ``aligned`` gives of each chunk."""
+        passing = self.remember({c for c in chunks if c not in self.known})
+        known, older = self.known, self.older
+        # a block may forget what it needs itself
+        return [known[c] if c in known else passing[c] if c in passing else older[c] for c in chunks]
+
+    def block(self, texts: list[str | None]) -> tuple[dict[str, np.ndarray | list[str]], np.ndarray, np.ndarray]:
+        """Columns of all texts' figures, the distinct linked pairs, and which of them each link is.
+
+        Figures, groups and pairs are worked out once per distinct chunk and dealt
+        to the places where the chunk stands.
+        """
+        number, at, sizes = B.Numbers(), array("i"), []
+        for text in texts:
+            chunks = CUT.split(" " + text) if text else []
+            at.extend(map(number.__getitem__, chunks))
+            sizes.append(len(chunks))
+        parts = self.found(number)
+        at, sizes = np.array(at, np.int32), np.array(sizes, np.int64)
+        # a text with a chunk that does not come back byte for byte has no tokens
+        lost = B.sums(np.array([p is None for p in parts], np.int64)[at], sizes) > 0
+        at, sizes = at[~np.repeat(lost, sizes)], np.where(lost, 0, sizes)
+        parts = [p or (0, 0, 0, b"", b"") for p in parts]
+        columns = {c: B.sums(np.array([p[k] for p in parts], np.int64)[at], sizes) for k, c in enumerate(("n_a", "n_b", "n_groups"))}
+        # a pair per group
+        columns["n_links"], of = columns["n_groups"], np.array([p[2] for p in parts], np.int64)
+        groups = pa.array([p[3] for p in parts], pa.large_binary()).take(pa.array(at))
+        ends = np.frombuffer(groups.buffers()[1], np.int64)[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        data = memoryview(groups.buffers()[2] or b"")
+        columns["groups_sha256"] = [hashlib.sha256(data[lo : hi - 1]).hexdigest() if hi > lo else "" for lo, hi in zip(ends, ends[1:])]
+        pairs, place = np.unique(np.frombuffer(b"".join([p[4] for p in parts]), np.int64), return_inverse=True)
+        lists = pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(of))), pa.array(place.astype(np.int32)))
+        links = lists.take(pa.array(at)).flatten().to_numpy()
+        # pairs of texts without tokens only are none
+        held = np.bincount(links, minlength=len(pairs)) > 0
+        return columns, pairs[held], (np.cumsum(held) - 1).astype(np.int32)[links]
+
     def documents(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, list[int]]]:
         """(n_a, n_b, n_groups, groups_sha256, linked pairs) of each text."""
-        cut = [CUT.split(" " + t) if t else [] for t in texts]
-        met = set(chain.from_iterable(cut))
-        passing = self.remember({c for c in met if c not in self.known})
-        known = self.known | passing if passing else self.known
-        # a block may forget what it needs itself
-        if lost := {c for c in met if c not in known}:
-            known = known | {c: self.older[c] for c in lost}
-        get = known.__getitem__
-        for chunks in cut:
-            parts = list(map(get, chunks))
-            if not parts or None in parts:
-                # no text, or a chunk that does not come back byte for byte
-                yield 0, 0, 0, "", []
-                continue
-            n_a, n_b, n_groups, groups, pairs = zip(*parts)
-            yield sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(groups).encode()).hexdigest(), list(chain.from_iterable(pairs))
+        columns, pairs, at = self.block(texts)
+        ends = [0, *np.cumsum(columns["n_links"]).tolist()]
+        linked = pairs[at].tolist()
+        for n_a, n_b, n_groups, sha, lo, hi in zip(*(columns[c] for c in ("n_a", "n_b", "n_groups", "groups_sha256")), ends, ends[1:]):
+            yield int(n_a), int(n_b), int(n_groups), sha, linked[lo:hi]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -187,13 +225,10 @@ def _encoded(find: Callable[[], Aligner]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = find()
         for block, rows in B.grouped(batches):
-            found = list(align.documents([t for _, t in rows]))
-            links = np.fromiter(chain.from_iterable(f[4] for f in found), np.int64)
-            pairs, at, times = np.unique(links, return_inverse=True, return_counts=True)
-            n_a, n_b, n_groups, sha = ([f[k] for f in found] for k in range(4))
+            columns, pairs, at = align.block([t for _, t in rows])
             yield pa.RecordBatch.from_pylist([{
-                "block": block, "doc_id": [i for i, _ in rows], "n_a": n_a, "n_b": n_b, "n_groups": n_groups,
-                "n_links": [len(f[4]) for f in found], "groups_sha256": sha, "pairs": pairs, "times": times, "at": B.packed(at.astype(np.int32)),
+                "block": block, "doc_id": [i for i, _ in rows], **columns,
+                "pairs": pairs, "times": np.bincount(at, minlength=len(pairs)), "at": B.packed(at),
             }], schema=SCHEMA)
 
     return run
