@@ -21,17 +21,20 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Split
 
+from rankflow.llm import blocks
 from rankflow.llm.common import prepare, saved, text_rows
 
 WINDOW, END_ID = 4096, 2
@@ -39,86 +42,132 @@ SHARD_BYTES = 8 << 20
 #: strongest terms by which a key that is too big is split, one after the other
 DEPTH = 6
 K1, B = 1.2, 0.75
-#: chunks whose ids a worker remembers, twice this many at most
+#: pieces, and odd chunks, whose ids a worker remembers
 REMEMBERED = 350_000
+#: characters of texts that are encoded at once: the longer, the fewer chunks stand in several
+CHARS = 12_000_000
 #: texts of these characters only: white space as str.split() sees it, lower case one by one
 PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u012f\\u0131-\\u017f]")
-BLANK = re.compile("[ \\t\\n\\r]+")
-#: pieces of a plain lower-case chunk, as the tokenizer's own pattern cuts them
-PIECE = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^a-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00df-\u00f6\u00f8-\u017f]+")
+BLANK = "[ \\t\\n\\r]+"
+#: pieces of plain lower-case chunks between line feeds, as the tokenizer's own pattern cuts them, and the line feeds
+PIECE = re.compile("\n|'(?:s|t|re|ve|m|ll|d)|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^\na-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be\u00df-\u00f6\u00f8-\u017f]+")
 SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 #: byte-level alphabet: bytes without a visible character take the code points from 256 on, in order
 HIDDEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
+ALPHABET = np.array([HIDDEN.get(b, b) for b in range(256)], "<u2")
 TOKENIZER = "word_bpe_49k.json"
+#: so many new pieces are encoded as one text
+MANY = 100
 
 
-#: packs so many ids
-PACK = [struct.Struct(f"<{n}H").pack for n in range(65)]
+def shown(text: str) -> str:
+    """The text's bytes in the byte-level alphabet."""
+    return ALPHABET[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
 
 
-class _Pieces(dict):
-    """Pieces and their ids; a piece that is missing is encoded and kept."""
+class _Pieces(blocks.Numbers):
+    """Pieces by number, and their ids; pieces are numbered as they are met and encoded by ``learn``. Line feeds, number 0, have none."""
 
     def __init__(self, model):
         super().__init__()
         self.tokenize = model.tokenize
+        # the model alone, on pieces between line feeds, which are no part of any
+        self.bare = Tokenizer(model)
+        self.bare.pre_tokenizer = Split(chr(HIDDEN[10]), "isolated")
+        self.between = [t.id for t in model.tokenize(chr(HIDDEN[10]))]
+        #: the pieces' ids behind each other, where each begins, and how many it has
+        self.ids, self.starts, self.sizes = np.zeros(0, "<u2"), np.zeros(1, np.int32), np.zeros(1, np.int32)
+        self["\n"] = 0
+
+    def learn(self) -> None:
+        new = [*islice(reversed(self), len(self) - len(self.sizes))][::-1]
+        if not new:
+            return
+        if len(new) < MANY or len(self.between) != 1:
+            found = [[t.id for t in self.tokenize(shown(p))] for p in new]
+            ids, sizes = [i for x in found for i in x], [len(x) for x in found]
+        else:
+            ids = np.array(self.bare.encode_batch_fast([shown("\n".join([*new, ""]))], add_special_tokens=False)[0].ids)
+            sizes = np.diff(np.flatnonzero(ids == self.between[0]), prepend=-1) - 1
+            ids = ids[ids != self.between[0]]
+        sizes = np.asarray(sizes, np.int32)
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes, dtype=np.int32) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.ids = np.concatenate((self.ids, np.array(ids, "<u2")))
 
-    def __missing__(self, piece: str) -> bytes:
-        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(HIDDEN)
-        ids = [t.id for t in self.tokenize(shown)]
-        self[piece] = found = PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}H", *ids)
-        return found
-
-
-class _Known(dict):
-    """Chunks and their ids; a chunk that is missing is encoded and kept."""
-
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
 
-    def __missing__(self, chunk: str) -> bytes:
-        self[chunk] = found = dict.get(self.encoder.before, chunk) or self.encoder.chunk(chunk)
-        return found
+def spread(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of the values behind each other."""
+    at = np.repeat(starts - (np.cumsum(sizes, dtype=np.int32) - sizes), sizes)
+    at += np.arange(len(at), dtype=np.int32)
+    return values[at]
 
 
 class Encoder:
     """Ids of whole texts; equal to the tokenizer's, which never joins across white space.
 
-    A chunk between white space is encoded once and remembered; when the
-    memory is full, chunks not met again since the last time are forgotten.
-    Plain chunks are cut into pieces here, and the tokenizer's model encodes
-    each piece once; any other chunk goes through the whole tokenizer.
+    Arrow splits the texts and numbers their chunks, and each distinct chunk of
+    the texts given is encoded once. Plain chunks are cut into pieces, all at
+    once, and the tokenizer's model encodes each piece that is not remembered;
+    any other chunk goes through the whole tokenizer, and is remembered as well.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = _Pieces(self.tokenizer.model)
-        self.known, self.before = _Known(self), {}
-
-    def chunk(self, chunk: str) -> bytes:
-        # mostly a word, or a word and a mark: two pieces
-        word = chunk[:-1] if chunk[-1] in ".," else chunk
-        if word.isalpha() and not PLAIN.search(word):
-            found = self.pieces[word.lower()]
-            return found if word is chunk else found + self.pieces[chunk[-1]]
-        if "<|" in chunk or PLAIN.search(chunk):
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}H", *ids)
-        return b"".join(map(self.pieces.__getitem__, PIECE.findall(chunk.lower())))
-
-    def chunks(self, text: str) -> list[str]:
-        if PLAIN.search(text):
-            return [c for c in BLANK.split(text) if c]
+        self.odd: dict[str, np.ndarray] = {}
+
+    def odd_chunk(self, chunk: str) -> np.ndarray:
+        if chunk not in self.odd:
+            self.odd[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2")
+        return self.odd[chunk]
+
+    def chunks(self, items: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks' ids behind each other, and how many each has."""
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = _Pieces(self.tokenizer.model)
+        if len(self.odd) > REMEMBERED:
+            self.odd = {}
+        # a line feed behind each chunk
+        line, odd = (pc.binary_join(pa.ListArray.from_arrays([0, len(items)], items), pa.scalar("\n", items.type))[0].as_py() + "\n" if len(items) else ""), {}
         # a special token is matched before the case is folded
-        return (text if "<|" in text else text.lower()).split()
+        if "<|" in line or PLAIN.search(line):
+            listed = line.split("\n")[:-1]
+            odd = {i: self.odd_chunk(c) for i, c in enumerate(listed) if "<|" in c or PLAIN.search(c)}
+            line = "\n".join([*("" if i in odd else c for i, c in enumerate(listed)), ""])
+        found = PIECE.findall(line.lower())
+        number = np.fromiter(map(self.pieces.__getitem__, found), np.int32, len(found))
+        self.pieces.learn()
+        size = self.pieces.sizes[number]
+        ids = spread(self.pieces.ids, self.pieces.starts[number], size)
+        sizes = np.diff(np.cumsum(size, dtype=np.int32)[number == 0], prepend=np.int32(0))
+        if odd:
+            at, more = np.cumsum(sizes) - sizes, [len(x) for x in odd.values()]
+            ids = np.insert(ids, np.repeat(at[[*odd]], more), np.concatenate([*odd.values()]))
+            sizes[[*odd]] = more
+        return ids, sizes
+
+    def joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids behind each other, the end id behind each, and how many each has."""
+        # these two are white space to Arrow alone
+        plain = not any("\x0b" in t or "\x0c" in t for t in texts)
+        column = pa.array(texts, pa.large_string())
+        words = pc.ascii_split_whitespace(column) if plain else pc.split_pattern_regex(column, BLANK)
+        coded = words.flatten().dictionary_encode()
+        ids, sizes = self.chunks(coded.dictionary)
+        # the end is one chunk more, behind each text's
+        ids, sizes = np.append(ids, np.uint16(END_ID)), np.append(sizes, np.int32(1))
+        starts, n = np.cumsum(sizes, dtype=np.int32) - sizes, np.diff(words.offsets.to_numpy())
+        code = np.insert(coded.indices.to_numpy(), np.cumsum(n), len(sizes) - 1)
+        size = sizes[code]
+        return spread(ids, starts[code], size), np.add.reduceat(size, np.cumsum(n + 1) - n - 1)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known, self.before, self.pieces = _Known(self), self.known, _Pieces(self.tokenizer.model)
-        get, end = self.known.__getitem__, PACK[1](END_ID)
-        return [np.frombuffer(b"".join([*map(get, p), end]), "<u2") for p in map(self.chunks, texts)]
+        if not texts:
+            return []
+        ids, sizes = self.joined(texts)
+        return np.split(ids, np.cumsum(sizes)[:-1])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -140,6 +189,19 @@ def counted(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[at[:-1]], at[1:] - at[:-1]
 
 
+def counted_all(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents, terms, how often), in this order, of documents together."""
+    sizes = [len(d) for d in docs]
+    key = np.repeat(np.arange(len(docs), dtype=np.uint32 if len(docs) < 1 << 16 else np.uint64) << 16, sizes)
+    key |= np.concatenate(docs)
+    key.sort()
+    edge = np.ones(len(key) + 1, bool)
+    np.not_equal(key[1:], key[:-1], out=edge[1:-1])
+    at = edge.nonzero()[0]
+    key = key[at[:-1]]
+    return (key >> 16).astype(np.int64), (key & 0xFFFF).astype(np.int64), at[1:] - at[:-1]
+
+
 class Corpus:
     """What BM25 takes from all documents: documents per term, their number and mean length."""
 
@@ -153,16 +215,24 @@ class Corpus:
 
     def prefixes(self, doc: np.ndarray) -> list[str]:
         """The strongest terms that another document has too: the first, the first two and so on."""
-        terms, tfs = counted(doc)
+        return self.prefixes_of([doc])[0]
+
+    def prefixes_of(self, docs: list[np.ndarray]) -> list[list[str]]:
+        if not docs:
+            return []
+        doc, terms, tfs = counted_all(docs)
         shared = self.df[terms] > 1
-        terms, tfs = terms[shared], tfs[shared]
-        w = self.weight(terms, tfs, len(doc))
-        if len(w) > DEPTH:
-            # those that may be among the strongest, equal ones included
-            best = (w >= np.partition(w, -DEPTH)[-DEPTH]).nonzero()[0]
-            terms, w = terms[best], w[best]
-        top = terms[np.lexsort((terms, -w))[:DEPTH]].tolist()
-        return [".".join(map(str, top[: i + 1])) for i in range(len(top))] or [""]
+        doc, terms, tfs = doc[shared], terms[shared], tfs[shared]
+        w = self.weight(terms, tfs, np.array([len(d) for d in docs])[doc])
+        ends = np.searchsorted(doc, np.arange(len(docs) + 1)).tolist()
+        # those that may be among the strongest, equal ones included
+        least = np.array([np.partition(w[a:b], -DEPTH)[-DEPTH] if b - a > DEPTH else -np.inf for a, b in zip(ends, ends[1:])])
+        best = np.flatnonzero(w >= least[doc])
+        best = best[np.lexsort((terms[best], -w[best], doc[best]))]
+        ends, terms, out = np.searchsorted(doc[best], np.arange(len(docs) + 1)).tolist(), list(map(str, terms[best].tolist())), []
+        for a, b in zip(ends, ends[1:]):
+            out.append(list(accumulate(terms[a : min(b, a + DEPTH)], "{}.{}".format)) or [""])
+        return out
 
 
 class Index:
@@ -278,14 +348,35 @@ def cut_tail(pieces: list[tuple[int, int, int, int, int]], window: int = WINDOW)
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches that follow each other, about ``CHARS`` bytes of text in all, without empty ones."""
+    held, size = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += pc.sum(pc.binary_length(b.column("text"))).as_py() or 0
+        if size >= CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, h, size, ids): every row's tokens as little-endian 16-bit numbers, and its bytes of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [x.tobytes() for x in encoder(path).encode([x or "" for x in b.column("text").to_pylist()])]
-            columns = [b.column("doc_id"), b.column("h"), b.column("size"), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "size", "ids"])
+        for held in together(batches):
+            texts = [x or "" for b in held for x in b.column("text").to_pylist()]
+            ids, sizes = encoder(path).joined(texts)
+            ends = 2 * np.cumsum(np.concatenate(([0], sizes)))
+            made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
+            lo = 0
+            for b in held:
+                columns = [b.column("doc_id"), b.column("h"), b.column("size"), made.slice(lo, b.num_rows).cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "size", "ids"])
+                lo += b.num_rows
 
     # rows without a doc_id have nothing but their place to tell equal texts apart
     place = F.coalesce("doc_id", F.monotonically_increasing_id())
@@ -306,9 +397,10 @@ def corpus_of(made: DataFrame) -> Corpus:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
         for b in batches:
-            for d in tokens_of(b.column("ids")):
-                df[counted(d)[0]] += 1
-                n, tokens = n + 1, tokens + len(d)
+            if b.num_rows:
+                docs = list(tokens_of(b.column("ids")))
+                df += np.bincount(counted_all(docs)[1], minlength=1 << 16)
+                n, tokens = n + len(docs), tokens + sum(map(len, docs))
         at = np.flatnonzero(df)
         columns = [pa.array([*at.tolist(), -1, -2], pa.int32()), pa.array([*df[at].tolist(), n, tokens], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
@@ -327,7 +419,7 @@ def dealt(made: DataFrame, corpus: Corpus, shard_bytes: int) -> DataFrame:
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [corpus.prefixes(d) for d in tokens_of(b.column("ids"))]
+            found = corpus.prefixes_of(list(tokens_of(b.column("ids"))))
             yield pa.RecordBatch.from_arrays([b.column("size"), pa.array(found, pa.list_(pa.string()))], ["size", "prefixes"])
 
     keyed = saved(made.select("size", "ids").mapInArrow(prefixes, "size long, prefixes array<string>"))
@@ -357,8 +449,8 @@ def dealt(made: DataFrame, corpus: Corpus, shard_bytes: int) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             shards = []
-            for d, h in zip(tokens_of(b.column("ids")), b.column("h").to_pylist()):
-                parent, key = below(corpus.prefixes(d))
+            for found, h in zip(corpus.prefixes_of(list(tokens_of(b.column("ids")))), b.column("h").to_pylist()):
+                parent, key = below(found)
                 lo, n = bins[parent]
                 shards.append(lo + (h if key is None else zlib.crc32(key.encode())) % n)
             columns = [b.column("doc_id"), b.column("h"), b.column("ids"), pa.array(shards, pa.int64())]
